@@ -68,5 +68,22 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+TOPK = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= 5
+"""
+
+WARC = """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS h, strlen(coalesce(html, ''))::BIGINT AS n FROM pages),
+f AS (SELECT h, min(page_id) AS response FROM p WHERE n >= 100 GROUP BY h)
+SELECT page_id, url, n AS payload_bytes, sha256(p.h) AS payload_digest, CASE WHEN f.response < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN f.response < page_id THEN f.response END AS refers_to
+FROM p LEFT JOIN f ON p.h = f.h
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_source_mixing": MIX.format(documents="documents"), "op8_decontaminate": HITS.format(documents="documents")}
+    return {"op3_exact_topk": TOPK, "op7_warc": WARC, "op6_source_mixing": MIX.format(documents="documents"), "op8_decontaminate": HITS.format(documents="documents")}
