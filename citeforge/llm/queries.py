@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, mixing, topk, warc
+from . import decontaminate, language, mixing, secret_scan, topk, warc
 from .common import table
 
 
@@ -15,6 +15,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.fit(docs))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.search(vectors, vectors.where("vec_id % 50 = 0"))

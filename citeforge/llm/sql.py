@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .mixing import BLOCK, REPEATS, SEED, SHARD_DOCS, MAX_SHARDS
+from .secret_scan import RULES
 
 MIX = f"""
 WITH RECURSIVE sized AS (
@@ -85,5 +86,25 @@ FROM p LEFT JOIN f ON p.h = f.h
 """
 
 
+def secrets() -> str:
+    """Matches and the gaps between them, unnested and summed up."""
+    q = lambda s: s.replace("'", "''")
+    each = " UNION ALL ".join(
+        f"SELECT doc_id, '{r.kind}' AS kind, {i} AS nth, {r.least} AS least, string_split_regex(t, '{q(r.regex)}') AS gaps, regexp_extract_all(t, '{q(r.regex)}') AS ms, regexp_extract_all(t, '{q(r.regex)}', {r.group}) AS gs FROM d"
+        for i, r in enumerate(RULES)
+    )
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM @documents),
+each AS ({each}),
+one AS (SELECT doc_id, kind, nth, least, i, len(gaps[i]) AS gap, len(ms[i]) AS size, len(gs[i]) AS measured FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM each)),
+placed AS (SELECT *, sum(gap + size) OVER (PARTITION BY doc_id, kind ORDER BY i)::BIGINT AS e FROM one),
+kept AS (SELECT doc_id, kind, nth, e - size AS s, kind || ':' || (e - size) || ':' || e AS item FROM placed WHERE measured >= least),
+sums AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+  string_agg(item, ',' ORDER BY s, nth) FILTER (WHERE nth < 3) AS base, string_agg(item, ',' ORDER BY s, nth) AS spans FROM kept GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN sums USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_topk": TOPK, "op7_warc": WARC, "op6_source_mixing": MIX.format(documents="documents"), "op8_decontaminate": HITS.format(documents="documents")}
+    return {"op2_secret_scan": secrets().replace("@documents", "documents"), "op3_exact_topk": TOPK, "op7_warc": WARC, "op6_source_mixing": MIX.format(documents="documents"), "op8_decontaminate": HITS.format(documents="documents")}
