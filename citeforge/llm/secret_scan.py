@@ -123,9 +123,9 @@ def trigram_query(regex: str) -> list[frozenset[str]]:
 
 def postings(docs: DataFrame, wanted: list[str]) -> DataFrame:
     """key, text_hash, gram: which of the wanted trigrams each text contains."""
-    ahead = "(?=(" + "|".join(re.sub(r"([^A-Za-z0-9_ ])", r"\\\1", g) for g in sorted(wanted)) + "))"
-    found = F.array_distinct(F.regexp_extract_all(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(ahead), F.lit(1)))
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(found).alias("gram"))
+    folded = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.lower("text").alias("folded"))
+    found = F.array_compact(F.array(*[F.when(F.contains("folded", F.lit(g)), F.lit(g)) for g in sorted(wanted)]))
+    return folded.select("doc_id", "text_hash", F.explode(found).alias("gram"))
 
 
 def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> tuple[DataFrame | None, set[str]]:
@@ -144,30 +144,49 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> tuple[DataFrame | No
 # --- verification ---
 
 
+def _let(value: Column, body) -> Column:
+    """body(value) with the value computed once, also within lambdas."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _total(xs: Column) -> Column:
+    return F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a + x)
+
+
+def _before(xs: Column, start: Column) -> Column:
+    """start plus the sum of all values before each one."""
+    zero = F.struct(start.alias("at"), F.array().cast("array<bigint>").alias("out"))
+    return F.aggregate(xs, zero, lambda a, x: F.struct((a["at"] + x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+
+
 def _running(lengths: Column, block: int = 256) -> Column:
-    """Sums of all values before each one; in two levels, so that it takes no quadratic time."""
-    n = F.size(lengths)
-    parts = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / block).cast("int")), lambda b: F.slice(lengths, b * block + 1, F.lit(block)))
-    total = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a + x)
+    """Sums of all values before each one; in two levels, so that long arrays take no quadratic time."""
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / block).cast("int")), lambda b: F.slice(lengths, b * block + 1, F.lit(block)))
 
-    def before(xs: Column, start: Column) -> Column:
-        zero = F.struct(start.alias("at"), F.array().cast("array<bigint>").alias("out"))
-        return F.aggregate(xs, zero, lambda a, x: F.struct((a["at"] + x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+    def placed(p: Column) -> Column:
+        starts = _before(F.transform(p, _total), F.lit(0).cast("long"))
+        return F.flatten(F.zip_with(p, starts, _before))
 
-    starts = before(F.transform(parts, total), F.lit(0).cast("long"))
-    return F.flatten(F.transform(F.arrays_zip(parts.alias("p"), starts.alias("s")), lambda z: before(z["p"], z["s"])))
+    return _let(parts, placed)
 
 
 def matches(text: Column, rule: Rule) -> Column:
     """Sorted array of structs (start, end) of a rule's matches."""
     found = F.regexp_extract_all(text, F.lit(rule.regex), F.lit(0))
-    gaps = F.split(text, rule.regex)
-    passed = F.transform(F.regexp_extract_all(text, F.lit(rule.regex), F.lit(rule.group)), lambda m: F.length(m) >= rule.least)
-    both = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, m: F.array(F.length(g).cast("long"), F.length(m).cast("long")))
-    spans = F.zip_with(F.arrays_zip(_running(F.transform(both, lambda x: x[0] + x[1])).alias("at"), both.alias("b")), passed, lambda z, ok: F.struct((z["at"] + z["b"][0]).alias("start"), (z["at"] + z["b"][0] + z["b"][1]).alias("end"), ok.alias("ok")))
+    measured = F.regexp_extract_all(text, F.lit(rule.regex), F.lit(rule.group)) if rule.group else found
+    read = F.struct(F.split(text, rule.regex).alias("gaps"), found.alias("found"), measured.alias("measured"))
+
+    def sizes(r: Column) -> Column:
+        triples = F.zip_with(F.zip_with(F.slice(r["gaps"], 1, F.size(r["found"])), r["found"], lambda g, m: F.struct(F.length(g).cast("long").alias("gap"), F.length(m).cast("long").alias("size"))), r["measured"], lambda x, m: F.struct(x["gap"], x["size"], (F.length(m) >= rule.least).alias("ok")))
+        return _let(triples, spans)
+
+    def spans(t: Column) -> Column:
+        starts = _running(F.transform(t, lambda x: x["gap"] + x["size"]))
+        placed = F.zip_with(t, starts, lambda x, at: F.struct((at + x["gap"]).alias("start"), (at + x["gap"] + x["size"]).alias("end"), x["ok"].alias("ok")))
+        return F.transform(F.filter(placed, lambda x: x["ok"]), lambda x: F.struct(x["start"], x["end"]))
+
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    kept = F.transform(F.filter(spans, lambda s: s["ok"]), lambda s: F.struct(s["start"], s["end"]))
-    return F.when(F.regexp_instr(text, F.lit(rule.regex)) > 0, kept).otherwise(none)
+    return F.when(text.rlike(rule.regex), _let(read, sizes)).otherwise(none)
 
 
 def _quick(rule: Rule) -> str:
