@@ -106,5 +106,19 @@ FROM d LEFT JOIN sums USING (doc_id)
 """
 
 
+NEAR = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS ws FROM @documents),
+s AS (SELECT DISTINCT doc_id, hash(array_to_string(ws[i:i + least(5, len(ws)) - 1], ' ')) AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - least(5, len(ws)) + 2)) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*)::BIGINT AS n FROM s GROUP BY doc_id),
+same AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM same JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT a, b FROM edge UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a),
+low AS (SELECT a, least(a, min(b)) AS c FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c, d.doc_id) AS component_id, coalesce(c, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low ON low.a = d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_secret_scan": secrets().replace("@documents", "documents"), "op3_exact_topk": TOPK, "op7_warc": WARC, "op6_source_mixing": MIX.format(documents="documents"), "op8_decontaminate": HITS.format(documents="documents")}
+    return {"op9_near_dup": NEAR.replace("@documents", "documents"), "op2_secret_scan": secrets().replace("@documents", "documents"), "op3_exact_topk": TOPK, "op7_warc": WARC, "op6_source_mixing": MIX.format(documents="documents"), "op8_decontaminate": HITS.format(documents="documents")}
