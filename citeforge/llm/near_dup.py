@@ -7,12 +7,13 @@ is skipped once it exceeds all registers): mergeable by maxima, and equal with a
 
 1. Documents with equal sets form one node; copies never multiply what follows.
 2. BANDS bands of ROWS registers deal nodes into buckets. At the threshold of 0.75 a pair shares no bucket with a
-   chance of (1 - 0.75**5)**51 = 1e-6. Each node of a bucket is paired with the bucket's least node.
+   chance of (1 - 0.75**5)**51 = 1e-6. A node is first paired with
+   the least of all nodes that it meets, then, where that left the two in different components, with each bucket's least.
 3. Pairs whose registers make a similarity of the threshold a factor of e**18 less likely than the likeliest one are
    let go (some six standard errors); the rest are verified on the full sets; verified links give components.
 4. Buckets in which, the least node aside, more than one component remains compare the registers of nodes in
-   different components, in blocks of bounded size, so no link hides behind a bucket's least node; these pairs
-   are estimated and verified the same way.
+   different components, in blocks of bounded size, so no link hides behind a bucket's least node. A pair is looked
+   at only in the first band that it shares, and a block emits no more links than join its components.
 
 No bucket is capped. Hot buckets, copies and components meet only in partial aggregates or in joins of staged tables, which AQE splits.
 
@@ -38,7 +39,7 @@ SHINGLE, PERCENT = 5, 75
 BANDS, ROWS = 51, 5
 M, A, B, TOP = BANDS * ROWS, 20.0, 1.001, 65535
 GIVE_UP = 18.0
-BLOCK = 512
+BLOCK = 256
 SKETCH = "doc_id long, n_shingles long, node long, regs binary"
 
 
@@ -157,46 +158,66 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(own("a"), "a").join(own("b"), "b").mapInPandas(run, "a long, b long")
 
 
-def _texts(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(node, text) of the nodes in pairs, from the document that stands for each."""
-    ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = staged(nodes.select("node", "doc_id").join(ids, "node"), "near-wanted")
+def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of nodes, from the document that stands for each; the corpus is shuffled once, by one plan at any size."""
     named = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc_id"), "text")
-    return staged(named.join(wanted, "doc_id").select("node", "text"), "near-texts")
+    return staged(named.join(nodes.select("node", "doc_id").hint("merge"), "doc_id").select("node", "text"), "near-texts")
+
+
+def _spanning(rows: list[tuple], ready: dict[int, np.ndarray]) -> list[tuple[int, int]]:
+    """Verified links that join the components of a block's rows (node, comp, n_shingles, regs).
+
+    A pair is compared only in the first band that it shares, so never twice, and only while it is apart.
+    """
+    node = [r[0] for r in rows]
+    regs = np.frombuffer(b"".join(r[3] for r in rows), ">u2").astype(np.uint16).reshape(len(rows), M)
+    n = np.array([r[2] for r in rows], float)
+    own_band = int((regs == regs[0]).reshape(len(rows), BANDS, ROWS).all(axis=(0, 2)).argmax())
+    names: dict[int, int] = {}
+    group = np.array([names.setdefault(r[1], len(names)) for r in rows])
+    out = []
+    for x in range(len(rows) - 1):
+        y = x + 1 + np.flatnonzero(group[x + 1 :] != group[x])
+        if not len(y):
+            continue
+        first = (regs[y] == regs[x]).reshape(len(y), BANDS, ROWS).all(axis=2).argmax(axis=1)
+        y = y[first == own_band]
+        if len(y):
+            y = y[plausible(np.broadcast_to(regs[x], (len(y), M)), regs[y], np.full(len(y), n[x]), n[y])]
+        if not len(y):
+            continue
+        mine, others = ready[node[x]], [ready[node[i]] for i in y]
+        every = np.concatenate(others)
+        at = np.minimum(np.searchsorted(mine, every), len(mine) - 1)
+        both = np.add.reduceat((mine[at] == every).astype(np.int64), np.concatenate(([0], np.cumsum([len(o) for o in others])[:-1])))
+        for i, k in zip(y.tolist(), both.tolist()):
+            if group[i] != group[x] and 100 * k >= PERCENT * (len(mine) + len(ready[node[i]]) - k):
+                out.append((max(node[x], node[i]), min(node[x], node[i])))
+                group[group == group[i]] = group[x]
+    return out
 
 
 def _across(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes that share a bucket but no component, from rows (key, i, j, side, node, comp, n_shingles, regs) in blocks."""
-    small_batches(rows.sparkSession, 1024)
-
-    def pairs_of(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.drop_duplicates("node")
-        node, comp, n, regs = g["node"].to_numpy(), g["comp"].to_numpy(), g["n_shingles"].to_numpy(float), _decode(g["regs"])
-        out = []
-        for x in range(len(g) - 1):
-            y = np.arange(x + 1, len(g))
-            y = y[comp[y] != comp[x]]
-            if len(y):
-                y = y[plausible(np.broadcast_to(regs[x], (len(y), M)), regs[y], np.full(len(y), n[x]), n[y])]
-                out.append(np.column_stack((np.full(len(y), node[x]), node[y])))
-        every = np.concatenate(out) if out else np.empty((0, 2), np.int64)
-        return pd.DataFrame({"a": every.max(axis=1, initial=-(2**63)) if len(every) else [], "b": every.min(axis=1) if len(every) else []}, dtype="int64")
+    """Links (a, b) between components that share a bucket, from rows (key, i, j, node, comp, n_shingles, regs, text) in blocks."""
+    small_batches(rows.sparkSession, 256)
+    keys = ["key", "i", "j"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None  # rows of the block that is not known to be complete
+        at, held, sets = None, {}, {}  # one block at a time: at most 2 * BLOCK sets
+        done = lambda: pd.DataFrame(_spanning(list(held.values()), sets) if len(held) > 1 else [], columns=["a", "b"], dtype="int64")
         for t in batches:
-            t = t if held is None else pd.concat((held, t), ignore_index=True)
-            if not len(t):
-                continue
-            last = (t[["key", "i", "j"]] == t[["key", "i", "j"]].iloc[-1]).all(axis=1)
-            held = t[last]
-            for _, g in t[~last].groupby(["key", "i", "j"], sort=False):
-                yield pairs_of(g)
-        if held is not None and len(held):
-            yield pairs_of(held)
+            for key, i, j, node, comp, n, regs, text in zip(*(t[c] for c in (*keys, "node", "comp", "n_shingles", "regs", "text"))):
+                if (key, i, j) != at:
+                    yield done()
+                    at, held, sets = (key, i, j), {}, {}
+                if node not in held:
+                    s = shingles(text)
+                    if node_of(s) == node:
+                        held[node], sets[node] = (node, comp, n, regs), s
+        yield done()
 
-    keys = ["key", "i", "j"]
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, "a long, b long").distinct()
+    lanes = 4 * rows.sparkSession.sparkContext.defaultParallelism  # few rows, much work: not merged into fewer tasks
+    return rows.repartition(lanes, *keys).sortWithinPartitions(*keys).select(*keys, "node", "comp", "n_shingles", "regs", "text").mapInPandas(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -208,15 +229,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     bands = full.select("node", F.explode(keys).alias("key"))
     buckets = staged(bands.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key", "low"), "near-buckets")
     members = staged(bands.join(buckets, "key").where("node <> low").distinct(), "near-members")
-    pairs = members.select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
     linked = members.select("node").unionByName(members.select(F.col("low").alias("node"))).distinct()
     met = staged(linked, "near-met")
-    some = full.join(met, "node").groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("regs").alias("regs"))
+    some = full.join(met.hint("merge"), "node").groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("regs").alias("regs"))
     nodes = staged(some, "near-nodes")
-    likely = staged(_estimated(pairs, nodes), "near-likely")
-    texts = _texts(docs, nodes, likely)
-    links = staged(_verified(likely, texts), "near-links")
-    comps = staged(components(links, "a", "b"), "near-comps")
+    texts = _texts(docs, nodes)
+    links, comps = None, None
+
+    def join_up(new: DataFrame) -> None:
+        """Adds verified links and joins components."""
+        nonlocal links, comps
+        new = staged(new, "near-links")
+        if comps is not None and new.isEmpty():
+            discard(new)
+            return
+        links = new if links is None else links.unionByName(new)
+        old, comps = comps, staged(components(links, "a", "b"), "near-comps")
+        if old is not None:
+            discard(old)
+
+    def confirm(pairs: DataFrame) -> None:
+        likely = staged(_estimated(pairs, nodes), "near-likely")
+        join_up(_verified(likely, texts))
+        discard(likely)
+
+    # first the least of all the nodes that it meets; then, where that left them apart, the least one of each bucket
+    confirm(members.groupBy(F.col("node").alias("a")).agg(F.min("low").alias("b")))
+    apart = staged(members.join(comps, "node", "left").select("key", "node", "low", F.coalesce("comp", "node").alias("comp")), "near-apart")
+    lows = comps.select(F.col("node").alias("low"), F.col("comp").alias("low_comp"))
+    confirm(apart.join(lows, "low", "left").where(F.col("comp") != F.coalesce("low_comp", "low")).select(F.col("node").alias("a"), F.col("low").alias("b")).distinct())
 
     # buckets that hold more than one component beside their least node, which all others have met
     placed = staged(members.join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp")), "near-placed")
@@ -224,20 +265,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     blocks = F.ceil(F.col("n") / BLOCK).cast("long")
     open_rows = placed.join(mixed, "key").withColumn("mine", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     open_rows = open_rows.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "node", "comp").distinct()
-    likely2 = staged(_across(open_rows.join(nodes.drop("doc_id"), "node")), "near-likely2")
-    if not likely2.isEmpty():
-        texts2 = _texts(docs, nodes, likely2)
-        links2 = staged(_verified(likely2, texts2), "near-links2")
-        comps2 = staged(components(links.unionByName(links2), "a", "b"), "near-comps")
-        discard(texts2, links2, comps)
-        comps = comps2
+    join_up(_across(open_rows.join(nodes.drop("doc_id"), "node").join(texts, "node")))
 
     thin = full.select("doc_id", "n_shingles", "node")
     grouped = staged(thin.join(comps, "node", "left").select("doc_id", "n_shingles", F.coalesce("comp", "node").alias("comp")), "near-grouped")
     first = staged(grouped.groupBy("comp").agg(F.min("doc_id").alias("component_id")), "near-first")
     out = grouped.join(first, "comp").select("doc_id", "n_shingles", "component_id")
     out = out.unionByName(every.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
-    discard(buckets, members, met, nodes, likely, texts, links, placed, mixed, likely2)
+    discard(buckets, members, met, nodes, texts, apart, placed, mixed)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
