@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, mixing, near_dup, secret_scan, topk, warc
+from . import decontaminate, language, mixing, near_dup, pii, secret_scan, token_count, topk, warc
 from .common import table
 
 
@@ -24,6 +24,10 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(vectors, vectors.where("vec_id % 50 = 0"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonyms(table(spark, sf_dir, "documents"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -40,5 +44,9 @@ def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.counts(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
