@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, mixing, near_dup, pii, secret_scan, token_count, topk, warc
+from . import decontaminate, language, mixing, near_dup, pii, secret_scan, suffix_dedup, token_count, topk, warc
 from .common import table
 
 
@@ -28,6 +28,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonyms(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
