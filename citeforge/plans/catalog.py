@@ -1,4 +1,320 @@
-def queries():
-    return {}
-def oracle_sql():
-    return {}
+"""The engine's operators as queries over the driver's tables, each with the DuckDB SQL of its result."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import scalars as S
+from ..operators import enrich, harvest, inventory, merge, metrics
+from .ticks import axis_ticks
+
+GENERIC = ("promo anodized", "brand#12")
+SEQ = ["seq1", "seq2", "seq3", "seq4"]
+
+#: A bibliographic view of the tables that reads alike in Spark SQL and DuckDB: an order is a publication, a line item a hit.
+RAW = """
+SELECT l.l_linenumber AS seq1, l.l_partkey AS seq2, l.l_suppkey AS seq3, l.l_extendedprice AS seq4, l.l_orderkey AS orderkey,
+  CASE l.l_linenumber % 4
+    WHEN 0 THEN concat('https://doi.org/10.5555/ORD.', CAST(l.l_orderkey AS STRING))
+    WHEN 1 THEN concat('doi:10.5555/Ord.', CAST(l.l_orderkey AS STRING), ' ')
+    WHEN 2 THEN concat('10.5555/ord.', CAST(l.l_orderkey AS STRING))
+    ELSE CASE WHEN l.l_orderkey % 10 = 0 THEN '' ELSE concat('http://doi.org/10.5555/ord.', CAST(l.l_orderkey AS STRING)) END
+  END AS doi,
+  CASE WHEN l.l_partkey % 11 = 0 THEN '' ELSE p.p_name END AS title,
+  c.c_name AS authors, CASE WHEN l.l_partkey % 13 = 0 THEN '' ELSE p.p_brand END AS journal, c.c_mktsegment AS publisher, o.o_orderpriority AS type,
+  CASE WHEN l.l_partkey % 7 = 0 THEN NULL ELSE CAST(year(o.o_orderdate) AS INT) END AS year,
+  CAST(l.l_quantity AS BIGINT) AS cited,
+  CASE l.l_returnflag WHEN 'A' THEN 'Yes' WHEN 'N' THEN 'No' ELSE 'Unknown' END AS is_oa,
+  CASE WHEN l.l_partkey % 17 = 0 THEN '' ELSE concat(p.p_type, '; ', p.p_brand) END AS subject,
+  CASE l.l_linenumber % 3 WHEN 0 THEN 'OpenAlex' WHEN 1 THEN 'Europe PMC' ELSE 'Crossref' END AS source,
+  l.l_linestatus AS term, CAST(l.l_linenumber AS INT) AS author_count,
+  l.l_partkey % 3 AS n_inst, s.s_name AS inst1, concat(s.s_name, '-', CAST(l.l_partkey % 5 AS STRING)) AS inst2
+FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey JOIN {part} p ON l.l_partkey = p.p_partkey
+JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {supplier} s ON l.l_suppkey = s.s_suppkey
+"""
+KEY = "trim(regexp_replace(regexp_replace(lower(doi), '^https?://doi[.]org/', ''), '^doi:', ''))"
+DUCK_RAW = RAW.format(lineitem="lineitem", orders="orders", part="part", customer="customer", supplier="supplier")
+O = "ORDER BY seq1, seq2, seq3, seq4"  # noqa: E741
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def raw_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("lineitem", "orders", "part", "customer", "supplier")
+    return spark.sql(RAW, **{n: _t(spark, sf_dir, n) for n in names})
+
+
+def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_hits(spark, sf_dir)
+    inst = F.when(F.col("n_inst") == 0, F.array().cast("array<string>")).when(F.col("n_inst") == 1, F.array("inst1")).otherwise(F.array("inst1", "inst2"))
+    return raw.withColumns({"seq": F.struct(*SEQ), "sources": F.array("source"), "search_terms": F.array("term"), "institutions": inst, "countries": F.array(F.substring("inst1", -2, 2))})
+
+
+def pubs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge.merge_hits(hits(spark, sf_dir))
+
+
+def _flat(df: DataFrame) -> DataFrame:
+    """Arrays as joined strings, the struct of the order dropped."""
+    lists = [c for c, t in df.dtypes if t == "array<string>"]
+    return df.withColumns({c: F.array_join(c, "; ") for c in lists}).drop("seq", "o", "date_added")
+
+
+def _fold_sql(src: str, order: str, maintain: bool = False, extra: str = "") -> str:
+    """A merge of ``src`` (raw columns and key) by key in DuckDB; order is an ORDER BY clause."""
+    by = order.removeprefix("ORDER BY ")
+    inst = "CASE n_inst WHEN 0 THEN '' WHEN 1 THEN inst1 ELSE inst1 || '; ' || inst2 END"
+    texts = ", ".join(f"first({t} ORDER BY length({t}) DESC, {by}) AS {t}" for t in merge.TEXTS)
+    lists = (
+        f"first({inst} {order}) AS institutions, first(right(inst1, 2) {order}) AS countries, first(author_count {order}) AS author_count"
+        if maintain
+        else f"first({inst} ORDER BY n_inst DESC, {by}) AS institutions, first(right(inst1, 2) {order}) AS countries, max(author_count) AS author_count"
+    )
+    return f"""
+SELECT m.key, m.* EXCLUDE (key), s.sources, t.search_terms FROM (
+  SELECT key, first(doi {order}) AS doi, {texts}, first(year {order}) FILTER (WHERE year IS NOT NULL AND year <> 0) AS year, max(cited) AS cited,
+    coalesce(first(is_oa {order}) FILTER (WHERE is_oa <> 'Unknown'), 'Unknown') AS is_oa, {lists}{extra}
+  FROM {src} GROUP BY key) m
+JOIN (SELECT key, string_agg(v, '; ' ORDER BY o) AS sources FROM (SELECT key, source AS v, min(row({by})) AS o FROM {src} GROUP BY key, source) GROUP BY key) s ON s.key = m.key
+JOIN (SELECT key, string_agg(v, '; ' ORDER BY o) AS search_terms FROM (SELECT key, term AS v, min(row({by})) AS o FROM {src} GROUP BY key, term) GROUP BY key) t ON t.key = m.key
+"""
+
+
+DUCK_KEYED = f"raw AS ({DUCK_RAW}), keyed AS (SELECT *, {KEY} AS key FROM raw), full_key AS (SELECT * FROM keyed WHERE key <> '')"
+DUCK_PUBS = f"{DUCK_KEYED}, pub AS ({_fold_sql('full_key', O, extra=', count(*) AS n_hits, min(row(seq1, seq2, seq3, seq4)) AS seq')})"
+_REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {}
+
+
+def query(sql: str):
+    def add(f):
+        _REGISTRY[f.__name__.lstrip("_")] = (f, sql)
+        return f
+
+    return add
+
+
+@query(f"WITH {DUCK_KEYED} SELECT orderkey, seq1, seq2, seq3, doi, key FROM full_key")
+def normalise_key(spark, sf_dir):
+    return raw_hits(spark, sf_dir).withColumn("key", S.normalise_doi(F.col("doi"))).where("key <> ''").select("orderkey", "seq1", "seq2", "seq3", "doi", "key")
+
+
+@query(r"SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]*>', '', 'g'), '\s+', ' ', 'g')) AS text FROM pages")
+def strip_html(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select("page_id", S.strip_html(F.col("html")).alias("text"))
+
+
+@query(r"""SELECT p_partkey, trim(regexp_replace(replace(concat('"', p_name, '"  ', p_brand), '"', ''), '\s+', ' ', 'g')) AS label, lower(trim(regexp_replace(p_type, '([A-Z])', ' \1', 'g'))) AS words,
+  replace(p_name, ' ', '-') AS dashed, replace(replace(p_type, '-', ' '), '"', '') AS kind FROM part""")
+def label_cleanup(spark, sf_dir):
+    quoted = F.concat(F.lit('"'), "p_name", F.lit('"  '), "p_brand")
+    return _t(spark, sf_dir, "part").select(
+        "p_partkey", S.query_label(quoted).alias("label"), S.camel_split(F.col("p_type")).alias("words"), F.replace("p_name", F.lit(" "), F.lit("-")).alias("dashed"), S.quotes_dropped(S.hyphens_to_blanks(F.col("p_type"))).alias("kind")
+    )
+
+
+@query(r"SELECT o_orderkey, TRY_CAST(nullif(regexp_extract(o_orderpriority, '^\s*([+-]?\d+)', 1), '') AS INT) AS priority FROM orders")
+def parse_int_prefix(spark, sf_dir):
+    return _t(spark, sf_dir, "orders").select("o_orderkey", S.int_prefix(F.col("o_orderpriority")).alias("priority"))
+
+
+@query(rf"""WITH {DUCK_KEYED} SELECT orderkey, seq1, seq2, seq3, CASE WHEN starts_with(doi, '10.') THEN doi ELSE nullif(regexp_extract(concat('see ', doi, ' there'), '(?:doi[.]org/)?(10[.]\d{{4,}}/[^\s"''<,]+)', 1), '') END AS found FROM raw""")
+def extract_identifier(spark, sf_dir):
+    text = F.when(F.col("doi").startswith("10."), F.col("doi")).otherwise(F.concat(F.lit("see "), "doi", F.lit(" there")))
+    return raw_hits(spark, sf_dir).select("orderkey", "seq1", "seq2", "seq3", S.find_doi(text).alias("found"))
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def json_field(spark, sf_dir):
+    return _t(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+
+
+@query(f"WITH {DUCK_KEYED} SELECT orderkey, seq1, seq2, seq3, year FROM raw WHERE year IS NULL OR year = 0 OR year >= 1997")
+def year_floor_filter(spark, sf_dir):
+    return harvest.year_floor(raw_hits(spark, sf_dir), 1997).select("orderkey", "seq1", "seq2", "seq3", "year")
+
+
+@query(f"WITH {DUCK_PUBS} SELECT * EXCLUDE (seq) FROM pub")
+def merge_hits(spark, sf_dir):
+    return _flat(pubs(spark, sf_dir))
+
+
+_INTO = f"""{DUCK_KEYED}, old AS (SELECT *, 0 AS n FROM keyed WHERE seq1 <= 2), ranked AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq1 DESC, seq2 DESC, seq3 DESC, seq4 DESC) AS r FROM old),
+every AS (SELECT * EXCLUDE (r) FROM ranked WHERE r = 1 AND key <> '' UNION ALL BY NAME SELECT *, 1 AS n FROM full_key WHERE seq1 > 2),
+folded AS ({_fold_sql('every', 'ORDER BY n, seq1, seq2, seq3, seq4', extra=", min(n) = 1 AS added, max(n) AS any_new, max(CASE WHEN n = 0 THEN 1 END) AS had, count(DISTINCT source) AS now")}),
+passed AS (SELECT key, doi, title, authors, journal, publisher, type, subject, year, cited, is_oa, CASE n_inst WHEN 0 THEN '' WHEN 1 THEN inst1 ELSE inst1 || '; ' || inst2 END AS institutions,
+  right(inst1, 2) AS countries, author_count, source AS sources, term AS search_terms, false AS added, false AS updated FROM ranked WHERE r > 1 OR key = ''),
+result AS (SELECT * EXCLUDE (any_new, had, now), NOT added AND any_new = 1 AND now > had AS updated FROM folded UNION ALL BY NAME SELECT * FROM passed)"""
+
+
+def _merged_into(spark, sf_dir):
+    h = hits(spark, sf_dir)
+    return merge.merge_into(h.where("seq1 <= 2"), h.where("seq1 > 2"), F.lit("2026-01-01"))
+
+
+@query(f"WITH {_INTO} SELECT * FROM result")
+def merge_into_existing(spark, sf_dir):
+    return _flat(_merged_into(spark, sf_dir))
+
+
+@query(f"WITH {_INTO} SELECT count(*) AS total, count(*) FILTER (WHERE added) AS added, count(*) FILTER (WHERE updated) AS updated FROM result")
+def merge_counters(spark, sf_dir):
+    return merge.merge_counters(_merged_into(spark, sf_dir))
+
+
+@query(f"WITH {DUCK_KEYED} {_fold_sql('full_key', O, maintain=True, extra=', count(*) - 1 AS removed')}")
+def maintain_dedup(spark, sf_dir):
+    return _flat(merge.maintain(hits(spark, sf_dir)))
+
+
+@query(f"""WITH {DUCK_KEYED}, a AS (SELECT * FROM raw WHERE source = 'OpenAlex'), b AS (SELECT *, row_number() OVER (PARTITION BY lower(doi) {O}) AS r FROM raw WHERE source <> 'OpenAlex' AND lower(doi) NOT IN (SELECT lower(doi) FROM a))
+SELECT orderkey, seq1, seq2, seq3, doi, source FROM a UNION ALL SELECT orderkey, seq1, seq2, seq3, doi, source FROM b WHERE r = 1""")
+def priority_union(spark, sf_dir):
+    r = raw_hits(spark, sf_dir)
+    return harvest.priority_union(r.where("source = 'OpenAlex'"), r.where("source <> 'OpenAlex'"), "doi", [F.col(c) for c in SEQ]).select("orderkey", "seq1", "seq2", "seq3", "doi", "source")
+
+
+@query("SELECT o_custkey, o_orderkey, nth FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey)::INT AS nth FROM orders) WHERE nth <= 5")
+def capped_scan(spark, sf_dir):
+    return harvest.capped(_t(spark, sf_dir, "orders"), ["o_custkey"], [F.col("o_orderdate").desc(), F.col("o_orderkey")], 5).select("o_custkey", "o_orderkey", "nth")
+
+
+@query(f"""WITH {DUCK_PUBS}, t AS (SELECT count(*) AS publications, sum(cited)::BIGINT AS citations, count(*) FILTER (WHERE cited > 0) AS cited_publications, count(DISTINCT nullif(journal, '')) AS journals,
+  count(*) FILTER (WHERE subject = '') AS without_subject, min(year) AS first_year, max(year) AS last_year FROM pub)
+SELECT *, floor((20 * (100 * cited_publications) + publications) / (2 * publications)) / 10 AS cited_percent, floor((20 * citations + publications) / (2 * publications)) / 10 AS average_citations, first_year || '–' || last_year AS year_range FROM t""")
+def summary_stats(spark, sf_dir):
+    return metrics.summary(pubs(spark, sf_dir))
+
+
+@query(f"WITH {DUCK_PUBS} SELECT count(DISTINCT lower(trim(a))) AS authors FROM (SELECT unnest(string_split(authors, ';')) AS a FROM pub) WHERE trim(a) <> ''")
+def distinct_authors(spark, sf_dir):
+    return metrics.distinct_authors(pubs(spark, sf_dir))
+
+
+@query(f"WITH {DUCK_PUBS} SELECT (SELECT count(DISTINCT x) FROM (SELECT unnest(string_split(institutions, '; ')) AS x FROM pub) WHERE x <> '') AS institutions, (SELECT count(DISTINCT countries) FROM pub) AS countries")
+def distinct_institutions_countries(spark, sf_dir):
+    p = pubs(spark, sf_dir)
+    return metrics.distinct_items(p, "institutions", "institutions").join(metrics.distinct_items(p, "countries", "countries"))  # two single rows
+
+
+@query(f"""WITH {DUCK_PUBS}, per AS (SELECT year, count(*) AS c, sum(cited)::BIGINT AS s FROM pub WHERE year IS NOT NULL AND year <> 0 GROUP BY year), spine AS (SELECT unnest(range((SELECT min(year) FROM per), (SELECT max(year) FROM per) + 1))::INT AS year)
+SELECT spine.year, coalesce(c, 0) AS "count", sum(coalesce(c, 0)) OVER (ORDER BY spine.year)::BIGINT AS cumulative, coalesce(s, 0) AS citations, sum(coalesce(s, 0)) OVER (ORDER BY spine.year)::BIGINT AS cumulative_citations FROM spine LEFT JOIN per ON per.year = spine.year""")
+def by_year_cumulative(spark, sf_dir):
+    return metrics.by_year(pubs(spark, sf_dir))
+
+
+@query(f"""WITH {DUCK_PUBS}, each AS (SELECT seq, unnest(string_split(subject, ';')) AS t, generate_subscripts(string_split(subject, ';'), 1) - 1 AS pos FROM pub)
+SELECT trim(t) AS topic, count(*) AS "count" FROM each WHERE trim(t) <> '' AND lower(trim(t)) NOT IN {GENERIC} GROUP BY trim(t) ORDER BY count(*) DESC, min(row(seq, pos)) LIMIT 15""")
+def top_subjects(spark, sf_dir):
+    return metrics.top_subjects(pubs(spark, sf_dir), ["seq"], generic=GENERIC)
+
+
+_BOUNDS = ", ".join(f"({i}, '{label}', {lo}, {hi})" for i, (lo, hi, label) in enumerate(metrics.BUCKETS))
+
+
+@query(f"WITH {DUCK_PUBS} SELECT b.nth::INT AS nth, b.label, count(pub.key) AS \"count\" FROM (VALUES {_BOUNDS}) b(nth, label, lo, hi) LEFT JOIN pub ON pub.cited BETWEEN b.lo AND b.hi GROUP BY b.nth, b.label")
+def citation_buckets(spark, sf_dir):
+    return metrics.citation_buckets(pubs(spark, sf_dir))
+
+
+@query("WITH y AS (SELECT min(year(o_orderdate))::INT AS a, max(year(o_orderdate))::INT AS b FROM orders) SELECT s::INT AS start, least(s + 1, b)::INT AS \"end\", (SELECT count(*) FROM orders WHERE year(o_orderdate) BETWEEN s AND least(s + 1, b)) AS n FROM (SELECT unnest(range(a, b + 1, 2)) AS s, b FROM y)")
+def year_windows(spark, sf_dir):
+    years = _t(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("y")).agg(F.count(F.lit(1)).alias("n"))
+    ends = years.agg(F.min("y").alias("a"), F.max("y").alias("b"))
+    w = ends.select(F.explode(F.sequence("a", "b", F.lit(2))).alias("start"), "b").select("start", F.least(F.col("start") + 1, F.col("b")).alias("end"))
+    return w.join(years, F.col("y").between(F.col("start"), F.col("end")), "left").groupBy("start", "end").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+
+
+_LOOKUPS = """wanted AS (SELECT CAST(p_partkey AS STRING) AS key FROM {part}),
+registry AS (SELECT CAST(p_partkey AS STRING) AS key, CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_name END AS title, '' AS authors, p_brand AS journal, CASE WHEN p_partkey % 4 = 0 THEN '' ELSE p_type END AS publisher, p_type AS type,
+  CAST(CASE WHEN p_partkey % 5 = 0 THEN 0 ELSE 1990 + p_size % 30 END AS INT) AS year, CAST(p_size AS BIGINT) AS cited, p_brand AS subject, 'Unknown' AS is_oa FROM {part} WHERE p_partkey % 6 <> 0),
+idx AS (SELECT CAST(p_partkey AS STRING) AS key, concat('alt ', p_name) AS title, p_name AS authors, 'J' AS journal, 'P' AS publisher, 'article' AS type, CAST(2001 AS INT) AS year, CAST(p_size % 7 * 10 AS BIGINT) AS cited,
+  CASE WHEN p_partkey % 2 = 0 THEN '' ELSE p_type END AS subject, CASE WHEN p_size % 3 = 0 THEN 'Yes' ELSE 'No' END AS is_oa FROM {part} WHERE p_partkey % 4 <> 0),
+have AS (SELECT CAST(p_partkey AS STRING) AS key, CASE WHEN p_size % 3 = 0 THEN '' ELSE 'T' END AS title, CASE WHEN p_size % 5 = 0 THEN '' ELSE 'A' END AS authors, CASE WHEN p_size % 4 = 0 THEN '' ELSE 'J0' END AS journal,
+  CASE WHEN p_size % 2 = 0 THEN '' ELSE 'P0' END AS publisher, CASE WHEN p_partkey % 2 = 0 THEN '' ELSE 'book' END AS type, CAST(CASE WHEN p_size % 6 = 0 THEN NULL ELSE 1999 END AS INT) AS year, CAST(20 AS BIGINT) AS cited,
+  CASE WHEN p_size % 7 = 0 THEN '' ELSE 'S' END AS subject, CASE WHEN p_size % 8 = 0 THEN 'Unknown' ELSE 'Yes' END AS is_oa FROM {part})"""
+
+
+def _lookup(spark, sf_dir, name):
+    return spark.sql(f"WITH {_LOOKUPS} SELECT * FROM {name}", part=_t(spark, sf_dir, "part"))
+
+
+_DL = _LOOKUPS.format(part="part")
+_OR = lambda *xs: "coalesce(" + ", ".join(f"nullif({x}, '')" for x in xs) + ", '')"
+
+
+@query(f"""WITH {_DL} SELECT w.key, {", ".join(f"{_OR(f'r.{c}', f'i.{c}')} AS {c}" for c in ("title", "authors", "journal", "publisher", "type"))}, coalesce(nullif(r.year, 0), nullif(i.year, 0)) AS year,
+  greatest(coalesce(r.cited, 0), coalesce(i.cited, 0)) AS cited, {_OR('i.subject', 'r.subject')} AS subject, coalesce(nullif(i.is_oa, ''), nullif(r.is_oa, ''), 'Unknown') AS is_oa, r.key IS NULL AND i.key IS NULL AS rejected
+FROM wanted w LEFT JOIN registry r ON r.key = w.key LEFT JOIN idx i ON i.key = w.key""")
+def lookup_enrich(spark, sf_dir):
+    return enrich.assemble(_lookup(spark, sf_dir, "wanted"), _lookup(spark, sf_dir, "registry"), _lookup(spark, sf_dir, "idx"))
+
+
+@query(f"""WITH {_DL}, j AS (SELECT h.*, r.key AS rk, i.key AS ik, {", ".join(f"r.{c} AS r_{c}, i.{c} AS i_{c}" for c in ("title", "authors", "journal", "publisher", "type", "year", "cited", "subject", "is_oa"))} FROM have h
+  LEFT JOIN registry r ON r.key = h.key AND (h.title = '' OR h.authors = '' OR h.journal = '')
+  LEFT JOIN idx i ON i.key = h.key AND (h.subject = '' OR h.is_oa = 'Unknown' OR ((h.title = '' OR h.authors = '') AND r.key IS NULL))),
+n AS (SELECT key, {", ".join(f"{c} AS o_{c}" for c in ("title", "authors", "journal", "publisher", "type", "subject", "is_oa", "year", "cited"))}, {", ".join(f"{_OR(c, f'r_{c}', f'i_{c}')} AS {c}" for c in ("title", "authors", "journal", "publisher", "type"))}, {_OR('subject', 'i_subject', 'r_subject')} AS subject,
+  coalesce(nullif(is_oa, 'Unknown'), nullif(i_is_oa, 'Unknown'), nullif(r_is_oa, 'Unknown'), 'Unknown') AS is_oa, coalesce(nullif(year, 0), nullif(r_year, 0), i_year) AS year, greatest(cited, coalesce(r_cited, 0), coalesce(i_cited, 0)) AS cited FROM j)
+SELECT key, title, authors, journal, publisher, type, subject, is_oa, year, cited, {" OR ".join(f"{c} IS DISTINCT FROM o_{c}" for c in ("title", "authors", "journal", "publisher", "type", "subject", "is_oa", "year", "cited"))} AS filled FROM n""")
+def conditional_fill(spark, sf_dir):
+    return enrich.fill_gaps(_lookup(spark, sf_dir, "have"), _lookup(spark, sf_dir, "registry"), _lookup(spark, sf_dir, "idx"))
+
+
+@query("SELECT key, event_id FROM (SELECT CAST(user_id AS STRING) AS key, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)) WHERE r = 1")
+def pending_anti_join(spark, sf_dir):
+    queue = _t(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("key"), "event_id")
+    known = _t(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").cast("string").alias("key"))
+    return enrich.pending(queue, known, [F.col("event_id")]).select("key", "event_id")
+
+
+@query("""WITH l AS (SELECT c_custkey, c_nationkey AS code, (c_custkey % 5)::INT AS year FROM customer), r AS (SELECT s_nationkey AS code, (s_suppkey % 5)::INT AS year, s_name AS doi, s_suppkey AS seq FROM supplier),
+e AS (SELECT code, year, arg_max(doi, seq) AS d FROM r GROUP BY ALL), c AS (SELECT code, arg_max(doi, seq) AS d FROM r GROUP BY ALL)
+SELECT c_custkey, l.code, l.year, coalesce(e.d, c.d, '') AS doi FROM l LEFT JOIN e ON e.code = l.code AND e.year = l.year LEFT JOIN c ON c.code = l.code""")
+def two_tier_lookup(spark, sf_dir):
+    left = _t(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("code"), (F.col("c_custkey") % 5).cast("int").alias("year"))
+    right = _t(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("code"), (F.col("s_suppkey") % 5).cast("int").alias("year"), F.col("s_name").alias("doi"), F.col("s_suppkey").alias("seq"))
+    return inventory.two_tier(left, right, "code", "year", "doi", "seq").select("c_custkey", "code", "year", "doi")
+
+
+@query("SELECT concat('n', n_nationkey) AS id, n_name AS title, n_nationkey::BIGINT AS a, -1::BIGINT AS b FROM nation WHERE n_regionkey = 1 UNION ALL SELECT concat('s', s_suppkey), s_name, n_nationkey, s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey = 1")
+def hierarchy_two_level(spark, sf_dir):
+    nations = _t(spark, sf_dir, "nation").select(F.concat(F.lit("r"), "n_regionkey").alias("parent"), F.concat(F.lit("n"), "n_nationkey").alias("id"), F.col("n_name").alias("title"), F.col("n_nationkey").cast("long").alias("pos"))
+    sellers = _t(spark, sf_dir, "supplier").select(F.concat(F.lit("n"), "s_nationkey").alias("parent"), F.concat(F.lit("s"), "s_suppkey").alias("id"), F.col("s_name").alias("title"), F.col("s_suppkey").alias("pos"))
+    return inventory.two_levels(nations.unionByName(sellers), F.lit("r1"))
+
+
+@query("SELECT doc_id, key FROM (SELECT doc_id, key, row_number() OVER (PARTITION BY key ORDER BY doc_id) AS r FROM (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN concat('10.5555/', doc_id % 97) ELSE concat(source, ':', substr(lower(text), 1, 50)) END AS key FROM documents)) WHERE r = 1")
+def dataset_dedup(spark, sf_dir):
+    rows = _t(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit("https://doi.org/10.5555/"), (F.col("doc_id") % 97).cast("string"))).otherwise("").alias("doi"), F.col("text").alias("name"), F.col("source").alias("platform"))
+    return inventory.dedup_datasets(rows, [F.col("doc_id")]).select("doc_id", "key")
+
+
+@query("SELECT conv_id, coalesce(string_agg(CASE WHEN turn % 2 = 0 THEN concat('i', turn) ELSE concat('o', turn) END, '; ' ORDER BY turn, role, text) FILTER (WHERE role = 'user'), '') AS names FROM conversations GROUP BY conv_id")
+def role_filter_names(spark, sf_dir):
+    party = F.struct(
+        "turn", "role", "text",
+        F.when(F.col("turn") % 2 == 0, F.concat(F.lit("i"), "turn")).otherwise("").alias("individual"),
+        F.concat(F.lit("o"), "turn").alias("organisation"),
+    )
+    per = _t(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(party)).alias("ps"))
+    ps = F.transform("ps", lambda p: F.struct(F.when(p["role"] == "user", "author").otherwise(p["role"]).alias("role"), p["individual"], p["organisation"]))
+    return per.select("conv_id", inventory.names_by_role(ps).alias("names"))
+
+
+@query("""WITH y AS (SELECT count(*) AS c FROM orders GROUP BY year(o_orderdate)), m AS (SELECT max(c) AS top, max(c) / 5.0 AS raw FROM y), g AS (SELECT *, pow(10, floor(log10(raw))) AS mag FROM m),
+s AS (SELECT *, CASE WHEN raw / mag <= 1.5 THEN mag WHEN raw / mag <= 3.5 THEN 2 * mag WHEN raw / mag <= 7.5 THEN 5 * mag ELSE 10 * mag END AS step FROM g)
+SELECT i::BIGINT AS nth, i * step AS tick FROM (SELECT step, unnest(range(0, floor(top / step)::BIGINT + 1)) AS i FROM s)""")
+def axis_ticks_query(spark, sf_dir):
+    return axis_ticks(_t(spark, sf_dir, "orders").groupBy(F.year("o_orderdate")).count().agg(F.max("count").alias("top")), "top")
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {n.removesuffix("_query"): f for n, (f, _) in _REGISTRY.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {n.removesuffix("_query"): sql for n, (_, sql) in _REGISTRY.items()}
