@@ -157,19 +157,29 @@ def report(found: DataFrame) -> DataFrame:
     )
 
 
+def _clean(shared):
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([not shared.value.scan(words(t))[1] for t in texts], dtype=bool)
+
+    return clean
+
+
+def _without_hits(shared):
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else cut_words(t, shared.value.scan(words(t))[0]) for t in texts], dtype=object)
+
+    return cut
+
+
 def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = N, max_words: int = MAX_WORDS) -> DataFrame:
     """docs without those in which a window occurs; row by row, every column as it was."""
     spark = docs.sparkSession
     small_batches(spark)
     pieces = _pieces(benchmark, max_words)
     for piece in pieces:
-        shared = spark.sparkContext.broadcast(WindowSet(piece, n))
-
-        @F.pandas_udf("boolean")
-        def clean(texts: pd.Series, shared=shared) -> pd.Series:
-            return pd.Series([not shared.value.scan(words(t))[1] for t in texts], dtype=bool)
-
-        docs = docs.where(clean("text"))
+        docs = docs.where(_clean(spark.sparkContext.broadcast(WindowSet(piece, n)))("text"))
     return docs
 
 
@@ -178,13 +188,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N, max_words: i
     spark = docs.sparkSession
     small_batches(spark)
     for piece in _pieces(benchmark, max_words):
-        shared = spark.sparkContext.broadcast(WindowSet(piece, n))
-
-        @F.pandas_udf("string")
-        def cut(texts: pd.Series, shared=shared) -> pd.Series:
-            return pd.Series([None if t is None else cut_words(t, shared.value.scan(words(t))[0]) for t in texts], dtype=object)
-
-        docs = docs.withColumn("text", cut("text"))
+        docs = docs.withColumn("text", _without_hits(spark.sparkContext.broadcast(WindowSet(piece, n)))("text"))
     return docs
 
 

@@ -99,10 +99,10 @@ def plausible(ru: np.ndarray, rv: np.ndarray, nu: np.ndarray, nv: np.ndarray) ->
     """Which pairs (rows) may be as similar as the threshold."""
     above, below = (ru > rv).sum(axis=1), (ru < rv).sum(axis=1)
     top = np.minimum(nu, nv) / np.maximum(nu, nv)  # no similarity exceeds the ratio of sizes
-    grid = np.linspace(0, 1, 65)[:, None]
+    grid = np.linspace(0, 1, 17)[:, None]
     ll = log_likelihood(grid * top, nu, nv, above, below)
     t = PERCENT / 100
-    at = log_likelihood(np.minimum(top, t + np.linspace(0, 1, 17)[:, None] * np.maximum(top - t, 0)), nu, nv, above, below)
+    at = log_likelihood(np.minimum(top, t + np.linspace(0, 1, 5)[:, None] * np.maximum(top - t, 0)), nu, nv, above, below)
     return (100 * np.minimum(nu, nv) >= PERCENT * np.maximum(nu, nv)) & (ll.max(axis=0) - at.max(axis=0) <= GIVE_UP)
 
 
