@@ -39,7 +39,7 @@ SHINGLE, PERCENT = 5, 75
 BANDS, ROWS = 51, 5
 M, A, B, TOP = BANDS * ROWS, 20.0, 1.001, 65535
 GIVE_UP = 18.0
-BLOCK = 256
+BLOCK = 1024
 SKETCH = "doc_id long, n_shingles long, node long, regs binary"
 
 
