@@ -1,9 +1,11 @@
 """Edit-aware token counts: a segment tree over pre-token segments, re-encoding only what edits touch.
 
-A text is cut between a letter and a blank before a letter, at least every LEAF characters where there is such a
-place; the pre-tokeniser always ends a token there, so counts of the pieces add up. The leaves of the tree hold
+A text is cut at a change of character class (before a blank or line end, between ASCII letters, digits and symbols),
+at least every LEAF characters where there is such a place; whatever stands around it, the pre-tokeniser ends a token
+there, so counts of the pieces add up. The leaves of the tree hold
 the pieces' token and character counts, inner nodes their sums. An edit re-encodes the leaves that it touches, and the
-neighbour where it comes within two characters of a cut (the boundary context); then sums are updated up to the root.
+neighbour where it comes within two characters of a cut (the boundary context), and deals the new text out over the same
+leaves, so leaves stay short however many edits follow; then sums are updated up to the root.
 
 Null text counts as empty: no tokens. Any text is read whole. Repeated rows are counted alike; empty tables give no
 rows. Texts that look like special tokens are ordinary text. The vocabulary's path is a parameter; its content
@@ -16,7 +18,6 @@ import base64
 import re
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 import tiktoken
 from pyspark.sql import DataFrame
@@ -28,7 +29,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LEAF = 1024
 # Fixed value: the pre-token pattern of the public byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_CUT = re.compile(r"[a-zà-öø-ÿA-ZÀ-ÖØ-Þ](?= [a-zà-öø-ÿA-ZÀ-ÖØ-Þ])")
+#: Each depends on two characters only. An apostrophe before a letter is no cut: both may be one token.
+_CUT = re.compile(r"\S(?=[ \t\r\n])|[A-Za-z](?=[0-9!-/:-@\[-`{-~])|[0-9](?=[A-Za-z!-/:-@\[-`{-~])|[!-&(-/:-@\[-`{-~](?=[A-Za-z0-9])")
 #: What the query's edits remove: mail addresses, long runs of digits, runs of symbols.
 SCRUB = re.compile(r"[\w.+-]{1,64}@[\w-]{1,63}\.[\w.-]{1,63}|\d[\d .()-]{7,30}\d|[#$%&*]{3,}")
 _encodings: dict[int, tiktoken.Encoding] = {}
@@ -50,28 +52,30 @@ def pieces(text: str, leaf: int = LEAF) -> list[str]:
     while m := _CUT.search(text, at + leaf):
         out.append(text[at : m.end()])
         at = m.end()
-    out.append(text[at:])
-    return out
+    return out + [text[at:]]
 
 
 class TokenTree:
     """Token counts of one document under edits."""
 
     def __init__(self, text: str, count: Callable[[list[str]], list[int]], leaf: int = LEAF):
-        self.count = count
+        self.count, self.leaf = count, leaf
         self.leaves = pieces(text, leaf)
-        self.width = 1 << max(0, len(self.leaves) - 1).bit_length()
-        self.tokens, self.chars = np.zeros(2 * self.width, np.int64), np.zeros(2 * self.width, np.int64)
+        self._build(count(self.leaves))
+        self.encoded = 0  # characters encoded again by edits
+
+    def _build(self, tokens: list[int]) -> None:
+        """The sums above leaves of so many tokens."""
         n = len(self.leaves)
-        self.tokens[self.width : self.width + n] = count(self.leaves)
-        self.chars[self.width : self.width + n] = [len(p) for p in self.leaves]
+        self.width = 1 << max(0, n - 1).bit_length()
+        rest = [0] * (self.width - n)
+        self.tokens, self.chars = [0] * self.width + tokens + rest, [0] * self.width + [len(p) for p in self.leaves] + rest
         for i in range(self.width - 1, 0, -1):
-            self.tokens[i], self.chars[i] = self.tokens[2 * i : 2 * i + 2].sum(), self.chars[2 * i : 2 * i + 2].sum()
-        self.encoded = 0  # characters encoded again by edits
+            self.tokens[i], self.chars[i] = self.tokens[2 * i] + self.tokens[2 * i + 1], self.chars[2 * i] + self.chars[2 * i + 1]
 
     @property
     def total(self) -> int:
-        return int(self.tokens[1])
+        return self.tokens[1]
 
     def text(self) -> str:
         return "".join(self.leaves)
@@ -82,7 +86,7 @@ class TokenTree:
         while i < self.width:
             i *= 2
             if at - begin >= self.chars[i] and (self.chars[i + 1] or at - begin > self.chars[i]):
-                begin += int(self.chars[i])
+                begin += self.chars[i]
                 i += 1
         return i - self.width, begin
 
@@ -97,15 +101,27 @@ class TokenTree:
     def edit(self, start: int, end: int, new: str) -> None:
         """Replaces characters [start, end) of the present text."""
         low, begin = self._find(max(0, start - 2))
-        high, last = self._find(min(int(self.chars[1]), end + 2))
+        high, last = self._find(min(self.chars[1], end + 2))
         high = min(high, len(self.leaves) - 1)
         old = "".join(self.leaves[low : high + 1])
         text = old[: start - begin] + new + old[end - begin :]
-        tokens = sum(self.count(pieces(text)))
+        slots = high + 1 - low
+        parts = pieces(text, self.leaf)
+        grown = len(parts) > 4 * slots  # a long text came in: more leaves
+        if not grown and len(parts) > slots:
+            parts = pieces(text, -(-len(text) // slots))
+        tokens = self.count(parts)
         self.encoded += len(text)
-        self._set(low, text, tokens)
-        for i in range(low + 1, high + 1):
-            self._set(i, "", 0)
+        if grown:
+            every = self.tokens[self.width : self.width + len(self.leaves)]
+            self.leaves[low : high + 1] = parts
+            self._build(every[:low] + tokens + every[high + 1 :])
+            return
+        for i in range(slots):
+            if i < len(parts):
+                self._set(low + i, parts[i], tokens[i])
+            elif self.leaves[low + i]:
+                self._set(low + i, "", 0)
 
 
 def scrubbed(text: str) -> list[tuple[int, int, str]]:
