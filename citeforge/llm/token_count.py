@@ -128,6 +128,19 @@ def scrubbed(text: str) -> list[tuple[int, int, str]]:
     return [(*m.span(), "") for m in SCRUB.finditer(text)]
 
 
+def together(text: str, edits: list[tuple[int, int, str]], span: int = LEAF) -> list[tuple[int, int, str]]:
+    """The same change as sorted, disjoint edits of ``text``, with neighbours within ``span`` characters made one edit."""
+    out: list[tuple[int, int, list[str]]] = []
+    for start, end, new in edits:
+        if out and end - out[-1][0] <= span:
+            first, last, parts = out[-1]
+            out[-1] = (first, end, parts)
+            parts += [text[last:start], new]
+        else:
+            out.append((start, end, [new]))
+    return [(start, end, "".join(parts)) for start, end, parts in out]
+
+
 def counts(docs: DataFrame, edits: Callable[[str], list[tuple[int, int, str]]] = scrubbed, vocabulary: str = VOCABULARY) -> DataFrame:
     """doc_id, n_tokens, n_edits, n_tokens_edited, n_chars, n_chars_encoded (again, by edits) for each row.
 
@@ -145,7 +158,7 @@ def counts(docs: DataFrame, edits: Callable[[str], list[tuple[int, int, str]]] =
             for text in b["text"]:
                 tree = TokenTree(text or "", count)
                 before, todo = tree.total, edits(text or "")
-                for start, end, new in reversed(todo):  # from the back: places before stay where they are
+                for start, end, new in reversed(together(text or "", todo)):  # each leaf is encoded once or twice; from the back: places before stay where they are
                     tree.edit(start, end, new)
                 rows.append((before, len(todo), tree.total, len(text or ""), tree.encoded))
             out = pd.DataFrame(rows, columns=["n_tokens", "n_edits", "n_tokens_edited", "n_chars", "n_chars_encoded"])

@@ -142,6 +142,15 @@ def test_token_counts(spark, odd):
             cur = cur[:x] + new + cur[y:]
             assert tree.total == len(enc.encode_ordinary(cur)) and tree.text() == cur
     assert token_count.counts(docs(spark, odd)).where("n_tokens = 0").count() == 2
+    marks = "it's%%% a### b12$$$é***'s " * 200  # an edit at each word
+    for t in (marks, marks.replace(" ", ""), "x" * 5000 + marks, ""):
+        todo, whole, each = token_count.scrubbed(t), token_count.TokenTree(t, count, 64), token_count.TokenTree(t, count, 64)
+        for e in reversed(token_count.together(t, todo, 100)):
+            whole.edit(*e)
+        for e in reversed(todo):
+            each.edit(*e)
+        assert whole.text() == each.text() == token_count.SCRUB.sub("", t)
+        assert whole.total == each.total == count([each.text()])[0]
 
 
 def test_mix(spark, odd):
