@@ -84,6 +84,7 @@ def url_component(x: Column) -> Column:
     return F.replace(F.url_encode(x), F.lit("+"), F.lit("%20"))
 
 
-def names_joined(items: Column, of, sep: str = "; ") -> Column:
-    """Non-blank of(item) values, joined."""
-    return F.array_join(F.filter(F.transform(items, of), lambda s: F.coalesce(s, F.lit("")) != ""), sep)
+def names_joined(items: Column, of, sep: str = "; ", blanks: bool = False) -> Column:
+    """of(item) values, joined; no items give ''. ``blanks``: missing values keep their place as empty text."""
+    values = F.transform(F.coalesce(items, F.array()), of)
+    return F.array_join(values, sep, "") if blanks else F.array_join(F.filter(values, lambda s: F.coalesce(s, F.lit("")) != ""), sep)

@@ -40,7 +40,7 @@ def union_platforms(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def names_by_role(parties: Column) -> Column:
+def names_by_role(parties: Column, sep: str = "; ") -> Column:
     """Names (of a person, else of an organisation) in array<struct<role, individual, organisation>> with an author's role."""
     own = F.filter(parties, lambda p: p["role"].isin(*ROLES))
-    return F.array_join(F.filter(F.transform(own, lambda p: or_else(p["individual"], p["organisation"], F.lit(""))), lambda s: s != ""), "; ")
+    return F.array_join(F.filter(F.transform(own, lambda p: or_else(p["individual"], p["organisation"], F.lit(""))), lambda s: s != ""), sep)

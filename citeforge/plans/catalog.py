@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import enrich, harvest, inventory, merge, metrics
+from ..sources import geonetwork, payloads
 from .ticks import axis_ticks
 
 GENERIC = ("promo anodized", "brand#12")
@@ -312,6 +313,117 @@ def axis_ticks_query(spark, sf_dir):
     return axis_ticks(_t(spark, sf_dir, "orders").groupBy(F.year("o_orderdate")).count().agg(F.max("count").alias("top")), "top")
 
 
+def _payload(spark, sf_dir, reader, *fields, keep=("p_partkey",), **kw):
+    """Parts as landed JSON answers (``fields`` in SQL), projected by a reader."""
+    rows = _t(spark, sf_dir, "part").selectExpr("p_partkey", f"to_json(named_struct({', '.join(fields)})) AS record")
+    return payloads.READERS[reader](payloads.read_records(rows, payloads.SCHEMAS[reader], *keep), keep=keep, **kw)
+
+
+_ID = "concat('10.5555/P', p_partkey)"
+
+
+@query(f"""SELECT p_partkey, {_ID} AS doi, CASE WHEN p_size % 5 = 0 THEN 'Untitled' ELSE p_name END AS title, CASE WHEN p_size % 3 = 0 THEN p_brand ELSE p_brand || '; B' END AS authors, CASE WHEN p_size % 4 = 0 THEN '' ELSE p_type END AS journal, '' AS publisher,
+  CASE WHEN p_size % 7 = 0 THEN NULL ELSE 1990 + p_size END::INT AS year, p_size::BIGINT AS cited, 'book part' AS type, CASE WHEN p_size % 2 = 0 THEN 'Yes' ELSE 'No' END AS is_oa, p_type || '; x; y' AS subject,
+  CASE WHEN p_size % 3 = 0 THEN 1 ELSE 2 END::INT AS author_count, CASE WHEN p_size % 3 = 0 THEN p_brand ELSE p_brand || '; ' || p_type END AS institutions, 'AU' AS countries FROM part WHERE p_partkey % 9 <> 0""")
+def payload_openalex(spark, sf_dir):
+    inst = "array(named_struct('display_name', p_brand, 'country_code', 'AU'), named_struct('display_name', '', 'country_code', 'AU'))"
+    other = "named_struct('author', named_struct('display_name', 'B'), 'institutions', array(named_struct('display_name', p_type, 'country_code', 'AU'), named_struct('display_name', p_brand, 'country_code', 'AU')))"
+    own = f"named_struct('author', named_struct('display_name', p_brand), 'institutions', {inst})"
+    return _flat(_payload(
+        spark, sf_dir, "openalex", "'doi', CASE WHEN p_partkey % 9 = 0 THEN '' ELSE concat('https://doi.org/10.5555/P', p_partkey) END", "'title', CASE WHEN p_size % 5 = 0 THEN '<br> ' ELSE concat('<i>', p_name, '</i>') END",
+        "'publication_year', CASE WHEN p_size % 7 = 0 THEN 0 ELSE 1990 + p_size END", f"'authorships', CASE WHEN p_size % 3 = 0 THEN array({own}) ELSE array({own}, {other}) END", "'primary_location', CASE WHEN p_size % 4 = 0 THEN NULL ELSE named_struct('source', named_struct('display_name', p_type)) END",
+        "'cited_by_count', p_size", "'type', 'book-part'", "'open_access', named_struct('is_oa', p_size % 2 = 0)", "'topics', array(named_struct('display_name', p_type), named_struct('display_name', 'x'), named_struct('display_name', 'y'), named_struct('display_name', 'z'))",
+    ))
+
+
+@query(f"""SELECT p_partkey, lower({_ID}) AS doi, p_name AS title, p_brand || ' F; G' AS authors, 'J' AS journal, p_type AS publisher, CASE WHEN p_size % 4 = 0 THEN NULL WHEN p_size % 2 = 0 THEN 2001 ELSE 2011 END::INT AS year, p_size::BIGINT AS cited, 'journal article' AS type, 'Unknown' AS is_oa, 'a; b; c' AS subject FROM part""")
+def payload_crossref(spark, sf_dir):
+    return _payload(
+        spark, sf_dir, "crossref",
+        "'message', named_struct('DOI', concat('10.5555/P', p_partkey), 'title', array(p_name, 'other'), 'author', array(named_struct('given', p_brand, 'family', 'F'), named_struct('given', NULL, 'family', 'G')), "
+        "'published-print', CASE WHEN p_size % 2 = 0 THEN named_struct('date-parts', array(array(CASE WHEN p_size % 4 = 0 THEN 0 ELSE 2001 END))) END, 'published-online', named_struct('date-parts', array(array(2011, 5))), "
+        "'container-title', array('J', 'K'), 'publisher', p_type, 'is-referenced-by-count', p_size, 'type', 'journal-article', 'subject', array('a', 'b', 'c', 'd'))",
+    )
+
+
+@query(f"""SELECT p_partkey, {_ID} AS doi, p_name AS title, p_brand AS authors, CASE WHEN p_size % 2 = 0 THEN '' ELSE 'J' END AS journal, '' AS publisher, 2000::INT AS year, p_size::BIGINT AS cited, 'journal article,  review' AS type, CASE WHEN p_size % 3 = 0 THEN 'Yes' ELSE 'No' END AS is_oa,
+  CASE WHEN p_type = 'S' THEN 'S; T' ELSE p_type || '; S; T' END AS subject FROM part""")
+def payload_semantic_scholar(spark, sf_dir):
+    cat = lambda x: f"named_struct('category', {x})"
+    return _payload(
+        spark, sf_dir, "semantic_scholar", "'externalIds', named_struct('DOI', concat('10.5555/P', p_partkey))", "'title', p_name", "'authors', array(named_struct('name', p_brand))", "'year', 2000", "'citationCount', p_size", "'journal', CASE WHEN p_size % 2 = 1 THEN named_struct('name', 'J') END",
+        "'openAccessPdf', CASE WHEN p_size % 3 = 0 THEN named_struct('url', 'u') END", "'publicationTypes', array('JournalArticle', 'Review')", f"'s2FieldsOfStudy', array({cat('p_type')}, {cat('NULL')}, {cat('p_type')}, {cat(repr('S'))}, {cat(repr('T'))}, {cat(repr('U'))})",
+    )
+
+
+@query(f"""SELECT p_partkey, {_ID} AS doi, p_name AS title, CASE WHEN p_size % 2 = 0 THEN 'X, ' || p_brand ELSE p_brand || ' L; M' END AS authors, 'J' AS journal, '' AS publisher, CASE WHEN p_size % 3 = 0 THEN NULL ELSE 2003 END::INT AS year, p_size::BIGINT AS cited, p_type AS type,
+  CASE WHEN p_size % 5 = 0 THEN 'Yes' ELSE 'No' END AS is_oa, CASE WHEN p_size % 2 = 0 THEN 'k; l' ELSE 'm1; m2; m3' END AS subject FROM part""")
+def payload_europepmc(spark, sf_dir):
+    mesh = ", ".join(f"named_struct('descriptorName', 'm{i}')" for i in range(1, 5))
+    return _payload(
+        spark, sf_dir, "europepmc", "'doi', concat('10.5555/P', p_partkey)", "'title', p_name", "'authorList', CASE WHEN p_size % 2 = 1 THEN named_struct('author', array(named_struct('firstName', p_brand, 'lastName', 'L'), named_struct('firstName', '', 'lastName', 'M'))) END", "'authorString', concat('X, ', p_brand)",
+        "'journalTitle', 'J'", "'pubYear', CASE WHEN p_size % 3 = 0 THEN 'x' ELSE '2003b' END", "'citedByCount', p_size", "'pubType', p_type", "'isOpenAccess', CASE WHEN p_size % 5 = 0 THEN 'Y' ELSE 'N' END", f"'meshHeadingList', CASE WHEN p_size % 2 = 1 THEN named_struct('meshHeading', array({mesh})) END", "'keywordList', named_struct('keyword', array('k', 'l'))",
+    )
+
+
+@query(f"""SELECT p_partkey, {_ID} AS doi, p_name AS title, p_brand || '; N' AS authors, 'J' AS journal, p_type AS publisher, CASE WHEN p_size % 2 = 0 THEN 2001 ELSE 2007 END::INT AS year, p_size::BIGINT AS cited, 'thesis' AS type, 'Yes' AS is_oa, p_type AS subject FROM part""")
+def payload_core(spark, sf_dir):
+    return _payload(
+        spark, sf_dir, "core", "'doi', concat('HTTP://doi.org/10.5555/P', p_partkey)", "'title', p_name", "'authors', array(p_brand, '', to_json(named_struct('name', 'N')))", "'yearPublished', CASE WHEN p_size % 2 = 0 THEN 2001 ELSE 0 END", "'publishedDate', '2007-02-03'", "'journals', array(named_struct('title', 'J'))", "'publisher', p_type",
+        "'citationCount', p_size", "'documentType', 'thesis'", "'subjects', array(p_type)",
+    )
+
+
+@query(f"""SELECT p_partkey, {_ID} AS doi, p_name AS title, p_brand || ' L; Full' AS authors, 'J' AS journal, '' AS publisher, 2002::INT AS year, p_size::BIGINT AS cited, p_type AS type, CASE WHEN p_size % 2 = 0 THEN 'Yes' ELSE 'No' END AS is_oa, p_type || '; c' AS subject FROM part""")
+def payload_dimensions(spark, sf_dir):
+    who = "array(named_struct('first_name', p_brand, 'last_name', 'L', 'full_name', 'q'), named_struct('first_name', 'Half', 'last_name', '', 'full_name', 'Full'), named_struct('first_name', '', 'last_name', '', 'full_name', ''))"
+    return _payload(
+        spark, sf_dir, "dimensions", "'doi', concat('10.5555/P', p_partkey)", "'title', concat(p_name, ' <sub></sub>')", "'year', 2002", "'journal', named_struct('title', 'J')", f"'authors', {who}", "'times_cited', p_size", "'type', p_type", "'open_access', CASE WHEN p_size % 2 = 0 THEN array('gold') ELSE array() END",
+        "'category_for', array(named_struct('name', p_type), named_struct('name', ''), named_struct('name', 'c'), named_struct('name', 'd'))",
+    )
+
+
+@query("""SELECT CASE WHEN s_suppkey % 3 = 0 THEN 'id' || s_suppkey ELSE '10.5555/S' || s_suppkey END AS doi, CASE WHEN s_suppkey % 4 = 0 THEN 'Untitled' ELSE s_name END AS name, s_name || ', G., Org, Unknown' AS authors, CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE 2010 END::INT AS year, 'EarthBank' AS platform,
+  CASE WHEN s_suppkey % 2 = 0 THEN 'Dataset' ELSE 'Image' END AS type FROM supplier""")
+def payload_datacite(spark, sf_dir):
+    creators = "array(named_struct('name', 'q', 'familyName', s_name, 'givenName', 'Given'), named_struct('name', 'Org', 'familyName', 'f', 'givenName', NULL), named_struct('name', '', 'familyName', NULL, 'givenName', NULL))"
+    answer = f"""to_json(named_struct('id', concat('id', s_suppkey), 'attributes', named_struct('doi', CASE WHEN s_suppkey % 3 > 0 THEN concat('10.5555/S', s_suppkey) END, 'titles', CASE WHEN s_suppkey % 4 = 0 THEN array() ELSE array(named_struct('title', s_name)) END,
+      'creators', {creators}, 'publicationYear', CASE WHEN s_suppkey % 5 > 0 THEN 2010 END, 'types', CASE WHEN s_suppkey % 2 = 1 THEN named_struct('resourceTypeGeneral', 'Image') END))) AS record"""
+    return payloads.datacite(payloads.read_records(_t(spark, sf_dir, "supplier").selectExpr(answer), payloads.DATACITE))
+
+
+@query("SELECT 'N' || s_nationkey AS code, s_name AS name, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 2000 + s_suppkey % 7 END::INT AS year, 'AusPass' AS platform, 'Seismic Network' AS type FROM supplier WHERE s_suppkey % 4 <> 0")
+def payload_stations(spark, sf_dir):
+    start = "CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE concat(2000 + s_suppkey % 7, '-01-01T00:00:00') END"
+    return payloads.station_networks(_t(spark, sf_dir, "supplier").selectExpr(f"CASE WHEN s_suppkey % 4 = 0 THEN concat(s_name, '|short') ELSE concat_ws('|', concat('N', s_nationkey), concat(' ', s_name, ' '), {start}, '', '3') END AS value"))
+
+
+@query("""SELECT 's' || s_suppkey AS id, CASE WHEN s_suppkey % 3 = 0 THEN '10.5555/d' || s_suppkey WHEN s_suppkey % 3 = 1 THEN '10.25914/x-' || s_suppkey ELSE '' END AS doi, CASE WHEN s_suppkey % 2 = 0 THEN s_name ELSE s_name || ', Org' END AS authors, CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE 2014 END::INT AS year FROM supplier""")
+def payload_catalogue(spark, sf_dir):
+    text = lambda x: f"named_struct('gco:CharacterString', {x})"
+    party = lambda role, who, org: f"named_struct('gmd:CI_ResponsibleParty', named_struct('gmd:role', named_struct('gmd:CI_RoleCode', named_struct('@codeListValue', '{role}')), 'gmd:individualName', {text(who)}, 'gmd:organisationName', {text(org)}))"
+    one, more = party("author", "s_name", "'q'"), f"{party('publisher', repr('P'), repr('q'))}, {party('creator', repr(''), repr('Org'))}"
+    cite = f"""named_struct('gmd:citedResponsibleParty', CASE WHEN s_suppkey % 2 = 0 THEN array({one}) ELSE array({one}, {more}) END,
+      'gmd:date', CASE WHEN s_suppkey % 5 > 0 THEN named_struct('gmd:CI_Date', named_struct('gmd:date', named_struct('gco:Date', named_struct('#text', '2014-05-06')))) END)"""
+    record = f"""to_json(named_struct('gmd:dataSetURI', CASE WHEN s_suppkey % 3 = 0 THEN {text("concat('see https://doi.org/10.5555/d', s_suppkey, ', there')")} END, 'note', CASE WHEN s_suppkey % 3 = 1 THEN concat('cites 10.25914/x-', s_suppkey, '.') END,
+      'gmd:identificationInfo', named_struct('gmd:MD_DataIdentification', named_struct('gmd:citation', named_struct('gmd:CI_Citation', {cite}))))) AS record"""
+    return geonetwork.metadata(_t(spark, sf_dir, "supplier").selectExpr("concat('s', s_suppkey) AS id", record))
+
+
+@query("""SELECT 'r' || n_regionkey AS parent, 'n' || n_nationkey AS id, CASE n_nationkey % 4 WHEN 0 THEN n_name WHEN 1 THEN 'E ' || n_name WHEN 2 THEN 'F ' || n_name ELSE 'D ' || n_name END AS title, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS pos FROM nation""")
+def payload_children(spark, sf_dir):
+    child = """struct(n_nationkey AS k, concat('n', n_nationkey) AS id, concat('D ', n_name) AS defaultTitle, CASE n_nationkey % 4 WHEN 0 THEN n_name WHEN 1 THEN to_json(map('fr', concat('F ', n_name), 'eng', concat('E ', n_name))) WHEN 2 THEN to_json(map('fr', concat('F ', n_name))) ELSE '' END AS title)"""
+    lists = _t(spark, sf_dir, "nation").groupBy(F.concat(F.lit("r"), "n_regionkey").alias("parent")).agg(F.array_sort(F.collect_list(F.expr(child))).alias("children"))
+    raw = F.expr("""concat('{"children":[', array_join(transform(children, c -> concat('{"id":"', c.id, '","defaultTitle":"', c.defaultTitle, '","title":', CASE WHEN c.title LIKE '{%' THEN c.title ELSE concat('"', c.title, '"') END, '}')), ','), ']}')""")
+    return geonetwork.children(lists.select("parent", raw.alias("record")))
+
+
+@query("SELECT p_partkey, p_size::INT AS n, replace(replace(replace(replace(t, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') AS escaped, replace(p_name, ' ', '%20') AS url FROM (SELECT *, concat('<a b=\"', p_name, '\"> & ', p_brand) AS t FROM part)")
+def escaping(spark, sf_dir):
+    text = F.concat(F.lit('<a b="'), "p_name", F.lit('"> & '), "p_brand")
+    return _t(spark, sf_dir, "part").select("p_partkey", F.col("p_size").cast("int").alias("n"), S.html_escaped(text).alias("escaped"), S.url_component(F.col("p_name")).alias("url"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n.removesuffix("_query"): f for n, (f, _) in _REGISTRY.items()}
 

@@ -22,6 +22,10 @@ SCHEMAS = {
     "core": "doi string, title string, authors array<string>, yearPublished int, publishedDate string, journals array<struct<title:string>>, publisher string, citationCount bigint, documentType string, subjects array<string>",
     "dimensions": "doi string, title string, year int, journal struct<title:string>, authors array<struct<first_name:string,last_name:string,full_name:string>>, times_cited bigint, type string, open_access array<string>, category_for array<struct<name:string>>",
 }
+DATACITE = (
+    "id string, attributes struct<doi:string,titles:array<struct<title:string>>,creators:array<struct<name:string,familyName:string,givenName:string>>,publicationYear:int,types:struct<resourceTypeGeneral:string>>"
+)
+NETWORKS = "fdsn_code string, start_date string, doi string"
 _some = lambda s: F.coalesce(s, F.lit("")) != ""
 
 
@@ -38,12 +42,12 @@ def envelope(spark: SparkSession, path: str, schema: str, field: str = "records"
 
 
 def _bare(x: Column) -> Column:
-    return F.regexp_replace(F.coalesce(x, F.lit("")), "^https?://doi[.]org/", "")
+    return F.regexp_replace(F.coalesce(x, F.lit("")), "(?i)^https?://doi[.]org/", "")
 
 
-def _done(df: DataFrame, doi: Column, **cols: Column) -> DataFrame:
-    """Rows without an identifier are dropped."""
-    return df.withColumn("_doi", doi).where(_some(F.col("_doi"))).select(F.col("_doi").alias("doi"), *[c.alias(n) for n, c in cols.items()])
+def _done(df: DataFrame, doi: Column, keep: tuple[str, ...] = (), **cols: Column) -> DataFrame:
+    """Rows without an identifier are dropped; columns ``keep`` stay beside the canonical ones."""
+    return df.withColumn("_doi", doi).where(_some(F.col("_doi"))).select(*keep, F.col("_doi").alias("doi"), *[c.alias(n) for n, c in cols.items()])
 
 
 def _oa(yes: Column) -> Column:
@@ -54,79 +58,95 @@ def _text(x: Column, default: str = "") -> Column:
     return F.coalesce(F.nullif(x, F.lit("")), F.lit(default))
 
 
+def _year(x: Column) -> Column:
+    """A year of 0 counts as none."""
+    return F.nullif(x, F.lit(0))
+
+
+def _title(x: Column) -> Column:
+    return _text(S.strip_html(x), "Untitled")
+
+
+def _full_name(first: Column, last: Column) -> Column:
+    return F.trim(F.concat_ws(" ", first, last))
+
+
 def _first_three(items: Column) -> Column:
-    return F.array_join(F.slice(items, 1, 3), "; ")
+    """Missing items keep their place."""
+    return F.array_join(F.slice(items, 1, 3), "; ", "")
 
 
-def openalex(df: DataFrame, lookup: bool = False) -> DataFrame:
-    """A lookup has no placeholder title, an unknown access flag where none is given, and no affiliations."""
+def openalex(df: DataFrame, lookup: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """A lookup has no placeholder title (rows without one are dropped), an unknown access flag where none is given, and no affiliations."""
     inst = F.flatten(F.transform(F.coalesce("authorships", F.array()), lambda a: F.coalesce(a["institutions"], F.array())))
     of = lambda name: F.array_distinct(F.filter(F.transform(inst, lambda i: i[name]), _some))
-    is_oa = F.col("open_access.is_oa")
+    is_oa = _oa(F.col("open_access.is_oa"))
+    if lookup:
+        df, is_oa = df.where(_some(F.col("title"))), F.when(F.col("open_access").isNull(), "Unknown").otherwise(is_oa)
     cols = {
         "title": _text(S.strip_html(F.col("title")), "" if lookup else "Untitled"),
-        "authors": S.names_joined(F.col("authorships"), lambda a: a["author"]["display_name"]),
-        "year": F.col("publication_year"),
+        "authors": S.names_joined(F.col("authorships"), lambda a: a["author"]["display_name"], blanks=True),
+        "year": _year(F.col("publication_year")),
         "journal": _text(F.col("primary_location.source.display_name")),
         "publisher": _text(F.col("primary_location.source.host_organization_name")),
         "cited": F.coalesce("cited_by_count", F.lit(0)),
         "type": S.hyphens_to_blanks(_text(F.col("type"))),
-        "is_oa": F.when(is_oa.isNull(), "Unknown").otherwise(_oa(is_oa)) if lookup else _oa(is_oa),
+        "is_oa": is_oa,
         "subject": _first_three(F.transform(F.coalesce("topics", F.array()), lambda t: t["display_name"])),
     }
     if not lookup:
         cols |= {"author_count": F.size(F.coalesce("authorships", F.array())), "institutions": of("display_name"), "countries": of("country_code")}
-    return _done(df, _bare(F.col("doi")), **cols)
+    return _done(df, _bare(F.col("doi")), keep, **cols)
 
 
-def crossref(df: DataFrame) -> DataFrame:
-    """The online year counts only where there are no print date parts at all."""
-    m = df.select("message.*")
+def crossref(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The online year counts only where the print date has no parts at all."""
+    m = df.select(*keep, "message.*")
     part = lambda c: F.col(f"`{c}`.`date-parts`")
     year = lambda c: F.get(F.get(part(c), F.lit(0)), F.lit(0))
     title = F.when(F.col("title").startswith("["), F.get(F.from_json("title", "array<string>"), F.lit(0))).otherwise(F.col("title"))
     return _done(
-        m, F.lower("DOI"), title=_text(S.strip_html(title)),
-        authors=S.names_joined(F.col("author"), lambda a: F.trim(F.concat_ws(" ", a["given"], a["family"]))),
-        year=F.when(part("published-print").isNotNull(), year("published-print")).otherwise(year("published-online")),
+        m, F.lower("DOI"), keep, title=_text(S.strip_html(title)),
+        authors=S.names_joined(F.col("author"), lambda a: _full_name(a["given"], a["family"]), blanks=True),
+        year=_year(F.when(F.get(part("published-print"), F.lit(0)).isNotNull(), year("published-print")).otherwise(year("published-online"))),
         journal=_text(F.get(F.col("`container-title`"), F.lit(0))), publisher=_text(F.col("publisher")), cited=F.coalesce(F.col("`is-referenced-by-count`"), F.lit(0)),
         type=S.hyphens_to_blanks(_text(F.col("type"))), is_oa=F.lit("Unknown"), subject=_first_three(F.coalesce("subject", F.array())),
     )
 
 
-def semantic_scholar(df: DataFrame) -> DataFrame:
+def semantic_scholar(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     fields = F.array_distinct(F.filter(F.transform(F.coalesce("s2FieldsOfStudy", F.array()), lambda f: f["category"]), _some))
     return _done(
-        df, F.col("externalIds.DOI"), title=_text(F.col("title"), "Untitled"), authors=S.names_joined(F.col("authors"), lambda a: a["name"]), year=F.col("year"), journal=_text(F.col("journal.name")), publisher=F.lit(""),
+        df, F.col("externalIds.DOI"), keep, title=_title(F.col("title")), authors=S.names_joined(F.col("authors"), lambda a: a["name"], blanks=True), year=_year(F.col("year")), journal=_text(F.col("journal.name")), publisher=F.lit(""),
         cited=F.coalesce("citationCount", F.lit(0)), type=S.camel_split(F.array_join(F.coalesce("publicationTypes", F.array()), ", ")), is_oa=_oa(_some(F.col("openAccessPdf.url"))), subject=_first_three(fields),
     )
 
 
-def europepmc(df: DataFrame) -> DataFrame:
+def europepmc(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     people = F.col("authorList.author")
-    names = F.when(people.isNotNull(), S.names_joined(people, lambda a: F.trim(F.concat_ws(" ", a["firstName"], a["lastName"])))).otherwise(_text(F.col("authorString")))
+    names = F.when(people.isNotNull(), S.names_joined(people, lambda a: _full_name(a["firstName"], a["lastName"]), blanks=True)).otherwise(_text(F.col("authorString")))
     mesh = F.transform(F.col("meshHeadingList.meshHeading"), lambda h: h["descriptorName"])
     return _done(
-        df, F.col("doi"), title=_text(S.strip_html(F.col("title")), "Untitled"), authors=names, year=S.int_prefix(F.col("pubYear")), journal=_text(F.col("journalTitle")), publisher=F.lit(""), cited=F.coalesce("citedByCount", F.lit(0)),
+        df, F.col("doi"), keep, title=_title(F.col("title")), authors=names, year=S.int_prefix(F.col("pubYear")), journal=_text(F.col("journalTitle")), publisher=F.lit(""), cited=F.coalesce("citedByCount", F.lit(0)),
         type=_text(F.col("pubType")), is_oa=_oa(F.col("isOpenAccess") == "Y"), subject=_first_three(F.coalesce(mesh, F.col("keywordList.keyword"), F.array())),
     )
 
 
-def core(df: DataFrame) -> DataFrame:
+def core(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Authors come as text or as an object with a name."""
     name = lambda a: F.when(a.startswith("{"), F.get_json_object(a, "$.name")).otherwise(a)
     return _done(
-        df, _bare(F.col("doi")), title=_text(F.col("title"), "Untitled"), authors=S.names_joined(F.col("authors"), name), year=S.number_or(F.col("yearPublished"), S.int_prefix(F.substring("publishedDate", 1, 4))),
+        df, _bare(F.col("doi")), keep, title=_title(F.col("title")), authors=S.names_joined(F.col("authors"), name), year=_year(S.number_or(F.col("yearPublished"), S.int_prefix(F.substring("publishedDate", 1, 4)))),
         journal=_text(F.get(F.col("journals"), F.lit(0))["title"]), publisher=_text(F.col("publisher")), cited=F.coalesce("citationCount", F.lit(0)), type=_text(F.col("documentType")), is_oa=F.lit("Yes"), subject=_first_three(F.coalesce("subjects", F.array())),
     )
 
 
-def dimensions(df: DataFrame) -> DataFrame:
-    """Categories are cut to three before blanks go."""
-    person = lambda a: F.coalesce(F.nullif(F.trim(F.concat_ws(" ", a["first_name"], a["last_name"])), F.lit("")), a["full_name"])
+def dimensions(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Categories are cut to three before blanks go; half a name gives way to the full one."""
+    person = lambda a: F.when(_some(a["first_name"]) & _some(a["last_name"]), F.concat(a["first_name"], F.lit(" "), a["last_name"])).otherwise(a["full_name"])
     three = F.filter(F.transform(F.slice(F.coalesce("category_for", F.array()), 1, 3), lambda c: c["name"]), _some)
     return _done(
-        df, F.col("doi"), title=_text(F.col("title"), "Untitled"), authors=S.names_joined(F.col("authors"), person), year=F.col("year"), journal=_text(F.col("journal.title")), publisher=F.lit(""), cited=F.coalesce("times_cited", F.lit(0)),
+        df, F.col("doi"), keep, title=_title(F.col("title")), authors=S.names_joined(F.col("authors"), person), year=_year(F.col("year")), journal=_text(F.col("journal.title")), publisher=F.lit(""), cited=F.coalesce("times_cited", F.lit(0)),
         type=_text(F.col("type")), is_oa=_oa(F.size(F.coalesce("open_access", F.array())) > 0), subject=F.array_join(three, "; "),
     )
 
@@ -142,27 +162,22 @@ def station_networks(lines: DataFrame) -> DataFrame:
     return rows.select(F.trim(f[0]).alias("code"), F.trim(f[1]).alias("name"), S.int_prefix(F.substring(start, 1, 4)).alias("year"), F.lit("AusPass").alias("platform"), F.lit("Seismic Network").alias("type"))
 
 
-def localised_title(titles: Column, default: Column) -> Column:
-    """Of map<language, title>: English, else the first, else the default."""
-    blank = lambda x: F.nullif(x, F.lit(""))
-    return F.coalesce(blank(titles["eng"]), blank(titles["en"]), blank(F.get(F.map_values(titles), F.lit(0))), blank(default), F.lit("Untitled"))
-
-
 def datacite(df: DataFrame) -> DataFrame:
     """Rows (id, attributes struct) of a DataCite page."""
     a = F.col("attributes")
-    person = lambda c: F.when(_some(c["familyName"]), F.concat(c["familyName"], F.lit(", "), F.substring(F.coalesce(c["givenName"], F.lit("")), 1, 1), F.lit("."))).otherwise(_text(c["name"], "Unknown"))
+    person = lambda c: F.when(_some(c["familyName"]) & _some(c["givenName"]), F.concat(c["familyName"], F.lit(", "), F.substring(c["givenName"], 1, 1), F.lit("."))).otherwise(_text(c["name"], "Unknown"))
     return df.select(
         S.or_else(a["doi"], F.col("id")).alias("doi"), _text(F.get(a["titles"], F.lit(0))["title"], "Untitled").alias("name"), F.array_join(F.transform(F.coalesce(a["creators"], F.array()), person), ", ").alias("authors"),
-        a["publicationYear"].cast("int").alias("year"), F.lit("EarthBank").alias("platform"), _text(a["types"]["resourceTypeGeneral"], "Dataset").alias("type"),
+        _year(a["publicationYear"].cast("int")).alias("year"), F.lit("EarthBank").alias("platform"), _text(a["types"]["resourceTypeGeneral"], "Dataset").alias("type"),
     )
 
 
-def wrapped(json: Column) -> Column:
-    """JSON text that holds one object or an array of them, as an array."""
-    return F.when(F.ltrim(json).startswith("["), json).otherwise(F.concat(F.lit("["), json, F.lit("]")))
+def network_registry(df: DataFrame) -> DataFrame:
+    """code, year, doi of rows (fdsn_code, start_date, doi) that have a code and a doi; other columns stay."""
+    rest = [c for c in df.columns if c not in ("fdsn_code", "start_date", "doi")]
+    return df.where(_some(F.col("doi")) & _some(F.col("fdsn_code"))).select(F.col("fdsn_code").alias("code"), S.int_prefix(F.substring("start_date", 1, 4)).alias("year"), "doi", *rest)
 
 
-def text_or_node(json: Column) -> Column:
-    """A value that is a text or an object with ``#text``."""
-    return F.coalesce(F.get_json_object(json, "$.#text"), F.get_json_object(json, "$['#text']"), json)
+def read_records(raw: DataFrame, schema: str, *keep: str) -> DataFrame:
+    """Fields of the JSON text ``record`` beside the columns kept; text that is no object is dropped."""
+    return raw.withColumn("_r", F.from_json("record", schema)).where(F.col("_r").isNotNull()).select(*keep, "_r.*")
