@@ -34,6 +34,14 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """name, with underscores in front until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 

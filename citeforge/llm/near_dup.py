@@ -277,6 +277,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """docs without those that are near-duplicates of one with a smaller doc_id; all columns as they were."""
+    """docs without those that are near-duplicates of one with a smaller doc_id; all columns as they were.
+
+    A row goes with its doc_id: rows that repeat go or stay together, rows without a doc_id stay.
+    """
     dropped = staged(near_duplicates(docs).where("not kept").select("doc_id").distinct(), "near-dropped")
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)

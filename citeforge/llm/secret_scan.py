@@ -9,8 +9,9 @@ Spans are [start, end) in code points. Per kind, matches are leftmost and do not
 rule's least length are dropped (and still consume what they matched). The three base kinds are ``assign``,
 ``access`` and ``hex``; further kinds add private key blocks, tokens by their prefix, and passwords in URLs.
 
-Null text counts as empty. Rows are told apart by doc_id and a hash of the text, so rows that repeat get equal
-results; null ids are kept. Empty tables give empty results. Other columns pass through ``without_secrets``.
+Null text counts as empty (and stays null in what is handed on). Rows are told apart by doc_id and a hash of the text,
+so rows that repeat get equal results; null ids are kept. Empty tables give empty results. Other columns pass through,
+whatever their names: ``scan`` takes the name of the column that it adds.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from re import _parser as parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_name
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -121,9 +124,13 @@ def trigram_query(regex: str) -> list[frozenset[str]]:
 # --- index and candidates ---
 
 
+def _whole() -> Column:
+    return F.coalesce(F.col("text"), F.lit(""))
+
+
 def postings(docs: DataFrame, wanted: list[str]) -> DataFrame:
     """key, text_hash, gram: which of the wanted trigrams each text contains."""
-    folded = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.lower("text").alias("folded"))
+    folded = docs.select("doc_id", F.xxhash64(_whole()).alias("text_hash"), F.lower(_whole()).alias("folded"))
     found = F.array_compact(F.array(*[F.when(F.contains("folded", F.lit(g)), F.lit(g)) for g in sorted(wanted)]))
     return folded.select("doc_id", "text_hash", F.explode(found).alias("gram"))
 
@@ -134,7 +141,8 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> tuple[DataFrame | No
     terms = [(r.kind, i, g, len(alt)) for r in rules for i, alt in enumerate(trigram_query(r.regex)) for g in sorted(alt)]
     if not terms:
         return None, set()
-    query = spark.createDataFrame(terms, "kind string, way int, gram string, need int")  # some dozens of rows
+    literals = [F.struct(*[F.lit(v).alias(c) for v, c in zip(t, ("kind", "way", "gram", "need"))]) for t in terms]
+    query = spark.range(1).select(F.inline(F.array(*literals)))  # some dozens of rows
     hits = postings(docs, sorted({t[2] for t in terms})).join(F.broadcast(query), "gram")
     # the intersection of posting lists: a document that all trigrams of an alternative post to
     whole = hits.groupBy("doc_id", "text_hash", "kind", "way").agg(F.count_distinct("gram").alias("n"), F.max("need").alias("need")).where("n = need")
@@ -201,45 +209,48 @@ def _labelled(spans: Column, nth: int, kind: str) -> Column:
     return F.transform(spans, lambda s: F.struct(s["start"], F.lit(nth).alias("nth"), s["end"], F.lit(kind).alias("kind")))
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """docs with an array of structs (start, end, nth, kind) ``found``, sorted by start and then by the order of rules."""
-    docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, column: str = "found") -> DataFrame:
+    """docs with an array of structs (start, end, nth, kind) ``column``, sorted by start and then by the order of rules."""
+    if column in docs.columns:
+        raise ValueError(f"docs have a column {column!r}; name another one")
     index, covered = candidates(docs, rules)
+    h, k, marked = (free_name([*docs.columns, column], n) for n in ("_h", "_k", "_kinds"))
     kinds = F.lit(None).cast("array<string>")
+    named = lambda c: F.coalesce(c.cast("string"), F.lit("-"))
+    scanned = docs
     if index is not None:
-        keyed = docs.withColumn("_h", F.xxhash64("text")).withColumn("_id", F.col("doc_id").cast("string"))
-        index = index.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")).alias("_k"), F.col("text_hash").alias("_h"), F.col("kinds").alias("_kinds"))
-        docs = keyed.withColumn("_k", F.coalesce("_id", F.lit("-"))).join(index, ["_k", "_h"], "left")
-        kinds = F.col("_kinds")
+        keyed = docs.withColumns({h: F.xxhash64(_whole()), k: named(F.col("doc_id"))})
+        index = index.select(named(F.col("doc_id")).alias(k), F.col("text_hash").alias(h), F.col("kinds").alias(marked))
+        scanned, kinds = keyed.join(index, [k, h], "left"), F.col(marked)
     every = []
     for nth, rule in enumerate(rules):
         quick = Rule(rule.kind, _quick(rule), rule.least, rule.group)
-        spans = _labelled(matches(F.col("text"), quick), nth, rule.kind)
+        spans = _labelled(matches(_whole(), quick), nth, rule.kind)
         if rule.kind in covered:
             spans = F.when(F.coalesce(F.array_contains(kinds, rule.kind), F.lit(False)), spans).otherwise(F.array().cast("array<struct<start:bigint,nth:int,end:bigint,kind:string>>"))
         every.append(spans)
-    return docs.withColumn("found", F.array_sort(F.concat(*every))).drop("_h", "_k", "_id", "_kinds")
+    return scanned.select(*[scanned[c] for c in docs.columns], F.array_sort(F.concat(*every)).alias(column))
 
 
 def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def report(found: DataFrame) -> DataFrame:
+def report(found: DataFrame, column: str = "found") -> DataFrame:
     """The digest columns of scan()."""
-    of = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
-    base = F.filter("found", lambda s: s["nth"] < len(BASE))
+    of = lambda kind: F.size(F.filter(column, lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter(column, lambda s: s["nth"] < len(BASE))
     return found.select(
-        F.col("doc_id"), *[of(r.kind).alias(f"n_{r.kind}") for r in BASE], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans")
+        F.col("doc_id"), *[of(r.kind).alias(f"n_{r.kind}") for r in BASE], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col(column)).alias("spans")
     )
 
 
-def redact(found: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """Result of scan() with every span in ``text`` replaced by ``mark`` (overlapping spans by one); drops ``found``."""
+def redact(found: DataFrame, mark: str = "[SECRET]", column: str = "found") -> DataFrame:
+    """Result of scan() with every span in ``text`` replaced by ``mark`` (overlapping spans by one); drops ``column``."""
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
     step = lambda a, s: F.when(
         s["start"] >= a["at"],
         F.struct(s["end"].alias("at"), F.concat(a["out"], F.array(F.substring(F.col("text"), (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")), F.lit(mark))).alias("out")),
     ).otherwise(F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out")))
-    text = F.aggregate("found", zero, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.length("text"))))
-    return found.withColumn("text", F.when(F.size("found") > 0, text).otherwise(F.col("text"))).drop("found")
+    text = F.aggregate(column, zero, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.length("text"))))
+    return found.withColumn("text", F.when(F.size(column) > 0, text).otherwise(F.col("text"))).drop(column)

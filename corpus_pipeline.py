@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeforge.llm import decontaminate, language, mixing, near_dup, secret_scan
-from citeforge.llm.common import staged, table
+from citeforge.llm.common import free_name, staged, table
 
 #: A document goes if no language is recognised, or with a chance below this.
 LEAST_SCORE = 0.25
@@ -34,9 +34,10 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps every document, with each secret in its text replaced by a mark; n_chars follows."""
-    found = secret_scan.scan(docs)
-    clean = secret_scan.redact(found.withColumn("_had", F.size("found") > 0))
-    return clean.withColumn("n_chars", F.when(F.col("_had"), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    spot = free_name(docs.columns, "found")
+    had = free_name([*docs.columns, spot], "had")
+    clean = secret_scan.redact(secret_scan.scan(docs, column=spot).withColumn(had, F.size(spot) > 0), column=spot)
+    return clean.withColumn("n_chars", F.when(F.col(had), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
