@@ -231,8 +231,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = staged(bands.join(buckets, "key").where("node <> low").distinct(), "near-members")
     linked = members.select("node").unionByName(members.select(F.col("low").alias("node"))).distinct()
     met = staged(linked, "near-met")
-    some = full.join(met.hint("merge"), "node").groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("regs").alias("regs"))
-    nodes = staged(some, "near-nodes")
+    # copies are reduced before the shuffle, so a node with very many of them is no load on one task
+    one = full.groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("regs").alias("regs"))
+    nodes = staged(one.join(met.hint("merge"), "node"), "near-nodes")
     texts = _texts(docs, nodes)
     links, comps = None, None
 
