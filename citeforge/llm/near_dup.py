@@ -40,7 +40,7 @@ BANDS, ROWS = 51, 5
 M, A, B, TOP = BANDS * ROWS, 20.0, 1.001, 65535
 GIVE_UP = 18.0
 BLOCK = 1024
-SKETCH = "doc_id long, n_shingles long, node long, regs binary"
+SKETCH = "doc_id long, text_hash long, n_shingles long, node long, regs binary"
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -113,9 +113,9 @@ def sketch(docs: DataFrame) -> DataFrame:
         for b in batches:
             sets = [shingles(t) for t in b["text"]]
             regs = registers(sets)
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "n_shingles": [len(s) for s in sets], "node": [node_of(s) for s in sets], "regs": [r.tobytes() for r in regs]})
+            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "text_hash": b["text_hash"], "n_shingles": [len(s) for s in sets], "node": [node_of(s) for s in sets], "regs": [r.tobytes() for r in regs]})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, SKETCH)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash")).mapInPandas(run, SKETCH)
 
 
 def _decode(column: pd.Series) -> np.ndarray:
@@ -137,7 +137,7 @@ def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs whose full sets reach the threshold. texts: (node, text); a row whose text is not that node's is passed over."""
+    """Pairs whose full sets reach the threshold. texts: (node, text), a row for each node."""
     small_batches(pairs.sparkSession, 256)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -159,9 +159,13 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text) of nodes, from the document that stands for each; the corpus is shuffled once, by one plan at any size."""
-    named = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc_id"), "text")
-    return staged(named.join(nodes.select("node", "doc_id").hint("merge"), "doc_id").select("node", "text"), "near-texts")
+    """(node, text), a row for each node, from the row that stands for it; the corpus is shuffled once, by one plan at any size.
+
+    Rows are named by doc_id and a hash of the text, as ids may be null or shared; rows that repeat are one before they meet nodes.
+    """
+    by = ["doc_id", "text_hash"]
+    named = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").dropDuplicates(by)
+    return staged(named.join(nodes.select("node", *by).hint("merge"), by).select("node", "text"), "near-texts")
 
 
 def _spanning(rows: list[tuple], ready: dict[int, np.ndarray]) -> list[tuple[int, int]]:
@@ -231,8 +235,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = staged(bands.join(buckets, "key").where("node <> low").distinct(), "near-members")
     linked = members.select("node").unionByName(members.select(F.col("low").alias("node"))).distinct()
     met = staged(linked, "near-met")
-    some = full.join(met.hint("merge"), "node").groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("regs").alias("regs"))
-    nodes = staged(some, "near-nodes")
+    some = full.join(met.hint("merge"), "node").groupBy("node").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), "text_hash")).alias("row"), F.max("n_shingles").alias("n_shingles"), F.max("regs").alias("regs"))
+    nodes = staged(some.select("node", "row.*", "n_shingles", "regs"), "near-nodes")
     texts = _texts(docs, nodes)
     links, comps = None, None
 
@@ -265,7 +269,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     blocks = F.ceil(F.col("n") / BLOCK).cast("long")
     open_rows = placed.join(mixed, "key").withColumn("mine", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     open_rows = open_rows.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "node", "comp").distinct()
-    join_up(_across(open_rows.join(nodes.drop("doc_id"), "node").join(texts, "node")))
+    join_up(_across(open_rows.join(nodes.drop("doc_id", "text_hash"), "node").join(texts, "node")))
 
     thin = full.select("doc_id", "n_shingles", "node")
     grouped = staged(thin.join(comps, "node", "left").select("doc_id", "n_shingles", F.coalesce("comp", "node").alias("comp")), "near-grouped")

@@ -101,3 +101,14 @@ def test_pages(spark):
     got = sorted(((r["page_id"], r["record_type"], r["refers_to"], r["payload_bytes"], r["url"]) for r in warc.read(warc.write(df)).collect()), key=str)
     want = [(1, "response", None, 200, "u")] * 2 + [(7, "revisit", 1, 200, None), (None, "response", None, 200, "u"), (8, "response", None, 0, ""), (9, "response", None, 12, "u v\r\n"), (10, "response", None, 3_000_000, "u")]
     assert got == sorted(want, key=str)
+
+
+def test_near_duplicates_of_null_and_shared_ids(spark):
+    rnd = random.Random(11)
+    rows = []
+    for k in range(12):  # 60 + k words: the number of shingles tells the groups apart
+        ws = ["".join(rnd.choices("abcdefgh", k=6)) for _ in range(60 + k)]
+        near = [[*ws[:-1], w] for w in ("x", "y", "z")]
+        rows += [(100 + k, " ".join(ws)), (None, " ".join(near[0])), (None, " ".join(near[1])), (999, " ".join(near[2])), (None, " ".join(near[0]))]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(got) == len(rows) and {(r["n_shingles"], r["component_id"]) for r in got} == {(56 + k, 100 + k) for k in range(12)}
