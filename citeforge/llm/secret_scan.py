@@ -43,10 +43,14 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", 20),
     Rule("hex", r"[0-9a-f]+", 24),
 )
+#: From BEGIN to the next END if no other line of five hyphens comes between (headers may have single ones); without
+#: END, header lines and a body that begins with 16 characters of base64, up to the first that is none and no white space.
+_NAME = r"[A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----"
+KEY = rf"-----BEGIN {_NAME}(?:[^-]*(?:-{{1,4}}[^-]+){{0,200}}-----END {_NAME}|(?:[\x20\t\r\n]*[A-Z][A-Za-z-]{{2,20}}:[^\n]*\n){{0,8}}[\x20\t\r\n\\nr]*[A-Za-z0-9+/=]{{16}}[A-Za-z0-9+/=\x20\t\r\n\\]*|)"
 MORE = (
-    Rule("key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    Rule("key", KEY),
     Rule("prefix", r"(?:ghp_|gho_|github_pat_|glpat-|xoxb-|xoxp-|sk_live_|rk_live_)[A-Za-z0-9_-]+", 20),
-    Rule("url", r"[a-z]{3,12}://[^\x00-\x20/:@\x22<>]{1,64}:[^\x00-\x20/:@\x22<>]{1,64}@"),
+    Rule("url", r"[a-z][a-z0-9]{1,11}://[^\x00-\x20/:@\x22<>]*:[^\x00-\x20/:@\x22<>]+@"),
 )
 RULES = BASE + MORE
 MOST_WAYS = 64
