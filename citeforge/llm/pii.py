@@ -5,7 +5,8 @@ Feistel permutation of its domain; cycle walking stays among valid values and ch
 permutation depends on key, kind and domain only, so equal values get equal pseudonyms in every document and in
 every way to write them (blanks, hyphens), and distinct values stay distinct. The key is a parameter.
 
-Null text stays null. Values that fail validation are left alone. Where two kinds claim the same characters, the
+Where the longest reading of a number is not valid, shorter ones that end at a blank are tried, then those that begin
+after its first blank. Null text stays null. Values that fail validation are left alone. Where two kinds claim the same characters, the
 earlier in KINDS wins. Repeated rows are treated alike; empty tables give no rows.
 """
 
@@ -123,10 +124,18 @@ def date(m: str, key: bytes) -> str | None:
     return refill(m, out)
 
 
+#: Lengths by country; of other countries any length is read.
+IBAN_LENGTHS = {c: n for n, cs in {
+    15: "NO", 16: "BE", 18: "DK FO FI GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+}.items() for c in cs.split()}
+
+
 def iban(m: str, key: bytes) -> str | None:
     s = m.replace(" ", "")
     number = lambda x: int("".join(str(int(c, 36)) for c in x))
-    if not 15 <= len(s) <= 34 or number(s[4:] + s[:4]) % 97 != 1:
+    if not 15 <= len(s) <= 34 or len(s) != IBAN_LENGTHS.get(s[:2], len(s)) or number(s[4:] + s[:4]) % 97 != 1:
         return None
     d = _digits(s[4:])
     if not d:
@@ -157,7 +166,7 @@ KINDS: tuple[tuple[str, str, Callable[[str, bytes], str | None]], ...] = (
     ("email", r"(?<![\w.+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}(?![\w-])", email),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", iban),
     ("ip", r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])", ip),
-    ("date", r"(?<![\w/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([/.-])[0-9]{2}\1[0-9]{4})(?![\w/-]|\.[0-9])", date),
+    ("date", r"(?<![\w/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?=T[0-9])|(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([/.-])[0-9]{2}\1[0-9]{4})(?![\w/-]|\.[0-9]))", date),
     ("ssn", r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])", ssn),
     ("card", r"(?<![\w.+-])[0-9](?:[ -]?[0-9]){12,18}(?![\w]|[.-][0-9])", card),
     ("phone", r"(?<![\w.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}(?:[ .-]?[0-9]{2,4}){1,3}(?![\w]|[.-][0-9])|(?<![\w.])\+[0-9]{9,15}(?!\w)", phone),
@@ -176,14 +185,7 @@ def pseudonymise(text: str | None, key: bytes = KEY) -> tuple[str | None, dict[s
     for kind, pattern, f in _PATTERNS:
         if kind == "email" and "@" not in text:
             continue
-        own = []
-        for m in pattern.finditer(text):
-            a, b = m.span()
-            if (new := f(m.group(), key)) is not None:
-                own.append((a, b, kind, new))
-        if own and taken:
-            starts = sorted(taken)
-            own = [o for o in own if not _overlaps(starts, o[0], o[1])]
+        own = [(a, b, kind, new) for a, b, new in _read(text, pattern, lambda s, f=f: f(s, key), sorted(taken))]
         found += own
         taken += [o[:2] for o in own]
     out, at = [], 0
@@ -195,6 +197,20 @@ def pseudonymise(text: str | None, key: bytes = KEY) -> tuple[str | None, dict[s
     return "".join(out) + text[at:], counts, [(a, b, k) for a, b, k, _ in found]
 
 
+def _read(text: str, pattern: re.Pattern, valid: Callable[[str], str | None], taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, str]]:
+    """(start, end, pseudonym) of the first valid readings, longest first, that overlap none of ``taken``."""
+    at = 0
+    while m := pattern.search(text, at):
+        a, b = m.span()
+        blanks = [i for i in range(a, b) if text[i] == " "]
+        at = blanks[0] if blanks else b
+        for end in (b, *reversed(blanks)):
+            if (end == b or pattern.fullmatch(text, a, end)) and not _overlaps(taken, a, end) and (new := valid(text[a:end])) is not None:
+                yield a, end, new
+                at = end
+                break
+
+
 def _overlaps(spans: list[tuple[int, int]], a: int, b: int) -> bool:
     from bisect import bisect_left
 
