@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from citeforge.llm import decontaminate, language, mixing, near_dup, secret_scan
 from citeforge.llm.common import free_name, staged, table
 
-#: A document goes if no language is recognised, or with a chance below this.
+#: A document goes if no language is recognised, or with a chance below this (with two families of two languages each, none is).
 LEAST_SCORE = 0.25
 
 
