@@ -6,23 +6,35 @@ import tempfile
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 U64 = np.uint64
-#: Rows and bytes of an Arrow batch: few, as a text may be megabytes long.
-BATCH_ROWS, BATCH_BYTES = 256, 8 << 20
+#: Rows and bytes of an Arrow batch: bytes are what bounds a batch of texts, which may be megabytes long.
+BATCH_ROWS, BATCH_BYTES = 4096, 8 << 20
+_left: dict[str, DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bounds what a Python worker holds at once, whatever the session had set."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what a Python worker holds at once; the same values for all operators, as lazy plans read them when they run."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def lanes(spark: SparkSession) -> int:
+    """Partitions for few rows that mean much work, which AQE must not merge; grows with the cluster and with what is set for shuffles."""
+    return max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def text_id(text: Column) -> Column:
+    """16 bytes of the SHA-256 of a text (null: empty): names a text whatever its row's id is."""
+    return F.unhex(F.substring(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256), 1, 32))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session; where it is unset, a temporary folder, in local mode only."""
     at = spark.conf.get("spark.checkpoint.dir", None)
@@ -53,6 +65,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
+    _left[path] = out
     return out
 
 
@@ -63,6 +76,13 @@ def discard(*tables: DataFrame) -> None:
             jvm = df.sparkSession._jvm
             p = jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+            _left.pop(path, None)
+
+
+def sweep(*but: DataFrame) -> None:
+    """Deletes all staged tables of this process but those given: for callers that have written what they wanted."""
+    kept = {getattr(df, "_staged_path", None) for df in but}
+    discard(*[df for path, df in list(_left.items()) if path not in kept])
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -93,7 +113,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """S with S[i] = sum of (byte + 1) * base**j over j < i; span_hash() reads off the hash of any stretch."""
+    """S with S[i] = sum of (symbol + 1) * base**j over j < i; span_hash() reads off the hash of any stretch."""
     up, _ = powers(len(data) + 1)
     out = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + U64(1)) * up[: len(data)], out=out[1:])
@@ -104,3 +124,13 @@ def span_hash(s: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hashes of the stretches [start, end), equal for equal bytes wherever they lie."""
     _, down = powers(len(s))
     return mix64((s[end] - s[start]) * down[start] + (end - start).astype(np.uint64))
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """64-bit hashes of the words (runs without ASCII white space, A-Z lowered) of a UTF-8 text, in their order."""
+    ws = raw.lower().split()  # bytes: ASCII only, white space 20 and 09-0D
+    if not ws:
+        return np.empty(0, np.uint64)
+    data = np.frombuffer(b" ".join(ws), np.uint8)
+    gap = np.flatnonzero(data == 0x20)
+    return span_hash(prefix_hash(data), np.concatenate(([0], gap + 1)), np.concatenate((gap, [len(data)])))

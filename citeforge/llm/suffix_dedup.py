@@ -6,17 +6,22 @@ the others, the bytes to the right and, reversed, to the left are sorted per pie
 common prefixes of neighbours tell, for each of the LENGTH - GRAM + 1 starts that an anchor can serve, which strings
 are equal: those in the same class to the left and in the same class to the right.
 
-Equal texts are reduced to one before. A piece that occurs more than HOT times never meets in one task: all LENGTH-byte
-strings around it are counted by a 64-bit hash in partial aggregates instead. Nothing is capped.
+Equal texts are reduced to one before, equal surroundings of an anchor to one row. What surrounds a hot piece is dealt
+by its content over sorts of about GROUP rows each, and the classes of these sorts meet in partial aggregates, one row
+a class and sort, by a 128-bit hash of the string that they stand for. Nothing is capped.
 
-Null text counts as empty. Texts under LENGTH bytes lose nothing. Rows that share a doc_id are told apart by their
-text; equal rows are copies of each other. An empty table gives no rows.
+The same search, over words (runs without ASCII white space, A-Z lowered; 64-bit hashes) instead of bytes, counts the
+words inside strings of WORDS words that another document has too; these are reported, not removed.
+
+Null text counts as empty. Texts under LENGTH bytes lose nothing. Texts are named by 16 bytes of their SHA-256, so null
+and shared ids do no harm; equal rows are copies of each other. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -24,10 +29,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, prefix_hash, small_batches, span_hash, staged
+from .common import discard, free_name, lanes, prefix_hash, small_batches, span_hash, staged, text_id, word_hashes
 from .deep_shallow import sort_with_lcp
 
-LENGTH, GRAM, HOT, BATCH = 400, 200, 500, 8192
+LENGTH, GRAM, WORDS, WORD_GRAM = 400, 200, 51, 26
+GROUP, BATCH = 4096, 8192
 PIECE = 1 << 20
 
 
@@ -40,11 +46,11 @@ def _sliding(x: np.ndarray, w: int, f: np.ufunc, fill) -> np.ndarray:
     return f(back[: n - w + 1], ahead[w - 1 : n])
 
 
-def anchors(raw: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the anchors of a text, in pieces that overlap by a string."""
+def anchors(symbols: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the anchors of a text's bytes or words, in pieces that overlap by a string."""
     places, hashes, w = [], [], length - gram + 1
-    for at in range(0, max(1, len(raw) - length + 1), PIECE):
-        data = np.frombuffer(raw[at : at + PIECE + length - 1], np.uint8)
+    for at in range(0, max(1, len(symbols) - length + 1), PIECE):
+        data = symbols[at : at + PIECE + length - 1]
         if len(data) < length:
             break
         start = np.arange(len(data) - gram + 1)
@@ -61,84 +67,118 @@ def anchors(raw: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndar
     return place, np.concatenate(hashes)[first]
 
 
-def text_id(raw: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
+@dataclass(frozen=True)
+class Unit:
+    """What strings are made of: symbols of ``size`` bytes. The last bit of an anchor's hash tells the unit.
+
+    ``across``: a string counts only if another text has it.
+    """
+
+    length: int
+    gram: int
+    size: int
+    across: bool
+
+
+def units() -> tuple[Unit, Unit]:
+    return Unit(LENGTH, GRAM, 1, False), Unit(WORDS, WORD_GRAM, 8, True)
 
 
 def _encode(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def repeated_starts(group: np.ndarray, left: list[bytes], right: list[bytes], several: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
-    """For members of anchor groups (rows sorted by group): which starts, 0 .. length - gram before the anchor, begin a string that another member has.
+def repeated_starts(group: np.ndarray, left: list[bytes], right: list[bytes], owner: np.ndarray, several: np.ndarray, unit: Unit) -> tuple[np.ndarray, np.ndarray]:
+    """For members of anchor groups (rows sorted by group): which starts, 0 .. length - gram before the anchor, begin a
+    string at all, and which one that a member of another owner has.
 
-    left: the bytes before an anchor, reversed; right: those from it on; several: members that stand for more than one place.
+    left: the symbols before an anchor, reversed; right: those from it on; several: members that stand for more than one place.
     """
-    n, span = len(group), length - gram
+    n, span = len(group), unit.length - unit.gram
     cuts = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1, [n]))
     orders, lcps = [], []
     for strings in (left, right):
         order, lcp = np.empty(n, np.int64), np.empty(n, np.int64)
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
             o, c = sort_with_lcp(strings[a:b])
-            order[a:b], lcp[a:b] = np.array(o) + a, c
+            order[a:b], lcp[a:b] = np.array(o) + a, np.array(c) // unit.size
             lcp[a] = -1  # a class never reaches beyond its group
         orders.append(order)
         lcps.append(lcp)
-    sizes = [np.array([len(s) for s in x]) for x in (left, right)]
-    out = np.zeros((n, span + 1), bool)
+    sizes = [np.array([len(s) // unit.size for s in x]) for x in (left, right)]
+    there, twin = np.zeros((n, span + 1), bool), np.zeros((n, span + 1), bool)
     cls = [np.empty(n, np.int64), np.empty(n, np.int64)]
     for o in range(span + 1):
-        for side, need in ((0, o), (1, length - o)):
+        for side, need in ((0, o), (1, unit.length - o)):
             cls[side][orders[side]] = np.cumsum(lcps[side] < need)
-        at = np.flatnonzero((sizes[0] >= o) & (sizes[1] >= length - o))
+        at = np.flatnonzero((sizes[0] >= o) & (sizes[1] >= unit.length - o))
+        if not len(at):
+            continue
+        there[at, o] = True
         key = cls[0][at] * (n + 1) + cls[1][at]
         by = np.argsort(key, kind="stable")
-        same = key[by][1:] == key[by][:-1]
-        twin = np.zeros(len(at), bool)
-        twin[1:] |= same
-        twin[:-1] |= same
-        out[at[by], o] = twin
-        out[at[several[at]], o] = True
-    return out
+        first = np.flatnonzero(np.concatenate(([True], key[by][1:] != key[by][:-1])))
+        whose = owner[at][by]
+        shared = np.minimum.reduceat(whose, first) != np.maximum.reduceat(whose, first)
+        twin[at[by], o] = np.repeat(shared, np.diff(np.concatenate((first, [len(at)]))))
+        twin[at[several[at]], o] = True
+    return there, twin
 
 
-def _texts_with_anchors(docs: DataFrame) -> DataFrame:
+def _with_anchors(docs: DataFrame) -> DataFrame:
+    """A row for each of docs: doc_id, text_id, n_bytes, n_words, sha256, and its anchors of both units."""
     small_batches(docs.sparkSession)
+    by_byte, by_word = units()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for text in b["text"]:
                 raw = _encode(text)
-                place, h = anchors(raw)
-                rows.append((text_id(raw), len(raw), hashlib.sha256(raw).hexdigest(), place, h.astype(np.int64)))
-            out = pd.DataFrame(rows, columns=["text_id", "n_bytes", "sha256", "places", "hashes"])
+                ws = word_hashes(raw)
+                place, h = anchors(np.frombuffer(raw, np.uint8), by_byte.length, by_byte.gram)
+                wplace, wh = anchors(ws, by_word.length, by_word.gram)
+                h = np.concatenate((h & np.uint64(2**64 - 2), wh | np.uint64(1)))
+                whole = hashlib.sha256(raw)
+                rows.append((whole.digest()[:16], len(raw), len(ws), whole.hexdigest(), np.concatenate((place, wplace)), h.view(np.int64)))
+            out = pd.DataFrame(rows, columns=["text_id", "n_bytes", "n_words", "sha256", "places", "hashes"])
             out.insert(0, "doc_id", b["doc_id"].astype("Int64").array)
             yield out
 
-    return docs.mapInPandas(run, "doc_id long, text_id long, n_bytes long, sha256 string, places array<long>, hashes array<long>")
+    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, text_id binary, n_bytes long, n_words long, sha256 string, places array<long>, hashes array<long>")
+
+
+CONTEXT = "hash long, lane long, split boolean, text_id binary, places array<long>, left binary, right binary"
 
 
 def _contexts(texts: DataFrame) -> DataFrame:
-    """One row for each text, anchor hash and distinct surroundings: (hash, text_id, places, left, right)."""
-    small_batches(texts.sparkSession, 64)
-    span = LENGTH - GRAM
+    """One row for each text, anchor hash and distinct surroundings; ``lane``: the sort that takes it, by content if ``split``."""
+    small_batches(texts.sparkSession)
+    both = units()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out: list[tuple] = []
         for b in batches:
             for tid, text, marks in zip(b["text_id"], b["text"], b["marks"]):
-                raw, rows = _encode(text), {}
-                if text_id(raw) != tid:
-                    continue
+                raw, ws, rows = _encode(text), None, {}
                 for m in marks:
-                    if not m["hot"]:
-                        p = m["place"]
-                        rows.setdefault((m["hash"], raw[max(0, p - span) : p][::-1], raw[p : p + LENGTH]), []).append(p)
-                if rows:
-                    yield pd.DataFrame([(h, tid, ps, x, y) for (h, x, y), ps in rows.items()], columns=["hash", "text_id", "places", "left", "right"])
-
-    return texts.mapInPandas(run, "hash long, text_id long, places array<long>, left binary, right binary")
+                    p, h, unit = m["place"], m["hash"], both[m["hash"] & 1]
+                    span = unit.length - unit.gram
+                    if unit.size == 1:
+                        around = raw[max(0, p - span) : p][::-1], raw[p : p + unit.length]
+                    else:
+                        ws = word_hashes(raw) if ws is None else ws
+                        around = ws[max(0, p - span) : p][::-1].tobytes(), ws[p : p + unit.length].tobytes()
+                    rows.setdefault((h, m["sorts"], *around), []).append(p)
+                for (h, sorts, x, y), ps in rows.items():
+                    lane = xxhash.xxh3_64_intdigest(x + b"|" + y) % sorts if sorts > 1 else 0
+                    out.append((h, lane, sorts > 1, tid, ps, x, y))
+                if len(out) >= 4096:
+                    yield pd.DataFrame(out, columns=["hash", "lane", "split", "text_id", "places", "left", "right"])
+                    out = []
+        yield pd.DataFrame(out, columns=["hash", "lane", "split", "text_id", "places", "left", "right"])
+
+    return texts.mapInPandas(run, CONTEXT)
 
 
 def _runs(flags: np.ndarray) -> np.ndarray:
@@ -146,115 +186,161 @@ def _runs(flags: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.diff(np.concatenate(([0], flags.astype(np.int8), [0])))).reshape(-1, 2)
 
 
-def _cold(contexts: DataFrame) -> DataFrame:
-    """(text_id, begin, end): stretches to remove, found by sorting around anchors."""
-    small_batches(contexts.sparkSession, 1024)
+FOUND = "words boolean, text_id binary, begin long, end long, string binary, low long, high long"
+
+
+def _judged(rows: list[tuple], unit: Unit) -> list[tuple]:
+    """FOUND rows of sorted contexts: stretches, and for sorts of a split group the classes that others may have too.
 
-    def judged(rows: list[tuple]) -> pd.DataFrame:
-        group = np.unique([r[0] for r in rows], return_inverse=True)[1]
-        flags = repeated_starts(group, [r[3] for r in rows], [r[4] for r in rows], np.array([len(r[2]) > 1 for r in rows]))
+    Such a row has ``string``; low and high are the least and largest owner in its class, a row without a text stands for
+    a class that is shared already.
+    """
+    group = np.unique(np.array([r[:2] for r in rows], np.int64), axis=0, return_inverse=True)[1].ravel()
+    ids = [r[3] for r in rows]
+    if unit.across:
+        owner = np.unique(np.array(ids, object), return_inverse=True)[1]
+        several = np.zeros(len(rows), bool)
+    else:
+        owner, several = np.arange(len(rows)), np.array([len(r[4]) > 1 for r in rows])
+    there, twin = repeated_starts(group, [r[5] for r in rows], [r[6] for r in rows], owner, several, unit)
+    out, words = [], unit.size > 1
+    for i in np.flatnonzero(twin.any(axis=1)).tolist():
+        for a, b in _runs(twin[i]).tolist():
+            out += [(words, ids[i], int(p) - (b - 1), int(p) - a + unit.length, None, 0, 0) for p in rows[i][4]]
+    seen: set[bytes] = set()
+    for i, (h, _, split, tid, places, left, right) in enumerate(rows):
+        if not split:
+            continue
+        own = int.from_bytes(tid[:8] if words else xxhash.xxh3_64_digest(tid + b"%d" % places[0]), "little", signed=True)
+        for o in np.flatnonzero(there[i]).tolist():
+            string = xxhash.xxh3_128_digest(b"%d:%d:" % (h, o) + left[: o * unit.size] + right[: (unit.length - o) * unit.size])
+            if not twin[i, o]:
+                out += [(words, tid, int(p) - o, int(p) - o + unit.length, string, own, own) for p in places]
+            elif string not in seen:
+                seen.add(string)
+                out.append((words, None, 0, 0, string, -(2**63), 2**63 - 1))
+    return out
+
+
+def _sorted(contexts: DataFrame) -> DataFrame:
+    """FOUND rows, from deep-shallow sorts of whole groups or lanes of them."""
+    small_batches(contexts.sparkSession)
+    both = units()
+
+    def judged(held: list[tuple]) -> pd.DataFrame:
         out = []
-        for i in np.flatnonzero(flags.any(axis=1)).tolist():
-            for a, b in _runs(flags[i]).tolist():
-                out += [(rows[i][1], int(p) - (b - 1), int(p) - a + LENGTH) for p in rows[i][2]]
-        return pd.DataFrame(out, columns=["text_id", "begin", "end"], dtype="int64")
+        for k, unit in enumerate(both):
+            if own := [r for r in held if r[0] & 1 == k]:
+                out += _judged(own, unit)
+        return pd.DataFrame(out, columns=["words", "text_id", "begin", "end", "string", "low", "high"]).astype({c: "int64" for c in ("begin", "end", "low", "high")} | {"words": bool})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple] = []
         for b in batches:
-            for r in zip(b["hash"], b["text_id"], b["places"], b["left"], b["right"]):
-                if len(held) >= BATCH and r[0] != held[-1][0]:  # whole groups; none has more than HOT rows
+            for r in zip(*(b[c] for c in b.columns)):
+                if len(held) >= BATCH and r[:2] != held[-1][:2]:  # whole groups, of about GROUP rows at most
                     yield judged(held)
                     held = []
-                held.append((r[0], r[1], r[2], bytes(r[3]), bytes(r[4])))
+                held.append((*r[:4], r[4], bytes(r[5]), bytes(r[6])))
         if held:
             yield judged(held)
 
-    lanes = 4 * contexts.sparkSession.sparkContext.defaultParallelism
-    return contexts.repartition(lanes, "hash").sortWithinPartitions("hash").mapInPandas(run, "text_id long, begin long, end long")
+    keys = ["hash", "lane"]
+    return contexts.repartition(lanes(contexts.sparkSession), *keys).sortWithinPartitions(*keys).mapInPandas(run, FOUND)
 
 
-def _hot(texts: DataFrame) -> DataFrame:
-    """The same for anchors that occur more than HOT times, by counts of hashes of whole strings."""
-    small_batches(texts.sparkSession, 64)
-    span = LENGTH - GRAM
+def kept_bytes(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
+    """What is left without the spans, the number of maximal removed runs, and how many bytes they have."""
+    gone = _covered(len(raw), spans)
+    return np.frombuffer(raw, np.uint8)[~gone].tobytes(), len(_runs(gone)), int(gone.sum())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for tid, text, marks in zip(b["text_id"], b["text"], b["marks"]):
-                raw = _encode(text)
-                hot = [m["place"] for m in marks if m["hot"]]
-                if not hot or text_id(raw) != tid:
-                    continue
-                starts = np.zeros(len(raw) + 1, bool)
-                for p in hot:
-                    starts[max(0, p - span) : p + 1] = True
-                at = np.flatnonzero(starts[: len(raw) - LENGTH + 1])
-                h = np.fromiter((xxhash.xxh3_64_intdigest(raw[i : i + LENGTH]) for i in at.tolist()), np.uint64, len(at)).view(np.int64)
-                for i in range(0, len(at), 1 << 16):
-                    yield pd.DataFrame({"h": h[i : i + (1 << 16)], "text_id": tid, "start": at[i : i + (1 << 16)]})
-
-    rows = texts.where(F.exists("marks", lambda m: m["hot"])).mapInPandas(run, "h long, text_id long, start long")
-    rows = staged(rows, "suffix-strings")
-    place = F.struct("text_id", "start")
-    twice = staged(rows.groupBy("h").agg(F.min(place).alias("x"), F.max(place).alias("y")).where("x <> y").select("h"), "suffix-twice")
-    return rows.join(twice, "h").select("text_id", F.col("start").alias("begin"), (F.col("start") + LENGTH).alias("end"))
-
-
-def _cut(texts: DataFrame, stretches: DataFrame) -> DataFrame:
-    """(text_id, n_removed, n_spans, kept_sha256) of texts that lose some bytes."""
-    small_batches(texts.sparkSession, 64)
+
+def _covered(n: int, spans: list[tuple[int, int]]) -> np.ndarray:
+    edge = np.zeros(n + 1, np.int64)
+    for a, b in spans:
+        edge[a] += 1
+        edge[b] -= 1
+    return np.cumsum(edge[:-1]) > 0
+
+
+def _search(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Staged: a row for each document, the texts that have repeated pieces, the stretches found in each text, and texts that are copied."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    every = staged(_with_anchors(docs), "suffix-anchors")
+    long_enough = (F.col("n_bytes") >= LENGTH) | (F.col("n_words") >= WORDS)
+    one = F.any_value(F.struct("places", "hashes"))
+    distinct = staged(every.where(long_enough).groupBy("text_id").agg(F.count(F.lit(1)).alias("copies"), one.alias("a")), "suffix-distinct")
+    marks = distinct.select("text_id", F.explode(F.arrays_zip("a.places", "a.hashes")).alias("m")).select("text_id", F.col("m.places").alias("place"), F.col("m.hashes").alias("hash"))
+    shared = staged(marks.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash", F.ceil(F.col("n") / GROUP).cast("int").alias("sorts")), "suffix-shared")
+    wanted = marks.join(shared.hint("merge"), "hash").groupBy("text_id").agg(F.collect_list(F.struct("place", "hash", "sorts")).alias("marks"))
+    wanted = staged(wanted, "suffix-wanted")
+    # copies of a text become one row before the corpus is shuffled, once
+    named = docs.select(text_id(F.col("text")).alias("text_id"), "text").groupBy("text_id").agg(F.any_value("text").alias("text"))
+    texts = staged(named.join(wanted.hint("merge"), "text_id"), "suffix-texts")
+    found = staged(_sorted(_contexts(texts)), "suffix-found")
+    again = found.where("string is not null").groupBy("string").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("string")
+    stretch = ["words", "text_id", "begin", "end"]
+    stretches = found.where("string is null").select(*stretch).unionByName(found.where("text_id is not null").join(again, "string").select(*stretch))
+    listed = staged(stretches.groupBy("text_id").agg(F.collect_set(F.struct("words", "begin", "end")).alias("spans")), "suffix-listed")  # as long as the text itself at most
+    copied = staged(distinct.where("copies > 1").select("text_id"), "suffix-copied")
+    discard(distinct, shared, wanted, found)
+    return every, texts, listed, copied
+
+
+def _cut(texts: DataFrame, listed: DataFrame) -> DataFrame:
+    """(text_id, n_removed, n_spans, n_shared_words, kept_sha256) of texts in which something was found."""
+    small_batches(texts.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for tid, text, spans in zip(b["text_id"], b["text"], b["spans"]):
                 raw = _encode(text)
-                if text_id(raw) == tid:
-                    kept, n, removed = kept_bytes(raw, [(s["begin"], s["end"]) for s in spans])
-                    rows.append((tid, removed, n, hashlib.sha256(kept).hexdigest()))
-            yield pd.DataFrame(rows, columns=["text_id", "n_removed", "n_spans", "kept_sha256"])
+                kept, n, removed = kept_bytes(raw, [(s["begin"], s["end"]) for s in spans if not s["words"]])
+                words = [(s["begin"], s["end"]) for s in spans if s["words"]]
+                rows.append((tid, removed, n, int(_covered(max((e for _, e in words), default=0), words).sum()), hashlib.sha256(kept).hexdigest()))
+            yield pd.DataFrame(rows, columns=["text_id", "n_removed", "n_spans", "n_shared_words", "kept_sha256"])
 
-    listed = stretches.groupBy("text_id").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))  # as long as the text itself at most
-    return texts.select("text_id", "text").join(listed, "text_id").mapInPandas(run, "text_id long, n_removed long, n_spans long, kept_sha256 string")
-
-
-def kept_bytes(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
-    """What is left without the spans, the number of maximal removed runs, and how many bytes they have."""
-    edge = np.zeros(len(raw) + 1, np.int64)
-    for a, b in spans:
-        edge[a] += 1
-        edge[b] -= 1
-    gone = np.cumsum(edge[:-1]) > 0
-    return np.frombuffer(raw, np.uint8)[~gone].tobytes(), len(_runs(gone)), int(gone.sum())
+    return texts.select("text_id", "text").join(listed, "text_id").mapInPandas(run, "text_id binary, n_removed long, n_spans long, n_shared_words long, kept_sha256 string")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of docs(doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    every = staged(_texts_with_anchors(docs), "suffix-anchors")
-    stand_in = F.coalesce("doc_id", F.lit(-(2**63)))
-    one = F.min_by(F.struct("places", "hashes"), stand_in)
-    distinct = staged(every.where(f"n_bytes >= {LENGTH}").groupBy("text_id").agg(F.count(F.lit(1)).alias("copies"), F.min(stand_in).alias("doc_id"), one.alias("a")), "suffix-distinct")
-    marks = distinct.select("text_id", F.explode(F.arrays_zip("a.places", "a.hashes")).alias("m")).select("text_id", F.col("m.places").alias("place"), F.col("m.hashes").alias("hash"))
-    shared = staged(marks.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash", (F.col("n") > HOT).alias("hot")), "suffix-shared")
-    wanted = marks.join(shared.hint("merge"), "hash").groupBy("text_id").agg(F.collect_list(F.struct("place", "hash", "hot")).alias("marks"))
-    wanted = staged(wanted.join(distinct.select("text_id", "doc_id"), "text_id"), "suffix-wanted")
-    named = docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(-(2**63))))
-    texts = staged(named.join(wanted.hint("merge"), "doc_id").select("text_id", "text", "marks"), "suffix-texts")
-    discard(wanted, shared)
-    stretches = staged(_cold(_contexts(texts)).unionByName(_hot(texts)), "suffix-stretches")
-    # whole copies lose everything; of the rest, those with a stretch are cut
-    cut = staged(_cut(texts, stretches), "suffix-cut")
-    lost = distinct.select("text_id", (F.col("copies") > 1).alias("copied")).where("copied").unionByName(cut.select("text_id", F.lit(False).alias("copied")))
-    lost = staged(lost.groupBy("text_id").agg(F.max("copied").alias("copied")).join(cut, "text_id", "left"), "suffix-lost")
-    discard(texts, stretches, distinct, cut)
-    out = every.select("doc_id", "text_id", "n_bytes", "sha256").join(lost, "text_id", "left")
-    gone = F.coalesce("copied", F.lit(False))
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_words, n_shared_words for every row of docs(doc_id, text).
+
+    n_shared_words: words inside strings of WORDS words that another document has too.
+    """
+    every, texts, listed, copied = _search(docs)
+    lost = staged(copied.withColumn("copied", F.lit(True)).join(_cut(texts, listed), "text_id", "full"), "suffix-lost")
+    discard(texts, listed, copied)
+    out = every.drop("places", "hashes").join(lost, "text_id", "left")
+    whole = F.coalesce("copied", F.lit(False))
+    gone = whole & (F.col("n_bytes") >= LENGTH)
+    zero = F.lit(0).cast("long")
     return out.select(
         "doc_id",
         "n_bytes",
-        F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
-        F.when(gone, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
+        F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", zero)).alias("n_removed"),
+        F.when(gone, F.lit(1)).otherwise(F.coalesce("n_spans", zero)).cast("long").alias("n_spans"),
         F.when(gone, F.sha2(F.lit(b""), 256)).otherwise(F.coalesce("kept_sha256", "sha256")).alias("kept_sha256"),
+        "n_words",
+        F.when(whole & (F.col("n_words") >= WORDS), F.col("n_words")).otherwise(F.coalesce("n_shared_words", zero)).alias("n_shared_words"),
     )
+
+
+def remove(docs: DataFrame) -> DataFrame:
+    """docs, all rows and columns, with the repeated bytes cut out of ``text``; bytes left over from a cut character go too."""
+    small_batches(docs.sparkSession)
+    _, texts, listed, copied = _search(docs)
+    discard(texts)
+    key, spans, whole = (free_name(docs.columns, n) for n in ("text_id", "spans", "copied"))
+    lost = copied.select(F.col("text_id").alias(key), F.lit(True).alias(whole)).join(listed.select(F.col("text_id").alias(key), F.filter("spans", lambda s: ~s["words"]).alias(spans)), key, "full")
+
+    @F.pandas_udf("string")
+    def cut(text: pd.Series, found: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else kept_bytes(_encode(t), [(s["begin"], s["end"]) for s in f])[0].decode("utf-8", "ignore") for t, f in zip(text, found)], dtype=object)
+
+    gone = F.coalesce(whole, F.lit(False)) & (F.octet_length("text") >= LENGTH)
+    some = F.size(F.coalesce(F.col(spans), F.array())) > 0
+    text = F.when(gone, F.lit("")).when(some, cut(F.when(some, F.col("text")), spans)).otherwise(F.col("text"))
+    joined = docs.withColumn(key, text_id(F.col("text"))).join(lost, key, "left")
+    return joined.withColumn("text", text).select(*docs.columns)
