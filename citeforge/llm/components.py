@@ -8,31 +8,28 @@ from pyspark.sql import functions as F
 from .common import discard, staged
 
 
-def _hooked(links: DataFrame, out_of: DataFrame) -> DataFrame:
-    """The least neighbour (or self) of each a."""
-    return out_of.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-
-
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, comp) of every linked node: comp is the least node it can reach. Nodes are longs; only links are stored.
 
     Every step groups by node with partial aggregation and joins staged tables, so hot nodes are split by AQE; the
     number of rounds grows with the logarithm of the longest path. Nothing but counts reaches the driver.
     """
+    state = lambda t: t.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     edges = staged(links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct(), "cc-links")
+    before = state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = staged(_hooked(edges, both), "cc-low")
+        low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
         # large star: larger neighbours hang on the least one
         large = staged(both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b").distinct(), "cc-large")
-        low2 = staged(large.groupBy("a").agg(F.min("b").alias("low")), "cc-low")
+        low2 = large.groupBy("a").agg(F.min("b").alias("low"))
         # small star: smaller neighbours, and the node itself, hang on the least one
         hung = large.join(low2, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(low2.select("a", F.col("low").alias("b")))
         new = staged(hung.where("a <> b").distinct(), "cc-links")
-        state = lambda t: t.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        done = state(new) == state(edges)
-        discard(edges, low, large, low2)
+        after = state(new)
+        discard(edges, large)
         edges = new
-        if done:
+        if after == before:
             roots = edges.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct()
             return edges.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(roots)
+        before = after

@@ -5,17 +5,19 @@ space, A-Z lowered; fewer words: the whole sequence as one). Its sketch has M re
 least of Exp(A) values that the elements draw for that register (A value of each element's own Poisson stream
 is skipped once it exceeds all registers): mergeable by maxima, and equal with a chance just above the similarity.
 
-1. Documents with equal sets form one node; copies never multiply what follows.
+1. Documents with equal sets form one node, reduced before anything is dealt by it; copies never multiply what follows.
 2. BANDS bands of ROWS registers deal nodes into buckets. At the threshold of 0.75 a pair shares no bucket with a
    chance of (1 - 0.75**5)**51 = 1e-6. A node is first paired with
    the least of all nodes that it meets, then, where that left the two in different components, with each bucket's least.
 3. Pairs whose registers make a similarity of the threshold a factor of e**18 less likely than the likeliest one are
    let go (some six standard errors); the rest are verified on the full sets; verified links give components.
-4. Buckets in which, the least node aside, more than one component remains compare the registers of nodes in
-   different components, in blocks of bounded size, so no link hides behind a bucket's least node. A pair is looked
-   at only in the first band that it shares, and a block emits no more links than join its components.
+4. In buckets that still hold more than one component, the least node aside, all nodes meet those outside the bucket's
+   largest component, in blocks of at most 2 * BLOCK nodes: first by registers alone, which leaves the nodes that may have
+   a partner in another component, then those with their texts. A pair is looked at only in the first band that it
+   shares, and a block emits no more links than join its components, so no link hides behind a bucket's least node.
 
 No bucket is capped. Hot buckets, copies and components meet only in partial aggregates or in joins of staged tables, which AQE splits.
+Sketches of parts of a set merge by merged(), as registers are maxima.
 
 Null text, or one without words: the empty set, linked with nothing, its own component. Null doc_id: may link, is
 never a component's id unless it is alone. Rows that share a doc_id are told apart by their sets; equal rows are kept
@@ -32,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, discard, mix64, prefix_hash, small_batches, span_hash, staged
+from .common import U64, discard, lanes, mix64, small_batches, staged, text_id, word_hashes
 from .components import components
 
 SHINGLE, PERCENT = 5, 75
@@ -40,21 +42,18 @@ BANDS, ROWS = 51, 5
 M, A, B, TOP = BANDS * ROWS, 20.0, 1.001, 65535
 GIVE_UP = 18.0
 BLOCK = 1024
-SKETCH = "doc_id long, text_hash long, n_shingles long, node long, regs binary"
+SKETCH = "doc_id long, text_id binary, n_shingles long, node long, regs binary"
 
 
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles."""
-    ws = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII only, white space 20 and 09-0D
-    if not ws:
-        return np.empty(0, np.uint64)
-    data = np.frombuffer(b" ".join(ws), np.uint8)
-    gap = np.flatnonzero(data == 0x20)
-    each = span_hash(prefix_hash(data), np.concatenate(([0], gap + 1)), np.concatenate((gap, [len(data)])))
-    k = min(SHINGLE, len(ws))
-    out = np.full(len(ws) - k + 1, k, np.uint64)
+    each = word_hashes((text or "").encode("utf-8", "surrogatepass"))
+    if not len(each):
+        return each
+    k = min(SHINGLE, len(each))
+    out = np.full(len(each) - k + 1, k, np.uint64)
     for j in range(k):
-        out = out * U64(0x9FB21C651E98DF25) + each[j : len(ws) - k + 1 + j]
+        out = out * U64(0x9FB21C651E98DF25) + each[j : len(each) - k + 1 + j]
     return np.unique(mix64(out))
 
 
@@ -86,6 +85,11 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
     return np.clip(k, 0, TOP).astype(">u2").reshape(n, M)
 
 
+def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The sketches of the unions of sets, from those of their parts."""
+    return np.maximum(a, b)
+
+
 def log_likelihood(j: np.ndarray, nu: np.ndarray, nv: np.ndarray, above: np.ndarray, below: np.ndarray) -> np.ndarray:
     """Of similarity j, given how many of the M registers of u are above and below those of v, and both set sizes."""
     u, v = nu / (nu + nv), nv / (nu + nv)
@@ -107,15 +111,18 @@ def plausible(ru: np.ndarray, rv: np.ndarray, nu: np.ndarray, nv: np.ndarray) ->
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    small_batches(docs.sparkSession, 1024)
+    """SKETCH rows, one for each of docs(doc_id, text)."""
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            sets = [shingles(t) for t in b["text"]]
-            regs = registers(sets)
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "text_hash": b["text_hash"], "n_shingles": [len(s) for s in sets], "node": [node_of(s) for s in sets], "regs": [r.tobytes() for r in regs]})
+        for t in batches:
+            for at in range(0, len(t), 512):  # 255 registers of 8 bytes a set while they are drawn
+                b = t.iloc[at : at + 512]
+                sets = [shingles(x) for x in b["text"]]
+                regs = registers(sets)
+                yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64").array, "text_id": b["text_id"].array, "n_shingles": [len(s) for s in sets], "node": [node_of(s) for s in sets], "regs": [r.tobytes() for r in regs]})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash")).mapInPandas(run, SKETCH)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_id(F.col("text")).alias("text_id")).mapInPandas(run, SKETCH)
 
 
 def _decode(column: pd.Series) -> np.ndarray:
@@ -125,7 +132,7 @@ def _decode(column: pd.Series) -> np.ndarray:
 def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) that the likelihood of their registers lets through."""
     own = lambda s: nodes.select(F.col("node").alias(s), F.col("regs").alias(f"r{s}"), F.col("n_shingles").alias(f"n{s}"))
-    small_batches(pairs.sparkSession, 4096)
+    small_batches(pairs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for t in batches:
@@ -138,7 +145,7 @@ def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs whose full sets reach the threshold. texts: (node, text), a row for each node."""
-    small_batches(pairs.sparkSession, 256)
+    small_batches(pairs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for t in batches:
@@ -148,8 +155,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     cache = {b: shingles(tb)}
                 x, y = shingles(ta), cache[b]
                 if node_of(x) != a or node_of(y) != b:
-                    ok.append(False)
-                    continue
+                    raise ValueError(f"the texts of nodes {a}, {b} do not have their sets")
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(100 * both >= PERCENT * (len(x) + len(y) - both))
             yield t.loc[np.array(ok, bool), ["a", "b"]]
@@ -159,69 +165,126 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text), a row for each node, from the row that stands for it; the corpus is shuffled once, by one plan at any size.
-
-    Rows are named by doc_id and a hash of the text, as ids may be null or shared; rows that repeat are one before they meet nodes.
-    """
-    by = ["doc_id", "text_hash"]
-    named = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").dropDuplicates(by)
-    return staged(named.join(nodes.select("node", *by).hint("merge"), by).select("node", "text"), "near-texts")
-
-
-def _spanning(rows: list[tuple], ready: dict[int, np.ndarray]) -> list[tuple[int, int]]:
-    """Verified links that join the components of a block's rows (node, comp, n_shingles, regs).
-
-    A pair is compared only in the first band that it shares, so never twice, and only while it is apart.
+    """(node, text), a row for each of nodes(node, text_id, ..); the corpus is shuffled once, copies reduced before that, by one plan at any size."""
+    named = docs.select(text_id(F.col("text")).alias("text_id"), "text").groupBy("text_id").agg(F.any_value("text").alias("text"))
+    return staged(named.join(nodes.select("node", "text_id").hint("merge"), "text_id").select("node", "text"), "near-texts")
+
+
+class _Block:
+    """Nodes that meet in a block: all ``home`` ones with all others in another component, each pair in the first band that it shares."""
+
+    def __init__(self, rows: list[tuple]):
+        """rows: (home, node, comp, n_shingles, regs)."""
+        self.rows, self.regs, self.n = {}, {}, {}
+        home, rest = {}, {}
+        for h, node, comp, n, regs in rows:
+            (home if h else rest)[node] = comp
+            self.rows[node] = (n, regs)
+        self.home, self.rest = list(home), list(rest)
+        comps = {c: i for i, c in enumerate({*home.values(), *rest.values()})}
+        self.comp = {**{k: comps[v] for k, v in home.items()}, **{k: comps[v] for k, v in rest.items()}}
+        read = lambda ks: np.frombuffer(b"".join(self.rows[k][1] for k in ks), ">u2").astype(np.uint16).reshape(len(ks), M)
+        self.home_regs, self.rest_regs = read(self.home), read(self.rest)
+        self.rest_n = np.array([self.rows[k][0] for k in self.rest], float)
+        every = np.concatenate((self.home_regs, self.rest_regs))
+        self.band = int((every == every[0]).reshape(len(every), BANDS, ROWS).all(axis=(0, 2)).argmax())
+
+    def partners(self, group: dict[int, int]) -> Iterator[tuple[int, np.ndarray]]:
+        """For each home node, where in ``rest`` its plausible partners of another group are; read anew for each node."""
+        for i, x in enumerate(self.home):
+            others = np.array([group[k] for k in self.rest])
+            y = np.flatnonzero(others != group[x])
+            if len(y):
+                y = y[(self.rest_regs[y] == self.home_regs[i]).reshape(len(y), BANDS, ROWS).all(axis=2).argmax(axis=1) == self.band]
+            if len(y):
+                y = y[plausible(np.broadcast_to(self.home_regs[i], (len(y), M)), self.rest_regs[y], np.full(len(y), float(self.rows[x][0])), self.rest_n[y])]
+            if len(y):
+                yield x, y
+
+    def open(self) -> set[int]:
+        """Nodes that may have a partner in another component."""
+        out: set[int] = set()
+        for x, y in self.partners(self.comp):
+            out.add(x)
+            out.update(self.rest[i] for i in y.tolist())
+        return out
+
+    def links(self, sets: dict[int, np.ndarray]) -> list[tuple[int, int]]:
+        """Verified links that join the components; a pair is compared only while it is apart."""
+        group, out = dict(self.comp), []
+        for x, y in self.partners(group):
+            mine, others = sets[x], [sets[self.rest[i]] for i in y]
+            every = np.concatenate(others)
+            at = np.minimum(np.searchsorted(mine, every), len(mine) - 1)
+            both = np.add.reduceat((mine[at] == every).astype(np.int64), np.concatenate(([0], np.cumsum([len(o) for o in others])[:-1])))
+            for i, k in zip(y.tolist(), both.tolist()):
+                z = self.rest[i]
+                if group[z] != group[x] and 100 * k >= PERCENT * (len(mine) + len(sets[z]) - k):
+                    out.append((max(x, z), min(x, z)))
+                    gone = group[z]
+                    for m, g in group.items():
+                        if g == gone:
+                            group[m] = group[x]
+        return out
+
+
+def _blocked(placed: DataFrame, nodes: DataFrame) -> DataFrame | None:
+    """Rows (key, i, j, home, node, comp, n_shingles, regs) of the blocks of buckets with several components, from (key, node, comp).
+
+    All nodes of a bucket are dealt over chunks i, and those outside its largest component over chunks j; None: no such bucket.
     """
-    node = [r[0] for r in rows]
-    regs = np.frombuffer(b"".join(r[3] for r in rows), ">u2").astype(np.uint16).reshape(len(rows), M)
-    n = np.array([r[2] for r in rows], float)
-    own_band = int((regs == regs[0]).reshape(len(rows), BANDS, ROWS).all(axis=(0, 2)).argmax())
-    names: dict[int, int] = {}
-    group = np.array([names.setdefault(r[1], len(names)) for r in rows])
-    out = []
-    for x in range(len(rows) - 1):
-        y = x + 1 + np.flatnonzero(group[x + 1 :] != group[x])
-        if not len(y):
-            continue
-        first = (regs[y] == regs[x]).reshape(len(y), BANDS, ROWS).all(axis=2).argmax(axis=1)
-        y = y[first == own_band]
-        if len(y):
-            y = y[plausible(np.broadcast_to(regs[x], (len(y), M)), regs[y], np.full(len(y), n[x]), n[y])]
-        if not len(y):
-            continue
-        mine, others = ready[node[x]], [ready[node[i]] for i in y]
-        every = np.concatenate(others)
-        at = np.minimum(np.searchsorted(mine, every), len(mine) - 1)
-        both = np.add.reduceat((mine[at] == every).astype(np.int64), np.concatenate(([0], np.cumsum([len(o) for o in others])[:-1])))
-        for i, k in zip(y.tolist(), both.tolist()):
-            if group[i] != group[x] and 100 * k >= PERCENT * (len(mine) + len(ready[node[i]]) - k):
-                out.append((max(node[x], node[i]), min(node[x], node[i])))
-                group[group == group[i]] = group[x]
-    return out
-
-
-def _across(rows: DataFrame) -> DataFrame:
-    """Links (a, b) between components that share a bucket, from rows (key, i, j, node, comp, n_shingles, regs, text) in blocks."""
-    small_batches(rows.sparkSession, 256)
+    size = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("top"))
+    mixed = staged(size.where("n > top.n").select("key", F.col("top.comp").alias("major"), F.ceil(F.col("n") / BLOCK).alias("wide"), F.ceil((F.col("n") - F.col("top.n")) / BLOCK).alias("deep")), "near-mixed")
+    if mixed.isEmpty():
+        discard(mixed)
+        return None
+    every = staged(placed.join(mixed, "key"), "near-open")
+    discard(mixed)
+    chunk = lambda of: F.pmod(F.xxhash64("node"), F.col(of))
+    up_to = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
+    own = ["node", "comp"]
+    home = every.select("key", chunk("wide").alias("i"), up_to("deep").alias("j"), F.lit(True).alias("home"), *own)
+    rest = every.where("comp <> major").select("key", up_to("wide").alias("i"), chunk("deep").alias("j"), F.lit(False).alias("home"), *own)
+    return home.unionByName(rest).join(nodes.select("node", "n_shingles", "regs"), "node")
+
+
+def _per_block(rows: DataFrame, judge, schema: str, *more: str) -> DataFrame:
+    """judge((key, home, node, comp, n_shingles, regs, *more) rows of a block) for each block, one at a time."""
+    small_batches(rows.sparkSession)
     keys = ["key", "i", "j"]
+    columns = ["home", "node", "comp", "n_shingles", "regs", *more]
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, held, sets = None, {}, {}  # one block at a time: at most 2 * BLOCK sets
-        done = lambda: pd.DataFrame(_spanning(list(held.values()), sets) if len(held) > 1 else [], columns=["a", "b"], dtype="int64")
+        at, held = None, []
+        done = lambda: pd.DataFrame(judge(at[0], held) if len(held) > 1 else [], columns=names, dtype="int64")
         for t in batches:
-            for key, i, j, node, comp, n, regs, text in zip(*(t[c] for c in (*keys, "node", "comp", "n_shingles", "regs", "text"))):
+            for key, i, j, *row in zip(*(t[c] for c in (*keys, *columns))):
                 if (key, i, j) != at:
                     yield done()
-                    at, held, sets = (key, i, j), {}, {}
-                if node not in held:
-                    s = shingles(text)
-                    if node_of(s) == node:
-                        held[node], sets[node] = (node, comp, n, regs), s
+                    at, held = (key, i, j), []
+                held.append(tuple(row))
         yield done()
 
-    lanes = 4 * rows.sparkSession.sparkContext.defaultParallelism  # few rows, much work: not merged into fewer tasks
-    return rows.repartition(lanes, *keys).sortWithinPartitions(*keys).select(*keys, "node", "comp", "n_shingles", "regs", "text").mapInPandas(run, "a long, b long").distinct()
+    return rows.repartition(lanes(rows.sparkSession), *keys).sortWithinPartitions(*keys).select(*keys, *columns).mapInPandas(run, schema)
+
+
+def _across(placed: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """Links (a, b) between components that share a bucket, from (key, node, comp); None: there is nothing to compare."""
+    if (rows := _blocked(placed, nodes)) is None:
+        return None
+    may = staged(_per_block(rows, lambda key, held: [(key, k) for k in _Block(held).open()], "key long, node long").distinct(), "near-may")
+    rows = _blocked(placed.join(may, ["key", "node"]), nodes)
+    discard(may)
+
+    def linked(key: int, held: list[tuple]) -> list[tuple[int, int]]:
+        sets = {}
+        for _, node, _, _, _, text in held:
+            if node not in sets:
+                sets[node] = shingles(text)
+        return _Block([r[:5] for r in held]).links(sets)
+
+    return None if rows is None else _per_block(rows.join(texts, "node"), linked, "a long, b long", "text").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -229,14 +292,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     every = staged(sketch(docs), "near-sketches")
     full = every.where("n_shingles > 0")
+    # a row for each set, before anything is dealt by what the copies have in common
+    alone = staged(full.groupBy("node").agg(F.min(F.struct("n_shingles", "text_id", "regs")).alias("row")).select("node", "row.*"), "near-alone")
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring(F.col("regs"), i * (2 * ROWS) + 1, 2 * ROWS)))
-    bands = full.select("node", F.explode(keys).alias("key"))
+    bands = alone.select("node", F.explode(keys).alias("key"))
     buckets = staged(bands.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key", "low"), "near-buckets")
-    members = staged(bands.join(buckets, "key").where("node <> low").distinct(), "near-members")
-    linked = members.select("node").unionByName(members.select(F.col("low").alias("node"))).distinct()
-    met = staged(linked, "near-met")
-    some = full.join(met.hint("merge"), "node").groupBy("node").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), "text_hash")).alias("row"), F.max("n_shingles").alias("n_shingles"), F.max("regs").alias("regs"))
-    nodes = staged(some.select("node", "row.*", "n_shingles", "regs"), "near-nodes")
+    members = staged(bands.join(buckets, "key").where("node <> low"), "near-members")
+    met = members.select("node").unionByName(members.select(F.col("low").alias("node"))).distinct()
+    nodes = staged(alone.join(met, "node"), "near-nodes")
     texts = _texts(docs, nodes)
     links, comps = None, None
 
@@ -265,18 +328,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # buckets that hold more than one component beside their least node, which all others have met
     placed = staged(members.join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp")), "near-placed")
-    mixed = staged(placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("n")).where("x < y").select("key", "n"), "near-mixed")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("long")
-    open_rows = placed.join(mixed, "key").withColumn("mine", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    open_rows = open_rows.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "node", "comp").distinct()
-    join_up(_across(open_rows.join(nodes.drop("doc_id", "text_hash"), "node").join(texts, "node")))
+    if (more := _across(placed, nodes, texts)) is not None:
+        join_up(more)
 
     thin = full.select("doc_id", "n_shingles", "node")
     grouped = staged(thin.join(comps, "node", "left").select("doc_id", "n_shingles", F.coalesce("comp", "node").alias("comp")), "near-grouped")
     first = staged(grouped.groupBy("comp").agg(F.min("doc_id").alias("component_id")), "near-first")
     out = grouped.join(first, "comp").select("doc_id", "n_shingles", "component_id")
     out = out.unionByName(every.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
-    discard(buckets, members, met, nodes, texts, apart, placed, mixed)
+    discard(alone, buckets, members, nodes, texts, apart, placed)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 

@@ -8,7 +8,7 @@ import pytest
 import corpus_pipeline
 from citeforge.llm import decontaminate, language, mixing, near_dup, pii, secret_scan, suffix_dedup, token_count, topk, warc
 
-CLASH = "found had _had _h _k _kinds kinds key node regs h low comp component_id kept size target taken shard begin end score held_out lang_pred family spans items n_hit n_words a b i j n hash place marks hot digest refers_to rank query_id vec part x gram text_hash".split()
+CLASH = "found had _had _h _k _kinds kinds key node regs h low comp component_id kept size target taken shard begin end score held_out lang_pred family spans items n_hit n_words a b i j n hash place marks hot digest refers_to rank query_id vec part x gram text_id copied lost".split()
 BASE = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
@@ -47,6 +47,7 @@ def test_operators_keep_rows(spark, rows):
         lambda x: decontaminate.report(decontaminate.scan(x, bench)),
         lambda x: decontaminate.report(decontaminate.scan(x, bench.limit(0))),
         near_dup.near_duplicates,
+        suffix_dedup.remove,
         token_count.counts,
     ]
     for f in every:
@@ -112,3 +113,10 @@ def test_near_duplicates_of_null_and_shared_ids(spark):
         rows += [(100 + k, " ".join(ws)), (None, " ".join(near[0])), (None, " ".join(near[1])), (999, " ".join(near[2])), (None, " ".join(near[0]))]
     got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert len(got) == len(rows) and {(r["n_shingles"], r["component_id"]) for r in got} == {(56 + k, 100 + k) for k in range(12)}
+
+
+def test_many_rows_without_ids_and_with_one_id(spark):
+    for doc in (None, 7):
+        rows = [(doc, f"only {i} of many words here {i}") for i in range(1000)] + [(doc, "these are copies of each other") for _ in range(1000)]
+        got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+        assert len(got) == 2000 and {r["component_id"] for r in got} == {doc} and {r["kept"] for r in got} == {True}

@@ -59,6 +59,59 @@ def test_near_duplicates(spark, odd):
     assert [r["doc_id"] for r in near_dup.keep_first(docs(spark, ["a b c", "A b  c", "d"])).orderBy("doc_id").collect()] == [0, 2]
 
 
+def near_by_brute_force(texts):
+    """(shingles, least index reachable) of each text."""
+    sets = []
+    for t in texts:
+        ws = (t or "").encode().lower().split()
+        sets.append({tuple(ws[i : i + 5]) for i in range(max(1, len(ws) - 4))} if ws else set())
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    return [(len(s), r) for s, r in zip(sets, root)]
+
+
+@pytest.mark.parametrize("block", [2, 1024])
+def test_near_duplicates_in_blocks(spark, odd, monkeypatch, block):
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choices("abcdefgh", k=6))
+    texts = list(odd)
+    for _ in range(3):
+        base = [word() for _ in range(120)]
+        texts.append(" ".join(base))
+        for k in range(14):  # each a few edits away from the one before: some link only in chains, some not at all
+            for _ in range(1 + k % 3):
+                base[rnd.randrange(120)] = word()
+            texts.append(" ".join(base))
+    monkeypatch.setattr(near_dup, "BLOCK", block)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dup.near_duplicates(docs(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == near_by_brute_force(texts)
+
+
+def test_blocks_find_what_the_least_node_hides():
+    rnd = random.Random(13)
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(200)]
+    far = [*base[:140], *(f"v{i}" for i in range(60))]
+    texts = [" ".join(base), " ".join([*base[:-1], "x"]), " ".join(far), " ".join([*far[:-1], "y"])]
+    sets = [near_dup.shingles(t) for t in texts]
+    nodes = [near_dup.node_of(x) for x in sets]
+    regs = near_dup.registers(sets)
+    regs[:, :5] = regs[0, :5]  # a bucket that all share
+    rows = [(h, n, n, len(x), r.tobytes()) for h in (True, False) for n, x, r in zip(nodes, sets, regs)]
+    block = near_dup._Block(rows)
+    assert block.open() == set(nodes) and {frozenset(x) for x in block.links(dict(zip(nodes, sets)))} == {frozenset(nodes[:2]), frozenset(nodes[2:])}
+
+
+def test_sketches_merge():
+    rnd = np.random.default_rng(6)
+    x, y = (np.unique(rnd.integers(0, 2**63, n).astype(np.uint64)) for n in (700, 300))
+    a, b, both = near_dup.registers([x, y, np.union1d(x, y)])
+    assert (near_dup.merged(a, b) == both).all()
+
+
 def test_suffix_dedup(spark, odd):
     raws = [(t or "").encode() for t in odd]
     seen = Counter(x[i : i + 400] for x in raws for i in range(len(x) - 399))
@@ -69,10 +122,44 @@ def test_suffix_dedup(spark, odd):
         assert (got[i]["n_removed"], got[i]["n_spans"], got[i]["kept_sha256"]) == (removed, n, hashlib.sha256(kept).hexdigest()), i
 
 
-def test_hot_pieces_give_the_same(spark, odd, monkeypatch):
-    want = sorted(map(tuple, suffix_dedup.dedup(docs(spark, odd)).collect()))
-    monkeypatch.setattr(suffix_dedup, "HOT", 1)
-    assert sorted(map(tuple, suffix_dedup.dedup(docs(spark, odd)).collect())) == want
+def shared_words(texts, n=suffix_dedup.WORDS):
+    """For each text, the words inside strings of n words that another row has too, by brute force."""
+    rows = [(t or "").encode().lower().split() for t in texts]
+    holders = {}
+    for i, ws in enumerate(rows):
+        for j in range(len(ws) - n + 1):
+            holders.setdefault(tuple(ws[j : j + n]), set()).add(i)
+    out = []
+    for i, ws in enumerate(rows):
+        inside = set()
+        for j in range(len(ws) - n + 1):
+            if len(holders[tuple(ws[j : j + n])]) > 1:
+                inside.update(range(j, j + n))
+        out.append(len(inside))
+    return out
+
+
+def test_split_groups_give_the_same(spark, odd, monkeypatch):
+    texts = odd + [f"{i} " * 30 + odd[4][2000:2900] + f" {i}" * 30 for i in range(12)]
+    want = sorted(map(tuple, suffix_dedup.dedup(docs(spark, texts)).collect()))
+    assert [r[-1] for r in want] == shared_words(texts)
+    monkeypatch.setattr(suffix_dedup, "GROUP", 2)
+    assert sorted(map(tuple, suffix_dedup.dedup(docs(spark, texts)).collect())) == want
+
+
+def test_suffix_remove(spark, odd):
+    texts = odd + ["\u00e9" * 300 + "!", "x" + "\u00e9" * 300]  # whole characters repeat
+    d = docs(spark, texts)
+    got = {r["doc_id"]: r["text"] for r in suffix_dedup.remove(d).collect()}
+    want = {r["doc_id"]: r["kept_sha256"] for r in suffix_dedup.dedup(d).collect()}
+    assert suffix_dedup.remove(d).columns == d.columns and got[0] is None
+    assert all(hashlib.sha256((t or "").encode()).hexdigest() == want[i] for i, t in got.items())
+
+
+def test_suffix_dedup_of_many_rows_without_ids(spark, odd):
+    many = spark.createDataFrame([(None if i % 2 else 7, t) for i in range(1000) for t in (odd[4] if i % 3 == 0 else f"{i} {odd[4][i : i + 500]}",)], "doc_id bigint, text string")
+    got = suffix_dedup.dedup(many).collect()
+    assert len(got) == 1000 and sum(r["n_removed"] == r["n_bytes"] == len(odd[4]) for r in got) == 334 and all(r["n_removed"] >= 490 for r in got)
 
 
 def test_deep_shallow():
