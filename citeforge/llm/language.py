@@ -6,10 +6,11 @@ everything but letters as a blank; a text of any length is read whole, in pieces
 
 Training takes at most ``SAMPLE`` documents of each language, chosen by a hash of doc_id among the labelled
 documents it may learn from; only their feature counts reach the driver (50 KB each at most). Languages are the
-labels found there. Known codes are dealt to families by a fixed table; unknown ones join the family whose mean
+labels found there, the ``LANGUAGES`` most frequent ones if there are more (ties: by code point), so what is
+learned from and broadcast is bounded. Known codes are dealt to families by a fixed table; unknown ones join the family whose mean
 is nearest. Training is deterministic.
 
-Null text, or a text without a letter: ``und``, score 0. No labelled documents at all: ``und`` everywhere. One
+Null text, or a text without a letter (Unicode category L): ``und``, score 0. No labelled documents at all: ``und`` everywhere. One
 language: it gets every text with a letter, score 1. Null doc_id: never learned from, held_out is false.
 Repeated rows are predicted alike; an empty table gives no rows. The score multiplies the chances that the
 machines' margins give the family and the language.
@@ -17,18 +18,18 @@ machines' margins give the family and the language.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import small_batches
 
-SAMPLE, BINS, EPOCHS, COST, PIECE = 400, 1 << 13, 12, 4.0, 1 << 18
+SAMPLE, LANGUAGES, BINS, EPOCHS, COST, PIECE = 400, 200, 1 << 13, 12, 4.0, 1 << 18
 UNKNOWN = "und"
 # Language families by ISO 639-1 code.
 FAMILIES = {
@@ -38,7 +39,7 @@ FAMILIES = {
     "uralic": "fi et hu",
     "turkic": "tr az kk uz",
 }
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _BLANK = bytes(i if 0x61 <= i <= 0x7A or i >= 0x80 else 0x20 for i in range(256))
 
 
@@ -155,16 +156,14 @@ def learnable() -> Column:
     return (F.crc32(F.col("doc_id").cast("string")) % 5 != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull()
 
 
-def fit(docs: DataFrame, may_learn: Column | None = None, sample: int = SAMPLE) -> Model:
+def fit(docs: DataFrame, may_learn: Column | None = None, sample: int = SAMPLE, languages: int = LANGUAGES) -> Model:
     """Learns from docs(doc_id, text, lang)."""
     small_batches(docs.sparkSession)
     usable = docs.where(learnable() if may_learn is None else may_learn)
-    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each label
-    if not counts:
-        return Model(Machines([]), [])
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.col("_n").desc(), "lang").limit(languages)
+    counts = docs.sparkSession.createDataFrame([(r["lang"], int(min(1.0, 2 * sample / r["_n"]) * (1 << 30))) for r in counts.collect()], "lang string, least long")
     h = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    share = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(int(min(1.0, 2 * sample / n) * (1 << 30))))])
-    drawn = usable.select("doc_id", "text", "lang", h.alias("h")).where(F.col("h") <= share[F.col("lang")])
+    drawn = usable.select("doc_id", "text", "lang", h.alias("h")).join(F.broadcast(counts), "lang").where(F.col("h") <= F.col("least"))  # a row for each language
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
