@@ -6,23 +6,26 @@ Every word of the benchmark gets a number; a document becomes the numbers of its
 hashes of all windows are looked up in the sorted set, and every hit is verified on the numbers themselves.
 
 The set is broadcast only while the benchmark has at most ``max_words`` words (some 100 bytes each); a larger one
-is cut into pieces of that size, the documents are scanned once for each, and hits are united.
+is cut into pieces of that size (a longer item into overlapping parts). Pieces are read one after the other: the driver
+and the cluster hold one at a time, the documents are scanned once for each, its hits are written out, and all are united.
 
-Null text, or one without a word: no words, no hits. Items without words or with a null id never count.
-Repeated rows are documents of their own; items that share an id count once. Empty tables: no rows, or no hits.
+Null text, or one without a word: no words, no hits. Items without words never count. Words of an item with a null id
+are hit, but it adds nothing to the items found. Repeated rows are documents of their own; items that share an id count
+once. Empty tables: no rows, or no hits. Other columns are ignored by ``scan`` and kept by the removing functions.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, mix64, small_batches, staged
+from .common import U64, discard, mix64, small_batches, staged
 
 N, MAX_WORDS = 10, 2_000_000
 _KEEP = np.arange(256, dtype=np.uint8)
@@ -48,9 +51,9 @@ def rolling(ids: np.ndarray, n: int) -> np.ndarray:
 class WindowSet:
     """The windows of benchmark items: item numbers by window, and the sorted hashes to look them up."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], n: int):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], n: int):
         self.number: dict[bytes, int] = {}
-        self.names: list[str] = []
+        self.names: list[str | None] = []
         self.by_length: dict[int, tuple[np.ndarray, dict[bytes, list[int]]]] = {}
         found: dict[int, dict[bytes, list[int]]] = {}
         hashes: dict[int, list[np.ndarray]] = {}
@@ -84,22 +87,28 @@ class WindowSet:
                     hit[i] += 1
                     hit[i + k] -= 1
                     names.update(self.names[x] for x in of)
-        return np.cumsum(hit[:-1]) > 0, names
+        return np.cumsum(hit[:-1]) > 0, names - {None}
 
 
-def _pieces(benchmark: DataFrame, max_words: int) -> list[list[tuple[str, list[bytes]]]]:
-    """Items in pieces of at most max_words words; one piece at a time is held while it is filled."""
-    out, room = [[]], max_words
-    for row in benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("i"), "text").toLocalIterator():
+Piece = list[tuple[str | None, list[bytes]]]
+
+
+def _pieces(benchmark: DataFrame, max_words: int, n: int) -> Iterator[Piece]:
+    """Items in pieces of at most max_words words (n at least), each read from the table when it is asked for; one at least."""
+    most = max(max_words, n)
+    piece, room, none = [], most, True
+    for row in benchmark.where("text is not null").select(F.col("item_id").cast("string").alias("i"), "text").toLocalIterator():
         ws = words(row["text"])
-        if not ws:
-            continue
-        if len(ws) > room and out[-1]:
-            out.append([])
-            room = max_words
-        out[-1].append((row["i"], ws))
-        room -= len(ws)
-    return out
+        step = most if len(ws) <= most else most - n + 1  # windows that cross a cut belong to the part before it
+        for at in range(0, len(ws) if len(ws) <= most else len(ws) - n + 1, step):
+            part = ws[at : at + most]
+            if len(part) > room and piece:
+                yield piece
+                piece, room, none = [], most, False
+            piece.append((row["i"], part))
+            room -= len(part)
+    if piece or none:
+        yield piece
 
 
 def _digest(names: set[str]) -> str:
@@ -110,16 +119,15 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = N, max_words: int = MAX
     """One row for each of docs: its words, hit words, the items found, and ``spans``, the runs of hit words [begin, end)."""
     spark = docs.sparkSession
     small_batches(spark)
-    pieces = _pieces(benchmark, max_words)
+    pieces = _pieces(benchmark, max_words, n)
+    first, second = next(pieces), next(pieces, None)
+    many = second is not None
     schema = "key string, doc_id long, n_words long, items array<string>, spans array<struct<begin:long,end:long>>"
-    many = len(pieces) > 1
     given = docs.select(F.uuid().alias("key") if many else F.lit("").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     if many:
         given = staged(given, "scan-docs")  # the key names a row, equal rows as well
 
-    def one(piece) -> DataFrame:
-        shared = spark.sparkContext.broadcast(WindowSet(piece, n))
-
+    def one(shared) -> DataFrame:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             windows = shared.value
             for b in batches:
@@ -134,10 +142,14 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = N, max_words: int = MAX
         return given.mapInPandas(run, schema)
 
     if not many:
-        return one(pieces[0]).drop("key")
-    every = one(pieces[0])
-    for piece in pieces[1:]:
-        every = every.unionByName(one(piece))
+        return one(spark.sparkContext.broadcast(WindowSet(first, n))).drop("key")
+    every = None
+    for piece in chain([first, second], pieces):
+        shared = spark.sparkContext.broadcast(WindowSet(piece, n))
+        found = staged(one(shared) if every is None else one(shared).where(F.size("spans") > 0), "scan-piece")
+        shared.destroy()
+        every = found if every is None else every.unionByName(found)
+    discard(given)
     merged = every.groupBy("key").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans")
     )
@@ -160,7 +172,7 @@ def report(found: DataFrame) -> DataFrame:
 def _clean(shared):
     @F.pandas_udf("boolean")
     def clean(texts: pd.Series) -> pd.Series:
-        return pd.Series([not shared.value.scan(words(t))[1] for t in texts], dtype=bool)
+        return pd.Series([not shared.value.scan(words(t))[0].any() for t in texts], dtype=bool)
 
     return clean
 
@@ -173,23 +185,29 @@ def _without_hits(shared):
     return cut
 
 
-def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = N, max_words: int = MAX_WORDS) -> DataFrame:
-    """docs without those in which a window occurs; row by row, every column as it was."""
+def _piecewise(docs: DataFrame, benchmark: DataFrame, n: int, max_words: int, step) -> DataFrame:
+    """step(docs, broadcast set) for one piece after the other; between pieces the documents are written out and the set is dropped."""
     spark = docs.sparkSession
     small_batches(spark)
-    pieces = _pieces(benchmark, max_words)
-    for piece in pieces:
-        docs = docs.where(_clean(spark.sparkContext.broadcast(WindowSet(piece, n)))("text"))
-    return docs
+    pieces = _pieces(benchmark, max_words, n)
+    piece = next(pieces)
+    while True:
+        shared = spark.sparkContext.broadcast(WindowSet(piece, n))
+        docs = step(docs, shared)
+        if (piece := next(pieces, None)) is None:
+            return docs
+        docs = staged(docs, "scan-docs")
+        shared.destroy()
+
+
+def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = N, max_words: int = MAX_WORDS) -> DataFrame:
+    """docs without those in which a window occurs; row by row, every column as it was."""
+    return _piecewise(docs, benchmark, n, max_words, lambda d, shared: d.where(_clean(shared)("text")))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N, max_words: int = MAX_WORDS) -> DataFrame:
-    """docs with the hit words cut out of ``text`` (what stands between them stays)."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    for piece in _pieces(benchmark, max_words):
-        docs = docs.withColumn("text", _without_hits(spark.sparkContext.broadcast(WindowSet(piece, n)))("text"))
-    return docs
+    """docs with the hit words cut out of ``text`` (what stands between them stays); hits of a piece are judged on the text that pieces before it left."""
+    return _piecewise(docs, benchmark, n, max_words, lambda d, shared: d.withColumn("text", _without_hits(shared)("text")))
 
 
 def cut_words(text: str, hit: np.ndarray) -> str:
