@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .mixing import BLOCK, REPEATS, SEED, SHARD_DOCS, MAX_SHARDS
+from .mixing import BLOCK, FAN, REPEATS, SEED, SHARD_DOCS
 from .secret_scan import RULES
 
 MIX = f"""
@@ -28,18 +28,27 @@ WITH RECURSIVE sized AS (
   SELECT source FROM (SELECT source, row_number() OVER (ORDER BY target / (2 * s + 1) DESC, source) AS r
     FROM filled, (SELECT unnest(range((SELECT m FROM seats))) AS s) WHERE target > 0 AND s <= target / {BLOCK} + 2) WHERE r <= (SELECT m FROM seats)
 ), plan AS (
-  SELECT f.*, (SELECT count(*) FROM won WHERE won.source = f.source) AS source_quota, least({MAX_SHARDS}, ceil(n_docs / {SHARD_DOCS}))::BIGINT AS n_shards FROM filled f
+  SELECT f.*, (SELECT count(*) FROM won WHERE won.source = f.source) AS source_quota, ceil(n_docs / {SHARD_DOCS})::BIGINT AS n_shards FROM filled f
 ), dealt AS (
   SELECT d.doc_id, d.size, d.h, p.*, d.h % p.n_shards AS shard FROM sized d JOIN plan p ON d.source = p.source
 ), per_shard AS (
-  SELECT source, shard, sum(size)::BIGINT AS shard_size, max(source_quota) AS source_quota, max(n_shards) AS n_shards FROM dealt GROUP BY source, shard
+  SELECT source, shard, shard // {FAN} AS grp, sum(size)::BIGINT AS shard_size, max(source_quota) AS source_quota, greatest(1, ceil(sum(size) / {BLOCK}))::BIGINT AS blocks,
+    CASE WHEN sum(size) > 0 THEN {REPEATS} * ceil(sum(size) / {BLOCK}) ELSE 0 END::BIGINT AS most
+  FROM dealt GROUP BY source, shard
+), grps AS (
+  SELECT source, grp, sum(shard_size) AS grp_size, max(source_quota) AS source_quota, sum(most)::BIGINT AS most FROM per_shard GROUP BY source, grp
+), grp_ranked AS (
+  SELECT source, grp, source_quota, row_number() OVER (PARTITION BY source ORDER BY grp_size::DOUBLE / (2 * s + 1) DESC, grp, s) AS r
+  FROM (SELECT *, unnest(range(least(source_quota, most))) AS s FROM grps WHERE grp_size > 0)
+), grp_quota AS (
+  SELECT source, grp, count(*) FILTER (WHERE r <= source_quota) AS grp_quota FROM grp_ranked GROUP BY source, grp
 ), ranked AS (
-  SELECT source, shard, source_quota, row_number() OVER (PARTITION BY source ORDER BY shard_size::DOUBLE / (2 * s + 1) DESC, shard) AS r
-  FROM (SELECT *, unnest(range(source_quota)) AS s FROM per_shard WHERE shard_size > 0)
+  SELECT source, shard, grp_quota, row_number() OVER (PARTITION BY source, grp ORDER BY shard_size::DOUBLE / (2 * s + 1) DESC, shard, s) AS r
+  FROM (SELECT p.*, g.grp_quota, unnest(range(least(g.grp_quota, p.most))) AS s FROM per_shard p JOIN grp_quota g ON p.source = g.source AND p.grp = g.grp WHERE shard_size > 0)
+), shard_quota AS (
+  SELECT source, shard, count(*) FILTER (WHERE r <= grp_quota) AS quota FROM ranked GROUP BY source, shard
 ), quotas AS (
-  SELECT p.source, p.shard, p.shard_size, greatest(1, ceil(p.shard_size / {BLOCK}))::BIGINT AS blocks,
-    least((SELECT count(*) FROM ranked r WHERE r.source = p.source AND r.shard = p.shard AND r.r <= r.source_quota), {REPEATS} * greatest(1, ceil(p.shard_size / {BLOCK}))::BIGINT) AS quota
-  FROM per_shard p
+  SELECT p.source, p.shard, p.shard_size, p.blocks, coalesce(q.quota, 0) AS quota FROM per_shard p LEFT JOIN shard_quota q ON q.source = p.source AND q.shard = p.shard
 ), laid AS (
   SELECT d.doc_id, d.size, d.source_size, d.target, q.blocks, q.quota // q.blocks AS whole, q.quota % q.blocks AS more,
     ('0x' || substr(md5('{SEED}:' || d.source || ':' || d.shard), 1, 15))::BIGINT % q.blocks AS phase,
@@ -55,7 +64,7 @@ SELECT doc_id, size, source_size, target, (size * whole + x)::BIGINT AS taken FR
 WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 HITS = f"""
 WITH d AS (SELECT doc_id, coalesce({WORDS}, []) AS ws FROM {{documents}}),
-b AS (SELECT item_id::VARCHAR AS item, {WORDS} AS ws FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+b AS (SELECT item_id::VARCHAR AS item, {WORDS} AS ws FROM benchmark WHERE text IS NOT NULL),
 windows AS (SELECT DISTINCT item, least(10, len(ws)) AS n, array_to_string(ws[i:i + least(10, len(ws)) - 1], ' ') AS g
   FROM (SELECT item, ws, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS i FROM b WHERE len(ws) > 0)),
 lengths AS (SELECT DISTINCT n FROM windows),
@@ -63,7 +72,7 @@ found AS (SELECT x.doc_id, x.i, x.n, w.item FROM
   (SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS g FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, lengths WHERE len(ws) >= n)) x
   JOIN windows w ON x.g = w.g AND x.n = w.n),
 hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
-items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS joined FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+items AS (SELECT doc_id, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS joined FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
 SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(joined, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
@@ -72,7 +81,8 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 TOPK = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)) AS x FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
-scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0),
+asked AS (SELECT vec_id, min(x) AS x FROM v WHERE vec_id % 50 = 0 GROUP BY vec_id),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score FROM asked q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x)),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
 SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= 5
 """
