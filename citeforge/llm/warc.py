@@ -7,14 +7,17 @@ Reading: load the dictionary from the skippable frame (magic 0x184D2A5D), walk t
 time, and validate version line, lengths, digests and that a frame holds one record and nothing else.
 
 Payloads that are equal and have at least ``MIN_REVISIT`` bytes are stored once: the smallest page_id is the
-response, the others are revisits that refer to it and carry no payload. Null html is an empty payload; rows
-without page_id or url are written without one. Repeated rows (the same page_id) that hold the smallest id are
-all responses. An empty table makes no archive and no row.
+response, the others are revisits that refer to it and carry no payload. Every record has a WARC-Record-ID of its own
+and the WARC-Date of the run; page ids, which may be null or repeat, are extension fields (WARC-Page-ID, and
+WARC-Refers-To-Page-ID in revisits), as is a URL that no header line can hold (in base64, WARC-Target-URI-Base64).
+Null html is an empty payload; rows without page_id or url are written without one. Repeated rows (the same page_id) that
+hold the smallest id are all responses. An empty table makes no archive and no row.
 """
 
 from __future__ import annotations
 
 import base64
+import datetime as dt
 import hashlib
 import io
 import re
@@ -46,16 +49,22 @@ def _open(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, kind: str, refers_to: int | None) -> bytes:
+def now() -> str:
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, digest: str, kind: str, refers_to: int | None, date: str = "1970-01-01T00:00:00Z") -> bytes:
     """One WARC/1.1 record."""
-    name = lambda i: f"<urn:page:{i}>"
     block = b"" if kind == "revisit" else payload
-    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {name('none' if page_id is None else page_id)}"]
+    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid4()}>", f"WARC-Date: {date}"]
+    if page_id is not None:
+        head.append(f"WARC-Page-ID: {page_id}")
     if url is not None:
-        head.append("WARC-Target-URI: " + base64.b64encode(url.encode("utf-8", "surrogatepass")).decode() if re.search(r"[\r\n]|^\s|\s$|^$", url) else f"WARC-Target-URI: <{url}>")
+        plain = url and not re.search(r"[\x00-\x20\x7f<>]", url)
+        head.append(f"WARC-Target-URI: {url}" if plain else "WARC-Target-URI-Base64: " + base64.b64encode(url.encode("utf-8", "surrogatepass")).decode())
     head += [f"WARC-Payload-Digest: sha256:{digest}", f"WARC-Payload-Length: {len(payload)}"]
     if kind == "revisit":
-        head += [f"WARC-Refers-To: {name(refers_to)}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
+        head += [f"WARC-Refers-To-Page-ID: {refers_to}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
     head += ["Content-Type: text/html", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -74,7 +83,10 @@ def parse(raw: bytes) -> dict:
         fields[k] = v
     try:
         size, whole, kind = int(fields["Content-Length"]), int(fields["WARC-Payload-Length"]), fields["WARC-Type"]
-        page, digest = fields["WARC-Record-ID"], fields["WARC-Payload-Digest"].removeprefix("sha256:")
+        digest = fields["WARC-Payload-Digest"].removeprefix("sha256:")
+        uuid.UUID(fields["WARC-Record-ID"].removeprefix("<urn:uuid:").removesuffix(">"))
+        dt.datetime.strptime(fields["WARC-Date"], "%Y-%m-%dT%H:%M:%SZ")
+        page, refers_to = (int(fields[k]) if k in fields else None for k in ("WARC-Page-ID", "WARC-Refers-To-Page-ID"))
     except (KeyError, ValueError) as e:
         raise BadArchive(f"header field: {e}") from e
     if len(rest) != size + 4 or rest[size:] != b"\r\n\r\n":
@@ -83,13 +95,12 @@ def parse(raw: bytes) -> dict:
     if kind == "response":
         if size != whole or hashlib.sha256(payload).hexdigest() != digest:
             raise BadArchive("payload does not match its digest")
-    elif kind != "revisit" or size or "WARC-Refers-To" not in fields:
+    elif kind != "revisit" or size or refers_to is None:
         raise BadArchive(f"record of type {kind}")
-    number = lambda s: None if (i := s.removeprefix("<urn:page:").removesuffix(">")) == "none" else int(i)
     url = fields.get("WARC-Target-URI")
-    if url is not None:
-        url = url[1:-1] if url.startswith("<") else base64.b64decode(url).decode("utf-8", "surrogatepass")
-    return {"page_id": number(page), "url": url, "payload_bytes": whole, "payload_digest": digest, "record_type": kind, "refers_to": number(fields["WARC-Refers-To"]) if kind == "revisit" else None, "payload": payload}
+    if url is None and "WARC-Target-URI-Base64" in fields:
+        url = base64.b64decode(fields["WARC-Target-URI-Base64"]).decode("utf-8", "surrogatepass")
+    return {"page_id": page, "url": url, "payload_bytes": whole, "payload_digest": digest, "record_type": kind, "refers_to": refers_to if kind == "revisit" else None, "payload": payload}
 
 
 class Writer:
@@ -140,8 +151,9 @@ def read_archive(source, piece: int = 1 << 20) -> Iterator[bytes]:
 
 
 def train(pages: DataFrame) -> bytes:
-    """A dictionary from a bounded sample: the first rows, cut to SAMPLE_BYTES each. None if there is too little to learn from."""
-    rows = pages.where(F.length("html") > 0).select(F.substring("html", 1, SAMPLE_BYTES).alias("h")).limit(SAMPLE).collect()
+    """A dictionary from a bounded sample: the rows with the least hashes, cut to SAMPLE_BYTES each. Empty if there is too little to learn from."""
+    cut = pages.where(F.octet_length("html") > 0).select(F.xxhash64("html").alias("k"), F.substring("html", 1, SAMPLE_BYTES).alias("h"))
+    rows = cut.orderBy("k", "h").limit(SAMPLE).collect()
     samples = [r["h"].encode("utf-8", "surrogatepass") for r in rows]
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes() if len(samples) >= 8 else b""
@@ -154,15 +166,17 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     plain = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.sha2(F.coalesce(F.col("html"), F.lit("")).cast("binary"), 256).alias("digest"), F.octet_length(F.coalesce(F.col("html"), F.lit(""))).alias("n"))
     # a short row for each page with a payload that may repeat; a hot payload is reduced before the shuffle
     firsts = staged(plain.where((F.col("n") >= MIN_REVISIT) & F.col("page_id").isNotNull()).groupBy("digest").agg(F.min("page_id").alias("response"), F.max("page_id").alias("last")).where("last > response").select("digest", "response"), "warc-repeats")
-    joined = plain.join(firsts, "digest", "left")
-    return joined.select("page_id", "url", "html", "digest", F.when((F.col("n") >= MIN_REVISIT) & (F.col("response") < F.col("page_id")), F.col("response")).alias("refers_to"))
+    # short payloads find no partner; each has a key of its own, so that the empty ones do not meet
+    key = F.when(F.col("n") >= MIN_REVISIT, F.col("digest")).otherwise(F.concat_ws("-", F.xxhash64("page_id", "url").cast("string"), F.lit("short")))
+    joined = plain.withColumn("key", key).join(firsts.withColumnRenamed("digest", "key"), "key", "left")
+    return joined.select("page_id", "url", "html", "digest", F.when(F.col("response") < F.col("page_id"), F.col("response")).alias("refers_to"))
 
 
-def write(pages: DataFrame, folder: str | None = None) -> DataFrame:
-    """Writes pages(page_id, url, html) as archives; the committed list of them: path, records, bytes."""
+def write(pages: DataFrame, folder: str | None = None, date: str | None = None) -> DataFrame:
+    """Writes pages(page_id, url, html) as archives; the committed list of them: path, records, bytes. ``date``: WARC-Date, now if not given."""
     spark = pages.sparkSession
     small_batches(spark)
-    folder = folder or new_path(spark, "warc")
+    folder, date = folder or new_path(spark, "warc"), date or now()
     dictionary = spark.sparkContext.broadcast(train(pages))  # DICT_BYTES at most
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -180,7 +194,7 @@ def write(pages: DataFrame, folder: str | None = None) -> DataFrame:
                     w = Writer(out, dictionary.value)
                 revisit = not pd.isna(refers)
                 payload = b"" if html is None else html.encode("utf-8", "surrogatepass")
-                w.add(record(None if pd.isna(page) else int(page), url, payload, digest, "revisit" if revisit else "response", int(refers) if revisit else None))
+                w.add(record(None if pd.isna(page) else int(page), url, payload, digest, "revisit" if revisit else "response", int(refers) if revisit else None, date))
         if w is not None:
             out.close()
             done.append((at, w.records, w.size))
