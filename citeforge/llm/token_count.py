@@ -1,15 +1,20 @@
 """Edit-aware token counts: a segment tree over pre-token segments, re-encoding only what edits touch.
 
-A text is cut at a change of character class (before a blank or line end, between ASCII letters, digits and symbols),
-at least every LEAF characters where there is such a place; whatever stands around it, the pre-tokeniser ends a token
-there, so counts of the pieces add up. The leaves of the tree hold
-the pieces' token and character counts, inner nodes their sums. An edit re-encodes the leaves that it touches, and the
-neighbour where it comes within two characters of a cut (the boundary context), and deals the new text out over the same
-leaves, so leaves stay short however many edits follow; then sums are updated up to the root.
-
-Null text counts as empty: no tokens. Any text is read whole. Repeated rows are counted alike; empty tables give no
-rows. Texts that look like special tokens are ordinary text. The vocabulary's path is a parameter; its content
-(under 2 MB) is broadcast.
+A text is cut at a change of character class (before a blank or line end, between letters, digits and symbols of any
+script), at least every LEAF characters where there is such a place; whatever stands around it, the pre-tokeniser ends a
+token there, so counts of the pieces add up. A leaf has LEAF characters and one pre-token at most (a run of letters
+without any blank or sign is one: it cannot be cut without changing its tokens). The leaves of the tree hold the pieces'
+token and character counts, inner nodes their sums. An edit re-encodes the leaves that it touches, and the neighbour
+where it comes within two characters of a cut (the boundary context), and deals the new text out over the same leaves, so
+leaves stay short however many edits follow; then sums are updated up to the root.
+
+Trees are kept as a table, a row for each document (trees()); a table of edits is applied to them (edited()) and
+gives the trees that follow, encoding nothing but what the edits touch, so later edits find them again.
+
+Null text counts as empty: no tokens. Any text is read whole. Repeated rows are counted alike, and edits apply to every
+row of their doc_id (null is an id like others); edits of documents that are not there do nothing. Empty tables give no
+rows. Texts that look like special tokens are ordinary text. The vocabulary's path is a parameter; its content (under
+2 MB) is broadcast.
 """
 
 from __future__ import annotations
@@ -19,18 +24,19 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small_batches, staged
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LEAF = 1024
 # Fixed value: the pre-token pattern of the public byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Each depends on two characters only. An apostrophe before a letter is no cut: both may be one token.
-_CUT = re.compile(r"\S(?=[ \t\r\n])|[A-Za-z](?=[0-9!-/:-@\[-`{-~])|[0-9](?=[A-Za-z!-/:-@\[-`{-~])|[!-&(-/:-@\[-`{-~](?=[A-Za-z0-9])")
+_CUT = regex.compile(r"\S(?=[ \t\r\n])|\p{L}(?=[^\p{L}\s])|\p{N}(?=[^\p{N}\s])|[^\s\p{L}\p{N}](?=\p{N})|[^\s\p{L}\p{N}'](?=\p{L})")
 #: What the query's edits remove: mail addresses, long runs of digits, runs of symbols.
 SCRUB = re.compile(r"[\w.+-]{1,64}@[\w-]{1,63}\.[\w.-]{1,63}|\d[\d .()-]{7,30}\d|[#$%&*]{3,}")
 _encodings: dict[int, tiktoken.Encoding] = {}
@@ -64,6 +70,17 @@ class TokenTree:
         self._build(count(self.leaves))
         self.encoded = 0  # characters encoded again by edits
 
+    @classmethod
+    def kept(cls, leaves: list[str], tokens: list[int], count: Callable[[list[str]], list[int]], leaf: int = LEAF) -> TokenTree:
+        """The tree of leaves with known counts; nothing is encoded."""
+        tree = cls.__new__(cls)
+        tree.count, tree.leaf, tree.leaves, tree.encoded = count, leaf, list(leaves), 0
+        tree._build([int(n) for n in tokens])
+        return tree
+
+    def leaf_tokens(self) -> list[int]:
+        return self.tokens[self.width : self.width + len(self.leaves)]
+
     def _build(self, tokens: list[int]) -> None:
         """The sums above leaves of so many tokens."""
         n = len(self.leaves)
@@ -113,7 +130,7 @@ class TokenTree:
         tokens = self.count(parts)
         self.encoded += len(text)
         if grown:
-            every = self.tokens[self.width : self.width + len(self.leaves)]
+            every = self.leaf_tokens()
             self.leaves[low : high + 1] = parts
             self._build(every[:low] + tokens + every[high + 1 :])
             return
@@ -141,28 +158,88 @@ def together(text: str, edits: list[tuple[int, int, str]], span: int = LEAF) ->
     return [(start, end, "".join(parts)) for start, end, parts in out]
 
 
-def counts(docs: DataFrame, edits: Callable[[str], list[tuple[int, int, str]]] = scrubbed, vocabulary: str = VOCABULARY) -> DataFrame:
-    """doc_id, n_tokens, n_edits, n_tokens_edited, n_chars, n_chars_encoded (again, by edits) for each row.
+TREE = "doc_id long, n_tokens long, n_chars long, leaves array<string>, tokens array<int>"
+EDIT = "doc_id long, start long, end long, new string"
 
-    ``edits`` gives sorted, disjoint (start, end, new text) of a text.
-    """
+
+def _counter(shared) -> Callable[[list[str]], list[int]]:
+    enc = encoding(shared.value)
+    return lambda parts: [len(enc.encode_ordinary(p)) for p in parts]
+
+
+def _frame(rows: list[tuple], ids, columns: list[str]) -> pd.DataFrame:
+    out = pd.DataFrame(rows, columns=columns)
+    out.insert(0, "doc_id", ids.astype("Int64").array)
+    return out
+
+
+def trees(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """TREE rows, staged: the leaves of each document and their counts (sums above them are additions, made when a tree is read)."""
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(load_ranks(vocabulary))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoding(shared.value)
-        count = lambda parts: [len(enc.encode_ordinary(p)) for p in parts]
+        count = _counter(shared)
         for b in batches:
             rows = []
             for text in b["text"]:
                 tree = TokenTree(text or "", count)
-                before, todo = tree.total, edits(text or "")
-                for start, end, new in reversed(together(text or "", todo)):  # each leaf is encoded once or twice; from the back: places before stay where they are
-                    tree.edit(start, end, new)
-                rows.append((before, len(todo), tree.total, len(text or ""), tree.encoded))
-            out = pd.DataFrame(rows, columns=["n_tokens", "n_edits", "n_tokens_edited", "n_chars", "n_chars_encoded"])
-            out.insert(0, "doc_id", b["doc_id"].astype("Int64").array)
-            yield out
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, n_tokens long, n_edits long, n_tokens_edited long, n_chars long, n_chars_encoded long")
+                rows.append((tree.total, tree.chars[1], tree.leaves, tree.leaf_tokens()))
+            yield _frame(rows, b["doc_id"], ["n_tokens", "n_chars", "leaves", "tokens"])
+
+    return staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, TREE), "token-trees")
+
+
+def edited(forest: DataFrame, edits: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """TREE rows after EDIT rows (disjoint stretches of a document's text before any of them), with ``n_edits`` and ``n_chars_encoded``.
+
+    Edits meet the trees by doc_id; their number in a document is bounded by its length.
+    """
+    spark = forest.sparkSession
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast(load_ranks(vocabulary))
+    of = edits.select(F.col("doc_id").cast("long").alias("_d"), F.struct(F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), F.coalesce("new", F.lit("")).alias("new")).alias("e"))
+    of = of.groupBy("_d").agg(F.sort_array(F.collect_list("e")).alias("edits"))
+    joined = forest.join(of, F.col("doc_id").eqNullSafe(F.col("_d")), "left").select("doc_id", "leaves", "tokens", "edits")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        count = _counter(shared)
+        for b in batches:
+            rows = []
+            for leaves, tokens, todo in zip(b["leaves"], b["tokens"], b["edits"]):
+                tree, todo = TokenTree.kept(leaves, tokens, count), [] if todo is None else [(e["start"], e["end"], e["new"]) for e in todo]
+                apply(tree, todo)
+                rows.append((tree.total, tree.chars[1], tree.leaves, tree.leaf_tokens(), len(todo), tree.encoded))
+            yield _frame(rows, b["doc_id"], ["n_tokens", "n_chars", "leaves", "tokens", "n_edits", "n_chars_encoded"])
+
+    return joined.mapInPandas(run, TREE + ", n_edits long, n_chars_encoded long")
+
+
+def apply(tree: TokenTree, edits: list[tuple[int, int, str]]) -> None:
+    """Sorted, disjoint edits, from the back: places before stay where they are, and each leaf is encoded once or twice."""
+    for start, end, new in reversed(together(tree.text(), edits)) if edits else ():
+        tree.edit(start, end, new)
+
+
+def counts(docs: DataFrame, edits: Callable[[str], list[tuple[int, int, str]]] = scrubbed, vocabulary: str = VOCABULARY) -> DataFrame:
+    """doc_id, n_tokens, n_edits, n_tokens_edited, n_chars, n_chars_encoded (again, by edits) for each row.
+
+    ``edits`` gives sorted, disjoint (start, end, new text) of a text; they are found in the kept trees and applied to them.
+    """
+    spark = docs.sparkSession
+    forest = trees(docs, vocabulary)
+    shared = spark.sparkContext.broadcast(load_ranks(vocabulary))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        count = _counter(shared)
+        for b in batches:
+            rows = []
+            for before, n, leaves, tokens in zip(b["n_tokens"], b["n_chars"], b["leaves"], b["tokens"]):
+                tree = TokenTree.kept(leaves, tokens, count)
+                todo = edits(tree.text())
+                apply(tree, todo)
+                rows.append((before, len(todo), tree.total, n, tree.encoded))
+            yield _frame(rows, b["doc_id"], ["n_tokens", "n_edits", "n_tokens_edited", "n_chars", "n_chars_encoded"])
+
+    return forest.mapInPandas(run, "doc_id long, n_tokens long, n_edits long, n_tokens_edited long, n_chars long, n_chars_encoded long")
