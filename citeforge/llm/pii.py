@@ -3,7 +3,8 @@
 A value is found by a pattern, validated (Luhn, mod 97, calendar, octets, number plans), and mapped by a keyed
 Feistel permutation of its domain; cycle walking stays among valid values and check digits are computed anew. The
 permutation depends on key, kind and domain only, so equal values get equal pseudonyms in every document and in
-every way to write them (blanks, hyphens), and distinct values stay distinct. The key is a parameter.
+every way to write them (blanks, hyphens), and distinct values stay distinct. The key is the
+caller's secret; there is no default, and one of less than 16 bytes is refused.
 
 Where the longest reading of a number is not valid, shorter ones that end at a blank are tried, then those that begin
 after its first blank. Null text stays null. Values that fail validation are left alone. Where two kinds claim the same characters, the
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import small_batches
 
-KEY, ROUNDS = b"change-me", 8
+ROUNDS = 8
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 
 
@@ -175,7 +176,7 @@ _PATTERNS = [(name, re.compile(p), f) for name, p, f in KINDS]
 _SIGNS = re.compile(r"[0-9@]")
 
 
-def pseudonymise(text: str | None, key: bytes = KEY) -> tuple[str | None, dict[str, int], list[tuple[int, int, str]]]:
+def pseudonymise(text: str | None, key: bytes) -> tuple[str | None, dict[str, int], list[tuple[int, int, str]]]:
     """The text with pseudonyms, counts by kind, and spans (start, end, kind) in the text given."""
     counts = dict.fromkeys((k for k, _, _ in KINDS), 0)
     if text is None or not _SIGNS.search(text):
@@ -218,8 +219,10 @@ def _overlaps(spans: list[tuple[int, int]], a: int, b: int) -> bool:
     return i > 0 and spans[i - 1][1] > a
 
 
-def pseudonyms(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def pseudonyms(docs: DataFrame, key: bytes) -> DataFrame:
     """doc_id, text with pseudonyms, a count for each kind, n_values, and spans of what was replaced (in the old text)."""
+    if len(key) < 16:
+        raise ValueError("a key of 16 bytes at least is needed")
     small_batches(docs.sparkSession)
     kinds = [k for k, _, _ in KINDS]
 

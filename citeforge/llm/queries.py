@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from . import decontaminate, language, mixing, near_dup, pii, secret_scan, suffix_dedup, token_count, topk, warc
 from .common import table
 
+#: The session's setting with the key of op4, in hex. Without it the run draws a key of its own: pseudonyms link documents of this run only.
+PII_KEY = "spark.citeforge.pii.key"
+
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -25,7 +29,8 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonyms(table(spark, sf_dir, "documents"))
+    given = spark.conf.get(PII_KEY, None)
+    return pii.pseudonyms(table(spark, sf_dir, "documents"), bytes.fromhex(given) if given else secrets.token_bytes(32))
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,6 +28,7 @@ def rows():
     return out + [(10 + i, say(40), ("en", "de")[i % 2], ("s", "t")[i % 2], 1) for i in range(20)]
 
 
+KEY = b"a key for the tests"
 BENCH = "item_id bigint, text string"
 
 
@@ -41,7 +42,7 @@ def test_operators_keep_rows(spark, rows):
     every = [
         lambda x: language.predict(x, language.fit(x)),
         lambda x: secret_scan.report(secret_scan.scan(x, column="spots"), "spots"),
-        pii.pseudonyms,
+        lambda x: pii.pseudonyms(x, KEY),
         suffix_dedup.dedup,
         mixing.mix,
         lambda x: decontaminate.report(decontaminate.scan(x, bench)),
@@ -93,6 +94,10 @@ def test_vectors(spark):
     got = [tuple(r) for r in topk.search(df, df.where("vec_id = 0")).orderBy("rank").collect()]
     best = 256 * 256 * 5
     assert got == [(0, 1, 4, best), (0, 2, 50, best), (0, 3, 50, best), (0, 4, 6, 256 * 128 * 3)]
+    again = [tuple(r) for r in topk.search(df, df.where("vec_id = 50")).orderBy("rank").collect()]  # two rows, one query
+    assert again == [(50, 1, 0, best), (50, 2, 4, best), (50, 3, 6, 256 * 128 * 3)]
+    clash = df.withColumnRenamed("rank", "query_id").withColumn("part", df.vec_id)
+    assert count(topk.search(clash, clash.where("vec_id = 0"))) == 4
     assert count(topk.search(df.limit(0), df.limit(0))) == 0 and count(topk.search(df, df.limit(0))) == 0
 
 

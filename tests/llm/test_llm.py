@@ -9,6 +9,7 @@ import pytest
 
 from citeforge.llm import decontaminate, deep_shallow, language, mixing, near_dup, pii, secret_scan, suffix_dedup, token_count, topk, warc
 
+PII_KEY = b"a key for the tests"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, key string"
 
 
@@ -43,12 +44,15 @@ def test_secrets_against_re(spark, odd):
 def test_decontaminate(spark, odd):
     bench = spark.createDataFrame([(1, "q0 q1 q2 q3 q4 q5 q6 q7 q8 q9 q10"), (2, "Zeta beta"), (3, ""), (4, None)], "item_id bigint, text string")
     d = docs(spark, odd + ["x Q0, q1 q2 q3 q4 q5 q6 q7 q8 q9 end", "zeta-BETA ok zeta"])
-    for cut in (10**6, 5):
+    for cut in (10**6, 5, 1):  # the first item is longer than a piece
         got = {r["doc_id"]: r for r in decontaminate.report(decontaminate.scan(d, bench, max_words=cut)).collect()}
         a, b = got[len(odd)], got[len(odd) + 1]
         assert (a["n_hit"], a["n_items"], b["n_hit"], b["n_words"]) == (10, 1, 2, 4) and a["items_sha256"] == hashlib.sha256(b"1").hexdigest()
         assert sum(r["contaminated"] for r in got.values()) == 2 and len(got) == len(odd) + 2
-    assert decontaminate.remove_documents(d, bench).count() == len(odd)
+    assert decontaminate.remove_documents(d, bench).count() == decontaminate.remove_documents(d, bench, max_words=3).count() == len(odd)
+    nameless = spark.createDataFrame([(None, "zeta beta"), (3, "no such words")], "item_id bigint, text string")
+    got = decontaminate.report(decontaminate.scan(d, nameless)).where("contaminated").collect()
+    assert [(r["doc_id"], r["n_hit"], r["n_items"]) for r in got] == [(len(odd) + 1, 2, 0)] and decontaminate.remove_documents(d, nameless).count() == len(odd) + 1
     assert decontaminate.remove_spans(d, bench).where(f"doc_id = {len(odd) + 1}").first()["text"] == "- ok zeta"
 
 
@@ -173,10 +177,13 @@ def test_topk(spark):
     rnd = np.random.default_rng(3)
     vs = [(i, v.tolist()) for i, v in enumerate(rnd.normal(size=(300, 20)))] + [(300, None), (301, [float("nan")] * 20), (302, [1.0])]
     vs += [(400 + i, vs[7][1]) for i in range(9)]
+    vs += [(50, vs[50][1]), (100, vs[3][1])]  # asked once each
     df = spark.createDataFrame(vs, "vec_id bigint, embedding array<double>")
     got = topk.search(df, df.where("vec_id % 50 = 0"), query_block=3, block=64).collect()
     ok = {i: np.floor(256 * np.array(v)) for i, v in vs if v is not None and len(v) == 20 and np.isfinite(v).all()}
-    want = [(q, r + 1, i, s) for q in ok if q % 50 == 0 for r, (s, i) in enumerate(sorted(((-int(ok[q] @ x), i) for i, x in ok.items() if i != q))[:5]) for s in [-s]]
+    rows = [(i, np.floor(256 * np.array(v))) for i, v in vs if i in ok]
+    asked = {q: min(tuple(x) for i, x in rows if i == q) for q in ok if q % 50 == 0}
+    want = [(q, r + 1, i, -s) for q, x in asked.items() for r, (s, i) in enumerate(sorted((-int(np.array(x) @ y), i) for i, y in rows if i != q)[:5])]
     assert sorted(tuple(r) for r in got) == sorted(want)
 
 
@@ -190,8 +197,12 @@ def test_warc(spark):
     assert [warc.parse(r)["payload"] for r in warc.read_archive(io.BytesIO(buf.getvalue()))] == [b"abc"]
     with pytest.raises(warc.BadArchive):
         list(warc.read_archive(io.BytesIO(buf.getvalue()[:-3])))
-    with pytest.raises(warc.BadArchive):
-        warc.parse(warc.record(1, "u", b"abc", "00", "response", None))
+    sound = warc.record(1, "u", b"abc", hashlib.sha256(b"abc").hexdigest(), "response", None)
+    for bad in (warc.record(1, "u", b"abc", "00", "response", None), sound.replace(b"WARC-Date: 1970", b"WARC-Date: x970"), re.sub(rb"WARC-Record-ID.*\r\n", b"", sound), sound + b"x"):
+        with pytest.raises(warc.BadArchive):
+            warc.parse(bad)
+    ids = [re.search(r"WARC-Record-ID: (\S+)", warc.record(None, None, b"", "", "response", None).decode()).group(1) for _ in range(3)]
+    assert len(set(ids)) == 3 and b"WARC-Target-URI: http://a/b\r\n" in warc.record(1, "http://a/b", b"", "", "response", None)
     assert warc.read(warc.write(pages.limit(0))).count() == 0
 
 
@@ -202,10 +213,44 @@ def test_language(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     got = {r["doc_id"]: r for r in language.predict(df, language.fit(df)).collect()}
     assert sum(got[i]["lang_pred"] == rows[i][2] for i in range(300)) >= 297 and got[300]["lang_pred"] == got[301]["lang_pred"] == "und"
+    assert not any(map(language.has_letter, ("½", "²", "Ⅷ", "①", "1_0", "", None))) and all(map(language.has_letter, ("a", "é", "字", "ʰ")))
+    few = language.fit(df, languages=2)
+    assert len([n for m in few.within for n in m.names]) == 2
     none = df.limit(0)
     assert language.predict(none, language.fit(none)).count() == 0 and language.predict(df, language.fit(none)).where("lang_pred <> 'und'").count() == 0
 
 
+def test_language_by_brute_force(spark):
+    """Held-out accuracy on all documents, and each prediction by votes counted pair by pair."""
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.fit(d)
+    rows = d.join(language.predict(d, model), "doc_id").collect()
+    held = [r for r in rows if r["held_out"] and language.has_letter(r["text"])]
+    assert len(held) > 100 and sum(r["lang"] == r["lang_pred"] for r in held) >= 0.99 * len(held)
+
+    def winner(machines, x):
+        votes, sums = Counter(), Counter()
+        for k, (a, b) in enumerate(machines.pairs):
+            margin = float(x @ machines.weights[:-1, k] + machines.weights[-1, k])
+            p = 1 / (1 + np.exp(-4 * margin))
+            votes[a if margin >= 0 else b] += 1
+            sums[a] += p
+            sums[b] += 1 - p
+        if not machines.pairs:
+            return 0, 1.0
+        best = max(range(len(machines.names)), key=lambda i: (votes[i], sums[i], -i))
+        return best, sums[best] / (len(machines.names) - 1)
+
+    for r in rows[:300]:
+        if not language.has_letter(r["text"]):
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        x = language.features(r["text"])
+        f, p = winner(model.families, x)
+        i, q = winner(model.within[f], x)
+        assert r["lang_pred"] == model.within[f].names[i] and abs(r["score"] - p * q) < 1e-3
+
+
 def test_pii(spark):
     f = lambda t: pii.pseudonymise(t, b"k")[0]
     a, b = f("card 4785 3805 9239 1139"), f("4785380592391139")
@@ -213,7 +258,56 @@ def test_pii(spark):
     assert f("4785380592391138") == "4785380592391138" and f("2023-02-30") == "2023-02-30" and f("2023-02-28") != "2023-02-28"
     assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", f("+1 (743) 555-3824")) and re.fullmatch(r"[a-z]\.[a-z]\d@m\.example\.com", f("a.b9@m.example.com"))
     assert len({pii.permute(v, 1000, "t", b"k") for v in range(1000)}) == 1000
-    assert pii.pseudonyms(docs(spark, [None, "", "x 152.143.123.131"])).where("n_ip = 1").count() == 1
+    assert pii.pseudonyms(docs(spark, [None, "", "x 152.143.123.131"]), PII_KEY).where("n_ip = 1").count() == 1
+
+
+def test_pii_is_a_bijection_that_links_documents(spark):
+    cards = [f"{v:04d}" for v in range(1000)]
+    whole = [c + str(-pii.luhn(c + "0") % 10) for c in (f"41111111111{c}" for c in cards)]
+    dates = [f"{y}-{m:02d}-{d:02d}" for y in (1999, 2024) for m in range(1, 13) for d in range(1, 29)]
+    for values, sound in ((whole, lambda v: pii.luhn(v) == 0 and len(v) == 16), (dates, lambda v: re.fullmatch(r"\d{4}-\d\d-\d\d", v))):
+        rows = [(i, f"first {v} then") for i, v in enumerate(values)] + [(len(values) + i, f"{v} " * 200 + "x" * 10_000) for i, v in enumerate(values[:50])]
+        got = {r["doc_id"]: r["text"] for r in pii.pseudonyms(spark.createDataFrame(rows, "doc_id bigint, text string"), PII_KEY).collect()}
+        new = [got[i].split()[1] for i in range(len(values))]
+        assert len(set(new)) == len(values) and all(map(sound, new)) and sum(a != b for a, b in zip(new, values)) >= len(values) - 2
+        assert all(got[len(values) + i] == f"{new[i]} " * 200 + "x" * 10_000 for i in range(50))
+        other = pii.pseudonymise(rows[0][1], b"another key of the tests")[0]
+        assert other != got[0]
+    with pytest.raises(ValueError):
+        pii.pseudonyms(docs(spark, ["x"]), b"short")
+
+
+def test_kept_trees(spark, odd):
+    enc = token_count.encoding(token_count.load_ranks())
+    rnd = random.Random(15)
+    han = "".join(rnd.choices("的一是不了人我在有他这中大来上国，。！１２", k=30_000))
+    mixed = "".join(rnd.choices("aé9!'  \n漢字かな，ß٣#\u0301\u00a0\u3000", k=20_000))
+    texts = [*odd, han, mixed, "x" * 5000, "don't we'll 'rest '' 's"]
+    d = docs(spark, texts)
+    forest = token_count.trees(d)
+    kept = {r["doc_id"]: r for r in forest.collect()}
+    size = lambda t: len(enc.encode_ordinary(t))
+    assert [kept[i]["n_tokens"] for i in range(len(texts))] == [size(t or "") for t in texts]
+    assert max(map(len, kept[len(odd)]["leaves"])) < 1200 and len(kept[len(odd) + 1]["leaves"]) > 15
+    now = [t or "" for t in texts]
+    for _ in range(2):  # the second round edits what the first has left
+        todo = []
+        for i, t in enumerate(now):
+            places = sorted(rnd.sample(range(len(t) + 1), min(len(t) + 1, 6)))
+            new = [(a, b, rnd.choice(["", " ", "字", "q 7", "'s"])) for a, b in zip(places[::2], places[1::2])]
+            todo += [(i, *e) for e in new]
+            for a, b, x in reversed(new):
+                now[i] = now[i][:a] + x + now[i][b:]
+        todo.append((999, 0, 0, "no such document"))
+        forest = token_count.staged(token_count.edited(forest, spark.createDataFrame(todo, token_count.EDIT)), "test-trees")
+        got = {r["doc_id"]: r for r in forest.collect()}
+        assert all("".join(got[i]["leaves"]) == t and got[i]["n_tokens"] == size(t) and got[i]["n_chars"] == len(t) for i, t in enumerate(now)) and len(got) == len(texts)
+    short = [(0, "one"), (1, "a" * 40 + " b" * 3000)]
+    few = token_count.edited(token_count.trees(spark.createDataFrame(short, "doc_id bigint, text string")), spark.createDataFrame([(1, 5000, 5001, "")], token_count.EDIT))
+    assert 0 < {r["doc_id"]: r["n_chars_encoded"] for r in few.collect()}[1] < 3000
+    for r in token_count.counts(d).collect():
+        t = texts[r["doc_id"]] or ""
+        assert (r["n_tokens"], r["n_tokens_edited"], r["n_edits"], r["n_chars"]) == (size(t), size(token_count.SCRUB.sub("", t)), len(token_count.scrubbed(t)), len(t))
 
 
 def test_token_counts(spark, odd):
@@ -248,7 +342,68 @@ def test_mix(spark, odd):
     assert mixing.mix(d.limit(0)).count() == 0 and sorted(map(tuple, mixing.mix(d).collect())) == sorted(map(tuple, rows))
 
 
-@pytest.mark.parametrize("f", [near_dup.near_duplicates, suffix_dedup.dedup, token_count.counts, pii.pseudonyms, lambda d: secret_scan.report(secret_scan.scan(d))])
+def seats_by_brute_force(claims, seats, limits):
+    got = [0] * len(claims)
+    for _ in range(seats):
+        open_rows = [i for i, c in enumerate(claims) if c > 0 and got[i] < limits[i]]
+        got[max(open_rows, key=lambda i: (claims[i] / (2 * got[i] + 1), -i))] += 1
+    return got
+
+
+def mix_by_brute_force(rows, block, repeats, shard_docs, fan, seed="mix-1"):
+    """(doc_id, size, source_size, target, taken) of rows (doc_id, text, source), dealt seat by seat and taken word by word."""
+    h = lambda *parts: int(hashlib.md5(":".join(map(str, (seed, *parts))).encode()).hexdigest()[:15], 16)
+    sized = [(d, len(re.findall(r"[^\x20\x09-\x0D]+", t or "")), "b" if src is None else "a" + src) for d, t, src in rows]
+    names = sorted({r[2] for r in sized})
+    size = {n: sum(r[1] for r in sized if r[2] == n) for n in names}
+    weight = {n: i % 3 + 1 for i, n in enumerate(names)}
+    target, rest = {}, sum(size.values())
+    while left := [n for n in names if n not in target]:
+        level = rest / sum(weight[n] for n in left)
+        over = [n for n in left if weight[n] * level > repeats * size[n] + 1e-9]
+        for n in over or left:
+            target[n] = float(repeats * size[n]) if over else weight[n] * level
+        rest -= sum(target[n] for n in over)
+        if not over:
+            break
+    quota = dict(zip(names, seats_by_brute_force([target[n] for n in names], int(sum(target.values()) / block + 0.5), [10**9] * len(names))))
+    out = []
+    for n in names:
+        own = [r for r in sized if r[2] == n]
+        shards = -(-len(own) // shard_docs)
+        lanes = {k: sorted((h(d), d, z) for d, z, _ in own if h(d) % shards == k) for k in {h(d) % shards for d, _, _ in own}}
+        total = {k: sum(z for *_, z in lane) for k, lane in lanes.items()}
+        most = {k: repeats * -(-z // block) for k, z in total.items()}
+        groups = sorted({k // fan for k in lanes})
+        per = seats_by_brute_force([sum(total[k] for k in lanes if k // fan == g) for g in groups], quota[n], [sum(most[k] for k in lanes if k // fan == g) for g in groups])
+        for g, q in zip(groups, per):
+            ks = sorted(k for k in lanes if k // fan == g)
+            for k, mine in zip(ks, seats_by_brute_force([total[k] for k in ks], q, [most[k] for k in ks])):
+                blocks, word = max(1, -(-total[k] // block)), 0
+                phase = h(n, k) % blocks
+                for _, d, z in lanes[k]:
+                    each = [mine // blocks + ((i // block * (mine % blocks) + phase) % blocks < mine % blocks) for i in range(word, word + z)]
+                    out.append((d, z, size[n], target[n], sum(each)))
+                    word += z
+    return out
+
+
+@pytest.mark.parametrize("shard_docs, fan", [(1024, 4096), (3, 2), (2, 100)])
+def test_mix_by_brute_force(spark, shard_docs, fan):
+    rnd = random.Random(9)
+    rows = [(i, "w " * rnd.choice([0, 1, 7, 16, 40, 200]), rnd.choice(["a", "a", "a", "b", None, "tiny" if i % 9 == 0 else "c"])) for i in range(90)] + [(90, None, "empty"), (91, "one two", "small")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = sorted(tuple(r) for r in mixing.mix(df, shard_docs=shard_docs, fan=fan).collect())
+    want = sorted(mix_by_brute_force(rows, mixing.BLOCK, mixing.REPEATS, shard_docs, fan))
+    assert [g[:3] + g[4:] for g in got] == [w[:3] + w[4:] for w in want] and all(abs(g[3] - w[3]) < 1e-6 for g, w in zip(got, want))
+    for src in {r[2] for r in rows}:
+        own = [g for g in got if rows[g[0]][2] == src]
+        assert abs(sum(g[4] for g in own) - own[0][3]) <= mixing.BLOCK * (1 + mixing.REPEATS * -(-len(own) // shard_docs))
+    kept = mixing.mix(df, shard_docs=shard_docs, fan=fan, keep=True)
+    assert kept.columns == ["doc_id", "text", "source", "size", "source_size", "target", "taken"] and sorted((r[0], r[-1]) for r in kept.collect()) == [(g[0], g[4]) for g in got]
+
+
+@pytest.mark.parametrize("f", [near_dup.near_duplicates, suffix_dedup.dedup, token_count.counts, lambda d: pii.pseudonyms(d, PII_KEY), lambda d: secret_scan.report(secret_scan.scan(d))])
 def test_empty_tables(spark, f):
     assert f(docs(spark, [])).count() == 0
 
