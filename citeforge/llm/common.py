@@ -79,9 +79,13 @@ def discard(*tables: DataFrame) -> None:
             _left.pop(path, None)
 
 
-def sweep(*but: DataFrame) -> None:
-    """Deletes all staged tables of this process but those given: for callers that have written what they wanted."""
-    kept = {getattr(df, "_staged_path", None) for df in but}
+def tables_now() -> set[str]:
+    return set(_left)
+
+
+def sweep(*but: DataFrame, since: set[str]) -> None:
+    """Deletes the staged tables made since tables_now() gave ``since``, but not those given: for callers that have written what they wanted."""
+    kept = since | {getattr(df, "_staged_path", None) for df in but}
     discard(*[df for path, df in list(_left.items()) if path not in kept])
 
 

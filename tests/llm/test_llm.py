@@ -352,7 +352,7 @@ def seats_by_brute_force(claims, seats, limits):
 
 def mix_by_brute_force(rows, block, repeats, shard_docs, fan, seed="mix-1"):
     """(doc_id, size, source_size, target, taken) of rows (doc_id, text, source), dealt seat by seat and taken word by word."""
-    h = lambda *parts: int(hashlib.md5(":".join(map(str, (seed, *parts))).encode()).hexdigest()[:15], 16)
+    h = lambda *parts: int(hashlib.md5(":".join(str(x) for x in (seed, *parts) if x is not None).encode()).hexdigest()[:15], 16)
     sized = [(d, len(re.findall(r"[^\x20\x09-\x0D]+", t or "")), "b" if src is None else "a" + src) for d, t, src in rows]
     names = sorted({r[2] for r in sized})
     size = {n: sum(r[1] for r in sized if r[2] == n) for n in names}
@@ -371,7 +371,7 @@ def mix_by_brute_force(rows, block, repeats, shard_docs, fan, seed="mix-1"):
     for n in names:
         own = [r for r in sized if r[2] == n]
         shards = -(-len(own) // shard_docs)
-        lanes = {k: sorted((h(d), d, z) for d, z, _ in own if h(d) % shards == k) for k in {h(d) % shards for d, _, _ in own}}
+        lanes = {k: sorted(((h(d), d, z) for d, z, _ in own if h(d) % shards == k), key=lambda x: (x[0], -1 if x[1] is None else x[1], x[2])) for k in {h(d) % shards for d, _, _ in own}}
         total = {k: sum(z for *_, z in lane) for k, lane in lanes.items()}
         most = {k: repeats * -(-z // block) for k, z in total.items()}
         groups = sorted({k // fan for k in lanes})
@@ -408,9 +408,46 @@ def test_empty_tables(spark, f):
     assert f(docs(spark, [])).count() == 0
 
 
-def test_pipeline(spark, tmp_path):
+def test_pipeline_by_brute_force(spark, tmp_path):
+    """run() over planted cases against the same decisions in plain Python."""
     import corpus_pipeline
 
-    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
-    assert 0 < got.count() < d.count() and "taken" in got.columns
+    rnd = random.Random(21)
+    vocabulary = {lang: ["".join(rnd.choices(letters, k=rnd.randrange(3, 8))) for _ in range(300)] for lang, letters in (("en", "abcdefgh"), ("de", "ijklmnopü"), ("fr", "qrstuvwé"), ("es", "xyzabñ"))}
+    say = lambda lang, n: rnd.choices(vocabulary[lang], k=n)
+    bench = [(1, " ".join(say("en", 30))), (2, " ".join(say("de", 14))), (None, " ".join(say("fr", 12))), (4, None)]
+    rows = []
+    for i in range(120):
+        lang = ("en", "de", "fr", "es")[i % 4]
+        rows.append([i, " ".join(say(lang, rnd.randrange(30, 120))), lang, f"s{i % 5}" if i % 11 else None, 7])
+    near = lambda t: " ".join([*t.split()[:-1], "changed"])
+    rows += [[200 + i, near(rows[i][1]), "en", "s1", 7] for i in range(6)] + [[300, near(near(rows[0][1])), "en", "s1", 7], [301, rows[9][1], "de", None, 7], [None, rows[10][1] + " tail", "fr", "s2", 7]]
+    rows += [[400, rows[1][1] + " " + " ".join(bench[0][1].split()[5:15]) + " on", "en", "s2", 7], [401, "so " + bench[1][1].replace("i", "I").replace("m", "M"), "de", "s2", 7], [402, "x " + bench[2][1], "fr", "s0", 7]]
+    rows += [[500, " ".join(say("en", 40)) + " password = 'hunter22'", "en", "s3", 7], [501, "AKIA" + "Q" * 16 + " " + " ".join(say("de", 40)), "de", "s3", 7]]
+    rows += [[600, None, "en", "s1", 0], [601, "", "en", "s1", 0], [602, "123 ½ !!", "en", "s1", 8]]
+    for name, data, schema in (("documents", [tuple(r) for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint"), ("benchmark", bench, "item_id bigint, text string")):
+        spark.createDataFrame(data, schema).write.parquet(f"file://{tmp_path}/{name}.parquet")
+    got = sorted(map(tuple, corpus_pipeline.run(spark, f"file://{tmp_path}").collect()), key=str)
+
+    kept = [r for r in rows if language.has_letter(r[1])]  # a winner of all its pairs scores 0.25 at least
+    groups = near_by_brute_force([r[1] for r in kept])
+    least = {g: min((r[0] for r, (_, h) in zip(kept, groups) if h == g and r[0] is not None), default=None) for _, g in groups}
+    kept = [r for r, (_, g) in zip(kept, groups) if r[0] is None or r[0] == least[g]]
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
+    windows = {tuple(ws[i : i + min(10, len(ws))]) for _, t in bench for ws in [words(t)] if ws for i in range(len(ws) - min(10, len(ws)) + 1)}
+    held = lambda ws: any(tuple(ws[i : i + n]) in windows for n in {len(w) for w in windows} for i in range(len(ws) - n + 1))
+    kept = [r for r in kept if not held(words(r[1]))]
+    clean = []
+    for d, t, lang, src, n in kept:
+        spans = sorted(m.span() for rule in secret_scan.RULES for m in re.finditer(rule.regex, t) if len(m.group(rule.group)) >= rule.least)
+        out, at = "", 0
+        for a, b in spans:
+            if a >= at:
+                out += t[at:a] + "[SECRET]"
+            at = max(at, b)
+        clean.append((d, out + t[at:], lang, src, len(out + t[at:]) if spans else n))
+    at = {d: (z, s, g, x) for d, z, s, g, x in mix_by_brute_force([(r[0], r[1], r[3]) for r in clean], mixing.BLOCK, 3, 1024, 4096)}
+    want = sorted(((*r, *at[r[0]]) for r in clean), key=str)
+    assert [g[:7] + g[8:] for g in got] == [w[:7] + w[8:] for w in want] and all(abs(g[7] - w[7]) < 1e-6 for g, w in zip(got, want))
+    ids = {g[0] for g in got}
+    assert ids & {0, 9, 500, 501, None} == {0, 9, 500, 501, None} and not ids & {200, 300, 301, 400, 401, 402, 600, 601, 602}
