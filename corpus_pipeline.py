@@ -1,8 +1,8 @@
 """The training corpus from documents: identified, unique, decontaminated, free of secrets, mixed.
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; its result is written as Parquet into
-the shared folder and read back. All stages but the last return the columns of documents; the last returns, for each
-document, how many words the mix takes from it.
+the shared folder and read back; tables that a stage needed on its way are deleted then. All stages but the last return the
+columns of documents; the last adds how many words the mix takes from each document (size, source_size, target, taken).
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeforge.llm import decontaminate, language, mixing, near_dup, secret_scan
-from citeforge.llm.common import free_name, staged, table
+from citeforge.llm.common import free_name, staged, sweep, table, tables_now
 
 #: A document goes if no language is recognised, or with a chance below this (with two families of two languages each, none is).
 LEAST_SCORE = 0.25
@@ -41,8 +41,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, size, source_size, target, taken: the words that the mix takes from each document."""
-    return mixing.mix(docs)
+    """Every document with size, source_size, target and taken: the words that the mix takes from it, repeats counted."""
+    return mixing.mix(docs, keep=True)
 
 
 STAGES = [("language_id", identify), ("near_dup", deduplicate), ("decontaminate", decontaminated), ("secret_scan", without_secrets), ("mixing", mixed)]
@@ -52,7 +52,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), tables_now()
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        sweep(docs, since=before)
     return docs
