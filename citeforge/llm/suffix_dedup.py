@@ -6,9 +6,11 @@ the others, the bytes to the right and, reversed, to the left are sorted per pie
 common prefixes of neighbours tell, for each of the LENGTH - GRAM + 1 starts that an anchor can serve, which strings
 are equal: those in the same class to the left and in the same class to the right.
 
-Equal texts are reduced to one before, equal surroundings of an anchor to one row. What surrounds a hot piece is dealt
-by its content over sorts of about GROUP rows each, and the classes of these sorts meet in partial aggregates, one row
-a class and sort, by a 128-bit hash of the string that they stand for. Nothing is capped.
+Equal texts are reduced to one before. What surrounds a piece that is hotter than GROUP places is split by content before
+the sort: for each STEP of starts by the core that all strings of these starts hold; cores that nothing else has
+are dropped, equal surroundings become one row. A core that is still hotter than GROUP is dealt over several sorts, and
+their classes meet in partial aggregates, one row a class and sort, by a 128-bit hash of the string that they stand for.
+Nothing is capped.
 
 The same search, over words (runs without ASCII white space, A-Z lowered; 64-bit hashes) instead of bytes, counts the
 words inside strings of WORDS words that another document has too; these are reported, not removed.
@@ -33,7 +35,7 @@ from .common import discard, free_name, lanes, prefix_hash, small_batches, span_
 from .deep_shallow import sort_with_lcp
 
 LENGTH, GRAM, WORDS, WORD_GRAM = 400, 200, 51, 26
-GROUP, BATCH = 4096, 8192
+GROUP, BATCH, CHUNK = 4096, 8192, 1 << 16
 PIECE = 1 << 20
 
 
@@ -78,21 +80,36 @@ class Unit:
     gram: int
     size: int
     across: bool
+    step: int
+
+    def around(self, symbols: np.ndarray, p: int, first: int, last: int) -> tuple[bytes, bytes]:
+        """What strings that begin first .. last - 1 symbols before p cover to the left, reversed, and to the right."""
+        return symbols[max(0, p - last + 1) : p][::-1].tobytes(), symbols[p : p + self.length - first].tobytes()
+
+    def owner(self, name: bytes, places: list[int]) -> tuple[int, int]:
+        """Two numbers, equal for what counts as one occurrence."""
+        if not self.across and len(places) > 1:
+            return -(2**63), 2**63 - 1
+        own = int.from_bytes(name[:8] if self.across else xxhash.xxh3_64_digest(name + b"%d" % places[0]), "little", signed=True)
+        return own, own
 
 
 def units() -> tuple[Unit, Unit]:
-    return Unit(LENGTH, GRAM, 1, False), Unit(WORDS, WORD_GRAM, 8, True)
+    """Bytes, and the low halves of the words' hashes."""
+    return Unit(LENGTH, GRAM, 1, False, 26), Unit(WORDS, WORD_GRAM, 4, True, 9)
+
+
+def _symbols(raw: bytes, words: bool) -> np.ndarray:
+    return word_hashes(raw).astype(np.uint32) if words else np.frombuffer(raw, np.uint8)
 
 
 def _encode(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def repeated_starts(group: np.ndarray, left: list[bytes], right: list[bytes], owner: np.ndarray, several: np.ndarray, unit: Unit) -> tuple[np.ndarray, np.ndarray]:
-    """For members of anchor groups (rows sorted by group): which starts, 0 .. length - gram before the anchor, begin a
-    string at all, and which one that a member of another owner has.
-
-    left: the symbols before an anchor, reversed; right: those from it on; several: members that stand for more than one place.
+def repeated_starts(group: np.ndarray, left: list[bytes], right: list[bytes], first: np.ndarray, last: np.ndarray, low: np.ndarray, high: np.ndarray, unit: Unit) -> tuple[np.ndarray, np.ndarray]:
+    """For members of groups (rows sorted by group): which starts, first .. last - 1 before the anchor, begin a string at
+    all, and which one that another owner has, as ``low`` and ``high`` (the least and largest owner of each member) tell.
     """
     n, span = len(group), unit.length - unit.gram
     cuts = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1, [n]))
@@ -109,19 +126,17 @@ def repeated_starts(group: np.ndarray, left: list[bytes], right: list[bytes], ow
     there, twin = np.zeros((n, span + 1), bool), np.zeros((n, span + 1), bool)
     cls = [np.empty(n, np.int64), np.empty(n, np.int64)]
     for o in range(span + 1):
-        for side, need in ((0, o), (1, unit.length - o)):
-            cls[side][orders[side]] = np.cumsum(lcps[side] < need)
-        at = np.flatnonzero((sizes[0] >= o) & (sizes[1] >= unit.length - o))
+        at = np.flatnonzero((sizes[0] >= o) & (sizes[1] >= unit.length - o) & (first <= o) & (o < last))
         if not len(at):
             continue
+        for side, need in ((0, o), (1, unit.length - o)):
+            cls[side][orders[side]] = np.cumsum(lcps[side] < need)
         there[at, o] = True
         key = cls[0][at] * (n + 1) + cls[1][at]
         by = np.argsort(key, kind="stable")
-        first = np.flatnonzero(np.concatenate(([True], key[by][1:] != key[by][:-1])))
-        whose = owner[at][by]
-        shared = np.minimum.reduceat(whose, first) != np.maximum.reduceat(whose, first)
-        twin[at[by], o] = np.repeat(shared, np.diff(np.concatenate((first, [len(at)]))))
-        twin[at[several[at]], o] = True
+        begin = np.flatnonzero(np.concatenate(([True], key[by][1:] != key[by][:-1])))
+        shared = np.minimum.reduceat(low[at][by], begin) != np.maximum.reduceat(high[at][by], begin)
+        twin[at[by], o] = np.repeat(shared, np.diff(np.concatenate((begin, [len(at)]))))
     return there, twin
 
 
@@ -136,7 +151,7 @@ def _with_anchors(docs: DataFrame) -> DataFrame:
             for text in b["text"]:
                 raw = _encode(text)
                 ws = word_hashes(raw)
-                place, h = anchors(np.frombuffer(raw, np.uint8), by_byte.length, by_byte.gram)
+                place, h = anchors(_symbols(raw, False), by_byte.length, by_byte.gram)
                 wplace, wh = anchors(ws, by_word.length, by_word.gram)
                 h = np.concatenate((h & np.uint64(2**64 - 2), wh | np.uint64(1)))
                 whole = hashlib.sha256(raw)
@@ -148,37 +163,89 @@ def _with_anchors(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, text_id binary, n_bytes long, n_words long, sha256 string, places array<long>, hashes array<long>")
 
 
-CONTEXT = "hash long, lane long, split boolean, text_id binary, places array<long>, left binary, right binary"
+CONTEXT = ["hash long", "lane long", "split boolean", "name binary", "places array<long>", "left binary", "right binary", "first int", "last int", "low long", "high long"]
+FOUND = "words boolean, name binary, begin long, end long, string binary, low long, high long"
+
+
+def _chunks(rows: Iterator[tuple], schema: list[str]) -> Iterator[pd.DataFrame]:
+    names, held = [c.split()[0] for c in schema], []
+    for r in rows:
+        held.append(r)
+        if len(held) == CHUNK >> 4:
+            yield pd.DataFrame(held, columns=names)
+            held = []
+    yield pd.DataFrame(held, columns=names)
+
+
+def _each_mark(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[bytes, list, tuple[np.ndarray | None, np.ndarray | None]]]:
+    """(text_id, marks, symbols by unit) of rows (text_id, text, marks)."""
+    for b in batches:
+        for tid, text, marks in zip(b["text_id"], b["text"], b["marks"]):
+            raw, have = _encode(text), {m["hash"] & 1 for m in marks}
+            yield tid, marks, tuple(_symbols(raw, k == 1) if k in have else None for k in (0, 1))
 
 
 def _contexts(texts: DataFrame) -> DataFrame:
-    """One row for each text, anchor hash and distinct surroundings; ``lane``: the sort that takes it, by content if ``split``."""
+    """One CONTEXT row for each text, anchor that is not hot and distinct surroundings."""
     small_batches(texts.sparkSession)
     both = units()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out: list[tuple] = []
-        for b in batches:
-            for tid, text, marks in zip(b["text_id"], b["text"], b["marks"]):
-                raw, ws, rows = _encode(text), None, {}
-                for m in marks:
-                    p, h, unit = m["place"], m["hash"], both[m["hash"] & 1]
-                    span = unit.length - unit.gram
-                    if unit.size == 1:
-                        around = raw[max(0, p - span) : p][::-1], raw[p : p + unit.length]
-                    else:
-                        ws = word_hashes(raw) if ws is None else ws
-                        around = ws[max(0, p - span) : p][::-1].tobytes(), ws[p : p + unit.length].tobytes()
-                    rows.setdefault((h, m["sorts"], *around), []).append(p)
-                for (h, sorts, x, y), ps in rows.items():
-                    lane = xxhash.xxh3_64_intdigest(x + b"|" + y) % sorts if sorts > 1 else 0
-                    out.append((h, lane, sorts > 1, tid, ps, x, y))
-                if len(out) >= 4096:
-                    yield pd.DataFrame(out, columns=["hash", "lane", "split", "text_id", "places", "left", "right"])
-                    out = []
-        yield pd.DataFrame(out, columns=["hash", "lane", "split", "text_id", "places", "left", "right"])
-
-    return texts.mapInPandas(run, CONTEXT)
+    def rows(batches) -> Iterator[tuple]:
+        for tid, marks, symbols in _each_mark(batches):
+            same: dict[tuple, list[int]] = {}
+            for m in marks:
+                unit = both[m["hash"] & 1]
+                same.setdefault((m["hash"], *unit.around(symbols[m["hash"] & 1], m["place"], 0, unit.length - unit.gram + 1)), []).append(m["place"])
+            for (h, x, y), ps in same.items():
+                unit = both[h & 1]
+                yield h, 0, False, tid, ps, x, y, 0, unit.length - unit.gram + 1, *unit.owner(tid, ps)
+
+    return texts.mapInPandas(lambda batches: _chunks(rows(batches), CONTEXT), ", ".join(CONTEXT))
+
+
+CORE = ["core binary", "text_id binary", "place long", "hash long", "first int", "low long"]
+
+
+def _cores(texts: DataFrame) -> DataFrame:
+    """CORE rows: for hot anchors, what all strings of a step of starts hold, by a 128-bit hash."""
+    small_batches(texts.sparkSession)
+    both = units()
+
+    def rows(batches) -> Iterator[tuple]:
+        for tid, marks, symbols in _each_mark(batches):
+            for m in marks:
+                unit, own, p = both[m["hash"] & 1], symbols[m["hash"] & 1], m["place"]
+                for first in range(0, unit.length - unit.gram + 1, unit.step):
+                    a, b = p - first, p + unit.length - min(first + unit.step, unit.length - unit.gram + 1) + 1
+                    if 0 <= a and b <= len(own):
+                        yield xxhash.xxh3_128_digest(b"%d:" % first + own[a:b].tobytes()), tid, p, m["hash"], first, unit.owner(tid, [p])[0]
+
+    return texts.mapInPandas(lambda batches: _chunks(rows(batches), CORE), ", ".join(CORE))
+
+
+def _core_contexts(texts: DataFrame, members: bool) -> DataFrame:
+    """CONTEXT rows of hot anchors, named by their content, one for each text; or, of ``members``, (name, text_id, place)."""
+    small_batches(texts.sparkSession)
+    both = units()
+
+    def rows(batches) -> Iterator[tuple]:
+        for tid, marks, symbols in _each_mark(batches):
+            same: dict[bytes, tuple] = {}
+            for m in marks:
+                unit, p, first = both[m["hash"] & 1], m["place"], m["first"]
+                last = min(first + unit.step, unit.length - unit.gram + 1)
+                x, y = unit.around(symbols[m["hash"] & 1], p, first, last)
+                key = int.from_bytes(m["core"][:8], "little", signed=True) & -2 | m["hash"] & 1
+                name = xxhash.xxh3_128_digest(b"%d:%d:%d:" % (key, first, len(x)) + x + y)
+                if members:
+                    yield name, tid, p
+                else:
+                    same.setdefault(name, (key, m["sorts"], x, y, first, last, []))[-1].append(p)
+            for name, (key, sorts, x, y, first, last, ps) in same.items():
+                yield key, int.from_bytes(name[8:], "little") % sorts, sorts > 1, name, [0], x, y, first, last, *both[key & 1].owner(tid, ps)
+
+    schema = ["name binary", "text_id binary", "place long"] if members else CONTEXT
+    return texts.mapInPandas(lambda batches: _chunks(rows(batches), schema), ", ".join(schema))
 
 
 def _runs(flags: np.ndarray) -> np.ndarray:
@@ -186,67 +253,81 @@ def _runs(flags: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.diff(np.concatenate(([0], flags.astype(np.int8), [0])))).reshape(-1, 2)
 
 
-FOUND = "words boolean, text_id binary, begin long, end long, string binary, low long, high long"
-
-
-def _judged(rows: list[tuple], unit: Unit) -> list[tuple]:
+def _judged(rows: list[tuple], unit: Unit) -> Iterator[tuple]:
     """FOUND rows of sorted contexts: stretches, and for sorts of a split group the classes that others may have too.
 
-    Such a row has ``string``; low and high are the least and largest owner in its class, a row without a text stands for
+    Such a row has ``string``; low and high are the least and largest owner in its class, a row without a name stands for
     a class that is shared already.
     """
     group = np.unique(np.array([r[:2] for r in rows], np.int64), axis=0, return_inverse=True)[1].ravel()
-    ids = [r[3] for r in rows]
-    if unit.across:
-        owner = np.unique(np.array(ids, object), return_inverse=True)[1]
-        several = np.zeros(len(rows), bool)
-    else:
-        owner, several = np.arange(len(rows)), np.array([len(r[4]) > 1 for r in rows])
-    there, twin = repeated_starts(group, [r[5] for r in rows], [r[6] for r in rows], owner, several, unit)
-    out, words = [], unit.size > 1
+    first, last, low, high = (np.array([r[k] for r in rows], np.int64) for k in (7, 8, 9, 10))
+    there, twin = repeated_starts(group, [r[5] for r in rows], [r[6] for r in rows], first, last, low, high, unit)
+    words = unit.across
     for i in np.flatnonzero(twin.any(axis=1)).tolist():
         for a, b in _runs(twin[i]).tolist():
-            out += [(words, ids[i], int(p) - (b - 1), int(p) - a + unit.length, None, 0, 0) for p in rows[i][4]]
+            for p in rows[i][4]:
+                yield words, rows[i][3], int(p) - (b - 1), int(p) - a + unit.length, None, 0, 0
     seen: set[bytes] = set()
-    for i, (h, _, split, tid, places, left, right) in enumerate(rows):
+    for i, (h, _, split, name, places, left, right, begin, _, lo, hi) in enumerate(rows):
         if not split:
             continue
-        own = int.from_bytes(tid[:8] if words else xxhash.xxh3_64_digest(tid + b"%d" % places[0]), "little", signed=True)
         for o in np.flatnonzero(there[i]).tolist():
             string = xxhash.xxh3_128_digest(b"%d:%d:" % (h, o) + left[: o * unit.size] + right[: (unit.length - o) * unit.size])
             if not twin[i, o]:
-                out += [(words, tid, int(p) - o, int(p) - o + unit.length, string, own, own) for p in places]
+                for p in places:
+                    yield words, name, int(p) - o, int(p) - o + unit.length, string, lo, hi
             elif string not in seen:
                 seen.add(string)
-                out.append((words, None, 0, 0, string, -(2**63), 2**63 - 1))
-    return out
+                yield words, None, 0, 0, string, -(2**63), 2**63 - 1
 
 
 def _sorted(contexts: DataFrame) -> DataFrame:
     """FOUND rows, from deep-shallow sorts of whole groups or lanes of them."""
     small_batches(contexts.sparkSession)
-    both = units()
+    both, schema = units(), FOUND.split(", ")
 
-    def judged(held: list[tuple]) -> pd.DataFrame:
-        out = []
+    def judged(held: list[tuple]) -> Iterator[tuple]:
         for k, unit in enumerate(both):
             if own := [r for r in held if r[0] & 1 == k]:
-                out += _judged(own, unit)
-        return pd.DataFrame(out, columns=["words", "text_id", "begin", "end", "string", "low", "high"]).astype({c: "int64" for c in ("begin", "end", "low", "high")} | {"words": bool})
+                yield from _judged(own, unit)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches) -> Iterator[tuple]:
         held: list[tuple] = []
         for b in batches:
             for r in zip(*(b[c] for c in b.columns)):
                 if len(held) >= BATCH and r[:2] != held[-1][:2]:  # whole groups, of about GROUP rows at most
-                    yield judged(held)
+                    yield from judged(held)
                     held = []
-                held.append((*r[:4], r[4], bytes(r[5]), bytes(r[6])))
-        if held:
-            yield judged(held)
+                held.append((*r[:5], bytes(r[5]), bytes(r[6]), *r[7:]))
+        yield from judged(held)
 
     keys = ["hash", "lane"]
-    return contexts.repartition(lanes(contexts.sparkSession), *keys).sortWithinPartitions(*keys).mapInPandas(run, FOUND)
+    dealt = contexts.repartition(lanes(contexts.sparkSession), *keys).sortWithinPartitions(*keys)
+    return dealt.mapInPandas(lambda batches: (t.astype({"words": bool, **{c: "int64" for c in ("begin", "end", "low", "high")}}) for t in _chunks(rows(batches), schema)), FOUND)
+
+
+def _settled(found: DataFrame) -> DataFrame:
+    """(words, name, begin, end) of staged FOUND rows, once classes of different sorts have met."""
+    again = found.where("string is not null").groupBy("string").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("string")
+    stretch = ["words", "name", "begin", "end"]
+    return found.where("string is null").select(*stretch).unionByName(found.where("name is not null").join(again, "string").select(*stretch))
+
+
+def _hot_stretches(texts: DataFrame) -> DataFrame:
+    """(words, text_id, begin, end) around hot anchors, staged, from rows (text_id, text, marks)."""
+    cores = staged(_cores(texts), "suffix-cores")
+    shared = cores.groupBy("core").agg(F.min("low").alias("low"), F.max("low").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high").select("core", F.ceil(F.col("n") / GROUP).cast("int").alias("sorts"))
+    picked = cores.join(shared, "core").groupBy("text_id").agg(F.collect_list(F.struct("place", "hash", "first", "core", "sorts")).alias("marks"))
+    left = staged(texts.select("text_id", "text").join(picked, "text_id"), "suffix-hot")
+    every = _core_contexts(left, False)
+    keep = [c.split()[0] for c in CONTEXT if c.split()[0] not in ("name", "low", "high")]
+    one = every.groupBy("name").agg(*[F.any_value(c).alias(c) for c in keep], F.min("low").alias("low"), F.max("high").alias("high"))
+    found = staged(_sorted(one.select(*[c.split()[0] for c in CONTEXT])), "suffix-found")
+    members = _core_contexts(left, True)
+    out = members.join(_settled(found), "name").select("words", "text_id", (F.col("place") + F.col("begin")).alias("begin"), (F.col("place") + F.col("end")).alias("end"))
+    out = staged(out, "suffix-hot-stretches")
+    discard(cores, left, found)
+    return out
 
 
 def kept_bytes(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
@@ -277,13 +358,13 @@ def _search(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame
     # copies of a text become one row before the corpus is shuffled, once
     named = docs.select(text_id(F.col("text")).alias("text_id"), "text").groupBy("text_id").agg(F.any_value("text").alias("text"))
     texts = staged(named.join(wanted.hint("merge"), "text_id"), "suffix-texts")
-    found = staged(_sorted(_contexts(texts)), "suffix-found")
-    again = found.where("string is not null").groupBy("string").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("string")
-    stretch = ["words", "text_id", "begin", "end"]
-    stretches = found.where("string is null").select(*stretch).unionByName(found.where("text_id is not null").join(again, "string").select(*stretch))
+    of = lambda hot: texts.withColumn("marks", F.filter("marks", lambda m: (m["sorts"] > 1) == F.lit(hot))).where(F.size("marks") > 0)
+    found = staged(_sorted(_contexts(of(False))), "suffix-found")
+    hot = _hot_stretches(of(True))
+    stretches = found.select("words", F.col("name").alias("text_id"), "begin", "end").unionByName(hot)
     listed = staged(stretches.groupBy("text_id").agg(F.collect_set(F.struct("words", "begin", "end")).alias("spans")), "suffix-listed")  # as long as the text itself at most
     copied = staged(distinct.where("copies > 1").select("text_id"), "suffix-copied")
-    discard(distinct, shared, wanted, found)
+    discard(distinct, shared, wanted, found, hot)
     return every, texts, listed, copied
 
 
