@@ -130,11 +130,24 @@ def span_hash(s: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix64((s[end] - s[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+_WHITE = np.zeros(256, bool)
+_WHITE[[0x20, *range(0x09, 0x0E)]] = True
+_PART = 1 << 20
+
+
 def word_hashes(raw: bytes) -> np.ndarray:
-    """64-bit hashes of the words (runs without ASCII white space, A-Z lowered) of a UTF-8 text, in their order."""
-    ws = raw.lower().split()  # bytes: ASCII only, white space 20 and 09-0D
-    if not ws:
-        return np.empty(0, np.uint64)
-    data = np.frombuffer(b" ".join(ws), np.uint8)
-    gap = np.flatnonzero(data == 0x20)
-    return span_hash(prefix_hash(data), np.concatenate(([0], gap + 1)), np.concatenate((gap, [len(data)])))
+    """64-bit hashes of the words (runs without ASCII white space) of a UTF-8 text, in their order; read in parts that end between words."""
+    out, at, rest = [], 0, b""
+    while at < len(raw) or rest:
+        part, at = rest + raw[at : at + _PART], at + _PART
+        data = np.frombuffer(part, np.uint8)
+        white = _WHITE[data]
+        if at < len(raw):  # the last word may go on
+            blanks = np.flatnonzero(white)
+            end = int(blanks[-1]) + 1 if len(blanks) else 0
+            rest, data, white = part[end:], data[:end], white[:end]
+        else:
+            rest = b""
+        edge = np.flatnonzero(np.diff(np.concatenate(([True], white, [True])).astype(np.int8)))
+        out.append(span_hash(prefix_hash(data), edge[::2], edge[1::2]))
+    return np.concatenate(out) if out else np.empty(0, np.uint64)

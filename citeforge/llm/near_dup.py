@@ -47,7 +47,7 @@ SKETCH = "doc_id long, text_id binary, n_shingles long, node long, regs binary"
 
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles."""
-    each = word_hashes((text or "").encode("utf-8", "surrogatepass"))
+    each = word_hashes((text or "").encode("utf-8", "surrogatepass").lower())  # bytes: ASCII only
     if not len(each):
         return each
     k = min(SHINGLE, len(each))

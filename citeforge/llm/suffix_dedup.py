@@ -12,7 +12,7 @@ are dropped, equal surroundings become one row. A core that is still hotter than
 their classes meet in partial aggregates, one row a class and sort, by a 128-bit hash of the string that they stand for.
 Nothing is capped.
 
-The same search, over words (runs without ASCII white space, A-Z lowered; 64-bit hashes) instead of bytes, counts the
+The same search, over words (runs without ASCII white space; by hashes) instead of bytes, counts the
 words inside strings of WORDS words that another document has too; these are reported, not removed.
 
 Null text counts as empty. Texts under LENGTH bytes lose nothing. Texts are named by 16 bytes of their SHA-256, so null
@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from .common import discard, free_name, lanes, prefix_hash, small_batches, span_hash, staged, text_id, word_hashes
 from .deep_shallow import sort_with_lcp
 
-LENGTH, GRAM, WORDS, WORD_GRAM = 400, 200, 51, 26
-GROUP, BATCH, CHUNK = 4096, 8192, 1 << 16
+LENGTH, GRAM, WORDS, WORD_GRAM = 400, 200, 51, 20
+GROUP, BATCH, CHUNK = 1024, 8192, 4096
 PIECE = 1 << 20
 
 
@@ -96,7 +96,7 @@ class Unit:
 
 def units() -> tuple[Unit, Unit]:
     """Bytes, and the low halves of the words' hashes."""
-    return Unit(LENGTH, GRAM, 1, False, 26), Unit(WORDS, WORD_GRAM, 4, True, 9)
+    return Unit(LENGTH, GRAM, 1, False, 67), Unit(WORDS, WORD_GRAM, 4, True, 16)
 
 
 def _symbols(raw: bytes, words: bool) -> np.ndarray:
@@ -124,19 +124,31 @@ def repeated_starts(group: np.ndarray, left: list[bytes], right: list[bytes], fi
         lcps.append(lcp)
     sizes = [np.array([len(s) // unit.size for s in x]) for x in (left, right)]
     there, twin = np.zeros((n, span + 1), bool), np.zeros((n, span + 1), bool)
+    offsets = np.arange(span + 1)
+    there |= (offsets >= np.maximum(first, unit.length - sizes[1])[:, None]) & (offsets <= np.minimum(last - 1, sizes[0])[:, None])
+    # what shares too little with its neighbours on both sides shares no string with anything
+    best = []
+    for order, lcp in zip(orders, lcps):
+        near = np.empty(n, np.int64)
+        near[order] = np.maximum(lcp, np.concatenate((lcp[1:], [-1])))
+        best.append(near)
+    several = low != high
+    open_rows = (best[0] + best[1] >= unit.length) | several
     cls = [np.empty(n, np.int64), np.empty(n, np.int64)]
     for o in range(span + 1):
-        at = np.flatnonzero((sizes[0] >= o) & (sizes[1] >= unit.length - o) & (first <= o) & (o < last))
+        at = np.flatnonzero(there[:, o] & open_rows)
         if not len(at):
             continue
         for side, need in ((0, o), (1, unit.length - o)):
             cls[side][orders[side]] = np.cumsum(lcps[side] < need)
-        there[at, o] = True
-        key = cls[0][at] * (n + 1) + cls[1][at]
-        by = np.argsort(key, kind="stable")
-        begin = np.flatnonzero(np.concatenate(([True], key[by][1:] != key[by][:-1])))
-        shared = np.minimum.reduceat(low[at][by], begin) != np.maximum.reduceat(high[at][by], begin)
-        twin[at[by], o] = np.repeat(shared, np.diff(np.concatenate((begin, [len(at)]))))
+        code, _ = pd.factorize(cls[0][at] * (n + 1) + cls[1][at])
+        if unit.across:
+            by = np.argsort(code, kind="stable")
+            begin = np.flatnonzero(np.diff(code[by], prepend=-1))
+            shared = np.minimum.reduceat(low[at][by], begin) != np.maximum.reduceat(high[at][by], begin)
+        else:  # each row has owners of its own
+            shared = (np.bincount(code) > 1) | (np.bincount(code, several[at]) > 0)
+        twin[at, o] = shared[code]
     return there, twin
 
 
@@ -171,7 +183,7 @@ def _chunks(rows: Iterator[tuple], schema: list[str]) -> Iterator[pd.DataFrame]:
     names, held = [c.split()[0] for c in schema], []
     for r in rows:
         held.append(r)
-        if len(held) == CHUNK >> 4:
+        if len(held) == CHUNK:
             yield pd.DataFrame(held, columns=names)
             held = []
     yield pd.DataFrame(held, columns=names)
@@ -203,28 +215,34 @@ def _contexts(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(lambda batches: _chunks(rows(batches), CONTEXT), ", ".join(CONTEXT))
 
 
-CORE = ["core binary", "text_id binary", "place long", "hash long", "first int", "low long"]
+CORE = ["core binary", "text_id binary", "places array<long>", "hash long", "first int", "low long", "high long"]
 
 
 def _cores(texts: DataFrame) -> DataFrame:
-    """CORE rows: for hot anchors, what all strings of a step of starts hold, by a 128-bit hash."""
+    """CORE rows: for hot anchors, what all strings of a step of starts hold, by a 128-bit hash; a row for each text."""
     small_batches(texts.sparkSession)
     both = units()
 
     def rows(batches) -> Iterator[tuple]:
         for tid, marks, symbols in _each_mark(batches):
+            same: dict[tuple, list[int]] = {}
             for m in marks:
                 unit, own, p = both[m["hash"] & 1], symbols[m["hash"] & 1], m["place"]
                 for first in range(0, unit.length - unit.gram + 1, unit.step):
                     a, b = p - first, p + unit.length - min(first + unit.step, unit.length - unit.gram + 1) + 1
                     if 0 <= a and b <= len(own):
-                        yield xxhash.xxh3_128_digest(b"%d:" % first + own[a:b].tobytes()), tid, p, m["hash"], first, unit.owner(tid, [p])[0]
+                        same.setdefault((xxhash.xxh3_128_digest(b"%d:" % first + own[a:b].tobytes()), m["hash"], first), []).append(p)
+            for (core, h, first), ps in same.items():
+                yield core, tid, ps, h, first, *both[h & 1].owner(tid, ps)
 
     return texts.mapInPandas(lambda batches: _chunks(rows(batches), CORE), ", ".join(CORE))
 
 
+MEMBER = ["name binary", "text_id binary", "places array<long>"]
+
+
 def _core_contexts(texts: DataFrame, members: bool) -> DataFrame:
-    """CONTEXT rows of hot anchors, named by their content, one for each text; or, of ``members``, (name, text_id, place)."""
+    """CONTEXT rows of hot anchors, named by their content, one for each text; or, of ``members``, MEMBER rows."""
     small_batches(texts.sparkSession)
     both = units()
 
@@ -232,19 +250,20 @@ def _core_contexts(texts: DataFrame, members: bool) -> DataFrame:
         for tid, marks, symbols in _each_mark(batches):
             same: dict[bytes, tuple] = {}
             for m in marks:
-                unit, p, first = both[m["hash"] & 1], m["place"], m["first"]
+                unit, first = both[m["hash"] & 1], m["first"]
                 last = min(first + unit.step, unit.length - unit.gram + 1)
-                x, y = unit.around(symbols[m["hash"] & 1], p, first, last)
                 key = int.from_bytes(m["core"][:8], "little", signed=True) & -2 | m["hash"] & 1
-                name = xxhash.xxh3_128_digest(b"%d:%d:%d:" % (key, first, len(x)) + x + y)
-                if members:
-                    yield name, tid, p
-                else:
+                for p in m["places"]:
+                    x, y = unit.around(symbols[m["hash"] & 1], p, first, last)
+                    name = xxhash.xxh3_128_digest(b"%d:%d:%d:" % (key, first, len(x)) + x + y)
                     same.setdefault(name, (key, m["sorts"], x, y, first, last, []))[-1].append(p)
             for name, (key, sorts, x, y, first, last, ps) in same.items():
-                yield key, int.from_bytes(name[8:], "little") % sorts, sorts > 1, name, [0], x, y, first, last, *both[key & 1].owner(tid, ps)
+                if members:
+                    yield name, tid, ps
+                else:
+                    yield key, int.from_bytes(name[8:], "little") % sorts, sorts > 1, name, [0], x, y, first, last, *both[key & 1].owner(tid, ps)
 
-    schema = ["name binary", "text_id binary", "place long"] if members else CONTEXT
+    schema = MEMBER if members else CONTEXT
     return texts.mapInPandas(lambda batches: _chunks(rows(batches), schema), ", ".join(schema))
 
 
@@ -316,15 +335,16 @@ def _settled(found: DataFrame) -> DataFrame:
 def _hot_stretches(texts: DataFrame) -> DataFrame:
     """(words, text_id, begin, end) around hot anchors, staged, from rows (text_id, text, marks)."""
     cores = staged(_cores(texts), "suffix-cores")
-    shared = cores.groupBy("core").agg(F.min("low").alias("low"), F.max("low").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high").select("core", F.ceil(F.col("n") / GROUP).cast("int").alias("sorts"))
-    picked = cores.join(shared, "core").groupBy("text_id").agg(F.collect_list(F.struct("place", "hash", "first", "core", "sorts")).alias("marks"))
+    shared = cores.groupBy("core").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high").select("core", F.ceil(F.col("n") / GROUP).cast("int").alias("sorts"))
+    picked = cores.join(shared, "core").groupBy("text_id").agg(F.collect_list(F.struct("places", "hash", "first", "core", "sorts")).alias("marks"))
     left = staged(texts.select("text_id", "text").join(picked, "text_id"), "suffix-hot")
     every = _core_contexts(left, False)
     keep = [c.split()[0] for c in CONTEXT if c.split()[0] not in ("name", "low", "high")]
     one = every.groupBy("name").agg(*[F.any_value(c).alias(c) for c in keep], F.min("low").alias("low"), F.max("high").alias("high"))
     found = staged(_sorted(one.select(*[c.split()[0] for c in CONTEXT])), "suffix-found")
     members = _core_contexts(left, True)
-    out = members.join(_settled(found), "name").select("words", "text_id", (F.col("place") + F.col("begin")).alias("begin"), (F.col("place") + F.col("end")).alias("end"))
+    met = members.join(_settled(found), "name").select("words", "text_id", "begin", "end", F.explode("places").alias("place"))
+    out = met.select("words", "text_id", (F.col("place") + F.col("begin")).alias("begin"), (F.col("place") + F.col("end")).alias("end"))
     out = staged(out, "suffix-hot-stretches")
     discard(cores, left, found)
     return out

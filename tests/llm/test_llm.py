@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from citeforge.llm import decontaminate, deep_shallow, language, mixing, near_dup, pii, secret_scan, suffix_dedup, token_count, topk, warc
+from citeforge.llm import common, decontaminate, deep_shallow, language, mixing, near_dup, pii, secret_scan, suffix_dedup, token_count, topk, warc
 
 PII_KEY = b"a key for the tests"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, key string"
@@ -128,7 +128,7 @@ def test_suffix_dedup(spark, odd):
 
 def shared_words(texts, n=suffix_dedup.WORDS):
     """For each text, the words inside strings of n words that another row has too, by brute force."""
-    rows = [(t or "").encode().lower().split() for t in texts]
+    rows = [(t or "").encode().split() for t in texts]
     holders = {}
     for i, ws in enumerate(rows):
         for j in range(len(ws) - n + 1):
@@ -166,6 +166,16 @@ def test_suffix_dedup_of_many_rows_without_ids(spark, odd):
     assert len(got) == 1000 and sum(r["n_removed"] == r["n_bytes"] == len(odd[4]) for r in got) == 334 and all(r["n_removed"] >= 490 for r in got)
 
 
+def test_words_in_parts(monkeypatch):
+    rnd = random.Random(3)
+    text = "".join(rnd.choices("ab \t\n\x0b\x0cé", k=4000)).encode()
+    whole = common.word_hashes(text)
+    assert len(whole) == len(text.split()) and len(set(whole.tolist())) == len(set(text.split())) and len(common.word_hashes(b" \n")) == len(common.word_hashes(b"")) == 0
+    for part in (1, 7, 100):
+        monkeypatch.setattr(common, "_PART", part)
+        assert (common.word_hashes(text) == whole).all()
+
+
 def test_deep_shallow():
     rnd = random.Random(1)
     xs = [bytes(rnd.choices(b"ab", k=rnd.randrange(50))) for _ in range(200)] + [b"q" * 60, b"q" * 61, b"q" * 60]
