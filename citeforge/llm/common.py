@@ -135,19 +135,21 @@ _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _PART = 1 << 20
 
 
+def word_edges(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words (runs without ASCII white space) begin and end."""
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], _WHITE[data], [True])).astype(np.int8)))
+    return edge[::2], edge[1::2]
+
+
 def word_hashes(raw: bytes) -> np.ndarray:
-    """64-bit hashes of the words (runs without ASCII white space) of a UTF-8 text, in their order; read in parts that end between words."""
+    """64-bit hashes of the words of a UTF-8 text, in their order; read in parts that end between words."""
     out, at, rest = [], 0, b""
     while at < len(raw) or rest:
         part, at = rest + raw[at : at + _PART], at + _PART
-        data = np.frombuffer(part, np.uint8)
-        white = _WHITE[data]
+        data, rest = np.frombuffer(part, np.uint8), b""
         if at < len(raw):  # the last word may go on
-            blanks = np.flatnonzero(white)
+            blanks = np.flatnonzero(_WHITE[data])
             end = int(blanks[-1]) + 1 if len(blanks) else 0
-            rest, data, white = part[end:], data[:end], white[:end]
-        else:
-            rest = b""
-        edge = np.flatnonzero(np.diff(np.concatenate(([True], white, [True])).astype(np.int8)))
-        out.append(span_hash(prefix_hash(data), edge[::2], edge[1::2]))
+            data, rest = data[:end], part[end:]
+        out.append(span_hash(prefix_hash(data), *word_edges(data)))
     return np.concatenate(out) if out else np.empty(0, np.uint64)

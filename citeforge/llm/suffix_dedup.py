@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, free_name, lanes, prefix_hash, small_batches, span_hash, staged, text_id, word_hashes
+from .common import discard, free_name, lanes, prefix_hash, small_batches, span_hash, staged, text_id, word_edges, word_hashes
 from .deep_shallow import sort_with_lcp
 
 LENGTH, GRAM, WORDS, WORD_GRAM = 400, 200, 51, 20
@@ -48,27 +49,73 @@ def _sliding(x: np.ndarray, w: int, f: np.ufunc, fill) -> np.ndarray:
     return f(back[: n - w + 1], ahead[w - 1 : n])
 
 
+def _anchors_in(s: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the anchors of symbols with prefix hashes ``s``; no string reaches beyond ``ends`` of its first symbol."""
+    n, w = len(ends), length - gram + 1
+    if n < length:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    start = np.arange(n - gram + 1)
+    h = span_hash(s, start, start + gram) | np.uint64(1)
+    low = _sliding(h, w, np.minimum, np.uint64(2**64 - 1))  # for each string, the least hash of its pieces
+    low[ends[: n - length + 1] < start[: n - length + 1] + length] = 0
+    edge = np.zeros(w - 1, np.uint64)
+    best = _sliding(np.concatenate((edge, low, edge)), w, np.maximum, np.uint64(0))  # the strings that hold a piece
+    own = np.flatnonzero(best == h)
+    return own, h[own]
+
+
 def anchors(symbols: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of the anchors of a text's bytes or words, in pieces that overlap by a string."""
-    places, hashes, w = [], [], length - gram + 1
+    places, hashes = [], []
     for at in range(0, max(1, len(symbols) - length + 1), PIECE):
         data = symbols[at : at + PIECE + length - 1]
-        if len(data) < length:
-            break
-        start = np.arange(len(data) - gram + 1)
-        h = span_hash(prefix_hash(data), start, start + gram)
-        low = _sliding(h, w, np.minimum, np.uint64(2**64 - 1))  # for each string, the least hash of its pieces
-        edge = np.zeros(w - 1, np.uint64)
-        best = _sliding(np.concatenate((edge, low, edge)), w, np.maximum, np.uint64(0))  # the strings that hold a piece
-        own = np.flatnonzero(best == h)
+        own, h = _anchors_in(prefix_hash(data), np.full(len(data), len(data)), length, gram)
         places.append(own + at)
-        hashes.append(h[own])
-    if not places:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+        hashes.append(h)
     place, first = np.unique(np.concatenate(places), return_index=True)
     return place, np.concatenate(hashes)[first]
 
 
+def anchors_of_texts(raws: list[bytes]) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """For each of some short texts, read as one: its number of words, and places and hashes of the anchors of both units."""
+    sizes = np.array([len(r) for r in raws])
+    begin = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
+    data = np.frombuffer(b" ".join(raws), np.uint8)
+    s = prefix_hash(data)
+    at, stop = word_edges(data)
+    of = np.searchsorted(begin, at, "right") - 1
+    n_words = np.bincount(of, minlength=len(raws))
+    first_word = np.concatenate(([0], np.cumsum(n_words)[:-1]))
+    by_byte, by_word = units()
+    ws = span_hash(s, at, stop)
+    place, h = _anchors_in(s, np.repeat(begin + sizes, sizes + 1)[: len(data)], by_byte.length, by_byte.gram)
+    wplace, wh = _anchors_in(prefix_hash(ws), np.cumsum(n_words)[of], by_word.length, by_word.gram)
+    mine, wmine = np.searchsorted(begin, place, "right") - 1, of[wplace]
+    cuts, wcuts = np.searchsorted(mine, np.arange(1, len(raws))), np.searchsorted(wmine, np.arange(1, len(raws)))
+    parts = (np.split(place - begin[mine], cuts), np.split(h, cuts), np.split(wplace - first_word[wmine], wcuts), np.split(wh, wcuts))
+    return [(int(n), *_marked(p, x, q, y)) for n, p, x, q, y in zip(n_words, *parts)]
+
+
+def _marked(place: np.ndarray, h: np.ndarray, wplace: np.ndarray, wh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Anchors of both units together: the last bit of a hash tells the unit."""
+    return np.concatenate((place, wplace)), np.concatenate((h & np.uint64(2**64 - 2), wh | np.uint64(1))).view(np.int64)
+
+
+@dataclass(frozen=True)
+class Symbols:
+    """A text's symbols as bytes, forth and back."""
+
+    there: bytes
+    back: bytes
+
+    @staticmethod
+    def of(raw: bytes, words: bool) -> Symbols:
+        if not words:
+            return Symbols(raw, raw[::-1])
+        ids = word_hashes(raw).astype(np.uint32)
+        return Symbols(ids.tobytes(), ids[::-1].tobytes())
+
+
 @dataclass(frozen=True)
 class Unit:
     """What strings are made of: symbols of ``size`` bytes. The last bit of an anchor's hash tells the unit.
@@ -82,9 +129,10 @@ class Unit:
     across: bool
     step: int
 
-    def around(self, symbols: np.ndarray, p: int, first: int, last: int) -> tuple[bytes, bytes]:
+    def around(self, text: Symbols, p: int, first: int, last: int) -> tuple[bytes, bytes]:
         """What strings that begin first .. last - 1 symbols before p cover to the left, reversed, and to the right."""
-        return symbols[max(0, p - last + 1) : p][::-1].tobytes(), symbols[p : p + self.length - first].tobytes()
+        z, back = self.size, len(text.there) - self.size * p
+        return text.back[back : back + z * (last - 1)], text.there[z * p : z * (p + self.length - first)]
 
     def owner(self, name: bytes, places: list[int]) -> tuple[int, int]:
         """Two numbers, equal for what counts as one occurrence."""
@@ -99,10 +147,6 @@ def units() -> tuple[Unit, Unit]:
     return Unit(LENGTH, GRAM, 1, False, 67), Unit(WORDS, WORD_GRAM, 4, True, 16)
 
 
-def _symbols(raw: bytes, words: bool) -> np.ndarray:
-    return word_hashes(raw).astype(np.uint32) if words else np.frombuffer(raw, np.uint8)
-
-
 def _encode(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
@@ -157,20 +201,25 @@ def _with_anchors(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     by_byte, by_word = units()
 
+    def read(raws: list[bytes]) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        if len(raws) > 1 or raws and len(raws[0]) < PIECE:
+            return anchors_of_texts(raws)
+        ws = word_hashes(raws[0])
+        return [(len(ws), *_marked(*anchors(np.frombuffer(raws[0], np.uint8), by_byte.length, by_byte.gram), *anchors(ws, by_word.length, by_word.gram)))]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
-            for text in b["text"]:
-                raw = _encode(text)
-                ws = word_hashes(raw)
-                place, h = anchors(_symbols(raw, False), by_byte.length, by_byte.gram)
-                wplace, wh = anchors(ws, by_word.length, by_word.gram)
-                h = np.concatenate((h & np.uint64(2**64 - 2), wh | np.uint64(1)))
-                whole = hashlib.sha256(raw)
-                rows.append((whole.digest()[:16], len(raw), len(ws), whole.hexdigest(), np.concatenate((place, wplace)), h.view(np.int64)))
-            out = pd.DataFrame(rows, columns=["text_id", "n_bytes", "n_words", "sha256", "places", "hashes"])
-            out.insert(0, "doc_id", b["doc_id"].astype("Int64").array)
-            yield out
+            raws = [_encode(t) for t in b["text"]]
+            found, held, size = [], [], 0
+            for raw in raws:  # some PIECE bytes at a time; a longer text by itself
+                if held and size + len(raw) >= PIECE:
+                    found += read(held)
+                    held, size = [], 0
+                held.append(raw)
+                size += len(raw) + 1
+            found += read(held) if held else []
+            hashed = [hashlib.sha256(raw) for raw in raws]
+            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64").array, "text_id": [x.digest()[:16] for x in hashed], "n_bytes": [len(raw) for raw in raws], "n_words": [f[0] for f in found], "sha256": [x.hexdigest() for x in hashed], "places": [f[1] for f in found], "hashes": [f[2] for f in found]})
 
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, text_id binary, n_bytes long, n_words long, sha256 string, places array<long>, hashes array<long>")
 
@@ -180,21 +229,18 @@ FOUND = "words boolean, name binary, begin long, end long, string binary, low lo
 
 
 def _chunks(rows: Iterator[tuple], schema: list[str]) -> Iterator[pd.DataFrame]:
-    names, held = [c.split()[0] for c in schema], []
-    for r in rows:
-        held.append(r)
-        if len(held) == CHUNK:
-            yield pd.DataFrame(held, columns=names)
-            held = []
-    yield pd.DataFrame(held, columns=names)
+    names = [c.split()[0] for c in schema]
+    while held := list(islice(rows, CHUNK)):
+        yield pd.DataFrame(dict(zip(names, map(list, zip(*held)))))
+    yield pd.DataFrame({c: [] for c in names}, dtype=object)
 
 
-def _each_mark(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[bytes, list, tuple[np.ndarray | None, np.ndarray | None]]]:
+def _each_mark(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[bytes, list, tuple[Symbols | None, Symbols | None]]]:
     """(text_id, marks, symbols by unit) of rows (text_id, text, marks)."""
     for b in batches:
         for tid, text, marks in zip(b["text_id"], b["text"], b["marks"]):
             raw, have = _encode(text), {m["hash"] & 1 for m in marks}
-            yield tid, marks, tuple(_symbols(raw, k == 1) if k in have else None for k in (0, 1))
+            yield tid, marks, tuple(Symbols.of(raw, k == 1) if k in have else None for k in (0, 1))
 
 
 def _contexts(texts: DataFrame) -> DataFrame:
@@ -206,8 +252,9 @@ def _contexts(texts: DataFrame) -> DataFrame:
         for tid, marks, symbols in _each_mark(batches):
             same: dict[tuple, list[int]] = {}
             for m in marks:
-                unit = both[m["hash"] & 1]
-                same.setdefault((m["hash"], *unit.around(symbols[m["hash"] & 1], m["place"], 0, unit.length - unit.gram + 1)), []).append(m["place"])
+                p, h = m["place"], m["hash"]
+                unit = both[h & 1]
+                same.setdefault((h, *unit.around(symbols[h & 1], p, 0, unit.length - unit.gram + 1)), []).append(p)
             for (h, x, y), ps in same.items():
                 unit = both[h & 1]
                 yield h, 0, False, tid, ps, x, y, 0, unit.length - unit.gram + 1, *unit.owner(tid, ps)
@@ -229,9 +276,9 @@ def _cores(texts: DataFrame) -> DataFrame:
             for m in marks:
                 unit, own, p = both[m["hash"] & 1], symbols[m["hash"] & 1], m["place"]
                 for first in range(0, unit.length - unit.gram + 1, unit.step):
-                    a, b = p - first, p + unit.length - min(first + unit.step, unit.length - unit.gram + 1) + 1
-                    if 0 <= a and b <= len(own):
-                        same.setdefault((xxhash.xxh3_128_digest(b"%d:" % first + own[a:b].tobytes()), m["hash"], first), []).append(p)
+                    a, b = unit.size * (p - first), unit.size * (p + unit.length - min(first + unit.step, unit.length - unit.gram + 1) + 1)
+                    if 0 <= a and b <= len(own.there):
+                        same.setdefault((xxhash.xxh3_128_digest(b"%d:" % first + own.there[a:b]), m["hash"], first), []).append(p)
             for (core, h, first), ps in same.items():
                 yield core, tid, ps, h, first, *both[h & 1].owner(tid, ps)
 
