@@ -14,10 +14,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     Every step groups by node with partial aggregation and joins staged tables, so hot nodes are split by AQE; the
     number of rounds grows with the logarithm of the longest path. Nothing but counts reaches the driver.
     """
-    state = lambda t: t.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     edges = staged(links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct(), "cc-links")
-    before = state(edges)
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
         # large star: larger neighbours hang on the least one
@@ -26,10 +24,14 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         # small star: smaller neighbours, and the node itself, hang on the least one
         hung = large.join(low2, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(low2.select("a", F.col("low").alias("b")))
         new = staged(hung.where("a <> b").distinct(), "cc-links")
-        after = state(new)
         discard(edges, large)
         edges = new
-        if after == before:
-            roots = edges.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct()
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(roots)
-        before = after
+    roots = edges.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct()
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(roots)
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one node only, which hangs on none (a is the larger node of each link)."""
+    ends = edges.select(F.col("a").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("b").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    met = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return met.where("up > 1 or up = 1 and down = 1").isEmpty()

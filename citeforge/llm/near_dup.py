@@ -12,8 +12,8 @@ is skipped once it exceeds all registers): mergeable by maxima, and equal with a
 3. Pairs whose registers make a similarity of the threshold a factor of e**18 less likely than the likeliest one are
    let go (some six standard errors); the rest are verified on the full sets; verified links give components.
 4. In buckets that still hold more than one component, the least node aside, all nodes meet those outside the bucket's
-   largest component, in blocks of at most 2 * BLOCK nodes: first by registers alone, which leaves the nodes that may have
-   a partner in another component, then those with their texts. A pair is looked at only in the first band that it
+   largest component, in blocks: first by registers alone (2 * WIDE nodes at most), which leaves the nodes that may have
+   a partner in another component, then those with their texts (2 * BLOCK). A pair is looked at only in the first band that it
    shares, and a block emits no more links than join its components, so no link hides behind a bucket's least node.
 
 No bucket is capped. Hot buckets, copies and components meet only in partial aggregates or in joins of staged tables, which AQE splits.
@@ -41,7 +41,7 @@ SHINGLE, PERCENT = 5, 75
 BANDS, ROWS = 51, 5
 M, A, B, TOP = BANDS * ROWS, 20.0, 1.001, 65535
 GIVE_UP = 18.0
-BLOCK = 1024
+BLOCK, WIDE = 1024, 2048
 SKETCH = "doc_id long, text_id binary, n_shingles long, node long, regs binary"
 
 
@@ -181,60 +181,59 @@ class _Block:
             (home if h else rest)[node] = comp
             self.rows[node] = (n, regs)
         self.home, self.rest = list(home), list(rest)
-        comps = {c: i for i, c in enumerate({*home.values(), *rest.values()})}
-        self.comp = {**{k: comps[v] for k, v in home.items()}, **{k: comps[v] for k, v in rest.items()}}
+        number = {c: i for i, c in enumerate({*home.values(), *rest.values()})}
+        self.home_comp, self.rest_comp = (np.array([number[c] for c in x.values()], np.int64) for x in (home, rest))
         read = lambda ks: np.frombuffer(b"".join(self.rows[k][1] for k in ks), ">u2").astype(np.uint16).reshape(len(ks), M)
         self.home_regs, self.rest_regs = read(self.home), read(self.rest)
-        self.rest_n = np.array([self.rows[k][0] for k in self.rest], float)
+        self.home_n, self.rest_n = (np.array([self.rows[k][0] for k in ks], float) for ks in (self.home, self.rest))
         every = np.concatenate((self.home_regs, self.rest_regs))
         self.band = int((every == every[0]).reshape(len(every), BANDS, ROWS).all(axis=(0, 2)).argmax())
 
-    def partners(self, group: dict[int, int]) -> Iterator[tuple[int, np.ndarray]]:
-        """For each home node, where in ``rest`` its plausible partners of another group are; read anew for each node."""
-        for i, x in enumerate(self.home):
-            others = np.array([group[k] for k in self.rest])
-            y = np.flatnonzero(others != group[x])
+    def partners(self, home_comp: np.ndarray, rest_comp: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """For each home node (its place), the places in ``rest`` of its plausible partners in another component, as they are by then."""
+        for i in range(len(self.home)):
+            y = np.flatnonzero((rest_comp != home_comp[i]) & (100 * np.minimum(self.rest_n, self.home_n[i]) >= PERCENT * np.maximum(self.rest_n, self.home_n[i])))
             if len(y):
-                y = y[(self.rest_regs[y] == self.home_regs[i]).reshape(len(y), BANDS, ROWS).all(axis=2).argmax(axis=1) == self.band]
+                earlier = (self.rest_regs[y, : self.band * ROWS] == self.home_regs[i, : self.band * ROWS]).reshape(len(y), self.band, ROWS).all(axis=2).any(axis=1)
+                y = y[~earlier]
             if len(y):
-                y = y[plausible(np.broadcast_to(self.home_regs[i], (len(y), M)), self.rest_regs[y], np.full(len(y), float(self.rows[x][0])), self.rest_n[y])]
+                y = y[plausible(np.broadcast_to(self.home_regs[i], (len(y), M)), self.rest_regs[y], np.full(len(y), self.home_n[i]), self.rest_n[y])]
             if len(y):
-                yield x, y
+                yield i, y
 
     def open(self) -> set[int]:
         """Nodes that may have a partner in another component."""
         out: set[int] = set()
-        for x, y in self.partners(self.comp):
-            out.add(x)
-            out.update(self.rest[i] for i in y.tolist())
+        for i, y in self.partners(self.home_comp, self.rest_comp):
+            out.add(self.home[i])
+            out.update(self.rest[k] for k in y.tolist())
         return out
 
     def links(self, sets: dict[int, np.ndarray]) -> list[tuple[int, int]]:
         """Verified links that join the components; a pair is compared only while it is apart."""
-        group, out = dict(self.comp), []
-        for x, y in self.partners(group):
-            mine, others = sets[x], [sets[self.rest[i]] for i in y]
+        home_comp, rest_comp, out = self.home_comp.copy(), self.rest_comp.copy(), []
+        for i, y in self.partners(home_comp, rest_comp):
+            x = self.home[i]
+            mine, others = sets[x], [sets[self.rest[k]] for k in y]
             every = np.concatenate(others)
             at = np.minimum(np.searchsorted(mine, every), len(mine) - 1)
             both = np.add.reduceat((mine[at] == every).astype(np.int64), np.concatenate(([0], np.cumsum([len(o) for o in others])[:-1])))
-            for i, k in zip(y.tolist(), both.tolist()):
-                z = self.rest[i]
-                if group[z] != group[x] and 100 * k >= PERCENT * (len(mine) + len(sets[z]) - k):
+            for k, n in zip(y.tolist(), both.tolist()):
+                z, gone = self.rest[k], rest_comp[k]
+                if gone != home_comp[i] and 100 * n >= PERCENT * (len(mine) + len(sets[z]) - n):
                     out.append((max(x, z), min(x, z)))
-                    gone = group[z]
-                    for m, g in group.items():
-                        if g == gone:
-                            group[m] = group[x]
+                    for c in (home_comp, rest_comp):
+                        c[c == gone] = home_comp[i]
         return out
 
 
-def _blocked(placed: DataFrame, nodes: DataFrame) -> DataFrame | None:
+def _blocked(placed: DataFrame, nodes: DataFrame, block: int) -> DataFrame | None:
     """Rows (key, i, j, home, node, comp, n_shingles, regs) of the blocks of buckets with several components, from (key, node, comp).
 
     All nodes of a bucket are dealt over chunks i, and those outside its largest component over chunks j; None: no such bucket.
     """
     size = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("top"))
-    mixed = staged(size.where("n > top.n").select("key", F.col("top.comp").alias("major"), F.ceil(F.col("n") / BLOCK).alias("wide"), F.ceil((F.col("n") - F.col("top.n")) / BLOCK).alias("deep")), "near-mixed")
+    mixed = staged(size.where("n > top.n").select("key", F.col("top.comp").alias("major"), F.ceil(F.col("n") / block).alias("wide"), F.ceil((F.col("n") - F.col("top.n")) / block).alias("deep")), "near-mixed")
     if mixed.isEmpty():
         discard(mixed)
         return None
@@ -271,10 +270,10 @@ def _per_block(rows: DataFrame, judge, schema: str, *more: str) -> DataFrame:
 
 def _across(placed: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
     """Links (a, b) between components that share a bucket, from (key, node, comp); None: there is nothing to compare."""
-    if (rows := _blocked(placed, nodes)) is None:
+    if (rows := _blocked(placed, nodes, WIDE)) is None:
         return None
     may = staged(_per_block(rows, lambda key, held: [(key, k) for k in _Block(held).open()], "key long, node long").distinct(), "near-may")
-    rows = _blocked(placed.join(may, ["key", "node"]), nodes)
+    rows = _blocked(placed.join(may, ["key", "node"]), nodes, BLOCK)
     discard(may)
 
     def linked(key: int, held: list[tuple]) -> list[tuple[int, int]]:
@@ -301,19 +300,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     met = members.select("node").unionByName(members.select(F.col("low").alias("node"))).distinct()
     nodes = staged(alone.join(met, "node"), "near-nodes")
     texts = _texts(docs, nodes)
-    links, comps = None, None
+    comps = staged(nodes.select("node", F.col("node").alias("comp")), "near-comps")
 
     def join_up(new: DataFrame) -> None:
-        """Adds verified links and joins components."""
-        nonlocal links, comps
-        new = staged(new, "near-links")
-        if comps is not None and new.isEmpty():
-            discard(new)
-            return
-        links = new if links is None else links.unionByName(new)
-        old, comps = comps, staged(components(links, "a", "b"), "near-comps")
-        if old is not None:
+        """Joins components by verified links: only the links between components count."""
+        nonlocal comps
+        of = lambda c: comps.select(F.col("node").alias(c), F.col("comp").alias(f"comp_{c}"))
+        found = staged(new, "near-links")
+        if not found.isEmpty():
+            joined = components(found.join(of("a"), "a").join(of("b"), "b").where("comp_a <> comp_b"), "comp_a", "comp_b")
+            up = joined.select(F.col("node").alias("comp"), F.col("comp").alias("least"))
+            old, comps = comps, staged(comps.join(up, "comp", "left").select("node", F.coalesce("least", "comp").alias("comp")), "near-comps")
             discard(old)
+        discard(found)
 
     def confirm(pairs: DataFrame) -> None:
         likely = staged(_estimated(pairs, nodes), "near-likely")
@@ -322,12 +321,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # first the least of all the nodes that it meets; then, where that left them apart, the least one of each bucket
     confirm(members.groupBy(F.col("node").alias("a")).agg(F.min("low").alias("b")))
-    apart = staged(members.join(comps, "node", "left").select("key", "node", "low", F.coalesce("comp", "node").alias("comp")), "near-apart")
     lows = comps.select(F.col("node").alias("low"), F.col("comp").alias("low_comp"))
-    confirm(apart.join(lows, "low", "left").where(F.col("comp") != F.coalesce("low_comp", "low")).select(F.col("node").alias("a"), F.col("low").alias("b")).distinct())
+    apart = members.join(comps, "node").join(lows, "low").where("comp <> low_comp")
+    confirm(apart.select(F.col("node").alias("a"), F.col("low").alias("b")).distinct())
 
     # buckets that hold more than one component beside their least node, which all others have met
-    placed = staged(members.join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp")), "near-placed")
+    placed = staged(members.join(comps, "node").select("key", "node", "comp"), "near-placed")
     if (more := _across(placed, nodes, texts)) is not None:
         join_up(more)
 
@@ -336,7 +335,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = staged(grouped.groupBy("comp").agg(F.min("doc_id").alias("component_id")), "near-first")
     out = grouped.join(first, "comp").select("doc_id", "n_shingles", "component_id")
     out = out.unionByName(every.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
-    discard(alone, buckets, members, nodes, texts, apart, placed)
+    discard(alone, buckets, members, nodes, texts, placed)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
