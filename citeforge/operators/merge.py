@@ -40,22 +40,30 @@ def _longest(x: str, size: Column, order: Column) -> Column:
     return F.min_by(F.col(x), F.struct(-size, order))
 
 
-def _union(x: str, order: Column) -> Column:
-    """Ordered set union; equal (order, list) pairs are one."""
-    rows = F.array_sort(F.collect_list(F.struct(order.alias("o"), F.col(x).alias("v"))))
-    return F.array_distinct(F.flatten(F.transform(rows, lambda r: r["v"])))
+LISTS = ("sources", "search_terms")
+
+
+def folded(rows: DataFrame, order: Column, *more: Column, maintain: bool = False) -> DataFrame:
+    """One record for each key of rows: folds(), ``more`` aggregates, and ordered set unions of LISTS.
+
+    Lists are reduced to the distinct ones of a key before they are gathered, so a key with very many hits is gathered
+    only as far as its lists differ; everything else folds partially, before the shuffle.
+    """
+    each = rows.groupBy("key", *LISTS).agg(F.min(order).alias("_o"))
+    lists = each.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("_o", *LISTS))).alias("_lists"))
+    union = lambda x: F.array_distinct(F.flatten(F.transform("_lists", lambda r: r[x])))
+    lists = lists.select("key", *[union(x).alias(x) for x in LISTS])
+    return rows.groupBy("key").agg(*folds(order, maintain), *more).join(lists, "key")
 
 
 def folds(order: Column, maintain: bool = False) -> list[Column]:
-    """One aggregate for each field; ``maintain``: lists of affiliations stay those of the first record."""
+    """One aggregate for each field but LISTS; ``maintain``: lists of affiliations stay those of the first record."""
     out = [F.min_by("doi", order).alias("doi")]
     out += [_longest(t, F.length(t), order).alias(t) for t in TEXTS]
     out += [
         _first("year", order, F.col("year").isNotNull() & (F.col("year") != 0)).alias("year"),
         F.max("cited").alias("cited"),
         F.coalesce(_first("is_oa", order, F.col("is_oa") != "Unknown"), F.lit("Unknown")).alias("is_oa"),
-        _union("sources", order).alias("sources"),
-        _union("search_terms", order).alias("search_terms"),
     ]
     lists = ("institutions", "countries")
     if maintain:
@@ -68,9 +76,9 @@ def keyed(df: DataFrame) -> DataFrame:
 
 
 def merge_hits(hits: DataFrame) -> DataFrame:
-    """One record per key; rows without a key are dropped. One shuffle."""
+    """One record per key; rows without a key are dropped."""
     rows = keyed(canonical(hits, "seq")).where("key <> ''")
-    return rows.groupBy("key").agg(*folds(F.col("seq")), F.count(F.lit(1)).alias("n_hits"), F.min("seq").alias("seq"))
+    return folded(rows, F.col("seq"), F.count(F.lit(1)).alias("n_hits"), F.min("seq").alias("seq"))
 
 
 def merge_into(existing: DataFrame, new: DataFrame, run_date: Column) -> DataFrame:
@@ -84,17 +92,16 @@ def merge_into(existing: DataFrame, new: DataFrame, run_date: Column) -> DataFra
     old = old.withColumn("target", (F.row_number().over(last) == 1) & (F.col("key") != ""))
     fresh = tag(new.drop("date_added"), 1).where("key <> ''").withColumn("date_added", F.lit(None).cast("date")).withColumn("target", F.lit(True))
     every = old.unionByName(fresh)
-    folded = (
-        every.where("target")
-        .groupBy("key")
-        .agg(*folds(F.col("o")), F.max("date_added").alias("date_added"), F.min("o").alias("o"), F.max("o.is_new").alias("any_new"), F.max(F.when(F.col("o.is_new") == 0, F.size("sources"))).alias("had"))
+    old_sources = F.max(F.when(F.col("o.is_new") == 0, F.size(F.array_distinct("sources")))).alias("had")
+    merged = (
+        folded(every.where("target"), F.col("o"), F.max("date_added").alias("date_added"), F.min("o").alias("o"), F.max("o.is_new").alias("any_new"), old_sources)
         .withColumn("added", F.col("o.is_new") == 1)
         .withColumn("updated", ~F.col("added") & (F.col("any_new") == 1) & (F.size("sources") > F.col("had")))
         .withColumn("date_added", F.when(F.col("added"), run_date.cast("date")).otherwise(F.col("date_added")))
         .drop("any_new", "had")
     )
     passed = old.where("not target").drop("target", "seq").withColumns({"added": F.lit(False), "updated": F.lit(False)})
-    return folded.unionByName(passed)
+    return merged.unionByName(passed)
 
 
 def merge_counters(merged: DataFrame) -> DataFrame:
@@ -106,4 +113,4 @@ def maintain(existing: DataFrame) -> DataFrame:
     with_date = existing if "date_added" in existing.columns else existing.withColumn("date_added", F.lit(None).cast("date"))
     rows = keyed(canonical(with_date, "seq", "date_added")).where("key <> ''")
     seq = F.col("seq")
-    return rows.groupBy("key").agg(*folds(seq, maintain=True), _first("date_added", seq, F.col("date_added").isNotNull()).alias("date_added"), (F.count(F.lit(1)) - 1).alias("removed"))
+    return folded(rows, seq, _first("date_added", seq, F.col("date_added").isNotNull()).alias("date_added"), (F.count(F.lit(1)) - 1).alias("removed"), maintain=True)

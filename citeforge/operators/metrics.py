@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import ratio_1
+from ..functions.scalars import ratio_1, trimmed
 
 # Subjects too general to count.
 GENERIC = (
@@ -38,12 +38,12 @@ def summary(pubs: DataFrame) -> DataFrame:
 
 
 def distinct_authors(pubs: DataFrame) -> DataFrame:
-    name = F.lower(F.trim("a"))
-    return pubs.select(F.explode(F.split("authors", ";")).alias("a")).where(F.trim("a") != "").agg(F.count_distinct(name).alias("authors"))
+    each = pubs.select(F.explode(F.split("authors", ";")).alias("a")).select(F.lower(trimmed(F.col("a"))).alias("a"))
+    return each.where("a <> ''").agg(F.count_distinct("a").alias("authors"))
 
 
 def distinct_items(pubs: DataFrame, column: str, name: str) -> DataFrame:
-    return pubs.select(F.explode(column).alias("x")).where(F.trim("x") != "").agg(F.count_distinct("x").alias(name))
+    return pubs.select(F.explode(column).alias("x")).where(trimmed(F.col("x")) != "").agg(F.count_distinct("x").alias(name))
 
 
 def by_year(pubs: DataFrame, spine_if_empty: bool = False) -> DataFrame:
@@ -62,17 +62,17 @@ def by_year(pubs: DataFrame, spine_if_empty: bool = False) -> DataFrame:
 
 def top_subjects(pubs: DataFrame, order: list[str], k: int = 15, generic: tuple[str, ...] = GENERIC) -> DataFrame:
     """The k most frequent subjects; ties go to the one seen first."""
-    each = pubs.select(*order, F.posexplode(F.split("subject", ";")).alias("pos", "t")).withColumn("topic", F.trim("t"))
+    each = pubs.select(*order, F.posexplode(F.split("subject", ";")).alias("pos", "t")).withColumn("topic", trimmed(F.col("t")))
     each = each.where((F.col("topic") != "") & ~F.lower("topic").isin(*generic))
     per = each.groupBy("topic").agg(F.count(F.lit(1)).alias("count"), F.min(F.struct(*order, "pos")).alias("seen"))
     return per.orderBy(F.col("count").desc(), "seen").limit(k).select("topic", "count")
 
 
 def citation_buckets(pubs: DataFrame) -> DataFrame:
-    """label, count for each range, empty ones too; negative counts belong to none."""
+    """label, count for each range, empty ones too; an unknown count is 0, negative ones belong to none."""
     nth = None
     for i, (lo, hi, _) in enumerate(BUCKETS):
-        hit = F.col("cited").between(lo, hi)
+        hit = F.coalesce("cited", F.lit(0)).between(lo, hi)
         nth = F.when(hit, i) if nth is None else nth.when(hit, i)
     per = pubs.groupBy(nth.alias("nth")).agg(F.count(F.lit(1)).alias("n"))
     labels = pubs.sparkSession.createDataFrame([(i, b[2]) for i, b in enumerate(BUCKETS)], "nth int, label string")

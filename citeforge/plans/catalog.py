@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import enrich, harvest, inventory, merge, metrics
-from ..sources import geonetwork, payloads
+from ..sources import geonetwork, payloads, tables
+from ..streaming import pending
+from . import jobs
 from .ticks import axis_ticks
 
 GENERIC = ("promo anodized", "brand#12")
@@ -45,6 +48,11 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _shared(spark: SparkSession) -> str:
+    """A folder that driver and executors share: that of spark.checkpoint.dir, else the warehouse."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
 def raw_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("lineitem", "orders", "part", "customer", "supplier")
     return spark.sql(RAW, **{n: _t(spark, sf_dir, n) for n in names})
@@ -424,6 +432,75 @@ def escaping(spark, sf_dir):
     return _t(spark, sf_dir, "part").select("p_partkey", F.col("p_size").cast("int").alias("n"), S.html_escaped(text).alias("escaped"), S.url_component(F.col("p_name")).alias("url"))
 
 
+_PART_DOI = "CASE WHEN p_partkey % 3 = 0 THEN concat(' https://doi.org/10.5555/P', CAST(p_size AS STRING)) ELSE '' END"
+
+
+@query(f"""WITH {DUCK_KEYED} SELECT orderkey, seq1, seq2, seq3, 'OpenAlex' AS sources, trim(regexp_replace(replace(concat('"', term, '"  ', is_oa), '"', ''), '\\s+', ' ', 'g')) AS search_terms FROM raw""")
+def tagged_hits(spark, sf_dir):
+    label = S.query_label(F.concat(F.lit('"'), "term", F.lit('"  '), "is_oa"))
+    tagged = harvest.tagged(raw_hits(spark, sf_dir).drop("source"), "OpenAlex", label)
+    return _flat(tagged.select("orderkey", "seq1", "seq2", "seq3", "sources", "search_terms"))
+
+
+@query("SELECT s_suppkey AS id, s_name AS name, NULL AS code, 'supplier' AS platform FROM supplier UNION ALL SELECT c_custkey, c_name, c_nationkey, 'customer' FROM customer UNION ALL SELECT p_partkey, p_name, NULL, 'part' FROM part")
+def platform_union(spark, sf_dir):
+    t = lambda name, p, *more: _t(spark, sf_dir, name).select(F.col(f"{p[0]}_{p}key").alias("id"), F.col(f"{p[0]}_name").alias("name"), *more, F.lit(name).alias("platform"))
+    return inventory.union_platforms(t("supplier", "supp"), t("customer", "cust", F.col("c_nationkey").alias("code")), t("part", "part"))
+
+
+@query(f"""WITH r AS (SELECT *, {_PART_DOI} AS doi FROM part), k AS (SELECT *, {KEY} AS d FROM r),
+u AS (SELECT DISTINCT CASE WHEN d <> '' THEN d ELSE concat(p_brand, ':', substr(lower(p_name), 1, 50)) END AS key, d <> '' AS has FROM k)
+SELECT count(*) AS total, count(*) FILTER (WHERE has) AS with_doi FROM u""")
+def inventory_counters(spark, sf_dir):
+    rows = _t(spark, sf_dir, "part").select(F.trim(F.expr(_PART_DOI)).alias("doi"), F.col("p_name").alias("name"), F.col("p_brand").alias("platform"), F.struct("p_partkey").alias("at"))
+    return jobs.inventory_run([rows.where("p_partkey % 2 = 0"), rows.where("p_partkey % 2 = 1")])[1]
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'none' ELSE 'found' END AS kind, 'T' || (o_orderkey % 1000) AS title FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 UNION ALL SELECT o_orderkey, 'none', '' FROM orders WHERE o_orderkey % 5 = 0 AND o_orderkey % 7 <> 0")
+def pending_stream(spark, sf_dir):
+    """The queue of all orders as JSON files, drained once: known keys are left out, the others accepted or rejected."""
+    root = f"{_shared(spark)}/pending-{uuid.uuid4().hex[:12]}"
+    key = F.concat(F.lit("10.5555/o"), F.col("o_orderkey").cast("string"))
+    every = _t(spark, sf_dir, "orders").select("o_orderkey", key.alias("key"))
+    lists = every.groupBy(F.floor(F.col("o_orderkey") / 1000).alias("file")).agg(F.to_json(F.collect_list(F.struct(F.concat(F.lit("https://doi.org/"), F.upper("key")).alias("doi")))).alias("value"))
+    lists.write.partitionBy("file").text(f"{root}/queue")  # one JSON array a file
+    empty = [F.lit("").alias(c) for c in ("authors", "journal", "publisher", "type", "subject")]
+    registry = every.where("o_orderkey % 5 <> 0").select("key", F.concat(F.lit("T"), (F.col("o_orderkey") % 1000).cast("string")).alias("title"), *empty, F.lit(2000).alias("year"), F.lit(1).alias("cited"), F.lit("Yes").alias("is_oa"))
+    write = lambda kind: lambda df: df.select("key", (F.col("title") if kind == "found" else F.lit("")).alias("title")).write.mode("append").parquet(f"{root}/{kind}")
+    pending.drain(spark, f"{root}/queue", f"{root}/checkpoint", lambda: every.where("o_orderkey % 7 = 0").select("key"), lambda: (registry, registry.limit(0)), write("found"), write("none"))
+    read = lambda kind: spark.read.schema("key string, title string").parquet(f"{root}/{kind}").withColumn("kind", F.lit(kind))
+    return read("found").unionByName(read("none")).select(F.regexp_extract("key", "o(\\d+)$", 1).cast("long").alias("o_orderkey"), "kind", "title")
+
+
+@query("SELECT c_custkey AS id, c_name AS name, c_nationkey + 1 AS code FROM customer")
+def table_overwrite(spark, sf_dir):
+    """A table rewritten from itself: readers see the old rows or the new ones."""
+    path = f"{_shared(spark)}/overwrite-{uuid.uuid4().hex[:12]}"
+    tables.overwrite(_t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("code")), path)
+    tables.overwrite(spark.read.parquet(path).withColumn("code", F.col("code") + 1), path)
+    return spark.read.parquet(path)
+
+
+@query("SELECT p_partkey AS id, p_name AS name FROM part")
+def envelope_records(spark, sf_dir):
+    """Records of JSON documents {records: [...]}, one document (and file) for each size; a path that is missing adds none."""
+    path = f"{_shared(spark)}/envelope-{uuid.uuid4().hex[:12]}"
+    docs = _t(spark, sf_dir, "part").groupBy("p_size").agg(F.collect_list(F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))).alias("records"))
+    docs.write.partitionBy("p_size").json(path)
+    schema = "id bigint, name string"
+    return payloads.envelope(spark, path, schema).unionByName(payloads.envelope(spark, f"{path}-none", schema))
+
+
+@query("""WITH q AS (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS i, p_name AS t FROM part), y AS (SELECT unnest([1997, 2002, 2007]) AS a),
+w AS (SELECT i, t, a, p, 'y' || a || '-' || least(a + 4, 2010) AS years FROM q, y, (SELECT unnest([0, 1]) AS p) WHERE i = 0 UNION ALL SELECT i, t, NULL, p, '' FROM q, (SELECT unnest([0, 1]) AS p) WHERE i > 0)
+SELECT i::INT AS query_idx, p::INT AS pass, replace(years, 'y', ',publication_year:') AS years, CASE WHEN i = 0 THEN 20 ELSE 2 END AS pages, t AS text FROM w""")
+def scan_plan(spark, sf_dir):
+    """What a harvest asks of the index, for as many queries as there are parts (the settings' list lies on the driver)."""
+    names = [r["p_name"] for r in _t(spark, sf_dir, "part").orderBy("p_partkey").select("p_name").collect()]
+    scans = jobs.scans(jobs.Settings(queries=names), "openalex", 2010)
+    return spark.createDataFrame([(x.query_idx, x.pass_, x.years, x.pages, x.text) for x in scans], "query_idx int, pass int, years string, pages int, text string")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n.removesuffix("_query"): f for n, (f, _) in _REGISTRY.items()}
 

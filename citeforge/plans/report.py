@@ -13,7 +13,15 @@ from .ticks import nice_ticks
 
 
 def report(pubs: DataFrame, datasets: DataFrame, order: list[str], generated: str) -> dict:
-    """Totals, years, subjects and citation ranges; every part has few rows."""
+    """Totals, years, subjects and citation ranges; every part has few rows. Publications are computed once."""
+    pubs = pubs.select("journal", "subject", "authors", "institutions", "countries", "year", "cited", *order).persist()
+    try:
+        return _report(pubs, datasets, order, generated)
+    finally:
+        pubs.unpersist()
+
+
+def _report(pubs: DataFrame, datasets: DataFrame, order: list[str], generated: str) -> dict:
     stats = metrics.summary(pubs).first().asDict()
     stats |= metrics.distinct_authors(pubs).first().asDict()
     for c in ("institutions", "countries"):

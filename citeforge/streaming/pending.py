@@ -12,14 +12,24 @@ from ..operators import enrich
 
 
 def drain(spark: SparkSession, queue_dir: str, checkpoint: str, known: Callable[[], DataFrame], lookups: Callable[[], tuple[DataFrame, DataFrame]], accept: Callable[[DataFrame], None], reject: Callable[[DataFrame], None]) -> None:
-    """Looks up what is new in queue_dir (JSON arrays of {doi}); unknown identifiers go to ``reject``, none is lost."""
+    """Looks up what is new in queue_dir (JSON arrays of {doi}); unknown identifiers go to ``reject``, none is lost.
 
-    def upsert(batch: DataFrame, _: int) -> None:
-        rows = batch.select(normalise_doi(F.col("doi")).alias("key"), "doi")
+    What was found is written beside the checkpoint before ``accept`` may rewrite the tables that it came from, so lookups
+    are asked once; the batch's own folder is overwritten if the batch runs again. No folder, or files that hold no
+    such arrays: nothing to do.
+    """
+
+    def upsert(batch: DataFrame, nth: int) -> None:
+        rows = batch.where("doi is not null").select(normalise_doi(F.col("doi")).alias("key"), "doi")
         registry, index = lookups()
-        found = enrich.assemble(enrich.pending(rows, known(), [F.col("doi")]), registry, index)
+        path = f"{checkpoint.rstrip('/')}-found/{nth}"
+        enrich.assemble(enrich.pending(rows, known(), [F.col("doi")]), registry, index).write.mode("overwrite").parquet(path)
+        found = spark.read.parquet(path)
         accept(found.where("not rejected").drop("rejected"))
         reject(found.where("rejected").select("key", "doi"))
 
+    at = spark._jvm.org.apache.hadoop.fs.Path(queue_dir)
+    if not at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at):
+        return
     stream = spark.readStream.schema("doi string").option("multiLine", True).json(queue_dir)
     stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

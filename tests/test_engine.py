@@ -134,3 +134,37 @@ def test_contract():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries()) and "by_year_cumulative" in e.queries()
+
+
+def test_updated_compares_lists_not_their_lengths(spark):
+    seq = "struct(1L AS p)"
+    old = spark.sql(f"SELECT '10.1/a' AS doi, array('X', 'X') AS sources, {seq} AS seq UNION ALL SELECT '10.1/b', array('X', 'X'), {seq}")
+    new = spark.sql(f"SELECT '10.1/a' AS doi, array('Y') AS sources, {seq} AS seq UNION ALL SELECT '10.1/b', array('X'), {seq}")
+    got = {r["key"]: (r["sources"], r["updated"]) for r in merge.merge_into(old, new, F.current_date()).collect()}
+    assert got == {"10.1/a": (["X", "Y"], True), "10.1/b": (["X"], False)}
+
+
+def test_a_hot_key_is_gathered_by_its_lists(spark):
+    hits = spark.range(200_000).selectExpr("'10.1/hot' AS doi", "struct(id AS p) AS seq", "array(concat('s', id % 3)) AS sources", "array('t') AS search_terms", "concat('t', id % 7) AS title")
+    r = merge.merge_hits(hits).first()
+    assert r["n_hits"] == 200_000 and r["sources"] == ["s0", "s1", "s2"] and r["search_terms"] == ["t"] and r["title"] == "t0"
+
+
+def test_unicode_blanks_and_unknown_counts(spark):
+    pubs = spark.createDataFrame([("a b", None), ("\ta b", 0), ("a b ", 3), (" ;", 7)], "authors string, cited bigint")
+    assert metrics.distinct_authors(pubs).first()["authors"] == 1
+    assert [r["count"] for r in metrics.citation_buckets(pubs).orderBy("nth").collect()][:3] == [2, 1, 1]
+
+
+def test_queue_may_feed_the_table_that_it_reads(spark, tmp_path):
+    at = lambda n: f"file://{tmp_path}/{n}"
+    pending.drain(spark, at("none"), at("c0"), None, None, None, None)  # no folder: nothing to do
+    (tmp_path / "q").mkdir()
+    (tmp_path / "q" / "a.json").write_text('[{"doi": "10.1/A"}, {"doi": "10.1/b"}, {"doi": "10.1/k"}]')
+    (tmp_path / "q" / "b.json").write_text("no json")
+    tables.overwrite(spark.sql("SELECT '10.1/k' AS key"), at("known"))
+    registry = spark.sql("SELECT '10.1/a' AS key, 'T' AS title, '' AS authors, '' AS journal, '' AS publisher, '' AS type, '' AS subject, 2000 AS year, 1 AS cited, 'Yes' AS is_oa")
+    rejects = []
+    accept = lambda df: tables.overwrite(spark.read.parquet(at("known")).unionByName(df.select("key")), at("known"))
+    pending.drain(spark, at("q"), at("c"), lambda: spark.read.parquet(at("known")), lambda: (registry, registry.limit(0)), accept, lambda df: rejects.extend(r["key"] for r in df.collect()))
+    assert sorted(r["key"] for r in spark.read.parquet(at("known")).collect()) == ["10.1/a", "10.1/k"] and rejects == ["10.1/b"]
