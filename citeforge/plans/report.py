@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import html
 import json
 
@@ -50,14 +51,23 @@ def bars(rows: list[dict], label: str, value: str, width: int = 720, height: int
         if r[value]:
             h = height * r[value] / top
             out.append(f'<rect x="{i * step:.1f}" y="{height - h:.1f}" width="{step * 0.8:.1f}" height="{h:.1f}"><title>{html.escape(str(r[label]))}: {r[value]:,}</title></rect>')
-    return f'<svg viewBox="0 0 {width} {height}">{"".join(out)}</svg>'
+    return f'<svg viewBox="0 0 {width} {height}">{"".join(out)}{year_labels(rows, lambda i: i * step, height)}</svg>'
+
+
+def year_labels(rows: list[dict], at, height: int) -> str:
+    """The first and the last year, and every fifth."""
+    last = len(rows) - 1
+    return "".join(f'<text x="{at(i):.1f}" y="{height}">{r["year"]}</text>' for i, r in enumerate(rows) if "year" in r and (i in (0, last) or r["year"] % 5 == 0))
 
 
 def line(rows: list[dict], value: str, width: int = 720, height: int = 240) -> str:
-    """One year alone is a point in the middle."""
+    """A line over its area and a grid; one year alone is a point in the middle."""
     top, n = max([1, *(r[value] for r in rows)]), len(rows)
-    points = " ".join(f"{(i / (n - 1) if n > 1 else 0.5) * width:.1f},{height * (1 - r[value] / top):.1f}" for i, r in enumerate(rows))
-    return f'<svg viewBox="0 0 {width} {height}"><polyline fill="none" points="{points}"/></svg>'
+    at = lambda i: (i / (n - 1) if n > 1 else 0.5) * width
+    grid = "".join(f'<line x1="0" x2="{width}" y1="{height * (1 - t / top):.1f}" y2="{height * (1 - t / top):.1f}"/><text x="0" y="{height * (1 - t / top):.1f}">{t:,.0f}</text>' for t in nice_ticks(top))
+    points = " ".join(f"{at(i):.1f},{height * (1 - r[value] / top):.1f}" for i, r in enumerate(rows))
+    area = f'<polygon points="{at(0):.1f},{height} {points} {at(n - 1):.1f},{height}"/>' if n else ""
+    return f'<svg viewBox="0 0 {width} {height}">{grid}{area}<polyline fill="none" points="{points}"/>{year_labels(rows, at, height)}</svg>'
 
 
 def shares(rows: list[dict], label: str, value: str, full: int = 100, least: int = 0) -> str:
@@ -71,6 +81,18 @@ def cards(stats: dict, names: tuple[str, ...]) -> str:
     return "".join(f'<div class="card"><b>{stats[n]:,}</b><span>{html.escape(n)}</span></div>' for n in names)
 
 
+def long_date(iso: str) -> str:
+    """Day, month and year of an ISO date or timestamp; other text as it is."""
+    try:
+        d = dt.date.fromisoformat(iso[:10])
+    except ValueError:
+        return iso
+    return f"{d.day} {d:%B} {d.year}"
+
+
+#: Counts up from 0 to the number that a card holds.
+COUNT_UP = "<script>document.querySelectorAll('.card b').forEach(b=>{const n=+b.textContent.replace(/,/g,'');let t0;const f=t=>{t0??=t;const p=Math.min(1,(t-t0)/1200);b.textContent=Math.round(n*p).toLocaleString('en-AU');p<1&&requestAnimationFrame(f)};requestAnimationFrame(f)})</script>"
+
 HERO = ("publications", "citations", "authors", "institutions", "countries", "datasets")
 
 
@@ -81,13 +103,13 @@ def dashboard(data: dict) -> str:
     return (
         f"<!doctype html><meta charset=utf-8><title>Research output</title><h1>{html.escape(s['year_range'])}</h1>{cards(s, HERO)}"
         f"{bars(years, 'year', 'count')}{line(years, 'cumulative_citations')}<ul>{shares(data['topSubjects'], 'topic', 'count')}</ul>{note}"
-        f"<ul>{shares(data['citationDistribution'], 'label', 'count', 280, 3)}</ul><footer>{html.escape(data['generated'])}</footer>"
+        f"<ul>{shares(data['citationDistribution'], 'label', 'count', 280, 3)}</ul><footer>{html.escape(long_date(data['generated']))}</footer>"
     )
 
 
 def widget(data: dict) -> str:
-    """Six counters."""
-    return f"<!doctype html><meta charset=utf-8>{cards(data['stats'], HERO)}"
+    """Six counters that count up, and the date."""
+    return f"<!doctype html><meta charset=utf-8>{cards(data['stats'], HERO)}<p>{html.escape(long_date(data['generated']))}</p>{COUNT_UP}"
 
 
 def counters(df: DataFrame, **conditions) -> DataFrame:

@@ -162,12 +162,12 @@ def station_networks(lines: DataFrame) -> DataFrame:
     return rows.select(F.trim(f[0]).alias("code"), F.trim(f[1]).alias("name"), S.int_prefix(F.substring(start, 1, 4)).alias("year"), F.lit("AusPass").alias("platform"), F.lit("Seismic Network").alias("type"))
 
 
-def datacite(df: DataFrame) -> DataFrame:
-    """Rows (id, attributes struct) of a DataCite page."""
+def datacite(df: DataFrame, *keep: str) -> DataFrame:
+    """Rows (id, attributes struct) of a DataCite page; columns ``keep`` stay."""
     a = F.col("attributes")
     person = lambda c: F.when(_some(c["familyName"]) & _some(c["givenName"]), F.concat(c["familyName"], F.lit(", "), F.substring(c["givenName"], 1, 1), F.lit("."))).otherwise(_text(c["name"], "Unknown"))
     return df.select(
-        S.or_else(a["doi"], F.col("id")).alias("doi"), _text(F.get(a["titles"], F.lit(0))["title"], "Untitled").alias("name"), F.array_join(F.transform(F.coalesce(a["creators"], F.array()), person), ", ").alias("authors"),
+        *keep, S.or_else(a["doi"], F.col("id")).alias("doi"), _text(F.get(a["titles"], F.lit(0))["title"], "Untitled").alias("name"), F.array_join(F.transform(F.coalesce(a["creators"], F.array()), person), ", ").alias("authors"),
         _year(a["publicationYear"].cast("int")).alias("year"), F.lit("EarthBank").alias("platform"), _text(a["types"]["resourceTypeGeneral"], "Dataset").alias("type"),
     )
 

@@ -6,8 +6,8 @@ from urllib.parse import parse_qs, urlparse
 import pytest
 from pyspark.sql import functions as F
 
-from citeforge.plans import jobs
-from citeforge.sources import fetch, geonetwork, paged, payloads
+from citeforge.plans import jobs, run
+from citeforge.sources import fetch, geonetwork, lookups, paged, payloads
 
 
 class Handler(BaseHTTPRequestHandler):
@@ -40,6 +40,22 @@ class Handler(BaseHTTPRequestHandler):
             return self.answer(200, {"resultList": {"result": [{"doi": f"10.2/{c}{i}", "title": "E"} for i in range(100)]}, "nextCursorMark": "" if c == "b c" else "b c"})
         if at.path.startswith("/graph"):
             return self.answer(200, {"data": [{"externalIds": {"DOI": f"10.3/{i}"}} for i in range(100)]}) if q["offset"][0] == "0" else self.answer(400)
+        if at.path.startswith("/works/doi:"):
+            return self.answer(200, {"title": "<i>Index</i>", "doi": "https://doi.org/10.9/a", "publication_year": 2001, "cited_by_count": 4, "type": "article"}) if at.path.endswith("10.9%2Fa") else self.answer(404)
+        if at.path.startswith("/works/"):
+            return self.answer(200, {"message": {"DOI": "10.9/A", "title": ["Registry"], "is-referenced-by-count": 9}}) if at.path.endswith("10.9%2Fa") else self.answer(500 if at.path.endswith("x") else 404)
+        if at.path.endswith("/related"):
+            return self.answer(200, {"children": {"root": [{"id": "c1", "title": "One"}, {"@id": "c2", "title": {"en": "Two"}}], "c1": [{"id": "g1", "title": "Grand"}]}.get(at.path.split("/")[-2], [])})
+        if "/api/records/" in at.path:
+            return self.answer(200, {"gmd:dataSetURI": {"gco:CharacterString": {"#text": f"https://doi.org/10.25914/{at.path.split('/')[-1]}"}}}) if at.path.endswith("c1") else self.answer(403)
+        if at.path.startswith("/fdsnws"):
+            self.send_response(200)
+            self.end_headers()
+            return self.wfile.write(b"#Network|Description|Start|End|Total\nAA|First net|2005-01-01T00:00:00||3\nBB|Second|2010-01-01|x|1\nshort|line\n")
+        if at.path.startswith("/ws/networks"):
+            return self.answer(200, {"networks": [{"fdsn_code": "AA", "doi": "10.7914/aa", "start_date": "2005-01-01"}, {"fdsn_code": "BB"}]})
+        if at.path.startswith("/dois"):
+            return self.answer(200, {"data": [{"id": "10.5/x", "attributes": {"doi": "10.5/X", "titles": [{"title": "Rocks"}], "publicationYear": 2015}}]})
         self.answer(500)
 
     def do_POST(self):
@@ -147,3 +163,33 @@ def test_maintenance(spark):
     done, counts = jobs.maintain_run(rows, registry, registry.limit(0))
     r = done.first()
     assert (r["title"], r["authors"], r["journal"], r["cited"], r["is_oa"]) == ("long", "A", "J", 4, "Unknown") and tuple(counts.first()) == (1, 1, 1)
+
+
+def test_lookups(spark, site, tmp_path):
+    keys = spark.createDataFrame([("10.9/a",), ("10.9/b",), ("10.9/x",), ("",), (None,)], "key string")
+    registry, index = lookups.publications(keys, f"file://{tmp_path}", base=site, pause=0.0, delay=0.0)
+    assert [(r["key"], r["title"], r["cited"]) for r in registry.collect()] == [("10.9/a", "Registry", 9)]
+    assert [(r["key"], r["title"], r["year"]) for r in index.collect()] == [("10.9/a", "Index", 2001)]
+    counts = lookups.citation_counts(keys.where("key <> ''"), f"file://{tmp_path}", base=site, pause=0.0, delay=0.0)
+    assert {r["key"]: r["cited"] for r in counts.collect()} == {"10.9/a": 4, "10.9/b": 0, "10.9/x": 0}
+    assert lookups.network_registry(spark, f"{site}/nowhere").count() == 0
+
+
+def test_runs_end_to_end(spark, site, tmp_path):
+    spark.dataSource.register(paged.PagedSource)
+    home = f"file://{tmp_path}/home"
+    settings = jobs.Settings(queries=["one"], primary_max_pages=1)
+    for n in range(2):  # the second run finds all of it there
+        got = run.search(spark, settings, home, 2000, "2024-05-06", base=site, pause="0", delay="0")
+        assert got["raw"] > 0 and got["added"] == (got["total"] if n == 0 else 0)
+    sets = run.datasets(spark, home, ["client"], "root", {"base": site, "pause": "0"}, stations=site, registry=site, catalogue=site)
+    assert sets["total"] == 6 and sets["with_doi"] == 3
+    (tmp_path / "home" / "queue").mkdir()
+    (tmp_path / "home" / "queue" / "q.json").write_text('[{"doi": "https://doi.org/10.9/A"}, {"doi": "10.9/none"}]')
+    run.submissions(spark, home, base=site, pause=0.0, delay=0.0)
+    pubs = {r["doi"]: r for r in spark.read.parquet(f"{home}/publications").collect()}
+    assert len(pubs) == got["total"] + 1 and pubs["10.9/a"]["title"] == "Registry" and pubs["10.9/a"]["cited"] == 9
+    assert [r["key"] for r in spark.read.parquet(f"{home}/rejected").collect()] == ["10.9/none"]
+    data = run.publish(spark, home, "2024-05-06T07:08:09Z")
+    assert data["stats"]["publications"] == len(pubs) and data["stats"]["datasets"] == 6
+    assert "6 May 2024" in (tmp_path / "home" / "index.html").read_text() and json.loads((tmp_path / "home" / "report.json").read_text())["stats"] == data["stats"]
