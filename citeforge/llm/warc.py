@@ -151,12 +151,18 @@ def read_archive(source, piece: int = 1 << 20) -> Iterator[bytes]:
 
 
 def train(pages: DataFrame) -> bytes:
-    """A dictionary from a bounded sample: the rows with the least hashes, cut to SAMPLE_BYTES each. Empty if there is too little to learn from."""
-    cut = pages.where(F.octet_length("html") > 0).select(F.xxhash64("html").alias("k"), F.substring("html", 1, SAMPLE_BYTES).alias("h"))
-    rows = cut.orderBy("k", "h").limit(SAMPLE).collect()
+    """A dictionary from a bounded sample: the payloads with the least hashes, cut to SAMPLE_BYTES each. Empty if there is too little to learn from.
+
+    Hashes alone are ranked first, so no more than the sample itself ever leaves the tasks.
+    """
+    hashed = pages.where(F.octet_length("html") > 0).select(F.xxhash64("html").alias("k"), "html")
+    least = [r["k"] for r in hashed.select("k").distinct().orderBy("k").limit(SAMPLE).collect()]
+    if len(least) < 8:
+        return b""
+    rows = hashed.where(F.col("k") <= least[-1]).groupBy("k").agg(F.min(F.substring("html", 1, SAMPLE_BYTES)).alias("h")).orderBy("k").collect()
     samples = [r["h"].encode("utf-8", "surrogatepass") for r in rows]
     try:
-        return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes() if len(samples) >= 8 else b""
+        return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
         return b""
 
