@@ -142,5 +142,7 @@ def mix(docs: DataFrame, block: int = BLOCK, repeats: int = REPEATS, shard_docs:
     extra = F.aggregate(F.sequence(first, last), F.lit(0).cast("long"), lambda acc, i: acc + F.when(once_more(i), overlap(i)).otherwise(F.lit(0)))
     taken = F.when(F.col("size") == 0, F.lit(0)).otherwise(F.col("size") * F.col("whole") + extra).cast("long")
     if keep:
-        return chosen.select("row.*", *[F.col(c).alias(free_name(docs.columns, c)) for c in ("size", "source_size", "target")], taken.alias(free_name(docs.columns, "taken")))
+        names = {c: free_name(docs.columns, c) for c in ("size", "source_size", "target", "taken")}
+        named = chosen.withColumn("taken", taken).select("row", *[F.col(c).alias(n) for c, n in names.items()])
+        return named.select("row.*", *names.values())
     return chosen.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
