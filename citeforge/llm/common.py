@@ -130,6 +130,17 @@ def span_hash(s: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix64((s[end] - s[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+def grams(s: np.ndarray, n: int, gram: int) -> np.ndarray:
+    """Hashes of all stretches of ``gram`` of n symbols, in one pass of slices; not those of span_hash()."""
+    _, down = powers(n + 1)
+    x = s[gram : n + 1] - s[: n - gram + 1]
+    x *= down[: n - gram + 1]
+    x ^= x >> U64(32)
+    x *= U64(0xD6E8FEB86659FD93)
+    x ^= x >> U64(29)
+    return x
+
+
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _PART = 1 << 20

@@ -32,12 +32,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, free_name, lanes, prefix_hash, small_batches, span_hash, staged, text_id, word_edges, word_hashes
+from .common import discard, free_name, grams, lanes, prefix_hash, small_batches, span_hash, staged, text_id, word_edges, word_hashes
 from .deep_shallow import sort_with_lcp
 
 LENGTH, GRAM, WORDS, WORD_GRAM = 400, 200, 51, 20
 GROUP, BATCH, CHUNK = 1024, 8192, 4096
-PIECE = 1 << 20
+PIECE = 1 << 17  # arrays that stay in a core's cache
 
 
 def _sliding(x: np.ndarray, w: int, f: np.ufunc, fill) -> np.ndarray:
@@ -54,10 +54,9 @@ def _anchors_in(s: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tupl
     n, w = len(ends), length - gram + 1
     if n < length:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    start = np.arange(n - gram + 1)
-    h = span_hash(s, start, start + gram) | np.uint64(1)
+    h = grams(s, n, gram) | np.uint64(1)
     low = _sliding(h, w, np.minimum, np.uint64(2**64 - 1))  # for each string, the least hash of its pieces
-    low[ends[: n - length + 1] < start[: n - length + 1] + length] = 0
+    low[ends[: n - length + 1] < np.arange(length, n + 1)] = 0
     edge = np.zeros(w - 1, np.uint64)
     best = _sliding(np.concatenate((edge, low, edge)), w, np.maximum, np.uint64(0))  # the strings that hold a piece
     own = np.flatnonzero(best == h)
