@@ -79,6 +79,11 @@ def discard(*tables: DataFrame) -> None:
             _left.pop(path, None)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Shuffle files of jobs that are done go when the driver collects its garbage, which it may not do for long: now."""
+    spark._jvm.System.gc()
+
+
 def tables_now() -> set[str]:
     return set(_left)
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, free_name, grams, lanes, prefix_hash, small_batches, span_hash, staged, text_id, word_edges, word_hashes
+from .common import discard, free_name, free_shuffles, grams, lanes, prefix_hash, small_batches, span_hash, staged, text_id, word_edges, word_hashes
 from .deep_shallow import sort_with_lcp
 
 LENGTH, GRAM, WORDS, WORD_GRAM = 400, 200, 51, 20
@@ -424,13 +424,17 @@ def _search(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame
     # copies of a text become one row before the corpus is shuffled, once
     named = docs.select(text_id(F.col("text")).alias("text_id"), "text").groupBy("text_id").agg(F.any_value("text").alias("text"))
     texts = staged(named.join(wanted.hint("merge"), "text_id"), "suffix-texts")
+    copied = staged(distinct.where("copies > 1").select("text_id"), "suffix-copied")
+    discard(distinct, shared, wanted)
+    free_shuffles(docs.sparkSession)
     of = lambda hot: texts.withColumn("marks", F.filter("marks", lambda m: (m["sorts"] > 1) == F.lit(hot))).where(F.size("marks") > 0)
     found = staged(_sorted(_contexts(of(False))), "suffix-found")
+    free_shuffles(docs.sparkSession)
     hot = _hot_stretches(of(True))
     stretches = found.select("words", F.col("name").alias("text_id"), "begin", "end").unionByName(hot)
     listed = staged(stretches.groupBy("text_id").agg(F.collect_set(F.struct("words", "begin", "end")).alias("spans")), "suffix-listed")  # as long as the text itself at most
-    copied = staged(distinct.where("copies > 1").select("text_id"), "suffix-copied")
-    discard(distinct, shared, wanted, found, hot)
+    discard(found, hot)
+    free_shuffles(docs.sparkSession)
     return every, texts, listed, copied
 
 
