@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 #: Rows and bytes of an Arrow batch: bytes are what bounds a batch of texts, which may be megabytes long.
-BATCH_ROWS, BATCH_BYTES = 4096, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 4096, 4 << 20
 _left: dict[str, DataFrame] = {}
 
 
