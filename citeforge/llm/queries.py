@@ -1,4 +1,4 @@
-"""The queries op1 .. op10: thin digests of the operators, each over its whole table."""
+"""The queries op1 .. op13: thin digests of the operators, each over its whole table."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, mixing, near_dup, pii, secret_scan, suffix_dedup, token_count, topk, warc
+from . import alignment, collocation, decontaminate, language, mixing, near_dup, pii, secret_scan, suffix_dedup, token_count, token_files, topk, warc
 from .common import table
 
 #: The session's setting with the key of op4, in hex. Without it the run draws a key of its own: pseudonyms link documents of this run only.
@@ -57,5 +57,17 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.counts(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.read(token_files.write(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
