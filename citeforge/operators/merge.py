@@ -84,12 +84,14 @@ def merge_hits(hits: DataFrame) -> DataFrame:
 def merge_into(existing: DataFrame, new: DataFrame, run_date: Column) -> DataFrame:
     """existing with new folded in: new hits go to the last existing row of their key, other rows pass unchanged.
 
-    Adds ``o`` (the order of the result), ``added`` and ``updated`` (its list of sources grew).
+    Adds ``o`` (the order of the result), ``added`` and ``updated`` (its list of sources grew). Rows without a key pass as they are, wherever
+    they lie: they have no last row to look for.
     """
     tag = lambda df, n: keyed(canonical(df, "seq", "date_added")).withColumn("o", F.struct(F.lit(n).alias("is_new"), F.col("seq")))
     old = tag(existing if "date_added" in existing.columns else existing.withColumn("date_added", F.lit(None).cast("date")), 0)
     last = Window.partitionBy("key").orderBy(F.col("seq").desc())
-    old = old.withColumn("target", (F.row_number().over(last) == 1) & (F.col("key") != ""))
+    keyless = old.where("key = ''").withColumn("target", F.lit(False))
+    old = old.where("key <> ''").withColumn("target", F.row_number().over(last) == 1)
     fresh = tag(new.drop("date_added"), 1).where("key <> ''").withColumn("date_added", F.lit(None).cast("date")).withColumn("target", F.lit(True))
     every = old.unionByName(fresh)
     old_sources = F.max(F.when(F.col("o.is_new") == 0, F.size(F.array_distinct("sources")))).alias("had")
@@ -100,7 +102,7 @@ def merge_into(existing: DataFrame, new: DataFrame, run_date: Column) -> DataFra
         .withColumn("date_added", F.when(F.col("added"), run_date.cast("date")).otherwise(F.col("date_added")))
         .drop("any_new", "had")
     )
-    passed = old.where("not target").drop("target", "seq").withColumns({"added": F.lit(False), "updated": F.lit(False)})
+    passed = old.where("not target").unionByName(keyless).drop("target", "seq").withColumns({"added": F.lit(False), "updated": F.lit(False)})
     return merged.unionByName(passed)
 
 
