@@ -37,7 +37,7 @@ LEAST, LONGEST, KEEP, SCALE, COVER = 30, 4, 2000, 2_000_000, 80
 #: Words that are broadcast, the longest of them in bytes, and the bits of the two bitmaps (words that are not, pairs).
 HEAD, HEAD_BYTES, WORD_BITS, PAIR_BITS = 200_000, 48, 22, 25
 #: Distinct words, and packed windows, that a task holds before it hands them on.
-HELD_WORDS, HELD_KEYS = 300_000, 1_500_000
+HELD_WORDS, HELD_KEYS = 150_000, 800_000
 #: Rows of keys for each range partition.
 RANGE_ROWS = 2_000_000
 _STOP = b"\xff"  # no byte of UTF-8

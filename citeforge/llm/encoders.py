@@ -20,14 +20,17 @@ import numpy as np
 BYTE_LEVEL, PIECES = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 #: Stretches kept by a worker, and the longest one that is kept, in characters.
 KEPT, SHORT = 400_000, 48
-_STRETCH, _CUT, _OTHER = re.compile(r"[ \n]*[^ \n]+|[ \n]+"), re.compile(r"(?<=\S)(?=[ \n])"), re.compile(r"[^\S \n][ \n]")
+_CUT, _RUN = re.compile(r"(?<=\S)(?=[ \n])"), re.compile(r"\s[ \n]")
 #: Stretches of a byte-level vocabulary that go to the library as one text.
 TOGETHER = 100
 
 
 def stretched(whole: str) -> list[str]:
     """The text cut before every blank or line end that follows no white space of any kind."""
-    return _CUT.split(whole) if _OTHER.search(whole) else _STRETCH.findall(whole)
+    if "\0" in whole or _RUN.search(whole):
+        return _CUT.split(whole)
+    parts = whole.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")  # each of them follows none
+    return parts if parts[0] else parts[1:]
 
 
 def byte_symbols() -> dict[str, int]:
@@ -170,12 +173,16 @@ class Encoder:
             self._clear()
         cut = [self._parts(t) for t in texts]
         every = list(itertools.chain.from_iterable(cut))
-        fresh = set(every).difference(self.memo)
+        at = np.fromiter(map(self.memo.get, every, itertools.repeat(-1)), np.int64, len(every))
+        new = at < 0
+        unknown = list(itertools.compress(every, new.tolist()))
+        fresh = set(unknown)
         long = [p for p in fresh if len(p) > self.short]
         self._add([p for p in fresh if len(p) <= self.short])
         kept = len(self.ends)
         self._add(long)  # for this batch only
-        at, ends = np.fromiter(map(self.memo.__getitem__, every), np.int64, len(every)), np.array(self.ends, np.int64)
+        at[new] = np.fromiter(map(self.memo.__getitem__, unknown), np.int64, len(unknown))
+        ends = np.array(self.ends, np.int64)
         for p in long:
             del self.memo[p]
         sizes = ends[at + 1] - ends[at]

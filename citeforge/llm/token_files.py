@@ -3,7 +3,7 @@
 Ids are split into chunks of bits, the lowest first. Level 1 has the first chunk of every id, level k + 1 the next chunk of
 those ids that go on, in the same order; each level but the last has a bitmap of which ids go on and a directory of how many
 do before every 512th one. Token i is chunk i of level 1 and, if bit i is set, token rank(i) of the rest: a few reads of
-known places. The widths of the chunks are chosen for each file, the least bits in total.
+known places. The widths of the chunks (4, 8, 16 or 32 bits) are chosen for each file, the least bits in total.
 
 Documents are dealt by ranges of (doc_id, hash of the text, row), null ids first, each range is encoded where it lies, and
 written as files of FILE_TOKENS ids at most, or of one document. The list of files is committed as a Parquet table, with
@@ -36,7 +36,6 @@ from .warc import _open
 
 MAGIC, VERSION, BLOCK = b"DACTOKEN", 1, 512
 FILE_TOKENS, END = 8 << 20, 0
-_PIECE = 1 << 18
 
 
 class BadFile(ValueError):
@@ -44,35 +43,29 @@ class BadFile(ValueError):
 
 
 def widths_of(ids: np.ndarray) -> list[int]:
-    """Chunk widths with the least bits in total: what is left after each possible cut is counted, then cuts are chosen from the end."""
-    top = int(ids.max()).bit_length() if len(ids) else 1
-    top = max(1, top)
-    longer = [len(ids)] + [int(np.count_nonzero(ids >> np.uint32(b))) for b in range(1, top)]  # ids with more than b bits
+    """Chunk widths (4, 8, 16 or 32 bits) with the least bits in total: what is left after each possible cut is counted, then cuts are chosen from the end."""
+    top = -(-max(1, int(ids.max()).bit_length() if len(ids) else 1) // 4) * 4
+    longer = {b: int(np.count_nonzero(ids >= np.uint32(1 << b))) if b else len(ids) for b in range(0, top, 4)}  # ids with more than b bits
     best: dict[int, tuple[float, list[int]]] = {top: (0.0, [])}
-    for b in range(top - 1, -1, -1):
-        each = ((longer[b] * (w + (b + w < top) * (1 + 32 / BLOCK)) + best[b + w][0], [w, *best[b + w][1]]) for w in range(1, top - b + 1))
-        best[b] = min(each)
+    for b in range(top - 4, -1, -4):
+        fits = [w for w in (4, 8, 16, 32) if b + w <= top] + [w for w in (8, 16, 32) if b + w > top][:1]
+        best[b] = min((longer[b] * (w + (b + w < top) * (1 + 32 / BLOCK)) + best[min(top, b + w)][0], [w, *best[min(top, b + w)][1]]) for w in fits)
     return best[0][1]
 
 
 def pack(values: np.ndarray, width: int) -> bytes:
     """Values of ``width`` bits one after another, the lowest bit first."""
-    out, bits = [], np.arange(width, dtype=np.uint32)
-    for i in range(0, len(values), _PIECE):  # a multiple of 8 values fills whole bytes
-        out.append(np.packbits(((values[i : i + _PIECE, None] >> bits) & np.uint32(1)).astype(np.uint8).ravel(), bitorder="little").tobytes())
-    return b"".join(out)
+    if width > 4:
+        return values.astype(f"<u{width // 8}").tobytes()
+    half = np.append(values, 0).astype(np.uint8) if len(values) % 2 else values.astype(np.uint8)
+    return (half[::2] | half[1::2] << 4).tobytes()
 
 
 def unpack(raw: bytes, width: int, n: int) -> np.ndarray:
-    out, data = np.empty(n, np.uint32), np.frombuffer(raw, np.uint8)
-    for i in range(0, n, _PIECE):
-        m = min(_PIECE, n - i)
-        bits = np.unpackbits(data[i * width // 8 : ((i + m) * width + 7) // 8], count=m * width, bitorder="little").reshape(m, width)
-        value = np.zeros(m, np.uint32)
-        for k in range(width):
-            value |= bits[:, k].astype(np.uint32) << np.uint32(k)
-        out[i : i + m] = value
-    return out
+    if width > 4:
+        return np.frombuffer(raw, f"<u{width // 8}", n).astype(np.uint32)
+    data = np.frombuffer(raw, np.uint8)
+    return np.stack((data & 15, data >> 4), axis=1).ravel()[:n].astype(np.uint32)
 
 
 def _sections(ids: np.ndarray, widths: list[int]) -> list[bytes]:
@@ -207,7 +200,7 @@ def write(docs: DataFrame, folder: str | None = None, vocabulary: str = encoders
         store.create_dir(root, recursive=True)
         encoder = encoders.byte_level(vocabulary, False, special)
         held: list[tuple[int | None, np.ndarray]] = []
-        size, first, tail = 0, None, np.array([end], np.uint32)
+        size, first = 0, None
 
         def put() -> pd.DataFrame:
             name = f"{uuid.uuid4().hex}.dac"
@@ -217,9 +210,9 @@ def write(docs: DataFrame, folder: str | None = None, vocabulary: str = encoders
 
         for b in batches:
             ids, counts, _ = encoder.encode(["" if t is None else t for t in b["text"]])
-            bounds = np.concatenate(([0], np.cumsum(counts)))
+            ids, bounds = np.insert(ids, np.cumsum(counts), end), np.concatenate(([0], np.cumsum(counts + 1)))
             for i, (doc, h, row) in enumerate(zip(b["doc_id"], b["h"], b["row"])):
-                tokens = np.concatenate((ids[bounds[i] : bounds[i + 1]], tail))
+                tokens = ids[bounds[i] : bounds[i + 1]]
                 if held and size + len(tokens) > file_tokens:
                     yield put()
                     held, size = [], 0
