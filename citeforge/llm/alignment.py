@@ -28,7 +28,7 @@ from . import encoders
 from .common import small_batches, staged
 
 #: Pairs that are broadcast, of 17 bytes each, and pairs that a task holds before it hands them on.
-HEAD, HELD = 400_000, 1_000_000
+HEAD, HELD = 400_000, 600_000
 ENCODED = "row bigint, doc_id bigint, a binary, b binary"
 _B = 32  # bits of a pair's second id
 
@@ -129,25 +129,41 @@ def runs(*sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, n))
 
 
+def sliced(batches: Iterator[pd.DataFrame], most: int = 1 << 20) -> Iterator[pd.DataFrame]:
+    """Batches of about ``most`` bytes of ids, or of one row: what is made of a batch is many times as large."""
+    for rows in batches:
+        part = np.cumsum([len(a) + len(b) for a, b in zip(rows["a"], rows["b"])]) // most
+        for i, j in zip(cuts := np.searchsorted(part, np.unique(part)), [*cuts[1:], len(rows)]):
+            yield rows.iloc[i:j]
+
+
 def pair_counts(tokens: DataFrame, a: str = encoders.BYTE_LEVEL, b: str = encoders.PIECES, held: int = HELD) -> DataFrame:
     """pair, b, n, top of every id pair, staged: how many links hold it, and whether no pair with its B id has more. Counts are summed in the tasks first."""
     small_batches(tokens.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         one, two = encoders.byte_level(a, True, False), encoders.of_pieces(b)
-        keys, sums = np.empty(0, np.uint64), np.empty(0, np.int64)
-        for rows in batches:
-            own = np.sort(_batch(rows, one, two).pairs())
-            first, n = runs(own)
-            keys, sums = np.concatenate((keys, own[first])), np.concatenate((sums, n))
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            keys, sums = (np.concatenate(x) for x in zip(*parts))
             order = np.argsort(keys, kind="stable")
             keys, sums = keys[order], sums[order]
             first, _ = runs(keys)
-            keys, sums = keys[first], np.add.reduceat(sums, first) if len(first) else sums
-            if len(keys) > held:
-                yield pd.DataFrame({"pair": keys.astype(np.int64), "n": sums})
-                keys, sums = keys[:0], sums[:0]
-        yield pd.DataFrame({"pair": keys.astype(np.int64), "n": sums})
+            return keys[first], np.add.reduceat(sums, first) if len(first) else sums
+
+        for rows in sliced(batches):
+            own = np.sort(_batch(rows, one, two).pairs())
+            first, n = runs(own)
+            parts.append((own[first], n))
+            if sum(len(k) for k, _ in parts) > held:
+                parts = [merged()]
+                if len(parts[0][0]) > held // 2:
+                    yield pd.DataFrame({"pair": parts[0][0].astype(np.int64), "n": parts[0][1]})
+                    parts = []
+        if parts:
+            keys, sums = merged()
+            yield pd.DataFrame({"pair": keys.astype(np.int64), "n": sums})
 
     n = tokens.select("a", "b").mapInPandas(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
     n = staged(n.withColumn("b", F.col("pair").bitwiseAND((1 << _B) - 1)), "alignment-pairs")
@@ -180,7 +196,7 @@ def align(docs: DataFrame, a: str = encoders.BYTE_LEVEL, b: str = encoders.PIECE
         one, two = encoders.byte_level(a, True, False), encoders.of_pieces(b)
         digits = decimal(max(len(one.table.sizes), len(two.table.sizes)))
         keys, sums, tops = shared.value
-        for rows in batches:
+        for rows in sliced(batches):
             batch, n_docs = _batch(rows, one, two), len(rows)
             pairs = batch.pairs()
             order = np.argsort(pairs, kind="stable")  # links of a pair side by side
@@ -201,7 +217,7 @@ def align(docs: DataFrame, a: str = encoders.BYTE_LEVEL, b: str = encoders.PIECE
             cut = np.searchsorted(of[first], np.arange(n_docs + 1))
             rare = rare[first].astype(np.int64)
             yield pd.DataFrame({
-                "row": rows["row"], "doc_id": rows["doc_id"].astype("Int64"), "n_a": np.diff(batch.at_a), "n_b": np.diff(batch.at_b), "n_groups": np.diff(batch.at_groups), "n_links": np.diff(batch.at_links),
+                "row": rows["row"].array, "doc_id": rows["doc_id"].astype("Int64").array, "n_a": np.diff(batch.at_a), "n_b": np.diff(batch.at_b), "n_groups": np.diff(batch.at_groups), "n_links": np.diff(batch.at_links),
                 "n_best": best, "count_sum": total, "groups_sha256": batch.digests(digits), "rare": [rare[i:j] for i, j in zip(cut[:-1], cut[1:])], "times": [times[i:j] for i, j in zip(cut[:-1], cut[1:])],
             })
 
