@@ -13,10 +13,11 @@ def _named(df: DataFrame, p: str) -> DataFrame:
     return df.select(F.col("key"), *[F.col(c).alias(f"{p}_{c}") for c in df.columns if c != "key"], F.lit(True).alias(f"{p}_found"))
 
 
-def assemble(wanted: DataFrame, registry: DataFrame, index: DataFrame) -> DataFrame:
+def assemble(wanted: DataFrame, registry: DataFrame, index: DataFrame, names: tuple[str, str] | None = None) -> DataFrame:
     """Records of wanted(key) from two lookup tables; ``rejected`` where neither knows the key.
 
-    Subject and access flag prefer the index, everything else the registry; citations are the larger count.
+    Subject and access flag prefer the index, everything else the registry; citations are the larger count. ``names`` of the two
+    tables: adds ``sources``, those that know the key.
     """
     j = wanted.join(_named(registry, "r"), "key", "left").join(_named(index, "i"), "key", "left")
     r, i = (lambda c: F.col(f"r_{c}")), (lambda c: F.col(f"i_{c}"))
@@ -29,6 +30,7 @@ def assemble(wanted: DataFrame, registry: DataFrame, index: DataFrame) -> DataFr
         or_else(i("subject"), r("subject"), F.lit("")).alias("subject"),
         or_else(i("is_oa"), r("is_oa"), F.lit("Unknown")).alias("is_oa"),
         (F.col("r_found").isNull() & F.col("i_found").isNull()).alias("rejected"),
+        *([F.array_compact(F.array(F.when(F.col("r_found"), names[0]), F.when(F.col("i_found"), names[1]))).alias("sources")] if names else []),
     )
 
 

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import enrich, harvest, inventory, merge
 from ..sources import geonetwork, payloads
-from ..sources.paged import Scan, scans_json
+from ..sources.files import Store
+from ..sources.paged import SCHEMA, Scan, left, scans_json
 
 #: Services in the order in which their hits count: (name, reader, label in ``sources``, only for the first query).
 ORDER = (
@@ -70,12 +71,20 @@ def scans(settings: Settings, name: str, current_year: int) -> list[Scan]:
     return out
 
 
-def land(spark: SparkSession, settings: Settings, name: str, current_year: int, path: str, key: str = "", **options: str) -> DataFrame:
-    """Asks a service and writes its answers to ``path`` before anything is done with them. ``paged`` must be registered."""
+def land(spark: SparkSession, settings: Settings, name: str, current_year: int, path: str, key: str = "", resume: bool = False, **options: str) -> DataFrame:
+    """Asks a service and writes its answers to ``path`` before anything is done with them. ``paged`` must be registered.
+
+    ``resume``: what lies there stays, and only scans that are not done are asked, from where they stopped. Rows are hits; how each scan
+    ended lies beside them (paged.failures).
+    """
     service = next(o[1] for o in ORDER if o[0] == name)
-    given = {"service": service, "scans": scans_json(scans(settings, name, current_year)), "key": key, "mail": settings.email, **options}
-    spark.read.format("paged").options(**given).load().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    wanted = scans(settings, name, current_year)
+    there = resume and Store(spark, path).exists(f"{path}/_SUCCESS")
+    wanted = left(spark.read.schema(SCHEMA).parquet(path), wanted) if there else wanted
+    if wanted or not there:
+        given = {"service": service, "scans": scans_json(wanted), "key": key, "mail": settings.email, **options}
+        spark.read.format("paged").options(**given).load().write.mode("append" if there else "overwrite").parquet(path)
+    return spark.read.schema(SCHEMA).parquet(path).where("record is not null")
 
 
 def hits(landed: dict[str, DataFrame], queries: DataFrame) -> DataFrame:
@@ -105,6 +114,12 @@ def numbered(merged: DataFrame) -> DataFrame:
     return merged.orderBy("o").withColumn("nth", F.monotonically_increasing_id()).drop("o", "added", "updated", "seq")
 
 
+def renumbered(merged: DataFrame, start: int) -> DataFrame:
+    """Records of a merge to store: known ones keep their ``nth``, added ones follow from ``start`` on, in the order of the result."""
+    nth = F.when(F.col("added"), F.lit(start) + F.monotonically_increasing_id()).otherwise(F.col("o.seq.p0"))
+    return merged.orderBy("o").withColumn("nth", nth).drop("o", "seq")
+
+
 def harvest_run(landed: dict[str, DataFrame], queries: DataFrame, existing: DataFrame, run_date: Column, min_year: int = 1997) -> tuple[DataFrame, DataFrame]:
     """(publications, counters): hits from ``min_year`` on, one record a key, folded into existing ones (with ``nth``).
 

@@ -6,10 +6,11 @@ import datetime as dt
 import html
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import metrics
+from ..sources.together import SCHEMA, TogetherSink
 from .ticks import nice_ticks
 
 
@@ -112,6 +113,13 @@ def widget(data: dict) -> str:
     return f"<!doctype html><meta charset=utf-8>{cards(data['stats'], HERO)}<p>{html.escape(long_date(data['generated']))}</p>{COUNT_UP}"
 
 
+def save(spark: SparkSession, folder: str, files: dict[str, str]) -> None:
+    """Writes texts as files of a folder, all of them or none."""
+    spark.dataSource.register(TogetherSink)
+    rows = spark.createDataFrame(list(files.items()), SCHEMA)
+    rows.write.format("together").option("path", folder).mode("append").save()
+
+
 def counters(df: DataFrame, **conditions) -> DataFrame:
     """A one-row metrics frame of a run."""
     return df.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(n) for n, c in conditions.items()])

@@ -41,8 +41,8 @@ REGISTRY = ("https://www.fdsn.org", "/ws/networks/1/query?format=json")
 JSON_ONLY = {"Accept": "application/json"}
 
 
-def ask(keys: DataFrame, name: str, mail: str = "", base: str = "", askers: int = 4, pause: float | None = None, delay: float = 3.0) -> DataFrame:
-    """(key, record) for each key that the service knows; ``askers`` requests at a time at most, with a pause after each."""
+def asked(keys: DataFrame, name: str, mail: str = "", base: str = "", askers: int = 4, pause: float | None = None, delay: float = 3.0) -> DataFrame:
+    """(key, record, status) for each key: found, unknown (the service has no such key) or failed. ``askers`` requests at a time at most, with a pause after each."""
     service = LOOKUPS[name]
     wait = service.pause if pause is None else pause
 
@@ -52,14 +52,18 @@ def ask(keys: DataFrame, name: str, mail: str = "", base: str = "", askers: int
             for key in b["key"]:
                 try:
                     answer = fetch_json((base or service.base) + service.path.format(k=quote(key, safe=""), m=quote(mail, safe="")), JSON_ONLY, delay=delay)
+                    rows.append((key, json.dumps(answer, ensure_ascii=False), "found") if answer else (key, None, "unknown"))
                 except (OSError, ValueError):  # HTTP and connection errors, or no JSON
-                    answer = None
-                if answer:
-                    rows.append((key, json.dumps(answer, ensure_ascii=False)))
+                    rows.append((key, None, "failed"))
                 time.sleep(wait)
-            yield pd.DataFrame(rows, columns=["key", "record"])
+            yield pd.DataFrame(rows, columns=["key", "record", "status"])
 
-    return keys.where("key is not null and key <> ''").select("key").distinct().repartition(askers).mapInPandas(run, "key string, record string")
+    return keys.where("key is not null and key <> ''").select("key").distinct().repartition(askers).mapInPandas(run, "key string, record string, status string")
+
+
+def ask(keys: DataFrame, name: str, mail: str = "", **options) -> DataFrame:
+    """(key, record) for each key that the service knows."""
+    return asked(keys, name, mail, **options).where("status = 'found'").select("key", "record")
 
 
 def landed(df: DataFrame, path: str) -> DataFrame:
@@ -67,10 +71,15 @@ def landed(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def projected(crossref: DataFrame, openalex: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(registry, index) rows by key, as operators.enrich takes them, of answers (key, record)."""
+    read = lambda df, name: payloads.read_records(df, payloads.SCHEMAS[name], "key")
+    return payloads.crossref(read(crossref, "crossref"), keep=("key",)).drop("doi"), payloads.openalex(read(openalex, "openalex"), lookup=True, keep=("key",)).drop("doi")
+
+
 def publications(keys: DataFrame, folder: str, mail: str = "", **options) -> tuple[DataFrame, DataFrame]:
-    """(registry, index) rows by key, as operators.enrich takes them."""
-    read = lambda name: payloads.read_records(landed(ask(keys, name, mail, **options), f"{folder}/{name}"), payloads.SCHEMAS[name], "key")
-    return payloads.crossref(read("crossref"), keep=("key",)).drop("doi"), payloads.openalex(read("openalex"), lookup=True, keep=("key",)).drop("doi")
+    """(registry, index) rows of what the services say now."""
+    return projected(*[landed(ask(keys, name, mail, **options), f"{folder}/{name}") for name in ("crossref", "openalex")])
 
 
 def citation_counts(keys: DataFrame, folder: str, mail: str = "", **options) -> DataFrame:
@@ -93,9 +102,7 @@ def station_networks(spark: SparkSession, base: str = "") -> DataFrame:
     """Networks of the station service, with ``at``, their place in its answer: one page of text, on the driver. Errors are raised."""
     with urlopen(Request((base or STATIONS[0]) + STATIONS[1]), timeout=60) as answer:
         lines = answer.read().decode().strip().split("\n")[1:]
-    rows = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "at long, value string")
-    fields = F.split("value", r"\|")
-    return payloads.station_networks(rows).join(rows.where(F.size(fields) >= 5).select(F.trim(fields[0]).alias("code"), "at"), "code")
+    return payloads.station_networks(spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "at long, value string"), "at")
 
 
 def network_registry(spark: SparkSession, base: str = "") -> DataFrame:

@@ -4,6 +4,10 @@ One partition for each scan (a query, a pass, a window of years): its pages depe
 (query_idx, pass, win, page, row, record): the order of a hit and its JSON text. What is read should be written out at
 once, so that no later action asks the services again.
 
+Every scan ends with a row without a record that says how: ``done``, or ``failed`` with the page, the cursor to go on from and
+the error. A page that fails ends its own scan and nothing else; what came before is kept. left() gives the scans that are still to
+do after what has been landed, each from where it stopped.
+
 Options: ``service``; ``scans``, a JSON list of {query_idx, text, pass, win, filter, pages}; ``key``, ``mail``; ``base``, which
 takes the place of the service's address (tests); ``pause``, seconds between pages.
 """
@@ -13,19 +17,21 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from urllib.parse import quote
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from .fetch import fetch_json
 
-SCHEMA = "query_idx int, pass int, win int, page int, row int, record string"
+SCHEMA = "query_idx int, pass int, win int, page int, row int, record string, status string, cursor string, error string"
 
 
 @dataclass(frozen=True)
 class Service:
-    """``numbering``: pages by number from 1, by offset, or by a cursor that each answer names. ``partial``: a failing page ends the scan."""
+    """``numbering``: pages by number from 1, by offset, or by a cursor that each answer names. ``partial``: a failing page ends the scan for good."""
 
     base: str
     path: str
@@ -74,6 +80,30 @@ class Scan(InputPartition):
     filter: str = ""
     years: str = ""
     pages: int | None = None
+    page: int = 0  # pages that have been read
+    cursor: str = "*"
+
+
+def left(landed: DataFrame, scans: list[Scan]) -> list[Scan]:
+    """The scans that landed rows do not show as done; those that failed go on from the page that did."""
+    at = ["query_idx", "pass", "win"]
+    ends = landed.where("status is not null").groupBy(*at).agg(F.max(F.col("status") == "done").alias("done"), F.max(F.struct("page", "cursor")).alias("last"))
+    known = {tuple(r[c] for c in at): r for r in ends.collect()}  # a row for each scan of the settings
+    out = []
+    for s in scans:
+        r = known.get((s.query_idx, s.pass_, s.win))
+        if r is None:
+            out.append(s)
+        elif not r["done"]:
+            out.append(replace(s, page=r["last"]["page"] - 1, cursor=r["last"]["cursor"]))
+    return out
+
+
+def failures(landed: DataFrame) -> DataFrame:
+    """query_idx, pass, win, page, error of the scans that are not done."""
+    at = ["query_idx", "pass", "win"]
+    ends = landed.where("status is not null").groupBy(*at).agg(F.max(F.col("status") == "done").alias("done"), F.max(F.struct("page", "error")).alias("last"))
+    return ends.where("not done").select(*at, "last.*")
 
 
 def scans_json(scans: list[Scan]) -> str:
@@ -107,33 +137,38 @@ class PagedReader(DataSourceReader):
         return fetch_json(self.base + s.path.format(**fill), headers, body, s.retries, self.delay)
 
     def read(self, scan: Scan | None) -> Iterator[tuple]:
-        s, cursor, page = self.service, "*", 0
+        s = self.service
         if scan is None:  # what Spark makes of an empty list of partitions
             return
+        cursor, page = scan.cursor, scan.page
+        at = (scan.query_idx, scan.pass_, scan.win)
         try:
             if s.body and not (token := self._token()):
-                return
-        except OSError:
-            return  # a key that is not accepted: no rows
+                raise OSError("no token for the key")
+        except OSError as e:  # a key that is not accepted: no rows
+            yield *at, page + 1, -1, None, "failed", cursor, str(e)[:500]
+            return
         token = token if s.body else self.key
         while scan.pages is None or page < scan.pages:
             page += 1
-            if page > 1:
+            if page > scan.page + 1:
                 time.sleep(self.pause)
             try:
                 answer = self._ask(scan, page, cursor, token)
-            except OSError:  # HTTP and connection errors
-                if s.partial:
-                    return
-                raise
-            rows = answer
-            for name in s.records:
-                rows = (rows or {}).get(name) or {}
-            for i, r in enumerate(rows):
-                yield scan.query_idx, scan.pass_, scan.win, page, i, json.dumps(r, ensure_ascii=False)
-            cursor = answer.get(CURSOR) or ""
-            if len(rows) < s.size or (s.numbering == "cursor" and not cursor):
+                rows = answer
+                for name in s.records:
+                    rows = (rows or {}).get(name) or {}
+                records = [json.dumps(r, ensure_ascii=False) for r in rows]
+                following = answer.get(CURSOR) or ""
+            except (OSError, ValueError, AttributeError, TypeError) as e:  # HTTP and connection errors, or another kind of answer
+                yield *at, page, -1, None, "done" if s.partial else "failed", cursor, f"{type(e).__name__}: {e}"[:500]
                 return
+            for i, r in enumerate(records):
+                yield *at, page, i, r, None, None, None
+            cursor = following
+            if len(records) < s.size or (s.numbering == "cursor" and not cursor):
+                break
+        yield *at, page, -1, None, "done", cursor, None
 
 
 class PagedSource(DataSource):

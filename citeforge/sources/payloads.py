@@ -154,12 +154,12 @@ def dimensions(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 READERS = {"openalex": openalex, "crossref": crossref, "semantic_scholar": semantic_scholar, "europepmc": europepmc, "core": core, "dimensions": dimensions}
 
 
-def station_networks(lines: DataFrame) -> DataFrame:
-    """code, name, year, start from pipe-delimited lines ``value`` with a header; lines under five fields are dropped."""
+def station_networks(lines: DataFrame, *keep: str) -> DataFrame:
+    """code, name, year, start from pipe-delimited lines ``value`` with a header; lines under five fields are dropped. Columns ``keep`` stay: codes recur."""
     f = F.split("value", r"\|")
     rows = lines.where((F.size(f) >= 5) & ~F.col("value").startswith("#"))
     start = F.trim(f[2])
-    return rows.select(F.trim(f[0]).alias("code"), F.trim(f[1]).alias("name"), S.int_prefix(F.substring(start, 1, 4)).alias("year"), F.lit("AusPass").alias("platform"), F.lit("Seismic Network").alias("type"))
+    return rows.select(*keep, F.trim(f[0]).alias("code"), F.trim(f[1]).alias("name"), S.int_prefix(F.substring(start, 1, 4)).alias("year"), F.lit("AusPass").alias("platform"), F.lit("Seismic Network").alias("type"))
 
 
 def datacite(df: DataFrame, *keep: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Staged overwrite of tables that are read while they are rewritten, and JSON export."""
+"""Overwrite of a plain folder that is read while it is rewritten, and JSON export. ``snapshots`` has tables with versions."""
 
 from __future__ import annotations
 
@@ -6,19 +6,25 @@ import uuid
 
 from pyspark.sql import DataFrame
 
+from .files import Store
+
 
 def overwrite(df: DataFrame, path: str) -> None:
-    """Writes beside path, then swaps: readers of path never see half a table."""
-    spark = df.sparkSession
+    """Writes beside path, then swaps: readers of path never see half a table. A swap that fails puts the old table back."""
+    store = Store(df.sparkSession, path)
     fresh, old = f"{path}.new-{uuid.uuid4().hex[:8]}", f"{path}.old-{uuid.uuid4().hex[:8]}"
     df.write.parquet(fresh)
-    at = spark._jvm.org.apache.hadoop.fs.Path
-    fs = at(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if fs.exists(at(path)):
-        fs.rename(at(path), at(old))
-    if not fs.rename(at(fresh), at(path)):
-        raise OSError(f"cannot move {fresh} to {path}")
-    fs.delete(at(old), True)
+    there = store.exists(path)
+    if there:
+        store.move(path, old)
+    try:
+        store.move(fresh, path)
+    except Exception:
+        if there:
+            store.move(old, path)
+        store.delete(fresh)
+        raise
+    store.delete(old)
 
 
 def export_json(df: DataFrame, path: str) -> None:

@@ -187,7 +187,7 @@ def test_runs_end_to_end(spark, site, tmp_path):
     (tmp_path / "home" / "queue").mkdir()
     (tmp_path / "home" / "queue" / "q.json").write_text('[{"doi": "https://doi.org/10.9/A"}, {"doi": "10.9/none"}]')
     run.submissions(spark, home, base=site, pause=0.0, delay=0.0)
-    pubs = {r["doi"]: r for r in spark.read.parquet(f"{home}/publications").collect()}
+    pubs = {r["doi"]: r for r in run.publications(spark, home).read().collect()}
     assert len(pubs) == got["total"] + 1 and pubs["10.9/a"]["title"] == "Registry" and pubs["10.9/a"]["cited"] == 9
     assert [r["key"] for r in spark.read.parquet(f"{home}/rejected").collect()] == ["10.9/none"]
     data = run.publish(spark, home, "2024-05-06T07:08:09Z")
