@@ -212,8 +212,8 @@ def once(key: tuple, make: Callable[[], Encoder]) -> Encoder:
     return _made[key]
 
 
-def byte_level(path: str, lead: bool, special: bool) -> Encoder:
-    return once(("byte-level", path, lead, special), lambda: Encoder(ByteLevel(path, special), lead))
+def byte_level(path: str, lead: bool, special: bool, kept: int = KEPT) -> Encoder:
+    return once(("byte-level", path, lead, special, kept), lambda: Encoder(ByteLevel(path, special), lead, kept))
 
 
 def of_pieces(path: str) -> Encoder:

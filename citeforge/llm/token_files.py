@@ -36,6 +36,8 @@ from .warc import _open
 
 MAGIC, VERSION, BLOCK = b"DACTOKEN", 1, 512
 FILE_TOKENS, END = 8 << 20, 0
+#: Stretches of text that a worker keeps with their ids.
+KEPT = 800_000
 
 
 class BadFile(ValueError):
@@ -198,7 +200,7 @@ def write(docs: DataFrame, folder: str | None = None, vocabulary: str = encoders
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, root = _open(folder)
         store.create_dir(root, recursive=True)
-        encoder = encoders.byte_level(vocabulary, False, special)
+        encoder = encoders.byte_level(vocabulary, False, special, KEPT)
         held: list[tuple[int | None, np.ndarray]] = []
         size, first = 0, None
 
