@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, discard, mix64, small_batches, staged
+from .common import U64, discard, free_name, mix64, small_batches, staged
 
 N, MAX_WORDS = 10, 2_000_000
 _KEEP = np.arange(256, dtype=np.uint8)
@@ -177,10 +177,34 @@ def _clean(shared):
     return clean
 
 
-def _without_hits(shared):
+SPANS = "array<struct<begin:bigint,end:bigint>>"
+
+
+def _hits(shared):
+    """The runs of hit words of each text, beside those found before."""
+
+    @F.pandas_udf(SPANS)
+    def hits(texts: pd.Series, before: pd.Series) -> pd.Series:
+        out = []
+        for text, old in zip(texts, before):
+            hit = shared.value.scan(words(text))[0]
+            edge = np.flatnonzero(np.diff(np.concatenate(([0], hit.astype(np.int8), [0])))).reshape(-1, 2)
+            out.append([*old, *({"begin": int(x), "end": int(y)} for x, y in edge)])
+        return pd.Series(out, dtype=object)
+
+    return hits
+
+
+def _without():
     @F.pandas_udf("string")
-    def cut(texts: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else cut_words(t, shared.value.scan(words(t))[0]) for t in texts], dtype=object)
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        out = []
+        for text, found in zip(texts, spans):
+            hit = np.zeros(max((s["end"] for s in found), default=0), bool)
+            for s in found:
+                hit[s["begin"] : s["end"]] = True
+            out.append(text if text is None or not len(hit) else cut_words(text, hit))
+        return pd.Series(out, dtype=object)
 
     return cut
 
@@ -206,8 +230,10 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = N, max_word
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N, max_words: int = MAX_WORDS) -> DataFrame:
-    """docs with the hit words cut out of ``text`` (what stands between them stays); hits of a piece are judged on the text that pieces before it left."""
-    return _piecewise(docs, benchmark, n, max_words, lambda d, shared: d.withColumn("text", _without_hits(shared)("text")))
+    """docs with the hit words cut out of ``text`` (what stands between them stays). Hits of all pieces are judged on the input, and cut once."""
+    spot = free_name(docs.columns, "hits")
+    found = _piecewise(docs.withColumn(spot, F.array().cast(SPANS)), benchmark, n, max_words, lambda d, shared: d.withColumn(spot, _hits(shared)("text", spot)))
+    return found.withColumn("text", F.when(F.size(spot) > 0, _without()("text", spot)).otherwise(F.col("text"))).select(*docs.columns)
 
 
 def cut_words(text: str, hit: np.ndarray) -> str:
@@ -217,6 +243,6 @@ def cut_words(text: str, hit: np.ndarray) -> str:
     inside = np.frombuffer(raw.translate(_FOLD), np.uint8) != 0x20
     edge = np.flatnonzero(np.diff(np.concatenate(([0], inside.astype(np.int8), [0])))).reshape(-1, 2)
     keep = np.ones(len(raw), bool)
-    for begin, end in edge[hit]:
+    for begin, end in edge[: len(hit)][hit]:
         keep[begin:end] = False
     return np.frombuffer(raw, np.uint8)[keep].tobytes().decode("utf-8", "surrogatepass")

@@ -5,10 +5,10 @@ languages within the family chosen. Features are hashed byte 1- to 4-grams of th
 everything but letters as a blank; a text of any length is read whole, in pieces.
 
 Training takes at most ``SAMPLE`` documents of each language, chosen by a hash of doc_id among the labelled
-documents it may learn from; only their feature counts reach the driver (50 KB each at most). Languages are the
-labels found there, the ``LANGUAGES`` most frequent ones if there are more (ties: by code point), so what is
-learned from and broadcast is bounded. Known codes are dealt to families by a fixed table; unknown ones join the family whose mean
-is nearest. Training is deterministic.
+documents it may learn from; where there are many languages fewer of each, so that there are ``ROWS`` in all (``FEWEST`` of
+each at least). Only their feature counts reach the driver, 50 KB each at most. Languages are all labels found there. Known
+codes are dealt to families by a fixed table; unknown ones join the family whose mean is nearest and that has room (``ROOM``
+languages), else they found one, so machines grow with the languages and not with their square. Training is deterministic.
 
 Null text, or a text without a letter (Unicode category L): ``und``, score 0. No labelled documents at all: ``und`` everywhere. One
 language: it gets every text with a letter, score 1. Null doc_id: never learned from, held_out is false.
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import small_batches
 
-SAMPLE, LANGUAGES, BINS, EPOCHS, COST, PIECE = 400, 200, 1 << 13, 12, 4.0, 1 << 18
+SAMPLE, ROWS, FEWEST, ROOM, BINS, EPOCHS, COST, PIECE = 400, 4000, 8, 12, 1 << 13, 12, 4.0, 1 << 18
 UNKNOWN = "und"
 # Language families by ISO 639-1 code.
 FAMILIES = {
@@ -146,7 +146,8 @@ def group_families(langs: list[str], means: dict[str, np.ndarray]) -> dict[str,
             out.setdefault(table[x], []).append(x)
     for x in langs:
         if x not in table:
-            near = max(out, key=lambda f: max(float(means[x] @ means[o]) for o in out[f]), default=None)
+            open_ = [f for f in out if len(out[f]) < ROOM]
+            near = max(open_, key=lambda f: max(float(means[x] @ means[o]) for o in out[f]), default=None)
             out.setdefault(near or x, []).append(x)
     return dict(sorted(out.items()))
 
@@ -156,12 +157,13 @@ def learnable() -> Column:
     return (F.crc32(F.col("doc_id").cast("string")) % 5 != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull()
 
 
-def fit(docs: DataFrame, may_learn: Column | None = None, sample: int = SAMPLE, languages: int = LANGUAGES) -> Model:
+def fit(docs: DataFrame, may_learn: Column | None = None, sample: int = SAMPLE, most: int = ROWS) -> Model:
     """Learns from docs(doc_id, text, lang)."""
     small_batches(docs.sparkSession)
     usable = docs.where(learnable() if may_learn is None else may_learn)
-    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.col("_n").desc(), "lang").limit(languages)
-    counts = docs.sparkSession.createDataFrame([(r["lang"], int(min(1.0, 2 * sample / r["_n"]) * (1 << 30))) for r in counts.collect()], "lang string, least long")
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).collect()  # a row for each language
+    sample = min(sample, max(FEWEST, most // max(1, len(counts))))
+    counts = docs.sparkSession.createDataFrame([(r["lang"], int(min(1.0, 2 * sample / r["_n"]) * (1 << 30))) for r in counts], "lang string, least long")
     h = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     drawn = usable.select("doc_id", "text", "lang", h.alias("h")).join(F.broadcast(counts), "lang").where(F.col("h") <= F.col("least"))  # a row for each language
 

@@ -13,7 +13,8 @@ block of the stream is taken floor(quota / blocks) times, and a seeded, evenly s
 A source's words lie within a block of its target, and for each shard what its last block lacks, as often as that is taken.
 Sources are numbered and summed up over range partitions, so many of them need no single task.
 
-Null text, empty text: size 0, taken 0. Null source: a source of its own, the last. Repeated rows are
+Null text, empty text: size 0, taken 0. Null source: a source of its own, the last. Rows are dealt by doc_id and text, so
+rows without an id, or that share one, are spread like others; repeated rows lie together. Repeated rows are
 documents of their own; equal rows share a place in the order, so the rows as a set never vary. No
 document is taken more than ``repeats`` times. An empty table gives an empty result. Further columns of
 the input are ignored, or handed on with ``keep``.
@@ -112,7 +113,7 @@ def mix(docs: DataFrame, block: int = BLOCK, repeats: int = REPEATS, shard_docs:
     """
     named = F.coalesce(F.concat(F.lit("a"), F.col("source")), F.lit("b"))  # in code-point order, null last
     row = [F.struct(*docs.columns).alias("row")] if keep else []
-    sized = staged(docs.select("doc_id", named.alias("source"), words(F.col("text")).alias("size"), seeded(F.lit(seed), F.col("doc_id").cast("string")).alias("h"), *row), "mix-sizes")
+    sized = staged(docs.select("doc_id", named.alias("source"), words(F.col("text")).alias("size"), seeded(F.lit(seed), F.col("doc_id").cast("string"), F.col("text")).alias("h"), *row), "mix-sizes")
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     filled = water_fill(sources, repeats)
     seats = filled.agg(F.round(F.sum("target") / block).cast("long").alias("seats"))

@@ -30,12 +30,17 @@ from .common import free_name
 
 @dataclass(frozen=True)
 class Rule:
-    """``group``: what must have ``least`` characters. The regex must read alike in Java, RE2 and Python."""
+    """``group``: what must have ``least`` characters. The regex must read alike in Java, RE2 and Python.
+
+    ``java``: the same regex with possessive groups, which Java runs through without a stack frame for each round; only
+    where a round that is given back could not lead to a match.
+    """
 
     kind: str
     regex: str
     least: int = 0
     group: int = 0
+    java: str = ""
 
 
 BASE = (
@@ -45,10 +50,12 @@ BASE = (
 )
 #: From BEGIN to the next END if no other line of five hyphens comes between (headers may have single ones); without
 #: END, header lines and a body that begins with 16 characters of base64, up to the first that is none and no white space.
-_NAME = r"[A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----"
-KEY = rf"-----BEGIN {_NAME}(?:[^-]*(?:-{{1,4}}[^-]+){{0,200}}-----END {_NAME}|(?:[\x20\t\r\n]*[A-Z][A-Za-z-]{{2,20}}:[^\n]*\n){{0,8}}[\x20\t\r\n\\nr]*[A-Za-z0-9+/=]{{16}}[A-Za-z0-9+/=\x20\t\r\n\\]*|)"
+_NAME = r"[A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
+#: No run of 16 letters, so a header line is never the beginning of a body.
+_HEADER = r"[\x20\t\r\n]*[A-Z][A-Za-z]{0,14}(?:-[A-Za-z]{1,15})*:[^\n]*\n"
+KEY = rf"-----BEGIN {_NAME}(?:[^-]*(?:-{{1,4}}[^-]+)*-----END {_NAME}|(?:{_HEADER})*[\x20\t\r\n\\nr]*[A-Za-z0-9+/=]{{16}}[A-Za-z0-9+/=\x20\t\r\n\\]*|)"
 MORE = (
-    Rule("key", KEY),
+    Rule("key", KEY, java=KEY.replace(")*", ")*+")),
     Rule("prefix", r"(?:ghp_|gho_|github_pat_|glpat-|xoxb-|xoxp-|sk_live_|rk_live_)[A-Za-z0-9_-]+", 20),
     Rule("url", r"[a-z][a-z0-9]{1,11}://[^\x00-\x20/:@\x22<>]*:[^\x00-\x20/:@\x22<>]+@"),
 )
@@ -184,9 +191,10 @@ def _running(lengths: Column, block: int = 256) -> Column:
 
 def matches(text: Column, rule: Rule) -> Column:
     """Sorted array of structs (start, end) of a rule's matches."""
-    found = F.regexp_extract_all(text, F.lit(rule.regex), F.lit(0))
-    measured = F.regexp_extract_all(text, F.lit(rule.regex), F.lit(rule.group)) if rule.group else found
-    read = F.struct(F.split(text, rule.regex).alias("gaps"), found.alias("found"), measured.alias("measured"))
+    own = rule.java or rule.regex
+    found = F.regexp_extract_all(text, F.lit(own), F.lit(0))
+    measured = F.regexp_extract_all(text, F.lit(own), F.lit(rule.group)) if rule.group else found
+    read = F.struct(F.split(text, own).alias("gaps"), found.alias("found"), measured.alias("measured"))
 
     def sizes(r: Column) -> Column:
         triples = F.zip_with(F.zip_with(F.slice(r["gaps"], 1, F.size(r["found"])), r["found"], lambda g, m: F.struct(F.length(g).cast("long").alias("gap"), F.length(m).cast("long").alias("size"))), r["measured"], lambda x, m: F.struct(x["gap"], x["size"], (F.length(m) >= rule.least).alias("ok")))
@@ -198,7 +206,7 @@ def matches(text: Column, rule: Rule) -> Column:
         return F.transform(F.filter(placed, lambda x: x["ok"]), lambda x: F.struct(x["start"], x["end"]))
 
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    return F.when(text.rlike(rule.regex), _let(read, sizes)).otherwise(none)
+    return F.when(text.rlike(own), _let(read, sizes)).otherwise(none)
 
 
 def _quick(rule: Rule) -> str:
@@ -228,7 +236,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, column: str = "found"
         scanned, kinds = keyed.join(index, [k, h], "left"), F.col(marked)
     every = []
     for nth, rule in enumerate(rules):
-        quick = Rule(rule.kind, _quick(rule), rule.least, rule.group)
+        quick = Rule(rule.kind, _quick(rule), rule.least, rule.group, rule.java)
         spans = _labelled(matches(_whole(), quick), nth, rule.kind)
         if rule.kind in covered:
             spans = F.when(F.coalesce(F.array_contains(kinds, rule.kind), F.lit(False)), spans).otherwise(F.array().cast("array<struct<start:bigint,nth:int,end:bigint,kind:string>>"))

@@ -8,7 +8,7 @@ from .secret_scan import RULES
 MIX = f"""
 WITH RECURSIVE sized AS (
   SELECT doc_id, coalesce('a' || source, 'b') AS source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-    ('0x' || substr(md5('{SEED}:' || doc_id), 1, 15))::BIGINT AS h
+    ('0x' || substr(md5(concat_ws(':', '{SEED}', doc_id, text)), 1, 15))::BIGINT AS h
   FROM {{documents}}
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n_docs, (row_number() OVER (ORDER BY source) - 1) % 3 + 1 AS w FROM sized GROUP BY source

@@ -20,6 +20,7 @@ rows. Texts that look like special tokens are ordinary text. The vocabulary's pa
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 from collections.abc import Callable, Iterator
 
@@ -39,7 +40,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 _CUT = regex.compile(r"\S(?=[ \t\r\n])|\p{L}(?=[^\p{L}\s])|\p{N}(?=[^\p{N}\s])|[^\s\p{L}\p{N}](?=\p{N})|[^\s\p{L}\p{N}'](?=\p{L})")
 #: What the query's edits remove: mail addresses, long runs of digits, runs of symbols.
 SCRUB = re.compile(r"[\w.+-]{1,64}@[\w-]{1,63}\.[\w.-]{1,63}|\d[\d .()-]{7,30}\d|[#$%&*]{3,}")
-_encodings: dict[int, tiktoken.Encoding] = {}
+_encodings: dict[str, tiktoken.Encoding] = {}
 
 
 def load_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
@@ -48,8 +49,10 @@ def load_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
 
 
 def encoding(ranks: dict[bytes, int]) -> tiktoken.Encoding:
-    if (k := len(ranks)) not in _encodings:
-        _encodings[k] = tiktoken.Encoding(f"ranks{k}", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    """The encoding of these very ranks, made once a worker."""
+    k = hashlib.sha256(b"".join(b"%d:%d:%b" % (n, len(t), t) for t, n in ranks.items())).hexdigest()
+    if k not in _encodings:
+        _encodings[k] = tiktoken.Encoding(f"ranks-{k}", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     return _encodings[k]
 
 
@@ -97,6 +100,18 @@ class TokenTree:
     def text(self) -> str:
         return "".join(self.leaves)
 
+    def between(self, start: int, end: int) -> str:
+        """Characters [start, end), from the leaves that hold them."""
+        if start >= end:
+            return ""
+        leaf, begin = self._find(start)
+        out, at = [], begin
+        while at < end and leaf < len(self.leaves):
+            out.append(self.leaves[leaf])
+            at += len(self.leaves[leaf])
+            leaf += 1
+        return "".join(out)[start - begin : end - begin]
+
     def _find(self, at: int) -> tuple[int, int]:
         """The leaf that holds character ``at`` (the last one for the end), and where it begins."""
         i, begin = 1, 0
@@ -145,14 +160,15 @@ def scrubbed(text: str) -> list[tuple[int, int, str]]:
     return [(*m.span(), "") for m in SCRUB.finditer(text)]
 
 
-def together(text: str, edits: list[tuple[int, int, str]], span: int = LEAF) -> list[tuple[int, int, str]]:
-    """The same change as sorted, disjoint edits of ``text``, with neighbours within ``span`` characters made one edit."""
+def together(text: str | Callable[[int, int], str], edits: list[tuple[int, int, str]], span: int = LEAF) -> list[tuple[int, int, str]]:
+    """The same change as sorted, disjoint edits of ``text`` (or of what gives its stretches), with neighbours within ``span`` characters made one edit."""
+    between = text if callable(text) else lambda a, b: text[a:b]
     out: list[tuple[int, int, list[str]]] = []
     for start, end, new in edits:
         if out and end - out[-1][0] <= span:
             first, last, parts = out[-1]
             out[-1] = (first, end, parts)
-            parts += [text[last:start], new]
+            parts += [between(last, start), new]
         else:
             out.append((start, end, [new]))
     return [(start, end, "".join(parts)) for start, end, parts in out]
@@ -192,9 +208,11 @@ def trees(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
 
 def edited(forest: DataFrame, edits: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """TREE rows after EDIT rows (disjoint stretches of a document's text before any of them), with ``n_edits`` and ``n_chars_encoded``.
+    """TREE rows after EDIT rows, stretches [start, end) of a document's text before any of them, with ``n_edits``, ``n_rejected`` and ``n_chars_encoded``.
 
-    Edits meet the trees by doc_id; their number in a document is bounded by its length.
+    Edits meet the trees by doc_id. Applied are those that lie within the text and overlap no applied one before them, by (start,
+    end, new); edits with a null place, an end before their start, or a place outside the text are rejected, and so are overlapping ones.
+    Several insertions at one place are applied in the order of their texts. A null ``new`` is empty.
     """
     spark = forest.sparkSession
     small_batches(spark)
@@ -208,17 +226,27 @@ def edited(forest: DataFrame, edits: DataFrame, vocabulary: str = VOCABULARY) ->
         for b in batches:
             rows = []
             for leaves, tokens, todo in zip(b["leaves"], b["tokens"], b["edits"]):
-                tree, todo = TokenTree.kept(leaves, tokens, count), [] if todo is None else [(e["start"], e["end"], e["new"]) for e in todo]
+                tree, given = TokenTree.kept(leaves, tokens, count), [] if todo is None else [(e["start"], e["end"], e["new"]) for e in todo]
+                todo = valid(given, tree.chars[1])
                 apply(tree, todo)
-                rows.append((tree.total, tree.chars[1], tree.leaves, tree.leaf_tokens(), len(todo), tree.encoded))
-            yield _frame(rows, b["doc_id"], ["n_tokens", "n_chars", "leaves", "tokens", "n_edits", "n_chars_encoded"])
+                rows.append((tree.total, tree.chars[1], tree.leaves, tree.leaf_tokens(), len(todo), len(given) - len(todo), tree.encoded))
+            yield _frame(rows, b["doc_id"], ["n_tokens", "n_chars", "leaves", "tokens", "n_edits", "n_rejected", "n_chars_encoded"])
+
+    return joined.mapInPandas(run, TREE + ", n_edits long, n_rejected long, n_chars_encoded long")
 
-    return joined.mapInPandas(run, TREE + ", n_edits long, n_chars_encoded long")
+
+def valid(edits: list[tuple[int | None, int | None, str]], size: int) -> list[tuple[int, int, str]]:
+    """Those that can be applied to a text of so many characters, sorted and disjoint."""
+    out: list[tuple[int, int, str]] = []
+    for start, end, new in sorted(e for e in edits if e[0] is not None and e[1] is not None):
+        if 0 <= start <= end <= size and (not out or start >= out[-1][1]):
+            out.append((int(start), int(end), new))
+    return out
 
 
 def apply(tree: TokenTree, edits: list[tuple[int, int, str]]) -> None:
     """Sorted, disjoint edits, from the back: places before stay where they are, and each leaf is encoded once or twice."""
-    for start, end, new in reversed(together(tree.text(), edits)) if edits else ():
+    for start, end, new in reversed(together(tree.between, edits)) if edits else ():
         tree.edit(start, end, new)
 
 

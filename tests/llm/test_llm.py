@@ -224,8 +224,8 @@ def test_language(spark):
     got = {r["doc_id"]: r for r in language.predict(df, language.fit(df)).collect()}
     assert sum(got[i]["lang_pred"] == rows[i][2] for i in range(300)) >= 297 and got[300]["lang_pred"] == got[301]["lang_pred"] == "und"
     assert not any(map(language.has_letter, ("½", "²", "Ⅷ", "①", "1_0", "", None))) and all(map(language.has_letter, ("a", "é", "字", "ʰ")))
-    few = language.fit(df, languages=2)
-    assert len([n for m in few.within for n in m.names]) == 2
+    few = language.fit(df, most=6)  # fewer documents of each, and still all languages
+    assert sorted(n for m in few.within for n in m.names) == ["de", "en", "fr"]
     none = df.limit(0)
     assert language.predict(none, language.fit(none)).count() == 0 and language.predict(df, language.fit(none)).where("lang_pred <> 'und'").count() == 0
 
@@ -363,7 +363,7 @@ def seats_by_brute_force(claims, seats, limits):
 def mix_by_brute_force(rows, block, repeats, shard_docs, fan, seed="mix-1"):
     """(doc_id, size, source_size, target, taken) of rows (doc_id, text, source), dealt seat by seat and taken word by word."""
     h = lambda *parts: int(hashlib.md5(":".join(str(x) for x in (seed, *parts) if x is not None).encode()).hexdigest()[:15], 16)
-    sized = [(d, len(re.findall(r"[^\x20\x09-\x0D]+", t or "")), "b" if src is None else "a" + src) for d, t, src in rows]
+    sized = [(d, len(re.findall(r"[^\x20\x09-\x0D]+", t or "")), "b" if src is None else "a" + src, h(d, t)) for d, t, src in rows]
     names = sorted({r[2] for r in sized})
     size = {n: sum(r[1] for r in sized if r[2] == n) for n in names}
     weight = {n: i % 3 + 1 for i, n in enumerate(names)}
@@ -381,7 +381,7 @@ def mix_by_brute_force(rows, block, repeats, shard_docs, fan, seed="mix-1"):
     for n in names:
         own = [r for r in sized if r[2] == n]
         shards = -(-len(own) // shard_docs)
-        lanes = {k: sorted(((h(d), d, z) for d, z, _ in own if h(d) % shards == k), key=lambda x: (x[0], -1 if x[1] is None else x[1], x[2])) for k in {h(d) % shards for d, _, _ in own}}
+        lanes = {k: sorted(((at, d, z) for d, z, _, at in own if at % shards == k), key=lambda x: (x[0], -1 if x[1] is None else x[1], x[2])) for k in {r[3] % shards for r in own}}
         total = {k: sum(z for *_, z in lane) for k, lane in lanes.items()}
         most = {k: repeats * -(-z // block) for k, z in total.items()}
         groups = sorted({k // fan for k in lanes})

@@ -20,6 +20,10 @@ TEXTS = {
     f"-----BEGIN EC PRIVATE KEY-----\n{HEAD}{BODY}": "[SECRET]",
     f"-----BEGIN PRIVATE KEY-----\n{BODY}\n(cut), clean, {block('PRIVATE KEY')} end": "[SECRET](cut), clean, [SECRET] end",
     "-----BEGIN PRIVATE KEY----- is the first line": "[SECRET] is the first line",
+    f"a {block('PGP PRIVATE KEY BLOCK', 'Comment: ' + '-x' * 1000 + chr(10) + BODY)} b": "a [SECRET] b",  # a thousand hyphens
+    f"-----BEGIN PRIVATE KEY-----\n{'X-Some-Header: 1' + chr(10)}{'Abc: d' + chr(10) * 1}".replace("Abc: d\n", "Abc: d\n" * 3000) + BODY: "[SECRET]",  # and as many header lines
+    f"-----BEGIN {'VERY ' * 9}PRIVATE KEY-----\n{BODY}": "[SECRET]",
+    "-----BEGIN PRIVATE KEY-----\nAbcdefghijklmnopqrst: x\n": "[SECRET]: x\n",
     "redis://:pass-w0rd@host": "[SECRET]host",
     "socks5://me:pw@host": "[SECRET]host",
     f"http://{'u' * 70}:{'p' * 900}@host": "[SECRET]host",
