@@ -124,6 +124,11 @@ def stretches(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(total)
 
 
+def grown(x: np.ndarray, n: int) -> np.ndarray:
+    """x with room for n values at least."""
+    return x if n <= len(x) else np.concatenate((x, np.empty(max(len(x), n - len(x)), x.dtype)))
+
+
 class Encoder:
     """Token ids of whole texts by a vocabulary; ``lead``: of a blank and the text."""
 
@@ -134,7 +139,8 @@ class Encoder:
 
     def _clear(self) -> None:
         self.memo: dict = {}
-        self.flat, self.ends, self.sound = np.empty(1 << 16, np.uint32), [0], [True]
+        # stretch k has flat[ends[k] : ends[k + 1]]; there are n of them
+        self.flat, self.ends, self.sound, self.n = np.empty(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), np.ones(1 << 16, bool), 0
 
     def _add(self, texts: list[str]) -> None:
         """Encodes stretches and keeps their ids."""
@@ -148,19 +154,18 @@ class Encoder:
         if not texts:
             return
         fresh, sizes = self.vocabulary.encode_stretches(texts)
-        first = self.ends[-1]
-        if first + len(fresh) > len(self.flat):
-            self.flat = np.concatenate((self.flat[:first], np.empty(max(len(self.flat), 2 * len(fresh)), np.uint32)))
+        n, first = self.n, int(self.ends[self.n])
+        self.flat, self.ends, self.sound = grown(self.flat, first + len(fresh)), grown(self.ends, n + len(texts) + 1), grown(self.sound, n + len(texts))
         self.flat[first : first + len(fresh)] = fresh
+        self.ends[n + 1 : n + len(texts) + 1] = first + np.cumsum(sizes)
         back, given = self.table.joined(fresh).tobytes(), "".join(texts).encode("utf-8", "surrogatepass")
         if back == given:
-            sound = [True] * len(texts)
+            self.sound[n : n + len(texts)] = True
         else:
             ends = np.concatenate(([0], np.cumsum(self.table.sizes[fresh])))[np.cumsum(sizes)].tolist()
-            sound = [back[a:b] == t.encode("utf-8", "surrogatepass") for a, b, t in zip([0, *ends], ends, texts)]
-        self.memo.update(zip(texts, range(len(self.ends) - 1, len(self.ends) - 1 + len(texts))))
-        self.ends += (first + np.cumsum(sizes)).tolist()
-        self.sound += sound
+            self.sound[n : n + len(texts)] = [back[a:b] == t.encode("utf-8", "surrogatepass") for a, b, t in zip([0, *ends], ends, texts)]
+        self.memo.update(zip(texts, range(n, n + len(texts))))
+        self.n += len(texts)
 
     def _parts(self, text: str) -> list[str]:
         """Stretches that encode one by one; empty for a text that has to be encoded as it is."""
@@ -179,18 +184,17 @@ class Encoder:
         fresh = set(unknown)
         long = [p for p in fresh if len(p) > self.short]
         self._add([p for p in fresh if len(p) <= self.short])
-        kept = len(self.ends)
+        kept = self.n
         self._add(long)  # for this batch only
         at[new] = np.fromiter(map(self.memo.__getitem__, unknown), np.int64, len(unknown))
-        ends = np.array(self.ends, np.int64)
         for p in long:
             del self.memo[p]
-        sizes = ends[at + 1] - ends[at]
-        ids = self.flat[stretches(ends[at], sizes)]
+        sizes = self.ends[at + 1] - self.ends[at]
+        ids = self.flat[stretches(self.ends[at], sizes)]
         bounds = np.concatenate(([0], np.cumsum([len(c) for c in cut]))).astype(np.int64)
-        total, sound = np.concatenate(([0], np.cumsum(sizes))), np.concatenate(([0], np.cumsum(~np.array(self.sound, bool)[at + 1])))
+        total, sound = np.concatenate(([0], np.cumsum(sizes))), np.concatenate(([0], np.cumsum(~self.sound[at])))
         counts, good = total[bounds[1:]] - total[bounds[:-1]], sound[bounds[1:]] == sound[bounds[:-1]]
-        del self.ends[kept:], self.sound[kept:]
+        self.n = kept
         redo = [i for i, (t, c) in enumerate(zip(texts, cut)) if (self.lead or t) and (not c or not good[i])]
         if redo:
             pieces = np.split(ids, total[bounds[1:-1]])
