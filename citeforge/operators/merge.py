@@ -115,4 +115,4 @@ def maintain(existing: DataFrame) -> DataFrame:
     with_date = existing if "date_added" in existing.columns else existing.withColumn("date_added", F.lit(None).cast("date"))
     rows = keyed(canonical(with_date, "seq", "date_added")).where("key <> ''")
     seq = F.col("seq")
-    return folded(rows, seq, _first("date_added", seq, F.col("date_added").isNotNull()).alias("date_added"), (F.count(F.lit(1)) - 1).alias("removed"), maintain=True)
+    return folded(rows, seq, _first("date_added", seq, F.col("date_added").isNotNull()).alias("date_added"), (F.count(F.lit(1)) - 1).alias("removed"), F.min("seq").alias("seq"), maintain=True)

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import enrich, harvest, inventory, merge, metrics
+from ..operators import distinct, enrich, harvest, intervals, inventory, merge, metrics
 from ..sources import geonetwork, payloads, tables
+from ..sources.snapshots import Table
+from ..sources.staging import new_path, staged
 from ..streaming import pending
 from . import jobs
 from .ticks import axis_ticks
@@ -48,11 +49,6 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _shared(spark: SparkSession) -> str:
-    """A folder that driver and executors share: that of spark.checkpoint.dir, else the warehouse."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
-
-
 def raw_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("lineitem", "orders", "part", "customer", "supplier")
     return spark.sql(RAW, **{n: _t(spark, sf_dir, n) for n in names})
@@ -235,7 +231,7 @@ def year_windows(spark, sf_dir):
     years = _t(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("y")).agg(F.count(F.lit(1)).alias("n"))
     ends = years.agg(F.min("y").alias("a"), F.max("y").alias("b"))
     w = ends.select(F.explode(F.sequence("a", "b", F.lit(2))).alias("start"), "b").select("start", F.least(F.col("start") + 1, F.col("b")).alias("end"))
-    return w.join(years, F.col("y").between(F.col("start"), F.col("end")), "left").groupBy("start", "end").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    return intervals.counts(years, w.select("start", "end", F.col("start").alias("lo"), F.col("end").alias("hi")), "y", "n").select("start", "end", "n")
 
 
 _LOOKUPS = """wanted AS (SELECT CAST(p_partkey AS STRING) AS key FROM {part}),
@@ -459,7 +455,7 @@ def inventory_counters(spark, sf_dir):
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'none' ELSE 'found' END AS kind, 'T' || (o_orderkey % 1000) AS title FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 UNION ALL SELECT o_orderkey, 'none', '' FROM orders WHERE o_orderkey % 5 = 0 AND o_orderkey % 7 <> 0")
 def pending_stream(spark, sf_dir):
     """The queue of all orders as JSON files, drained once: known keys are left out, the others accepted or rejected."""
-    root = f"{_shared(spark)}/pending-{uuid.uuid4().hex[:12]}"
+    root = new_path(spark, "pending")
     key = F.concat(F.lit("10.5555/o"), F.col("o_orderkey").cast("string"))
     every = _t(spark, sf_dir, "orders").select("o_orderkey", key.alias("key"))
     lists = every.groupBy(F.floor(F.col("o_orderkey") / 1000).alias("file")).agg(F.to_json(F.collect_list(F.struct(F.concat(F.lit("https://doi.org/"), F.upper("key")).alias("doi")))).alias("value"))
@@ -475,7 +471,7 @@ def pending_stream(spark, sf_dir):
 @query("SELECT c_custkey AS id, c_name AS name, c_nationkey + 1 AS code FROM customer")
 def table_overwrite(spark, sf_dir):
     """A table rewritten from itself: readers see the old rows or the new ones."""
-    path = f"{_shared(spark)}/overwrite-{uuid.uuid4().hex[:12]}"
+    path = new_path(spark, "overwrite")
     tables.overwrite(_t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("code")), path)
     tables.overwrite(spark.read.parquet(path).withColumn("code", F.col("code") + 1), path)
     return spark.read.parquet(path)
@@ -483,22 +479,92 @@ def table_overwrite(spark, sf_dir):
 
 @query("SELECT p_partkey AS id, p_name AS name FROM part")
 def envelope_records(spark, sf_dir):
-    """Records of JSON documents {records: [...]}, one document (and file) for each size; a path that is missing adds none."""
-    path = f"{_shared(spark)}/envelope-{uuid.uuid4().hex[:12]}"
-    docs = _t(spark, sf_dir, "part").groupBy("p_size").agg(F.collect_list(F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))).alias("records"))
-    docs.write.partitionBy("p_size").json(path)
+    """Records of JSON documents {records: [...]}, of 100 keys each, a file for each; a path that is missing adds none."""
+    path = new_path(spark, "envelope")
+    docs = _t(spark, sf_dir, "part").groupBy(F.expr("p_partkey div 100").alias("doc")).agg(F.collect_list(F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))).alias("records"))
+    docs.write.partitionBy("doc").json(path)
     schema = "id bigint, name string"
     return payloads.envelope(spark, path, schema).unionByName(payloads.envelope(spark, f"{path}-none", schema))
 
 
-@query("""WITH q AS (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS i, p_name AS t FROM part), y AS (SELECT unnest([1997, 2002, 2007]) AS a),
-w AS (SELECT i, t, a, p, 'y' || a || '-' || least(a + 4, 2010) AS years FROM q, y, (SELECT unnest([0, 1]) AS p) WHERE i = 0 UNION ALL SELECT i, t, NULL, p, '' FROM q, (SELECT unnest([0, 1]) AS p) WHERE i > 0)
-SELECT i::INT AS query_idx, p::INT AS pass, replace(years, 'y', ',publication_year:') AS years, CASE WHEN i = 0 THEN 20 ELSE 2 END AS pages, t AS text FROM w""")
+@query("""WITH q AS (SELECT p_partkey::INT AS i, p_name AS t FROM part), y AS (SELECT unnest([0, 1, 2]) AS win, unnest([1997, 2002, 2007]) AS a), p AS (SELECT unnest([0, 1]) AS pass, unnest(['fulltext.search', 'default.search']) AS filter)
+SELECT 'openalex' AS service, i AS query_idx, pass::INT AS pass, win::INT AS win, filter, ',publication_year:' || a || '-' || least(a + 4, 2010) AS years, 20 AS pages, t AS text FROM q, y, p WHERE i = 0
+UNION ALL SELECT 'openalex', i, pass::INT, 0, filter, '', 2, t FROM q, p WHERE i > 0 UNION ALL SELECT 'europepmc', i, 0, 0, '', '', CASE WHEN i = 0 THEN 5 ELSE 2 END, t FROM q
+UNION ALL SELECT s, i, 0, 0, '', '', n, CASE WHEN s = 'europepmc_ack' THEN 'ACK_FUND:"' || t || '"' ELSE t END FROM q, (SELECT unnest(['semantic_scholar', 'europepmc_ack', 'core', 'dimensions']) AS s, unnest([5, 5, 2, 2]) AS n) WHERE i = 0""")
 def scan_plan(spark, sf_dir):
-    """What a harvest asks of the index, for as many queries as there are parts (the settings' list lies on the driver)."""
-    names = [r["p_name"] for r in _t(spark, sf_dir, "part").orderBy("p_partkey").select("p_name").collect()]
-    scans = jobs.scans(jobs.Settings(queries=names), "openalex", 2010)
-    return spark.createDataFrame([(x.query_idx, x.pass_, x.years, x.pages, x.text) for x in scans], "query_idx int, pass int, years string, pages int, text string")
+    """What a harvest asks of all services, for as many queries as there are parts."""
+    return jobs.scan_frame(_t(spark, sf_dir, "part").select(F.col("p_partkey").alias("query_idx"), F.col("p_name").alias("text")), 2010)
+
+
+@query("SELECT s_suppkey, lo, hi, (SELECT count(*) FROM lineitem WHERE l_partkey BETWEEN lo AND hi) AS n FROM (SELECT s_suppkey, s_suppkey * 7 - 20 AS lo, s_suppkey * 7 - 20 + (s_suppkey % 40 - 3) * 5 AS hi FROM supplier)")
+def interval_counts(spark, sf_dir):
+    """Line items of the parts in each of many ranges; some hold nothing."""
+    lo = F.col("s_suppkey") * 7 - 20
+    ranges = _t(spark, sf_dir, "supplier").select("s_suppkey", lo.alias("lo"), (lo + (F.col("s_suppkey") % 40 - 3) * 5).alias("hi"))
+    return intervals.counts(_t(spark, sf_dir, "lineitem"), ranges, "l_partkey")
+
+
+@query(f"""WITH {DUCK_KEYED} SELECT count(DISTINCT nullif(journal, '')) AS journals, (SELECT count(DISTINCT lower(trim(a))) FROM (SELECT unnest(string_split(authors, ';')) AS a FROM raw) WHERE trim(a) <> '') AS authors,
+  (SELECT count(DISTINCT trim(a)) FROM (SELECT unnest(string_split(subject, ';')) AS a FROM raw) WHERE trim(a) <> '') AS subjects, (SELECT count(DISTINCT x) FROM (SELECT unnest([inst1, inst2][:n_inst]) AS x FROM raw)) AS institutions, count(DISTINCT right(inst1, 2)) AS countries FROM raw""")
+def distinct_bitmaps(spark, sf_dir):
+    """Exact distinct counts of five kinds, from the bitmaps of two runs."""
+    found = staged(distinct.items(hits(spark, sf_dir), (F.col("orderkey") % 2).alias("run")), "distinct-items")
+    words, maps = spark.createDataFrame([], distinct.DICTIONARY), []
+    for run in (0, 1):
+        own = found.where(F.col("run") == run)
+        words = staged(distinct.extended(words, own), "distinct-words")
+        maps.append(distinct.bitmaps(own, words))
+    return distinct.numbers(distinct.united(*maps)).agg(*distinct.wide("journals", "authors", "subjects", "institutions", "countries"))
+
+
+@query("SELECT '10.5555/o' || o_orderkey AS key, CASE WHEN o_orderkey % 100 = 1 THEN -o_custkey ELSE o_custkey END AS v FROM orders")
+def bucketed_upsert(spark, sf_dir):
+    """A table in buckets of its keys; one in a hundred is added and one in a hundred changed, in their buckets only."""
+    rows = _t(spark, sf_dir, "orders").select(F.concat(F.lit("10.5555/o"), F.col("o_orderkey").cast("string")).alias("key"), F.col("o_custkey").alias("v"), "o_orderkey")
+    table = Table(spark, new_path(spark, "upsert"), "key", 64)
+    table.overwrite(rows.where("o_orderkey % 100 <> 0").select("key", "v"))
+    new = staged(rows.where("o_orderkey % 100 < 2").select("key", F.when(F.col("o_orderkey") % 100 == 1, -F.col("v")).otherwise(F.col("v")).alias("v")), "upsert-new")
+    table.upsert(new, lambda old, fresh: old.join(fresh.select("key"), "key", "left_anti").unionByName(fresh), run=("query", 1))
+    return table.read()
+
+
+@query("SELECT c_custkey AS id, c_name AS name, c_nationkey AS code FROM customer")
+def snapshot_rollback(spark, sf_dir):
+    """A table overwritten from itself and rolled back: the first version again."""
+    table = Table(spark, new_path(spark, "snapshots"))
+    table.overwrite(_t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("code")))
+    table.overwrite(table.read().where("id % 2 = 0").withColumn("code", F.col("code") + 1))
+    table.rollback(1)
+    return table.read()
+
+
+@query(f"WITH {_INTO} SELECT count(*) AS total, count(*) FILTER (WHERE added) AS added, count(*) FILTER (WHERE updated) AS updated FROM result")
+def observed_counters(spark, sf_dir):
+    """The counters of a merge, observed in the one write that makes the table."""
+    merged = _merged_into(spark, sf_dir).select("doi", "sources", F.col("added").alias("_added"), F.col("updated").alias("_updated"))
+    seen = Table(spark, new_path(spark, "observed")).overwrite(merged, counts={"total": F.count(F.lit(1)), "added": F.count_if("_added"), "updated": F.count_if("_updated")})
+    return spark.createDataFrame([(seen["total"], seen["added"], seen["updated"])], "total bigint, added bigint, updated bigint")
+
+
+@query("""SELECT 1 AS rank, p_partkey AS "row", '10.5555/P' || p_partkey AS doi, p_name AS title, (1960 + p_size)::INT AS year, 'Semantic Scholar' AS sources, 'a b' AS search_terms FROM part
+UNION ALL SELECT 4, s_suppkey, '10.5555/S' || s_suppkey, s_name, 2001, 'CORE', 'a b' FROM supplier""")
+def service_union(spark, sf_dir):
+    """Hits of two services, landed as JSON, in one table: each with its place in the order, its source and its query's label."""
+    land = lambda t, n, record: _t(spark, sf_dir, t).selectExpr("0 AS query_idx", "0 AS pass", "0 AS win", "1 AS page", f"{n} AS row", f"to_json(named_struct({record})) AS record")
+    landed = {
+        "semantic_scholar": land("part", "p_partkey", "'title', p_name, 'externalIds', named_struct('DOI', concat('10.5555/P', p_partkey)), 'year', 1960 + p_size"),
+        "core": land("supplier", "s_suppkey", "'title', s_name, 'doi', concat('https://doi.org/10.5555/S', s_suppkey), 'yearPublished', 2001"),
+    }
+    every = jobs.hits(landed, jobs.Settings(['a "b"']).frame(spark))
+    return every.select(F.col("seq.rank").alias("rank"), F.col("seq.row").alias("row"), "doi", "title", "year", F.array_join("sources", "; ").alias("sources"), F.array_join("search_terms", "; ").alias("search_terms"))
+
+
+@query(f"""WITH {_DL} SELECT w.key, {", ".join(f"{_OR(f'r.{c}', f'i.{c}')} AS {c}" for c in ("title", "journal"))}, concat_ws('; ', CASE WHEN r.key IS NOT NULL THEN 'Crossref' END, CASE WHEN i.key IS NOT NULL THEN 'OpenAlex' END) AS sources, r.key IS NULL AND i.key IS NULL AS rejected
+FROM wanted w LEFT JOIN registry r ON r.key = w.key LEFT JOIN idx i ON i.key = w.key""")
+def submission_record(spark, sf_dir):
+    """What two lookups make of a submitted key, and which of them know it."""
+    out = enrich.assemble(_lookup(spark, sf_dir, "wanted"), _lookup(spark, sf_dir, "registry"), _lookup(spark, sf_dir, "idx"), pending.NAMES)
+    return out.select("key", "title", "journal", F.array_join("sources", "; ").alias("sources"), "rejected")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -71,6 +71,23 @@ def scans(settings: Settings, name: str, current_year: int) -> list[Scan]:
     return out
 
 
+def scan_frame(queries: DataFrame, current_year: int, min_year: int = 1997, primary_max_pages: int = 20, secondary_max_pages: int = 2) -> DataFrame:
+    """scans() of all services for queries(query_idx, text) of any number, as a frame: service, query_idx, pass, win, filter, years, pages, text."""
+    first = F.col("query_idx") == 0
+    q = queries.select(F.col("query_idx").cast("int").alias("query_idx"), "text")
+    none = F.lit("").alias("filter"), F.lit("").alias("years")
+    ack = F.concat(F.lit('ACK_FUND:"'), S.quotes_dropped(F.col("text")), F.lit('"'))
+    limits = {"semantic_scholar": 5, "europepmc_ack": 5, "core": 2, "dimensions": 2}
+    plain = F.array(F.struct(F.lit("europepmc").alias("service"), F.when(first, 5).otherwise(secondary_max_pages).alias("pages"), F.col("text").alias("asked")), *[F.struct(F.lit(n).alias("service"), F.when(first, k).alias("pages"), (ack if n == "europepmc_ack" else F.col("text")).alias("asked")) for n, k in limits.items()])
+    others = q.select("query_idx", F.explode(plain).alias("s")).where("s.pages is not null")  # most services are asked for the first query only
+    others = others.select("s.service", "query_idx", F.lit(0).alias("pass"), F.lit(0).alias("win"), *none, "s.pages", F.col("s.asked").alias("text"))
+    starts = F.when(first, F.sequence(F.lit(min_year), F.lit(current_year), F.lit(5))).otherwise(F.array(F.lit(None).cast("int")))
+    alex = q.select("query_idx", "text", F.posexplode(starts).alias("win", "start")).select("*", F.posexplode(F.array(F.lit("fulltext.search"), F.lit("default.search"))).alias("pass", "filter"))
+    years = F.when(F.col("start").isNull(), "").otherwise(F.concat(F.lit(",publication_year:"), F.col("start").cast("string"), F.lit("-"), F.least(F.col("start") + 4, F.lit(current_year)).cast("string")))
+    alex = alex.select(F.lit("openalex").alias("service"), "query_idx", "pass", "win", "filter", years.alias("years"), F.when(first, primary_max_pages).otherwise(secondary_max_pages).alias("pages"), "text")
+    return alex.unionByName(others)
+
+
 def land(spark: SparkSession, settings: Settings, name: str, current_year: int, path: str, key: str = "", resume: bool = False, **options: str) -> DataFrame:
     """Asks a service and writes its answers to ``path`` before anything is done with them. ``paged`` must be registered.
 

@@ -27,7 +27,7 @@ MANUAL = "Manual submission"
 
 
 def publications(spark: SparkSession, home: str, buckets: int = BUCKETS) -> Table:
-    return Table(spark, f"{home}/publications", "key", buckets)
+    return Table(spark, f"{home}/publications", "key", buckets, "nth")
 
 
 def _counted(start: int) -> dict:

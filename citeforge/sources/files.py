@@ -27,6 +27,10 @@ class Store:
         """Of what lies in a folder; none where there is no folder."""
         return sorted(s.getPath().getName() for s in self.fs.listStatus(self.at(path))) if self.exists(path) else []
 
+    def files(self, path: str) -> list[str]:
+        """Names of the files in a folder, without those that Spark's readers skip."""
+        return sorted(s.getPath().getName() for s in self.fs.listStatus(self.at(path)) if s.isFile() and s.getPath().getName()[0] not in "._")
+
     def read(self, path: str) -> str:
         stream = self.fs.open(self.at(path))
         try:
@@ -60,5 +64,8 @@ class Store:
                 raise FileExistsError(target) from e
             raise
 
+    def make(self, path: str) -> None:
+        self.fs.mkdirs(self.at(path))
+
     def delete(self, path: str) -> bool:
         return self.fs.delete(self.at(path), True)

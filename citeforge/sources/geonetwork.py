@@ -1,6 +1,7 @@
 """Catalogue records in ISO metadata as JSON text: children of a record, and the identifier, authors and year of one.
 
-Values may be a text or an object with ``#text``; lists may be a single object. Both are read by JSON functions only.
+Values may be a text or an object with ``#text``; lists may be a single object. Records are parsed once, as variants; lists of children stay
+JSON text, as the order of languages counts there, which a variant does not keep.
 """
 
 from __future__ import annotations
@@ -24,12 +25,6 @@ def _at(json: Column, path: str) -> Column:
     return F.get_json_object(json, f"${path}")
 
 
-def _value(json: Column, path: str) -> Column:
-    """The text at path, or the text within the object there; null if empty."""
-    there = _at(json, path)
-    return _blank(F.when(there.startswith("{"), _at(json, f"{path}['#text']")).otherwise(there))
-
-
 def _several(json: Column, path: str) -> Column:
     """array<string> of the objects at path, where one may stand alone."""
     there = _at(json, path)
@@ -51,32 +46,50 @@ def children(raw: DataFrame) -> DataFrame:
     )
 
 
-def identifier(record: Column) -> Column:
+def _get(v: Column, path: str, kind: str = "string") -> Column:
+    return F.try_variant_get(v, f"${path}", kind)
+
+
+def _said(v: Column, path: str) -> Column:
+    """The text at path of a variant, or the text within the object there; null if empty."""
+    there = _get(v, path, "variant")
+    return _blank(F.when(F.schema_of_variant(there).startswith("OBJECT"), _get(there, "['#text']")).otherwise(_get(there, "")))
+
+
+def _listed(v: Column, path: str) -> Column:
+    """array<variant> of what is at path, where one may stand alone."""
+    there = _get(v, path, "variant")
+    several = F.schema_of_variant(there).startswith("ARRAY")
+    return F.when(several, F.try_variant_get(there, "$", "array<variant>")).when(there.isNotNull(), F.array(there)).otherwise(F.array().cast("array<variant>"))
+
+
+def identifier(record: Column, v: Column) -> Column:
     """From the data set's address; else any of the catalogue's own in the whole record; else ''."""
-    return F.coalesce(_blank(S.find_doi(_value(record, f"['gmd:dataSetURI']{TEXT}"))), S.first_known(record, REGISTRANT), F.lit(""))
+    return F.coalesce(_blank(S.find_doi(_said(v, f"['gmd:dataSetURI']{TEXT}"))), S.first_known(record, REGISTRANT), F.lit(""))
 
 
-def authors(record: Column) -> Column:
+def authors(v: Column) -> Column:
     """Names of parties with an author's role: the person's, else the organisation's."""
     party = "['gmd:CI_ResponsibleParty']"
     parties = F.transform(
-        _several(record, f"{CITATION}['gmd:citedResponsibleParty']"),
-        lambda p: F.struct(_at(p, party + ROLE).alias("role"), _value(p, f"{party}['gmd:individualName']{TEXT}").alias("individual"), _value(p, f"{party}['gmd:organisationName']{TEXT}").alias("organisation")),
+        _listed(v, f"{CITATION}['gmd:citedResponsibleParty']"),
+        lambda p: F.struct(_get(p, party + ROLE).alias("role"), _said(p, f"{party}['gmd:individualName']{TEXT}").alias("individual"), _said(p, f"{party}['gmd:organisationName']{TEXT}").alias("organisation")),
     )
     return names_by_role(parties, ", ")
 
 
-def year(record: Column) -> Column:
+def year(v: Column) -> Column:
     """Of the first date there is."""
     date = "['gmd:CI_Date']['gmd:date']"
-    dates = F.transform(_several(record, f"{CITATION}['gmd:date']"), lambda d: F.coalesce(_value(d, f"{date}['gco:DateTime']"), _value(d, f"{date}['gco:Date']")))
+    dates = F.transform(_listed(v, f"{CITATION}['gmd:date']"), lambda d: F.coalesce(_said(d, f"{date}['gco:DateTime']"), _said(d, f"{date}['gco:Date']")))
     return S.int_prefix(F.substring(F.get(F.array_compact(dates), F.lit(0)), 1, 4))
 
 
 def metadata(raw: DataFrame) -> DataFrame:
-    """id, doi, authors, year of raw(id, record)."""
-    r = F.col("record")
-    return raw.select("id", identifier(r).alias("doi"), authors(r).alias("authors"), year(r).alias("year"))
+    """id, doi, authors, year of raw(id, record); the text of a record is parsed once, as a variant."""
+    parsed = raw.select("id", "record", F.try_parse_json("record").alias("v"))
+    r, v = F.col("record"), F.col("v")
+    return parsed.select("id", identifier(r, v).alias("doi"), authors(v).alias("authors"), year(v).alias("year"))
 
 
 def datasets(listed: DataFrame, meta: DataFrame) -> DataFrame:

@@ -35,12 +35,20 @@ def bucket_of(key: Column, buckets: int, spread: Column | None = None) -> Column
 
 
 class Table:
-    """``buckets`` and ``key`` hold for a table that does not exist yet; of an existing one its manifest says how it is dealt."""
+    """``key``, ``buckets`` and ``spread`` hold for a table that does not exist yet; of an existing one its manifest says how it is dealt.
 
-    def __init__(self, spark: SparkSession, path: str, key: str | None = None, buckets: int = 0):
+    Rows without a key are dealt by the column ``spread``, which no merge may change.
+
+    An upsert rewrites what its keys' buckets hold, so there should be as many as make one a fraction of a run's own work.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str | None = None, buckets: int = 0, spread: str | None = None):
         self.spark, self.path = spark, path.rstrip("/")
         self.store = Store(spark, self.path)
-        self.key, self.buckets = key, buckets
+        self.dealt = {"key": key, "buckets": buckets, "spread": spread}
+
+    def _dealt(self, m: dict | None) -> dict:
+        return {k: (m or self.dealt)[k] for k in ("key", "buckets", "spread")}
 
     def versions(self) -> list[int]:
         return [int(n[:-5]) for n in self.store.names(f"{self.path}/manifests") if n.endswith(".json") and n[:-5].isdigit()]
@@ -63,7 +71,8 @@ class Table:
             if schema is None:
                 raise FileNotFoundError(self.path)
             return self.spark.createDataFrame([], schema)
-        folders = [f"{self.path}/{f}" for b, f in m["folders"].items() if only is None or int(b) in set(only)]
+        wanted = None if only is None else set(only)
+        folders = [f"{self.path}/{f}" for b, f in m["folders"].items() if wanted is None or int(b) in wanted]
         known = StructType.fromJson(m["schema"])
         return self.spark.read.schema(known).parquet(*folders) if folders else self.spark.createDataFrame([], known)
 
@@ -73,10 +82,10 @@ class Table:
         seen = Observation() if counts else None
         out = df.observe(seen, *[c.alias(n) for n, c in counts.items()]) if counts else df
         keep = [c for c in df.columns if not c.startswith("_")]
-        key, buckets = (m["key"], m["buckets"]) if m else (self.key, self.buckets)
+        key, buckets, spread = self._dealt(m).values()
         if buckets:
-            dealt = out.select(*keep, bucket_of(F.col(key), buckets, F.struct(*keep)).alias(BUCKET))
-            dealt.repartition(BUCKET).write.partitionBy(BUCKET).parquet(f"{self.path}/{name}")
+            dealt = out.select(*keep, bucket_of(F.col(key), buckets, F.col(spread) if spread else None).alias(BUCKET))
+            dealt.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.path}/{name}")  # a large bucket is written by several tasks
             folders = {n.split("=")[1]: f"{name}/{n}" for n in self.store.names(f"{self.path}/{name}") if n.startswith(f"{BUCKET}=")}
         else:
             out.select(*keep).write.parquet(f"{self.path}/{name}")
@@ -104,8 +113,7 @@ class Table:
         if self._done(m, run):
             return m["counts"]
         folders, schema, seen = self._written(df, m, counts or {})
-        own = {"key": m["key"] if m else self.key, "buckets": m["buckets"] if m else self.buckets}
-        self._commit(base, own | {"folders": folders, "schema": schema, "runs": self._runs(m, run), "counts": seen})
+        self._commit(base, self._dealt(m) | {"folders": folders, "schema": schema, "runs": self._runs(m, run), "counts": seen})
         return seen
 
     def upsert(self, new: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], schema: str | None = None, run: tuple[str, int] | None = None, counts: dict[str, Column] | None = None) -> dict:
@@ -118,17 +126,17 @@ class Table:
         m = self.manifest(base)
         if self._done(m, run):
             return m["counts"]
-        key, buckets = (m["key"], m["buckets"]) if m else (self.key, self.buckets)
-        touched = [r[0] for r in new.select(bucket_of(F.col(key), buckets)).distinct().collect()]  # ``buckets`` numbers at most
+        own = self._dealt(m)
+        touched = [r[0] for r in new.select(bucket_of(F.col(own["key"]), own["buckets"])).distinct().collect()]  # ``buckets`` numbers at most
         if m is None:
             old = self.spark.createDataFrame([], schema or new.schema)
         else:
             old = self.read(base, only=touched)
-        folders, written, seen = self._written(merge(old, new), m or {"key": key, "buckets": buckets}, counts or {})
+        folders, written, seen = self._written(merge(old, new), m, counts or {})
         kept = {b: f for b, f in (m["folders"] if m else {}).items() if int(b) not in set(touched)}
         if set(kept) & set(folders):
             raise ValueError("the merge made keys of buckets that it did not read")
-        self._commit(base, {"key": key, "buckets": buckets, "folders": kept | folders, "schema": written, "runs": self._runs(m, run), "counts": seen})
+        self._commit(base, own | {"folders": kept | folders, "schema": written, "runs": self._runs(m, run), "counts": seen})
         return seen
 
     def rollback(self, version: int) -> int:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +21,8 @@ def drained(spark: SparkSession, queue_dir: str, checkpoint: str, known: Callabl
 
     ``ask`` gets the keys of the batch that are not known yet, and no others. What was found is written beside the checkpoint before
     ``accept`` may rewrite the tables that it came from, so lookups are asked once; the batch's own folder is overwritten if the
-    batch runs again, with the same number. Drained files go to ``archive`` once their batch is committed, so the queue's folder
-    holds what is still to do. No folder, or files that hold no such arrays: nothing to do.
+    batch runs again, with the same number. Files that were there at the start go to ``archive`` once all batches are committed, so
+    the queue's folder holds what is still to do. No folder, or files that hold no such arrays: nothing to do.
     """
 
     def upsert(batch: DataFrame, nth: int) -> None:
@@ -35,12 +36,15 @@ def drained(spark: SparkSession, queue_dir: str, checkpoint: str, known: Callabl
         accept(found.where("not rejected").drop("rejected"), nth)
         reject(found.where("rejected").select("key", "doi"), nth)
 
-    if not Store(spark, queue_dir).exists(queue_dir):
+    store = Store(spark, queue_dir)
+    if not store.exists(queue_dir):
         return
-    stream = spark.readStream.schema("doi string").option("multiLine", True)
-    if archive:
-        stream = stream.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    stream.json(queue_dir).writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    there = store.files(queue_dir) if archive else []  # all of them are drained when the stream has ended
+    stream = spark.readStream.schema("doi string").option("multiLine", True).json(queue_dir)
+    stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    for name in there:  # the stream's own cleanSource clears a batch only when it plans the next one
+        store.make(archive)
+        store.move(f"{queue_dir.rstrip('/')}/{name}", f"{archive.rstrip('/')}/{uuid.uuid4().hex[:12]}-{name}")
 
 
 def drain(spark: SparkSession, queue_dir: str, checkpoint: str, known: Callable[[], DataFrame], lookups: Callable[[], tuple[DataFrame, DataFrame]], accept: Callable[[DataFrame], None], reject: Callable[[DataFrame], None]) -> None:
