@@ -6,6 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BLANKS = r"(?U)^[\s﻿]+|[\s﻿]+$"
+# How identifiers are written. Resolver and prefix before one, and one within a text.
+RESOLVER, PREFIX = "^https?://doi[.]org/", "^doi:"
+WITHIN = r"(?:doi[.]org/)?(10[.]\d{4,}/[^\s\"'<,]+)"
 
 
 def trimmed(x: Column) -> Column:
@@ -15,7 +18,7 @@ def trimmed(x: Column) -> Column:
 
 def normalise_doi(x: Column) -> Column:
     """Lower case, without resolver or ``doi:`` prefix; trimmed last, so leading blanks keep a prefix in place."""
-    bare = F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), "^https?://doi[.]org/", ""), "^doi:", "")
+    bare = F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), RESOLVER, ""), PREFIX, "")
     return trimmed(bare)
 
 
@@ -52,7 +55,7 @@ def int_prefix(x: Column) -> Column:
 
 def find_doi(x: Column) -> Column:
     """An identifier within a text: the whole of it, after a resolver or anywhere, or null."""
-    inner = F.nullif(F.regexp_extract(x, r"(?:doi[.]org/)?(10[.]\d{4,}/[^\s\"'<,]+)", 1), F.lit(""))
+    inner = F.nullif(F.regexp_extract(x, WITHIN, 1), F.lit(""))
     return F.when(x.startswith("10."), x).otherwise(inner)
 
 
