@@ -173,7 +173,7 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     # a short row for each page with a payload that may repeat; a hot payload is reduced before the shuffle
     firsts = staged(plain.where((F.col("n") >= MIN_REVISIT) & F.col("page_id").isNotNull()).groupBy("digest").agg(F.min("page_id").alias("response"), F.max("page_id").alias("last")).where("last > response").select("digest", "response"), "warc-repeats")
     # short payloads find no partner; each has a key of its own, so that the empty ones do not meet
-    key = F.when(F.col("n") >= MIN_REVISIT, F.col("digest")).otherwise(F.concat_ws("-", F.xxhash64("page_id", "url").cast("string"), F.lit("short")))
+    key = F.when(F.col("n") >= MIN_REVISIT, F.col("digest")).otherwise(F.concat_ws("-", F.monotonically_increasing_id().cast("string"), F.lit("short")))
     joined = plain.withColumn("key", key).join(firsts.withColumnRenamed("digest", "key"), "key", "left")
     return joined.select("page_id", "url", "html", "digest", F.when(F.col("response") < F.col("page_id"), F.col("response")).alias("refers_to"))
 
