@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import distinct, enrich, harvest, intervals, inventory, merge, metrics
-from ..sources import geonetwork, payloads, tables
+from ..sources import geonetwork, lookups, payloads, tables
 from ..sources.snapshots import Table
 from ..sources.staging import new_path, staged
 from ..streaming import pending
@@ -567,6 +567,28 @@ def submission_record(spark, sf_dir):
     return out.select("key", "title", "journal", F.array_join("sources", "; ").alias("sources"), "rejected")
 
 
+@query("SELECT CAST(p_partkey AS STRING) AS key, CASE WHEN p_partkey % 4 = 0 OR p_size % 5 = 0 THEN 0 ELSE p_size END::BIGINT AS cited FROM part")
+def citation_lookup(spark, sf_dir):
+    """Citation counts from answers of a lookup; some keys are unknown there, some answers hold no count."""
+    part = _t(spark, sf_dir, "part")
+    answers = part.where("p_partkey % 4 <> 0").selectExpr("CAST(p_partkey AS STRING) AS key", "CASE WHEN p_size % 5 = 0 THEN '{}' ELSE to_json(named_struct('cited_by_count', p_size)) END AS record")
+    return lookups.counted(part.select(F.col("p_partkey").cast("string").alias("key")), answers)
+
+
+@query("""WITH l AS (SELECT s_suppkey, 'N' || s_nationkey AS code, s_name AS name, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 2000 + s_suppkey % 7 END::INT AS year FROM supplier WHERE s_suppkey % 4 <> 0),
+r AS (SELECT 'N' || c_nationkey AS code, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE 2000 + c_custkey % 9 END::INT AS year, '10.7914/' || c_custkey AS doi, c_custkey AS seq FROM customer WHERE c_custkey % 6 <> 0 AND c_nationkey % 5 <> 0),
+e AS (SELECT code, year, arg_max(doi, seq) AS d FROM r GROUP BY ALL), c AS (SELECT code, arg_max(doi, seq) AS d FROM r GROUP BY ALL)
+SELECT s_suppkey AS at, l.code, l.name, l.year, coalesce(e.d, c.d, '') AS doi FROM l LEFT JOIN e ON e.code = l.code AND e.year = l.year LEFT JOIN c ON c.code = l.code""")
+def seismic_networks(spark, sf_dir):
+    """Lines of a station service with the identifiers of a registry: by code and first year, else by code; codes recur."""
+    start = "CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE concat(2000 + s_suppkey % 7, '-01-01T00:00:00') END"
+    lines = _t(spark, sf_dir, "supplier").selectExpr("s_suppkey AS at", f"CASE WHEN s_suppkey % 4 = 0 THEN concat(s_name, '|short') ELSE concat_ws('|', concat('N', s_nationkey), concat(' ', s_name, ' '), {start}, '', '3') END AS value")
+    registry = _t(spark, sf_dir, "customer").where("c_nationkey % 5 <> 0").selectExpr(
+        "concat('N', c_nationkey) AS fdsn_code", "CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE concat(2000 + c_custkey % 9, '-03-04') END AS start_date", "CASE WHEN c_custkey % 6 = 0 THEN '' ELSE concat('10.7914/', c_custkey) END AS doi", "c_custkey AS seq"
+    )
+    return jobs.seismic(payloads.station_networks(lines, "at"), payloads.network_registry(registry)).select("at", "code", "name", "year", "doi")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n.removesuffix("_query"): f for n, (f, _) in _REGISTRY.items()}
 

@@ -84,8 +84,12 @@ def publications(keys: DataFrame, folder: str, mail: str = "", **options) -> tup
 
 def citation_counts(keys: DataFrame, folder: str, mail: str = "", **options) -> DataFrame:
     """(key, cited) for every key; 0 where nothing is known."""
-    known = landed(ask(keys, "openalex_count", mail, **options), f"{folder}/openalex_count")
-    return keys.select("key").join(known, "key", "left").select("key", F.coalesce(F.get_json_object("record", "$.cited_by_count").cast("bigint"), F.lit(0)).alias("cited"))
+    return counted(keys, landed(ask(keys, "openalex_count", mail, **options), f"{folder}/openalex_count"))
+
+
+def counted(keys: DataFrame, answers: DataFrame) -> DataFrame:
+    """(key, cited) for every key, of answers (key, record); 0 where there is none, or none that says."""
+    return keys.select("key").join(answers, "key", "left").select("key", F.coalesce(F.get_json_object("record", "$.cited_by_count").cast("bigint"), F.lit(0)).alias("cited"))
 
 
 def catalogue(spark: SparkSession, root: str, folder: str, **options) -> tuple[DataFrame, DataFrame]:
