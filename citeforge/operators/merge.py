@@ -47,7 +47,8 @@ def folded(rows: DataFrame, order: Column, *more: Column, maintain: bool = False
     """One record for each key of rows: folds(), ``more`` aggregates, and ordered set unions of LISTS.
 
     Lists are reduced to the distinct ones of a key before they are gathered, so a key with very many hits is gathered
-    only as far as its lists differ; everything else folds partially, before the shuffle.
+    only as far as its lists differ; everything else folds partially, before the shuffle. Rows are used twice: where they come out of
+    joins, all their columns should go through the shuffles of these (as in catalog.JOINS), so that both uses share them.
     """
     each = rows.groupBy("key", *LISTS).agg(F.min(order).alias("_o"))
     lists = each.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("_o", *LISTS))).alias("_lists"))
@@ -89,21 +90,37 @@ def merge_into(existing: DataFrame, new: DataFrame, run_date: Column) -> DataFra
     """
     tag = lambda df, n: keyed(canonical(df, "seq", "date_added")).withColumn("o", F.struct(F.lit(n).alias("is_new"), F.col("seq")))
     old = tag(existing if "date_added" in existing.columns else existing.withColumn("date_added", F.lit(None).cast("date")), 0)
-    last = Window.partitionBy("key").orderBy(F.col("seq").desc())
-    keyless = old.where("key = ''").withColumn("target", F.lit(False))
-    old = old.where("key <> ''").withColumn("target", F.row_number().over(last) == 1)
-    fresh = tag(new.drop("date_added"), 1).where("key <> ''").withColumn("date_added", F.lit(None).cast("date")).withColumn("target", F.lit(True))
-    every = old.unionByName(fresh)
-    old_sources = F.max(F.when(F.col("o.is_new") == 0, F.size(F.array_distinct("sources")))).alias("had")
-    merged = (
-        folded(every.where("target"), F.col("o"), F.max("date_added").alias("date_added"), F.min("o").alias("o"), F.max("o.is_new").alias("any_new"), old_sources)
-        .withColumn("added", F.col("o.is_new") == 1)
-        .withColumn("updated", ~F.col("added") & (F.col("any_new") == 1) & (F.size("sources") > F.col("had")))
-        .withColumn("date_added", F.when(F.col("added"), run_date.cast("date")).otherwise(F.col("date_added")))
-        .drop("any_new", "had")
-    )
-    passed = old.where("not target").unionByName(keyless).drop("target", "seq").withColumns({"added": F.lit(False), "updated": F.lit(False)})
-    return merged.unionByName(passed)
+    # rows without a key are dealt by their place; no key begins with a blank, so none of these meets a key
+    old = old.withColumn("_at", F.when(F.col("key") == "", F.concat(F.lit(" "), F.xxhash64("seq").cast("string"))).otherwise(F.col("key")))
+    last = Window.partitionBy("_at").orderBy(F.col("seq").desc())
+    old = old.withColumn("_target", (F.row_number().over(last) == 1) & (F.col("key") != "")).drop("seq")
+    fresh = folded(tag(new.drop("date_added"), 1).where("key <> ''"), F.col("o"), F.min("o").alias("o"))
+    both = old.alias("old").join(fresh.alias("new"), (F.col("old._at") == F.col("new.key")) & F.col("old._target"), "full")
+    return both.select(*_into(run_date))
+
+
+def _into(run_date: Column) -> list[Column]:
+    """What a row old of merge_into() and the folded hits new of its key make, either of which may be missing; all hits of new come after old."""
+    o, n = (lambda c: F.col(f"old.{c}")), (lambda c: F.col(f"new.{c}"))
+    added, target, met = o("key").isNull(), F.coalesce(o("_target"), F.lit(False)), n("key").isNotNull()
+    either = lambda c, kept: F.when(added | (met & ~kept), n(c)).otherwise(o(c)).alias(c)
+    known = o("year").isNotNull() & (o("year") != 0)
+    union = {x: F.when(added, n(x)).when(target, F.array_distinct(F.concat(o(x), F.coalesce(n(x), F.array().cast("array<string>"))))).otherwise(o(x)) for x in LISTS}
+    return [
+        F.coalesce(o("key"), n("key")).alias("key"),
+        either("doi", F.lit(True)),
+        *[either(t, F.length(o(t)) >= F.length(n(t))) for t in TEXTS],
+        F.when(added | (target & ~known), n("year")).otherwise(o("year")).alias("year"),
+        F.greatest(o("cited"), n("cited")).alias("cited"),
+        either("is_oa", o("is_oa") != "Unknown"),
+        *[either(c, F.size(o(c)) >= F.size(n(c))) for c in ("institutions", "countries")],
+        F.greatest(o("author_count"), n("author_count")).alias("author_count"),
+        F.when(added, run_date.cast("date")).otherwise(o("date_added")).alias("date_added"),
+        F.coalesce(o("o"), n("o")).alias("o"),
+        *[c.alias(x) for x, c in union.items()],
+        added.alias("added"),
+        (~added & met & (F.size(union["sources"]) > F.size(F.array_distinct(o("sources"))))).alias("updated"),
+    ]
 
 
 def merge_counters(merged: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from citeforge.functions import scalars as S
 from citeforge.operators import merge, metrics
-from citeforge.plans import report
+from citeforge.plans import catalog, report
 from citeforge.plans.ticks import nice_ticks
 from citeforge.sources import payloads, tables
 from citeforge.streaming import pending
@@ -168,3 +168,45 @@ def test_queue_may_feed_the_table_that_it_reads(spark, tmp_path):
     accept = lambda df: tables.overwrite(spark.read.parquet(at("known")).unionByName(df.select("key")), at("known"))
     pending.drain(spark, at("q"), at("c"), lambda: spark.read.parquet(at("known")), lambda: (registry, registry.limit(0)), accept, lambda df: rejects.extend(r["key"] for r in df.collect()))
     assert sorted(r["key"] for r in spark.read.parquet(at("known")).collect()) == ["10.1/a", "10.1/k"] and rejects == ["10.1/b"]
+
+
+def _read(df):
+    """How often the plan of df reads and shuffles what is not shared with another part of it."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("ReusedExchange"), plan.count("Window ["), plan.count("FileScan")
+
+
+def test_folds_share_the_shuffles_of_their_joins(spark, tmp_path):
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan shows what is shared before it runs
+    try:
+        for f in (catalog.merge_hits, catalog.maintain_dedup):
+            assert _read(f(spark, "/root/testdata/sf0.001")) == (2, 0, 5)
+        assert _read(catalog.merge_into_existing(spark, "/root/testdata/sf0.001"))[1:] == (1, 6)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_merge_into_folds_new_hits_into_the_last_row(spark, seed):
+    """Against the fold of the last row of each key with its new hits, one after the other."""
+    rnd = random.Random(seed)
+    schema = "seq int, doi string, title string, year int, cited bigint, is_oa string, sources array<string>, institutions array<string>"
+    names = [c.split()[0] for c in schema.split(", ")]
+    rows = [(i, rnd.choice(["10.1/A", "10.1/b", "doi:10.1/a ", "10.1/c", "10.1/d", ""]), rnd.choice(["", "x", "yy", "zz"]), rnd.choice([None, 0, 1999, 2001]), rnd.randrange(9), rnd.choice(["Unknown", "Yes", "No"]), rnd.choices("abc", k=2), rnd.choices("pq", k=rnd.randrange(3))) for i in range(24)]
+    df = spark.createDataFrame(rows, schema).withColumn("seq", F.struct("seq"))
+    got = merge.merge_into(df.where("seq.seq < 10"), df.where("seq.seq >= 10"), F.current_date()).collect()
+    dicts = [dict(zip(names, r)) for r in rows]
+    key = lambda r: r["doi"].lower().removeprefix("doi:").strip()
+    last = {key(r): r["seq"] for r in dicts[:10] if key(r)}
+    folds = fold([r for r in dicts if r["seq"] >= 10 or last.get(key(r)) == r["seq"]])
+    passed = [r for r in dicts[:10] if last.get(key(r)) != r["seq"]]
+    shown = lambda r, k, added, updated: (k, r["doi"], r["title"], r["year"], r["cited"], r["is_oa"], tuple(r["sources"]), tuple(r["institutions"]), added, updated)
+    want = [shown(r, key(r), False, False) for r in passed]
+    for k, r in folds.items():
+        had = set(dicts[last[k]]["sources"]) if k in last else set()
+        want.append(shown(dict(r, year=r["year"] or None), k, k not in last, k in last and len(r["sources"]) > len(had)))
+    assert sorted(map(repr, want)) == sorted(repr(shown(r, r["key"], r["added"], r["updated"])) for r in got)
+    assert all((r["o"]["is_new"] == 1) == r["added"] == (r["date_added"] is not None) for r in got)
