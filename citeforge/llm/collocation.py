@@ -37,7 +37,9 @@ LEAST, LONGEST, KEEP, SCALE, COVER = 30, 4, 2000, 2_000_000, 80
 #: Words that are broadcast, the longest of them in bytes, and the bits of the two bitmaps (words that are not, pairs).
 HEAD, HEAD_BYTES, WORD_BITS, PAIR_BITS = 200_000, 48, 22, 25
 #: Distinct words, and packed windows, that a task holds before it hands them on.
-HELD_WORDS, HELD_KEYS = 150_000, 800_000
+HELD_WORDS, HELD_KEYS = 150_000, 600_000
+#: Characters of texts that are cut into words at once.
+SLICE = 1 << 19
 #: Rows of keys for each range partition.
 RANGE_ROWS = 2_000_000
 _STOP = b"\xff"  # no byte of UTF-8
@@ -50,9 +52,20 @@ def words_of(texts: list[str]) -> list[bytes]:
     return _STOP.join(t.encode("utf-8", "surrogatepass") for t in texts).translate(_MAP).replace(_STOP, b" \xff ").split()
 
 
-def by_language(rows: pd.DataFrame) -> Iterator[tuple[str, list[str]]]:
+def by_language(rows: pd.DataFrame, most: int = SLICE) -> Iterator[tuple[str, list[str]]]:
+    """Each language's texts, in slices of ``most`` characters or one text: words take many times the bytes of their texts."""
     for lang, group in rows.groupby("lang", sort=False):
-        yield lang, [t for t in group["text"] if t]
+        part: list[str] = []
+        size = 0
+        for t in group["text"]:
+            if t:
+                if part and size + len(t) > most:
+                    yield lang, part
+                    part, size = [], 0
+                part.append(t)
+                size += len(t)
+        if part:
+            yield lang, part
 
 
 def word_counts(docs: DataFrame, held: int = HELD_WORDS) -> DataFrame:
@@ -73,8 +86,8 @@ def word_counts(docs: DataFrame, held: int = HELD_WORDS) -> DataFrame:
             for lang, texts in by_language(rows):
                 sums.setdefault(lang, Counter()).update(words_of(texts))
                 sums[lang].pop(_STOP, None)
-            if sum(map(len, sums.values())) > held:
-                yield from out()
+                if sum(map(len, sums.values())) > held:
+                    yield from out()
         yield from out()
 
     plain = docs.select("text", F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"))
@@ -111,7 +124,7 @@ ENCODED = "row bigint, ids binary, places array<int>, lang string, words array<s
 
 
 def rewritten(docs: DataFrame, dictionary: DataFrame, head: int = HEAD) -> DataFrame:
-    """Texts as numbers (32-bit, 0 for a break), staged: a row for each batch and language, of all its texts; ids binary, numbers of rarer words filled in."""
+    """Texts as numbers (32-bit, 0 for a break), staged: a row for each slice of a batch's texts of one language; ids binary, numbers of rarer words filled in."""
     spark = docs.sparkSession
     short = F.octet_length("word") <= HEAD_BYTES
     near = dictionary.where((F.col("id") <= head) & short)
@@ -176,8 +189,8 @@ def counted(hi: np.ndarray, lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray,
     return hi[first], lo[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def _summed(windows, held: int):
-    """mapInPandas function that counts the keys (hi, lo, n) which ``windows`` makes of each batch."""
+def _summed(windows, held: int, step: int = 1 << 62):
+    """mapInPandas function that counts the keys (hi, lo, n) which ``windows`` makes of each batch, or of each ``step`` rows of it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts: list[tuple] = []
@@ -191,7 +204,7 @@ def _summed(windows, held: int):
                 hi, lo, n = (k[i : i + 200_000] for k in keys)
                 yield pd.DataFrame({"hi": hi.astype(np.int64), "lo": lo.astype(np.int64), "n": n})
 
-        for rows in batches:
+        for rows in (batch.iloc[i : i + step] for batch in batches for i in range(0, len(batch), step)):
             keys = windows(rows)
             if len(keys[0]):
                 parts.append(keys)
@@ -217,7 +230,7 @@ def frequent(windows, texts: DataFrame, least: int, held: int = HELD_KEYS) -> Da
     Each task sends a key once for each time that it had to hand on what it held, so no key is hot in the second count.
     """
     spark = texts.sparkSession
-    each = staged(texts.mapInPandas(_summed(windows, held), KEYS), "phrase-keys")
+    each = staged(texts.mapInPandas(_summed(windows, held, 1), KEYS), "phrase-keys")  # a row is a slice of texts
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-each.count() // RANGE_ROWS))
     own = lambda rows: (rows["hi"].to_numpy(np.int64).astype(np.uint64), rows["lo"].to_numpy(np.int64).astype(np.uint64), rows["n"].to_numpy(np.int64))
     dealt = each.repartitionByRange(parts, "hi", "lo").mapInPandas(_summed(own, held), KEYS)

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from citeforge.llm import alignment, collocation, encoders, token_files
@@ -185,3 +186,17 @@ def test_token_files(spark, texts):
         for i, own in sums.items():
             assert sorted(own) == sorted((r["ids_crc32"], r["n_tokens"]) for r in got if r["doc_id"] == i)
     assert token_files.read(token_files.write(frame(spark, []))).count() == 0
+
+
+def test_texts_are_cut_into_words_by_slices():
+    """A batch of texts is not held as words all at once; no text is lost or cut, and windows are made slice by slice."""
+    texts = [c * n for c, n in zip("abcdefgh", (300_000, 300_000, 900_000, 1, 2, 0, 524_288, 5))]
+    rows = pd.DataFrame({"lang": ["x", "y"] * 4, "text": texts})
+    slices = list(collocation.by_language(rows))
+    assert [t for lang, part in slices if lang == "x" for t in part] == [t for t in texts[::2] if t]
+    assert [t for lang, part in slices if lang == "y" for t in part] == [t for t in texts[1::2] if t]
+    assert all(len(part) == 1 or sum(map(len, part)) <= collocation.SLICE for _, part in slices)
+    seen = []
+    windows = lambda r: (seen.append(len(r)), (np.full(3, 7, np.uint64), np.zeros(3, np.uint64), np.ones(3, np.int64)))[1]
+    got = pd.concat(collocation._summed(windows, 100, 1)(iter([pd.DataFrame({"ids": [b""] * 4}), pd.DataFrame({"ids": []})])))
+    assert seen == [1, 1, 1, 1] and got.values.tolist() == [[7, 0, 12]]
