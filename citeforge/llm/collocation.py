@@ -39,9 +39,11 @@ HEAD, HEAD_BYTES, WORD_BITS, PAIR_BITS = 200_000, 48, 22, 25
 #: Distinct words, and packed windows, that a task holds before it hands them on.
 HELD_WORDS, HELD_KEYS = 150_000, 600_000
 #: Characters of texts that are cut into words at once.
-SLICE = 1 << 19
-#: Rows of keys for each range partition.
-RANGE_ROWS = 2_000_000
+SLICE = 1 << 17
+#: Rows that a task hands on at once: Arrow buffers lie outside the heap, and what they leave there is not given back.
+HANDED = 50_000
+#: Rows of keys for each range partition, few enough for a task to hold its distinct keys.
+RANGE_ROWS = 800_000
 _STOP = b"\xff"  # no byte of UTF-8
 _MAP = bytes(0xFF if chr(i) in ".,;:!?" or 0x0A <= i <= 0x0D else i + 32 if 0x41 <= i <= 0x5A else i for i in range(256))
 UNKNOWN = "und"
@@ -77,8 +79,8 @@ def word_counts(docs: DataFrame, held: int = HELD_WORDS) -> DataFrame:
         def out() -> Iterator[pd.DataFrame]:
             for lang, c in sums.items():
                 words = list(c)
-                for i in range(0, len(words), 50_000):
-                    part = words[i : i + 50_000]
+                for i in range(0, len(words), HANDED):
+                    part = words[i : i + HANDED]
                     yield pd.DataFrame({"lang": lang, "word": [w.decode("utf-8", "surrogatepass") for w in part], "n": [c[w] for w in part]})
             sums.clear()
 
@@ -189,19 +191,23 @@ def counted(hi: np.ndarray, lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray,
     return hi[first], lo[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def _summed(windows, held: int, step: int = 1 << 62):
-    """mapInPandas function that counts the keys (hi, lo, n) which ``windows`` makes of each batch, or of each ``step`` rows of it."""
+def _summed(windows, held: int, step: int = 1 << 62, least: int = 1):
+    """mapInPandas function that counts the keys (hi, lo, n) which ``windows`` makes of each batch, or of each ``step`` rows of it.
+
+    Where a task has to hand keys on only once, at its end, those that occur less than ``least`` times stay behind: the caller must
+    have dealt all of a key's rows to one task.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts: list[tuple] = []
-        size = 0
+        size, whole = 0, True
 
         def merged() -> tuple:
             return counted(*(np.concatenate(x) for x in zip(*parts)))
 
         def out(keys: tuple) -> Iterator[pd.DataFrame]:
-            for i in range(0, len(keys[0]), 200_000):
-                hi, lo, n = (k[i : i + 200_000] for k in keys)
+            for i in range(0, len(keys[0]), HANDED):
+                hi, lo, n = (k[i : i + HANDED] for k in keys)
                 yield pd.DataFrame({"hi": hi.astype(np.int64), "lo": lo.astype(np.int64), "n": n})
 
         for rows in (batch.iloc[i : i + step] for batch in batches for i in range(0, len(batch), step)):
@@ -214,9 +220,10 @@ def _summed(windows, held: int, step: int = 1 << 62):
                 size = len(parts[0][0])
                 if size > held // 2:
                     yield from out(parts[0])
-                    parts, size = [], 0
+                    parts, size, whole = [], 0, False
         if parts:
-            yield from out(merged())
+            keys = merged()
+            yield from out(tuple(k[keys[2] >= least] for k in keys) if whole else keys)
 
     return run
 
@@ -233,8 +240,8 @@ def frequent(windows, texts: DataFrame, least: int, held: int = HELD_KEYS) -> Da
     each = staged(texts.mapInPandas(_summed(windows, held, 1), KEYS), "phrase-keys")  # a row is a slice of texts
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-each.count() // RANGE_ROWS))
     own = lambda rows: (rows["hi"].to_numpy(np.int64).astype(np.uint64), rows["lo"].to_numpy(np.int64).astype(np.uint64), rows["n"].to_numpy(np.int64))
-    dealt = each.repartitionByRange(parts, "hi", "lo").mapInPandas(_summed(own, held), KEYS)
-    # a range that held more than ``held`` distinct keys hands a key on more than once
+    dealt = each.repartitionByRange(parts, "hi", "lo").mapInPandas(_summed(own, held, least=least), KEYS)
+    # a range with more distinct keys than a task holds hands them on more than once, rare ones too; of the others only frequent keys come here
     return staged(dealt.groupBy("hi", "lo").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "phrase-frequent")
 
 

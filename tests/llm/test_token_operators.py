@@ -200,3 +200,24 @@ def test_texts_are_cut_into_words_by_slices():
     windows = lambda r: (seen.append(len(r)), (np.full(3, 7, np.uint64), np.zeros(3, np.uint64), np.ones(3, np.int64)))[1]
     got = pd.concat(collocation._summed(windows, 100, 1)(iter([pd.DataFrame({"ids": [b""] * 4}), pd.DataFrame({"ids": []})])))
     assert seen == [1, 1, 1, 1] and got.values.tolist() == [[7, 0, 12]]
+
+
+@pytest.mark.parametrize("held", [1000, 6])
+def test_rare_keys_stay_in_the_task_that_has_all_their_rows(held):
+    """A range whose keys a task can hold hands on its frequent ones only, once; one that is larger loses no count."""
+    keys = [7] * 40 + [9] * 3 + list(range(100, 120)) + [7] * 2 + [9] * 27
+    batches = [pd.DataFrame({"hi": keys[i : i + 5], "lo": 0, "n": 1}) for i in range(0, len(keys), 5)]
+    own = lambda r: (r["hi"].to_numpy(np.uint64), r["lo"].to_numpy(np.uint64), r["n"].to_numpy(np.int64))
+    got = pd.concat(collocation._summed(own, held, least=30)(iter(batches)))
+    sums = got.groupby("hi")["n"].sum()
+    assert {int(k): int(n) for k, n in sums.items() if n >= 30} == {7: 42, 9: 30}
+    assert held < 1000 or got["hi"].tolist() == [7, 9]
+
+
+def test_what_a_task_hands_on_at_once_is_small():
+    """Keys and words leave a task in pieces of HANDED rows, and words are cut from at most SLICE characters of short texts."""
+    own = lambda r: (r["hi"].to_numpy(np.uint64), np.zeros(len(r), np.uint64), np.ones(len(r), np.int64))
+    got = list(collocation._summed(own, 10**6)(iter([pd.DataFrame({"hi": range(150_000)})])))
+    assert sum(map(len, got)) == 150_000 and max(map(len, got)) <= 50_000
+    slices = list(collocation.by_language(pd.DataFrame({"lang": "x", "text": ["a b " * 250] * 1000})))
+    assert sum(len(part) for _, part in slices) == 1000 and max(sum(map(len, part)) for _, part in slices) <= 1 << 17
