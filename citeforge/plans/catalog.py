@@ -45,10 +45,12 @@ JOINS = """
 FROM {lineitem} l JOIN {supplier} s ON l.l_suppkey = s.s_suppkey JOIN {part} p ON l.l_partkey = p.p_partkey
 JOIN ({orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey) ON l.l_orderkey = o.o_orderkey
 """
-#: Always true, and asks the last join for every column: uses of the hits that need some only then share its shuffles with those that need all.
-WHOLE = """AND hash(l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice, l.l_quantity, l.l_returnflag, l.l_linestatus,
-  p.p_name, p.p_brand, p.p_type, s.s_name, c.c_name, c.c_mktsegment, o.o_orderpriority, o.o_orderdate) % 2 < 2
-"""
+#: Always true, and asks the last join for these columns: uses of the hits that need some only then share its shuffles with those that need all.
+SHARED = "AND hash({}) % 2 < 2"
+#: What identifiers, lists and order of records are made of, which is all that a merge's counters need; and what whole records are.
+#: A column of the orders is among them, as a condition on line items alone would leave the last join.
+COUNTED = "l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice, l.l_linestatus, o.o_orderkey"
+WHOLE = f"{COUNTED}, l.l_quantity, l.l_returnflag, p.p_name, p.p_brand, p.p_type, s.s_name, c.c_name, c.c_mktsegment, o.o_orderpriority, o.o_orderdate"
 KEY = "trim(regexp_replace(regexp_replace(lower(doi), '^https?://doi[.]org/', ''), '^doi:', ''))"
 DUCK_RAW = RAW.format(lineitem="lineitem", orders="orders", part="part", customer="customer", supplier="supplier")
 O = "ORDER BY seq1, seq2, seq3, seq4"  # noqa: E741
@@ -58,13 +60,13 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_hits(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+def raw_hits(spark: SparkSession, sf_dir: str, shared: str = "") -> DataFrame:
     names = ("lineitem", "orders", "part", "customer", "supplier")
-    return spark.sql(RAW[: RAW.index("FROM {lineitem}")] + JOINS + (WHOLE if whole else ""), **{n: _t(spark, sf_dir, n) for n in names})
+    return spark.sql(RAW[: RAW.index("FROM {lineitem}")] + JOINS + (SHARED.format(shared) if shared else ""), **{n: _t(spark, sf_dir, n) for n in names})
 
 
-def hits(spark: SparkSession, sf_dir: str, whole: bool = True) -> DataFrame:
-    raw = raw_hits(spark, sf_dir, whole)
+def hits(spark: SparkSession, sf_dir: str, shared: str = WHOLE) -> DataFrame:
+    raw = raw_hits(spark, sf_dir, shared)
     inst = F.when(F.col("n_inst") == 0, F.array().cast("array<string>")).when(F.col("n_inst") == 1, F.array("inst1")).otherwise(F.array("inst1", "inst2"))
     return raw.withColumns({"seq": F.struct(*SEQ), "sources": F.array("source"), "search_terms": F.array("term"), "institutions": inst, "countries": F.array(F.substring("inst1", -2, 2))})
 
@@ -165,8 +167,8 @@ passed AS (SELECT key, doi, title, authors, journal, publisher, type, subject, y
 result AS (SELECT * EXCLUDE (any_new, had, now), NOT added AND any_new = 1 AND now > had AS updated FROM folded UNION ALL BY NAME SELECT * FROM passed)"""
 
 
-def _merged_into(spark, sf_dir):
-    h = hits(spark, sf_dir)
+def _merged_into(spark, sf_dir, shared=WHOLE):
+    h = hits(spark, sf_dir, shared)
     return merge.merge_into(h.where("seq1 <= 2"), h.where("seq1 > 2"), F.lit("2026-01-01"))
 
 
@@ -177,7 +179,7 @@ def merge_into_existing(spark, sf_dir):
 
 @query(f"WITH {_INTO} SELECT count(*) AS total, count(*) FILTER (WHERE added) AS added, count(*) FILTER (WHERE updated) AS updated FROM result")
 def merge_counters(spark, sf_dir):
-    return merge.merge_counters(_merged_into(spark, sf_dir))
+    return merge.merge_counters(_merged_into(spark, sf_dir, COUNTED))
 
 
 @query(f"WITH {DUCK_KEYED} {_fold_sql('full_key', O, maintain=True, extra=', count(*) - 1 AS removed')}")
@@ -517,7 +519,7 @@ def interval_counts(spark, sf_dir):
   (SELECT count(DISTINCT trim(a)) FROM (SELECT unnest(string_split(subject, ';')) AS a FROM raw) WHERE trim(a) <> '') AS subjects, (SELECT count(DISTINCT x) FROM (SELECT unnest([inst1, inst2][:n_inst]) AS x FROM raw)) AS institutions, count(DISTINCT right(inst1, 2)) AS countries FROM raw""")
 def distinct_bitmaps(spark, sf_dir):
     """Exact distinct counts of five kinds, from the bitmaps of two runs."""
-    found = staged(distinct.items(hits(spark, sf_dir, whole=False), (F.col("orderkey") % 2).alias("run")), "distinct-items")
+    found = staged(distinct.items(hits(spark, sf_dir, shared=""), (F.col("orderkey") % 2).alias("run")), "distinct-items")
     words, maps = spark.createDataFrame([], distinct.DICTIONARY), []
     for run in (0, 1):
         own = found.where(F.col("run") == run)
@@ -550,7 +552,7 @@ def snapshot_rollback(spark, sf_dir):
 @query(f"WITH {_INTO} SELECT count(*) AS total, count(*) FILTER (WHERE added) AS added, count(*) FILTER (WHERE updated) AS updated FROM result")
 def observed_counters(spark, sf_dir):
     """The counters of a merge, observed in the one write that makes the table."""
-    merged = _merged_into(spark, sf_dir).select("doi", "sources", F.col("added").alias("_added"), F.col("updated").alias("_updated"))
+    merged = _merged_into(spark, sf_dir, COUNTED).select("doi", "sources", F.col("added").alias("_added"), F.col("updated").alias("_updated"))
     seen = Table(spark, new_path(spark, "observed")).overwrite(merged, counts={"total": F.count(F.lit(1)), "added": F.count_if("_added"), "updated": F.count_if("_updated")})
     return spark.createDataFrame([(seen["total"], seen["added"], seen["updated"])], "total bigint, added bigint, updated bigint")
 

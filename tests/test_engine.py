@@ -189,6 +189,20 @@ def test_folds_share_the_shuffles_of_their_joins(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def test_counters_carry_only_what_they_need(spark):
+    """A merge's counters read no texts, and its two uses of the new hits share their shuffles."""
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan shows what is shared before it runs
+    try:
+        counters = catalog.merge_counters(spark, "/root/testdata/sf0.001")
+        assert _read(counters)[1:] == (1, 6)
+        assert not any(c in counters._jdf.queryExecution().executedPlan().toString() for c in ("p_name", "p_type", "c_name", "s_name", "o_orderdate", "l_quantity"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_merge_into_folds_new_hits_into_the_last_row(spark, seed):
     """Against the fold of the last row of each key with its new hits, one after the other."""
